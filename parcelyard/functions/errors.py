@@ -25,6 +25,8 @@ BACKOFF_SECONDS = 2
 WRAPPER_TEXTS = ["One or more errors occurred", "See the inner exception for details"]
 UNKNOWN_ERROR = "An unknown error occurred."
 
+NOT_A_DATABASE_ERROR = 0  # code of a failure outside the database; its message stands for itself
+
 # What a user reads for each class; "{}" takes the original message.
 CLASS_MESSAGES = {
     "missing_object": "A table or view used by the job was not found; check its staging table. {}",
@@ -45,7 +47,7 @@ def error_class(code: Column) -> Column:
 
 
 def error_message(code: Column, detail: Column) -> Column:
-    chain = F.when(code.isNull(), F.lit(None).cast("string"))
+    chain = F.when(code.isNull(), F.lit(None).cast("string")).when(code == NOT_A_DATABASE_ERROR, detail)
     for name, codes in ERROR_CLASSES.items():
         chain = chain.when(code.isin(codes), F.replace(F.lit(CLASS_MESSAGES[name]), F.lit("{}"), detail))
     return chain.otherwise(F.concat(F.lit("Database error ("), code.cast("string"), F.lit("): "), detail))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,14 +56,21 @@ def _is_day(number: Column) -> Column:
 
 @dataclass(frozen=True)
 class Job:
-    """A named extract: Spark SQL over ``{source}`` with integer parameters ``:mon``, ``:mon1``."""
+    """A named extract: Spark SQL over ``{source}`` with integer parameters ``:mon``, ``:mon1``.
+
+    Rows are delivered in ``order_by`` order, cut at ``threshold`` rows; with ``split_key`` the
+    job has divided them itself, one split per key value, and the threshold only judges them.
+    ``partitions`` sizes the staging shuffle of a very large job.
+    """
 
     name: str
     sql: str
     parameters: tuple[str, ...] = ()
     file_prefix: str = ""
     threshold: int = 0
-    order_by: tuple[str, ...] = field(default=())
+    order_by: tuple[str, ...] = ()
+    split_key: str | None = None
+    partitions: int | None = None
 
 
 def run_job(spark: SparkSession, job: Job, arguments: dict[str, int], **sources: DataFrame) -> DataFrame:

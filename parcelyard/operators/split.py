@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelyard.operators.staging import BYTES, PART, POSITION, StagedRows, broadcast_if_small, stage
 
 SPLIT, SPLIT_ROW = "split_id", "split_row"
+BLOCK_ROWS = 65_536  # rows whose bytes are summed together before split starts are located
+_LOOKUP_ROW_BYTES = 64  # generous size of a (part, position, split) row in memory
 
 
 def table_name(base: str, split_id: Column, splits: int) -> Column:
@@ -38,34 +40,67 @@ def split_total(rows: int, threshold: int | None) -> int:
     return -(-rows // threshold) if threshold else 1
 
 
-def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False) -> DataFrame:
+def capped_counts(spark: SparkSession, rows: int, threshold: int | None) -> DataFrame:
+    """What ``split_counts`` of a capped split gives, from the number of rows alone."""
+    splits = split_total(rows, threshold)
+    cap = threshold or rows
+    return spark.range(1, splits + 1).select(
+        F.col("id").cast("int").alias(SPLIT),
+        F.least(F.lit(cap).cast("long"), F.lit(rows).cast("long") - (F.col("id") - 1) * cap).alias("row_count"),
+    )
+
+
+def _split_starts(staged: StagedRows, cap: int, block_rows: int) -> DataFrame:
+    """First position of every byte-capped split in each partition that it touches.
+
+    Bytes are summed per block of rows first, which the map side does almost alone. Only blocks
+    in which the running sum passes a multiple of ``cap`` are looked at row by row.
+    """
+    rows = staged.read().select(PART, POSITION, BYTES, F.expr(f"{POSITION} div {block_rows}").alias("_block"))
+    by_block = Window.partitionBy(PART).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        rows.groupBy(PART, "_block").agg(F.sum(BYTES).alias("_size"))
+        .withColumn("_in_part", F.coalesce(F.sum("_size").over(by_block), F.lit(0)))
+        .join(F.broadcast(staged.part_offsets()), PART)
+        .select(PART, "_block", "_size", (F.col("bytes_before") + F.col("_in_part")).alias("_before"))
+    )
+    at_block_start = blocks.select(
+        PART, F.expr(f"_block * {block_rows}").alias("_start"), F.expr(f"_before div {cap} + 1").alias(SPLIT)
+    )
+    crossed = blocks.filter(F.expr(f"_before div {cap} <> (_before + _size) div {cap}")).drop("_size")
+    crossed = broadcast_if_small(crossed, (staged.total_bytes // cap + 1) * _LOOKUP_ROW_BYTES)
+    by_row = Window.partitionBy(PART, "_block").orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
+    inside = (
+        rows.join(crossed, [PART, "_block"])
+        .withColumn("_in_block", F.coalesce(F.sum(BYTES).over(by_row), F.lit(0)))
+        .select(PART, F.col(POSITION).alias("_start"), F.expr(f"(_before + _in_block) div {cap} + 1").alias(SPLIT))
+    )
+    return at_block_start.unionByName(inside).groupBy(PART, SPLIT).agg(F.min("_start").alias("_start"))
+
+
+def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows with ``split_id`` so that a split ends with the row that reaches ``cap`` bytes.
 
     A split may pass ``cap`` by less than one row; ``hard`` lowers the cap by the largest row, so
-    that no split passes it. The running byte sum is computed on three narrow columns only; the
-    wide rows learn their split from the few split starts that fall into their partition
-    (about partition bytes / cap of them), joined by partition number.
+    that no split passes it. The wide rows are not shuffled: they learn their split from the few
+    split starts in their partition (about partition bytes / cap), joined by partition number.
     """
     if hard:
         cap -= staged.max_row_bytes
     if cap < 1:
         raise ValueError("the byte cap must be larger than the largest row")
-    offsets = F.broadcast(staged.part_offsets())
-    running = Window.partitionBy(PART).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
-    bytes_in_part = F.coalesce(F.sum(BYTES).over(running), F.lit(0))
     starts = (
-        staged.read().select(PART, POSITION, BYTES)
-        .withColumn("_in_part", bytes_in_part)
-        .join(offsets, PART)
-        .withColumn(SPLIT, F.expr(f"(bytes_before + _in_part) div {cap} + 1"))
-        .groupBy(PART, SPLIT)
-        .agg(F.min(POSITION).alias("_start"))
+        _split_starts(staged, cap, block_rows)
         .groupBy(PART)
         .agg(F.sort_array(F.collect_list(F.struct("_start", SPLIT))).alias("_starts"))
     )
-    starts = broadcast_if_small(starts, len(staged.parts) + staged.total_bytes // cap + 1)
+    known = len(staged.parts) + staged.total_bytes // cap + 1
     reached = F.filter("_starts", lambda s: s["_start"] <= F.col(POSITION))
-    rows = staged.read().join(starts, PART).join(offsets, PART)
+    rows = (
+        staged.read()
+        .join(broadcast_if_small(starts, known * _LOOKUP_ROW_BYTES), PART)
+        .join(F.broadcast(staged.part_offsets()), PART)
+    )
     return rows.select(
         *staged.data_columns(),
         F.col(BYTES).alias("row_bytes"),
@@ -83,18 +118,17 @@ class KeySplits:
     count: int
 
 
-def split_by_key(df: DataFrame, key: str, order_by: list[str]) -> KeySplits:
+def split_by_key(staged: StagedRows, key: str) -> KeySplits:
     """Treat the values of ``key`` as splits 1, 2, ...; ``split_row`` counts inside each.
 
-    Rows are staged by (key, order), so a hot key spreads over as many range partitions as its
-    rows need. Only the table of distinct keys is grouped.
+    ``staged`` must be ordered by ``key`` first, so that a hot key spreads over as many range
+    partitions as its rows need. Only the table of distinct keys is grouped and numbered.
     """
-    staged = stage(df, [key, *order_by])
     indexed = staged.indexed()
     first_rows = indexed.groupBy(key).agg(F.min("row_index").alias("_first"), F.count("*").alias("row_count"))
-    keys = stage(first_rows, [key])
+    keys = stage(first_rows, [key], measure_bytes=True)
     splits = keys.indexed(SPLIT).withColumn(SPLIT, F.col(SPLIT).cast("int"))
-    lookup = broadcast_if_small(splits.select(F.col(key).alias("_key"), SPLIT, "_first"), keys.total_rows)
+    lookup = broadcast_if_small(splits.select(F.col(key).alias("_key"), SPLIT, "_first"), keys.total_bytes)
     rows = indexed.join(lookup, F.col(key).eqNullSafe(F.col("_key"))).withColumn(
         SPLIT_ROW, F.col("row_index") - F.col("_first") + 1
     )

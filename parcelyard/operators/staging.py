@@ -21,7 +21,7 @@ from parcelyard.session import scratch_path
 
 PART, POSITION, BYTES = "_part", "_position", "_bytes"
 SOURCE_FILE, SOURCE_ROW = "_source_file", "_source_row"
-BROADCAST_ROWS = 200_000  # narrow lookup tables up to this many rows are broadcast
+BROADCAST_BYTES = 64 * 1024**2  # lookup tables up to this size are broadcast
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low bits
 
 
@@ -129,18 +129,22 @@ def stage(
     order_by: list[str],
     path: str | None = None,
     measure_bytes: bool = False,
+    partitions: int | None = None,
 ) -> StagedRows:
     """Write ``df`` in the order of ``order_by`` (NULLs first), replacing what ``path`` held.
 
     ``order_by`` should identify a row; add ``with_source_position`` columns to it when the data
-    columns alone do not. Without ``path`` the table goes to the scratch folder.
+    columns alone do not. Without ``path`` the table goes to the scratch folder. ``partitions``
+    is for very large inputs: about input bytes / 256 MB, so that each sort stays in memory. By
+    default the session's shuffle partitions are used and small ones are merged at run time.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "staging")
     size = row_bytes(df) if measure_bytes else F.lit(0).cast("long")
     keys = [F.asc_nulls_first(c) for c in order_by]
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed = (
-        df.repartitionByRange(*keys)
+        ranged
         .sortWithinPartitions(*keys)
         .select(
             "*",
@@ -159,6 +163,6 @@ def stage(
     return StagedRows(spark, path, placed.schema, parts)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a join side whose row count is known to be small; otherwise leave the join alone."""
-    return F.broadcast(df) if rows <= limit else df
+def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a join side whose bytes are known to be few; otherwise leave the join to Spark."""
+    return F.broadcast(df) if size <= limit else df

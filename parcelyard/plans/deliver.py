@@ -41,25 +41,29 @@ def write_splits(
     rows: DataFrame,
     path: str,
     fmt: str = "parquet",
+    target: str = SPLIT,
     rows_per_file: int = ROWS_PER_FILE,
+    one_file: bool = False,
     options: dict[str, str] | None = None,
 ) -> None:
     """Write one target folder per split, ``split_id=1``, ``split_id=2`` ..., replacing ``path``.
 
-    All splits are written at once. A split is cut into files of at most ``rows_per_file`` rows by
-    its row numbers, so a small split is one file, while a split that holds much of the data is
-    written by many tasks. Rows keep their order. If the job fails, the output committer leaves no
-    partial target behind.
+    All splits are written at once and rows keep their order. Rows that come from a staging table
+    lie in split order already, so each task writes the one or two splits it reads and nothing is
+    shuffled; a split then has as many files as tasks that read it. With ``one_file`` the rows are
+    shuffled so that a split is a single file, or one per ``rows_per_file`` rows: a split that
+    holds much of the data is still written by many tasks. ``target`` names the column whose
+    values name the folders. If the job fails, the output committer leaves no partial target.
     """
-    file_no = F.floor((F.col(SPLIT_ROW) - 1) / rows_per_file)
+    if one_file:
+        file_no = F.floor((F.col(SPLIT_ROW) - 1) / rows_per_file)
+        rows = rows.withColumn("_file", file_no).repartition(target, "_file").drop("_file")
     (
-        rows.withColumn("_file", file_no)
-        .repartition(SPLIT, "_file")
-        .sortWithinPartitions(SPLIT, SPLIT_ROW)
-        .drop("_file", SPLIT_ROW)
+        rows.sortWithinPartitions(target, SPLIT_ROW)
+        .drop(*{SPLIT, SPLIT_ROW} - {target})
         .write.mode("overwrite").format(fmt).options(**(options or {}))
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(SPLIT)
+        .partitionBy(target)
         .save(path)
     )
 
@@ -72,10 +76,10 @@ def read_splits(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
     return reader.load(path)
 
 
-def delivered_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Stored bytes per delivered split, from a file listing."""
+def delivered_sizes(spark: SparkSession, path: str, target: str = SPLIT) -> DataFrame:
+    """Files and stored bytes per target folder, from a file listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    split = F.regexp_extract("path", rf"/{SPLIT}=(\d+)/", 1).cast("int")
-    return files.groupBy(split.alias(SPLIT)).agg(
+    folder = F.regexp_extract("path", rf"/{target}=([^/]+)/", 1)
+    return files.groupBy(folder.alias(target)).agg(
         F.count("*").alias("files"), F.sum("length").alias("file_size_bytes")
     )

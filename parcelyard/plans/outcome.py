@@ -30,7 +30,7 @@ def run_outcome(runs: DataFrame) -> DataFrame:
     failed = F.col("error_code").isNotNull()
     empty = ~failed & (rows == 0)
     ran = ~failed & ~empty
-    violated = ran & (splits > 1) & (F.coalesce(threshold, F.lit(0)) > 0) & (violations > 0)
+    violated = ran & (F.coalesce(threshold, F.lit(0)) > 0) & (violations > 0)
     cancelled = violated & (F.col("policy") == "cancel")
     valid_only = violated & (F.col("policy") == "valid_only")
     nothing_left = valid_only & (violations == splits)

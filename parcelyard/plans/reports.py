@@ -16,16 +16,16 @@ def threshold_report(status: DataFrame) -> DataFrame:
 
     ``status`` has one row per split, numbered 1..n; the footer comes from a rollup.
     """
-    totals = status.rollup(SPLIT, "table_name").agg(
-        F.grouping_id().alias("level"),
+    lines = status.withColumn("split", F.struct(SPLIT, "table_name")).rollup("split").agg(
+        F.grouping("split").alias("is_footer"),
         F.sum("row_count").alias("rows"),
         F.sum(F.col("exceeds").cast("int")).alias("violations"),
         F.count("*").alias("tables"),
-    ).filter(F.col("level").isin(0, 3))
-    footer = F.col("level") == 3
-    return totals.select(
-        F.when(footer, "").otherwise(F.col(SPLIT).cast("string")).alias("index"),
-        F.when(footer, "Total").otherwise(F.col("table_name")).alias("table_name"),
+    )
+    footer = F.col("is_footer") == 1
+    return lines.select(
+        F.when(footer, "").otherwise(F.col(f"split.{SPLIT}").cast("string")).alias("index"),
+        F.when(footer, "Total").otherwise(F.col("split.table_name")).alias("table_name"),
         format_count(F.col("rows")).alias("row_count"),
         F.when(footer, F.format_string("%d of %d exceed", "violations", "tables"))
         .when(F.col("violations") > 0, "EXCEEDS").otherwise("OK").alias("status"),

@@ -9,23 +9,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelyard.functions.errors import NOT_A_DATABASE_ERROR
 from parcelyard.functions.text import run_id
 from parcelyard.operators.extract import Job, run_job
 from parcelyard.operators.profile import apply_profile, good_rows, profile_rules, quarantine, reject_rows
-from parcelyard.operators.split import SPLIT, SPLIT_ROW, capped_split, split_counts, split_total
-from parcelyard.operators.staging import stage
+from parcelyard.operators.split import SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_total
+from parcelyard.operators.staging import broadcast_if_small, stage
 from parcelyard.operators.totals import run_totals
-from parcelyard.operators.validate import deliverable_rows, deliverable_splits, threshold_status
+from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
 from parcelyard.plans.audit import append_audit, audit_rows
 from parcelyard.plans.deliver import delivered_sizes, plan_delivery, read_splits, write_splits
 from parcelyard.plans.outcome import run_outcome
 
+OUTPUT = "output"
+_PLAN_ROW_BYTES = 512  # generous size of a delivery plan row in memory
 _FACTS = (
     "process_id string, job string, staging_table string, parameters array<struct<name: string, value: int>>, "
     "start_time timestamp_ntz, duration_s double, sp_s double, write_s double, total_rows long, splits int, "
     "violations int, policy string, threshold long, error_code int, error_detail string, rejects long"
 )
-_NO_FILES = (
+_FILES = (
     "process_id string, file_index int, path string, table_name string, rows long, "
     "table_size_bytes long, file_size_bytes long"
 )
@@ -33,8 +36,9 @@ _NO_FILES = (
 
 @dataclass(frozen=True)
 class Delivery:
-    """What a run left behind."""
+    """What a run left behind; ``warning`` tells when the audit row could not be written."""
 
+    process_id: str
     outcome: DataFrame
     files: DataFrame
     rejects: DataFrame | None
@@ -50,63 +54,88 @@ def deliver(
     prefix: str = "",
     started: dt.datetime | None = None,
     fmt: str = "parquet",
+    one_file: bool = False,
     audit: bool = True,
     **sources: DataFrame,
 ) -> Delivery:
-    """Run a job and deliver its rows in splits of at most the job's threshold.
+    """Run a job and deliver its rows, one folder per split, named like the planned outputs.
 
     Under ``output``: ``staging`` holds the extract in delivery order (replaced by each run),
-    ``data`` one folder per split, ``rejects`` the rows outside the target profile with split and
-    position, ``audit`` one row per run.
+    ``data/<prefix>`` the delivered splits, ``rejects/<prefix>`` the rows outside the target
+    profile with split and position, ``audit`` one row per run. An error ends the run, not the
+    caller: it becomes the run's outcome and is audited like any other.
     """
     started = started or dt.datetime.now()
     prefix = prefix.strip() or job.file_prefix
+    process_id = spark.range(1).select(
+        run_id(F.lit(f"{job.name} {started.isoformat()}"), F.lit(started).cast("timestamp_ntz"))
+    ).first()[0]
+    facts = {
+        "process_id": process_id, "job": job.name, "staging_table": job.name,
+        "parameters": list(arguments.items()), "start_time": started, "policy": policy, "threshold": job.threshold,
+        "duration_s": 0.0, "sp_s": 0.0, "write_s": 0.0, "total_rows": 0, "splits": 0, "violations": 0, "rejects": 0,
+        "error_code": None, "error_detail": None,
+    }
+    files, rejects = spark.createDataFrame([], _FILES), None
     clock = time.monotonic()
-    extract = run_job(spark, job, arguments, **sources)
-    staged = stage(extract, list(job.order_by or extract.columns), f"{output}/staging/{job.name}", measure_bytes=True)
-    extracted = time.monotonic() - clock
-    splits = split_total(staged.total_rows, job.threshold)
-    rows = capped_split(staged, job.threshold).drop("row_index")
-    status = threshold_status(split_counts(rows), job.threshold, job.name, splits)
+    try:
+        extract = run_job(spark, job, arguments, **sources)
+        order = [*([job.split_key] if job.split_key else []), *(job.order_by or extract.columns)]
+        staged = stage(
+            extract, list(dict.fromkeys(order)), f"{output}/staging/{job.name}",
+            measure_bytes=True, partitions=job.partitions,
+        )
+        facts["sp_s"] = time.monotonic() - clock
+        facts["total_rows"] = staged.total_rows
+        if staged.total_rows:
+            if job.split_key:
+                parts = split_by_key(staged, job.split_key)
+                rows, counts, splits = parts.rows, parts.splits, parts.count
+            else:
+                rows = capped_split(staged, job.threshold).drop("row_index")
+                counts = capped_counts(spark, staged.total_rows, job.threshold)
+                splits = split_total(staged.total_rows, job.threshold)
+            status = threshold_status(counts, job.threshold, job.name, splits)
+            facts["splits"], facts["violations"] = splits, threshold_summary(status).first()["violations"]
+            kept = deliverable_splits(status, policy)
+            if policy != "cancel" or not facts["violations"]:
+                plan = plan_delivery(kept, prefix, started, f".{fmt}").withColumnRenamed("file_name", OUTPUT)
+                target = f"{output}/data/{prefix}"
+                checked = quarantine(rows, profile_rules(extract))
+                bad = reject_rows(checked)
+                facts["rejects"] = bad.count()
+                if facts["rejects"]:
+                    # A second pass over the wide rows, made only when there is something to set aside.
+                    bad.write.mode("overwrite").parquet(f"{output}/rejects/{prefix}")
+                    rejects = spark.read.parquet(f"{output}/rejects/{prefix}")
+                names = broadcast_if_small(plan.select(SPLIT, OUTPUT), splits * _PLAN_ROW_BYTES)
+                good = apply_profile(good_rows(checked), keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
+                write_splits(good, target, fmt, target=OUTPUT, one_file=one_file)
+                files = _delivered(spark, plan, good.drop(SPLIT, SPLIT_ROW).schema, target, fmt, staged, process_id)
+    except NothingToDeliver:
+        pass  # the facts say so: every split violates
+    except Exception as error:  # any failure is the run's outcome
+        facts["error_code"], facts["error_detail"] = NOT_A_DATABASE_ERROR, f"{type(error).__name__}: {error}"
+    facts["duration_s"] = time.monotonic() - clock
+    facts["write_s"] = max(facts["duration_s"] - facts["sp_s"], 0.0)
+    outcome = run_outcome(spark.createDataFrame([facts], _FACTS))
+    warning = append_audit(audit_rows(outcome, run_totals(files), output), f"{output}/audit", audit)
+    return Delivery(process_id, outcome, files, rejects, warning)
 
-    files = spark.createDataFrame([], _NO_FILES)
-    rejects, rejected, violations = None, 0, 0
-    target = f"{output}/data/{prefix}"
-    clock = time.monotonic()
-    process = spark.range(1).select(
-        run_id(F.lit(f"{job.name}{started.isoformat()}"), F.lit(started).cast("timestamp_ntz"))
-    ).first()[0]
-    if splits:
-        checked = quarantine(rows, profile_rules(extract))
-        reject_rows(checked).select(SPLIT, SPLIT_ROW, "reject_reasons", *extract.columns).write.mode(
-            "overwrite"
-        ).parquet(f"{output}/rejects/{prefix}")
-        rejects = spark.read.parquet(f"{output}/rejects/{prefix}")
-        rejected = rejects.count()
-        kept = deliverable_rows(good_rows(checked), status, policy)
-        write_splits(apply_profile(kept, keep=(SPLIT, SPLIT_ROW)), target, fmt)
-        plan = plan_delivery(deliverable_splits(status, policy), prefix, started, f".{fmt}")
-        sizes = delivered_sizes(spark, target)
-        schema = apply_profile(kept, keep=(SPLIT, SPLIT_ROW)).drop(SPLIT_ROW).schema
-        written = read_splits(spark, target, fmt, schema).groupBy(SPLIT).agg(F.count("*").alias("rows"))
-        average = staged.total_bytes / max(staged.total_rows, 1)
-        files = plan.join(sizes, SPLIT).join(written, SPLIT).select(
-            F.lit(process).alias("process_id"),
+
+def _delivered(spark, plan, schema, target, fmt, staged, process_id) -> DataFrame:
+    """The run's files with the rows found in them on re-reading, and both sizes."""
+    written = read_splits(spark, target, fmt, schema).groupBy(OUTPUT).agg(F.count("*").alias("rows"))
+    row_size = staged.total_bytes / staged.total_rows
+    return (
+        plan.join(written, OUTPUT, "left").join(delivered_sizes(spark, target, OUTPUT), OUTPUT, "left")
+        .select(
+            F.lit(process_id).alias("process_id"),
             "file_index",
-            F.concat(F.lit(f"{target}/"), "file_name").alias("path"),
+            F.concat(F.lit(f"{target}/{OUTPUT}="), OUTPUT).alias("path"),
             "table_name",
-            "rows",
-            (F.col("row_count") * average).cast("long").alias("table_size_bytes"),
-            "file_size_bytes",
+            F.coalesce("rows", F.lit(0)).alias("rows"),
+            F.round(F.col("row_count") * row_size).cast("long").alias("table_size_bytes"),
+            F.coalesce("file_size_bytes", F.lit(0)).alias("file_size_bytes"),
         )
-    write_time = time.monotonic() - clock
-    facts = spark.createDataFrame(
-        [(
-            process, job.name, job.name, list(arguments.items()), started, extracted + write_time, extracted,
-            write_time, staged.total_rows, splits, violations, policy, job.threshold, None, None, rejected,
-        )],
-        _FACTS,
     )
-    outcome = run_outcome(facts)
-    warning = append_audit(audit_rows(outcome, run_totals(files), output), f"{output}/audit", audit)
-    return Delivery(outcome, files, rejects, warning)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelyard.operators.staging import stage
+
 # The manifest's shape, the allowed data types, and the placeholder that an added
 # job carries until somebody names its staging table.
 MANIFEST_SCHEMA = (
@@ -60,21 +62,17 @@ def has_jobs(jobs: DataFrame) -> bool:
     return not jobs.isEmpty()
 
 
-def write_manifest(jobs: DataFrame, path: str, block: Column | None = None) -> None:
-    """Write jobs as manifest documents, one document per value of ``block``, at a new ``path``.
+def write_manifest(jobs: DataFrame, path: str, jobs_per_document: int = 500) -> None:
+    """Write jobs as manifest documents, one per line and sorted by name, at a new ``path``.
 
     The manifest that was read is never overwritten in place: callers switch to the new path once
-    the write is complete. Without ``block`` the name's digest spreads the jobs over documents of
-    a few hundred jobs, so that no single document or task has to hold them all.
+    the write is complete. Documents are cut by row number, so none grows with the registry.
     """
     entry = F.struct(*[F.col(name).alias(source) for name, source in _COLUMNS.items()])
-    if block is None:
-        documents = max(1, -(-jobs.count() // 500))
-        block = F.pmod(F.xxhash64("name"), F.lit(documents))
     (
-        jobs.select(block.alias("_block"), entry.alias("job"))
-        .groupBy("_block")
-        .agg(F.sort_array(F.collect_list("job")).alias("StoredProcedures"))
-        .select("StoredProcedures")
+        stage(jobs.select(*_COLUMNS), ["name", "staging_table"]).indexed()
+        .groupBy(F.expr(f"(row_index - 1) div {jobs_per_document}").alias("document"))
+        .agg(F.sort_array(F.collect_list(F.struct("row_index", entry.alias("job")))).alias("jobs"))
+        .select(F.col("jobs.job").alias("StoredProcedures"))
         .write.mode("errorifexists").json(path)
     )

@@ -1,0 +1,167 @@
+"""Invariants of splits, at the edges and under skew."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelyard.operators import split, staging
+
+THIRD = 30_000
+
+
+def placed(spark, n, threshold):
+    staged = staging.stage(spark.range(n), ["id"])
+    return staged, split.capped_split(staged, threshold)
+
+
+@pytest.mark.parametrize(
+    ("rows", "threshold", "sizes"),
+    [
+        (0, 10, []),
+        (10, 10, [10]),
+        (11, 10, [10, 1]),
+        (9, 10, [9]),
+        (25, 10, [10, 10, 5]),
+        (25, 0, [25]),
+        (25, None, [25]),
+        (3, 1, [1, 1, 1]),
+    ],
+)
+def test_capped_split_sizes(spark, rows, threshold, sizes):
+    staged, out = placed(spark, rows, threshold)
+    counts = {r[0]: r[1] for r in split.split_counts(out).collect()}
+    assert counts == dict(enumerate(sizes, 1))
+    assert split.split_total(rows, threshold) == len(sizes)
+    planned = {r["split_id"]: r["row_count"] for r in split.capped_counts(spark, rows, threshold).collect()}
+    assert planned == counts
+
+
+def test_index_is_dense_and_in_order(spark):
+    staged = staging.stage(spark.range(5000).withColumn("k", F.col("id") % 7), ["k", "id"])
+    rows = staged.indexed().collect()
+    assert [r["row_index"] for r in sorted(rows, key=lambda r: (r["k"], r["id"]))] == list(range(1, 5001))
+
+
+def test_partitions_can_be_given(spark):
+    staged = staging.stage(spark.range(1000), ["id"], partitions=20)
+    assert len(staged.parts) == 20 and staged.total_rows == 1000
+
+
+def test_nulls_come_first(spark):
+    staged = staging.stage(spark.createDataFrame([(3,), (None,), (1,)], "a int"), ["a"])
+    assert [r["a"] for r in sorted(staged.indexed().collect(), key=lambda r: r["row_index"])] == [None, 1, 3]
+
+
+@pytest.fixture
+def keep_small_partitions(spark):
+    """Tiny test partitions would be merged into one; here their number matters."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    yield
+    spark.conf.set(setting, before)
+
+
+def skewed(spark):
+    """A third of all rows share one date."""
+    return spark.range(3 * THIRD).select(
+        F.when(F.col("id") < THIRD, F.lit(500)).otherwise(F.col("id") % 1000).alias("day"), "id"
+    )
+
+
+def test_hot_first_key_spreads_over_partitions(spark, keep_small_partitions):
+    staged = staging.stage(skewed(spark), ["day", "id"])
+    assert staged.total_rows == 3 * THIRD
+    assert max(rows for _, rows, _, _ in staged.parts) < THIRD
+    days = staged.read().filter("day = 500").select(staging.PART).distinct().count()
+    assert days > 1
+
+
+def test_copies_of_one_row_spread_by_source_position(spark, tmp_path, keep_small_partitions):
+    """A third of the rows are copies of each other: no data column tells them apart."""
+    path = str(tmp_path / "copies")
+    spark.range(3 * THIRD).select(
+        F.when(F.col("id") < THIRD, F.lit(7)).otherwise(F.col("id") + 100).alias("v")
+    ).write.parquet(path)
+    rows = staging.with_source_position(spark.read.parquet(path))
+    staged = staging.stage(rows, ["v", staging.SOURCE_FILE, staging.SOURCE_ROW])
+    assert max(n for _, n, _, _ in staged.parts) < THIRD
+    counts = [r["row_count"] for r in split.split_counts(split.capped_split(staged, 20_000)).collect()]
+    assert sorted(counts) == [10_000, 20_000, 20_000, 20_000, 20_000]
+
+
+def test_hot_split_key(spark):
+    rows = skewed(spark)
+    staged = staging.stage(rows, ["day", "id"])
+    parts = split.split_by_key(staged, "day")
+    sizes = {r["day"]: r["row_count"] for r in parts.splits.collect()}
+    assert sizes == {r[0]: r[1] for r in rows.groupBy("day").count().collect()}
+    numbered = parts.rows.groupBy("split_id").agg(
+        F.min("split_row").alias("lo"), F.max("split_row").alias("hi"), F.countDistinct("split_row").alias("n")
+    )
+    assert all(r["lo"] == 1 and r["hi"] == r["n"] for r in numbered.collect())
+    assert parts.count == 1000
+
+
+def test_null_is_a_split_key_of_its_own(spark):
+    rows = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3)], "k string, id int")
+    parts = split.split_by_key(staging.stage(rows, ["k", "id"]), "k")
+    assert sorted((r["split_id"], r["row_count"]) for r in parts.splits.collect()) == [(1, 1), (2, 2)]
+    assert parts.rows.count() == 3
+
+
+def brute_force_byte_splits(sizes, cap):
+    before, out = 0, []
+    for size in sizes:
+        out.append(before // cap + 1)
+        before += size
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 64, 65_536])
+@pytest.mark.parametrize("cap", [5, 40, 1000, 100_000])
+def test_byte_split_equals_running_sum(spark, block_rows, cap):
+    rows = spark.range(600).select("id", F.expr("repeat('x', cast(pmod(hash(id), 37) as int))").alias("t"))
+    staged = staging.stage(rows, ["id"], measure_bytes=True)
+    out = split.byte_capped_split(staged, cap, block_rows=block_rows).orderBy("id").collect()
+    assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], cap)
+    assert [r["row_index"] for r in out] == list(range(1, 601))
+
+
+def test_byte_split_with_a_third_of_the_bytes_in_one_row(spark):
+    rows = spark.range(300).select("id", F.expr("repeat('x', if(id = 100, 3000, 20))").alias("t"))
+    staged = staging.stage(rows, ["id"], measure_bytes=True)
+    out = split.byte_capped_split(staged, 500, block_rows=16).orderBy("id").collect()
+    assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 500)
+
+
+def test_rows_without_bytes_follow_the_running_sum(spark):
+    rows = spark.createDataFrame([(i, "xxxxx" if i % 3 == 0 else None) for i in range(60)], "id long, t string")
+    only_text = staging.stage(rows.select("t", F.col("id").cast("string").alias("s")).withColumn("s", F.lit("")), ["s"], measure_bytes=True)
+    out = split.byte_capped_split(only_text, 10, block_rows=4).orderBy("row_index").collect()
+    assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 10)
+
+
+def test_hard_byte_cap_is_never_passed(spark):
+    rows = spark.range(500).select("id", F.expr("repeat('x', cast(pmod(hash(id), 91) as int))").alias("t"))
+    staged = staging.stage(rows, ["id"], measure_bytes=True)
+    sums = split.byte_capped_split(staged, 400, hard=True).groupBy("split_id").agg(F.sum("row_bytes").alias("s"))
+    assert max(r["s"] for r in sums.collect()) <= 400
+
+
+def test_byte_cap_below_largest_row_is_an_error(spark):
+    staged = staging.stage(spark.range(5), ["id"], measure_bytes=True)
+    with pytest.raises(ValueError):
+        split.byte_capped_split(staged, 8, hard=True)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 999, 1000, 1001])
+def test_capped_read(spark, limit):
+    staged = staging.stage(spark.range(1000), ["id"])
+    assert sorted(r["id"] for r in split.capped_read(staged, limit).collect()) == list(range(min(limit, 1000)))
+
+
+def test_drop_removes_the_staging_table(spark, tmp_path):
+    staged = staging.stage(spark.range(5), ["id"], path=str(tmp_path / "t"))
+    assert (tmp_path / "t").exists()
+    staged.drop()
+    assert not (tmp_path / "t").exists()

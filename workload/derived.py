@@ -39,7 +39,6 @@ def registry(spark: SparkSession, sf: str) -> DataFrame:
 def manifest_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """Registry entries with defects: missing fields, placeholder table, unknown data type."""
     return table(spark, sf, "part").selectExpr(
-        "p_partkey",
         f"{_JOB} as name",
         "concat('Job ', p_partkey) as display_name",
         "case when p_partkey % 31 = 0 then 'Unknown' when p_partkey % 2 = 1 then 'Export' else 'Import' end as data_type",

@@ -155,7 +155,7 @@ OUTCOMES = f"""facts AS (
   SELECT *, error_code IS NOT NULL AS failed, error_code IS NULL AND total_rows = 0 AS is_empty FROM runs),
 judged AS (
   SELECT *, NOT failed AND NOT is_empty AS ran,
-         NOT failed AND NOT is_empty AND splits > 1 AND threshold > 0 AND violations > 0 AS violated FROM facts),
+         NOT failed AND NOT is_empty AND threshold > 0 AND violations > 0 AS violated FROM facts),
 outcomes AS (
   SELECT *,
     CASE WHEN failed THEN {error_message('error_code', 'error_detail')}
@@ -275,6 +275,8 @@ ORACLES["capped_split"] = f"WITH {INDEXED} SELECT *, {SPLIT} AS split_id, {SPLIT
 ORACLES["capped_split_counts"] = f"""WITH {INDEXED}
 SELECT {SPLIT} AS split_id, count(*) AS row_count FROM indexed GROUP BY 1"""
 
+ORACLES["capped_split_plan"] = ORACLES["capped_split_counts"]
+
 ORACLES["capped_split_copies"] = f"""WITH indexed AS (
   SELECT l_shipdate, row_number() OVER (ORDER BY l_shipdate) AS row_index FROM lineitem)
 SELECT {SPLIT} AS split_id, count(*) AS row_count, min(l_shipdate) AS first_date, max(l_shipdate) AS last_date

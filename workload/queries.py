@@ -42,7 +42,7 @@ def _staged_orders(spark, sf):
 
 def _manifest(spark, sf):
     path = scratch_path(spark, "manifest")
-    manifest.write_manifest(derived.manifest_jobs(spark, sf), path, F.floor(F.col("p_partkey") / 50))
+    manifest.write_manifest(derived.manifest_jobs(spark, sf), path, jobs_per_document=50)
     return manifest.read_manifest(spark, path, one_per_file=False)
 
 
@@ -151,6 +151,12 @@ def capped_split_counts(spark, sf):
     return split.split_counts(split.capped_split(_staged_orders(spark, sf), ROW_CAP))
 
 
+@query
+def capped_split_plan(spark, sf):
+    """The same counts without placing a row: they follow from the row count."""
+    return split.capped_counts(spark, _orders(spark, sf).count(), ROW_CAP)
+
+
 @query
 def capped_split_copies(spark, sf):
     """The order key (ship date) is far from unique; file and row number break its ties."""
@@ -176,7 +182,7 @@ def byte_capped_split_hard(spark, sf):
 
 
 def _by_priority(spark, sf):
-    return split.split_by_key(_orders(spark, sf), "o_orderpriority", ["o_orderkey"])
+    return split.split_by_key(staging.stage(_orders(spark, sf), ["o_orderpriority", "o_orderkey"]), "o_orderpriority")
 
 
 @query
@@ -353,7 +359,7 @@ def delivery_plan(spark, sf):
 def _round_trip(spark, sf, fmt, **options):
     path = scratch_path(spark, "delivery")
     rows = split.capped_split(_staged_orders(spark, sf), ROW_CAP).drop("row_index")
-    deliver.write_splits(rows, path, fmt, rows_per_file=ROW_CAP, options=options)
+    deliver.write_splits(rows, path, fmt, options=options)
     schema = rows.drop("split_row").schema
     return deliver.read_splits(spark, path, fmt, schema, **options)
 
