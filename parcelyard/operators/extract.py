@@ -70,9 +70,24 @@ class Job:
     threshold: int = 0
     order_by: tuple[str, ...] = ()
     split_key: str | None = None
+    staging_table: str = ""
     partitions: int | None = None
 
 
+def job_from_manifest(manifest: DataFrame, name: str, sql: str, **options) -> Job:
+    """The manifest's entry of that name (any case) as a job that runs ``sql``.
+
+    ``options`` are the fields a manifest does not have: order_by, split_key, partitions.
+    """
+    row = manifest.filter(F.lower("name") == name.lower()).orderBy("name", "staging_table").first()
+    if row is None:
+        raise LookupError(f"no job {name} in the manifest")
+    return Job(
+        name=row["name"], sql=sql, parameters=tuple(row["parameters"] or ()), file_prefix=row["file_prefix"] or "",
+        threshold=row["threshold"] or 0, staging_table=row["staging_table"] or row["name"], **options,
+    )
+
+
 def run_job(spark: SparkSession, job: Job, arguments: dict[str, int], **sources: DataFrame) -> DataFrame:
     """The job's result for the given arguments; missing or extra arguments are an error."""
     if set(arguments) != set(job.parameters):

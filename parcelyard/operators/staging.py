@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,12 +27,14 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number of a par
 
 
 def with_source_position(df: DataFrame) -> DataFrame:
-    """Add file and row number of a parquet scan: a tie-break that makes any order key total.
+    """Add file (as a number) and row number of a parquet scan: a tie-break that makes any order key total.
 
     Copies of a row, however many, get different positions and can so be spread over partitions.
     """
     return df.select(
-        "*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.row_index").alias(SOURCE_ROW)
+        "*",
+        F.xxhash64("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.row_index").alias(SOURCE_ROW),
     )
 
 
@@ -87,10 +90,12 @@ class StagedRows:
 
     def part_offsets(self) -> DataFrame:
         """Rows and bytes before each partition: one row per partition, never more."""
-        rows_before = accumulate((rows for _, rows, _, _ in self.parts), initial=0)
-        bytes_before = accumulate((size for _, _, size, _ in self.parts), initial=0)
-        table = [(part, r, b) for (part, _, _, _), r, b in zip(self.parts, rows_before, bytes_before)]
-        return self.spark.createDataFrame(table, f"{PART} int, rows_before long, bytes_before long")
+        parts, rows, sizes = ([part[i] for part in self.parts] for i in range(3))
+        return self.spark.createDataFrame(pa.table({
+            PART: pa.array(parts, pa.int32()),
+            "rows_before": pa.array(list(accumulate(rows, initial=0))[: len(parts)], pa.int64()),
+            "bytes_before": pa.array(list(accumulate(sizes, initial=0))[: len(parts)], pa.int64()),
+        }))
 
     def indexed(self, name: str = "row_index", first: int | None = None) -> DataFrame:
         """Rows with their 1-based global position; ``first`` keeps that many from the start.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.functions.text import base_name, format_bytes, format_count
@@ -50,7 +50,7 @@ def reconcile_report(compared: DataFrame) -> DataFrame:
     lowered = F.transform(F.coalesce("parameters", F.array().cast("array<string>")), lambda p: F.lower(p))
     db_lowered = F.transform("db_params", lambda p: F.lower(p))
 
-    def yes(flag: str):
+    def yes(flag: str) -> Column:
         return F.when(F.col(flag), "Yes").otherwise("No")
 
     found = F.col("in_database")
@@ -69,12 +69,33 @@ def reconcile_report(compared: DataFrame) -> DataFrame:
     )
 
 
-def report_path(base: str, when: dt.datetime) -> str:
-    return f"{base.rstrip('/')}/validation_report_{when:%Y%m%d_%H%M%S}"
-
-
-def write_report(report: DataFrame, base: str, when: dt.datetime) -> str:
-    """Write a report sorted by name as JSON lines into a folder named after the time."""
-    path = report_path(base, when)
-    report.orderBy("name").write.mode("errorifexists").json(path)
+def report_text(report: DataFrame) -> DataFrame:
+    """The reconcile report as printable text, one block of lines per entry."""
+
+    def line(label: str, column: str) -> Column:
+        return F.concat(F.lit(f"  {label:<14}: "), F.col(column))  # NULL, and so left out, where not compared
+
+    note = F.when(F.col("details") != "", F.concat(F.lit("  ! "), F.replace("details", F.lit("\n"), F.lit("\n  ! "))))
+    return report.select("name", F.concat_ws(
+        "\n",
+        F.concat(F.rpad(F.concat(F.lit("["), F.col("status"), F.lit("]")), 11, " "), F.col("name")),
+        line("Display Name", "display_name"),
+        line("SP Exists", "exists"),
+        line("JSON Params", "json_params"),
+        line("DB Params", "db_params"),
+        line("Params Match", "params_match"),
+        line("JSON Threshold", "json_threshold"),
+        line("DB Threshold", "db_threshold"),
+        line("Threshold OK", "threshold_ok"),
+        note,
+    ).alias("text"))
+
+
+def write_report(report: DataFrame, base: str, when: dt.datetime, fmt: str = "json") -> str:
+    """Write a report sorted by name into a new folder named after the time, as ``json`` or ``text``."""
+    path = f"{base.rstrip('/')}/validation_report_{when:%Y%m%d_%H%M%S}"
+    if fmt == "text":
+        report_text(report).orderBy("name").select("text").write.mode("errorifexists").text(path)
+    else:
+        report.orderBy("name").write.mode("errorifexists").format(fmt).save(path)
     return path

@@ -67,11 +67,12 @@ def deliver(
     """
     started = started or dt.datetime.now()
     prefix = prefix.strip() or job.file_prefix
+    table = job.staging_table or job.name
     process_id = spark.range(1).select(
         run_id(F.lit(f"{job.name} {started.isoformat()}"), F.lit(started).cast("timestamp_ntz"))
     ).first()[0]
     facts = {
-        "process_id": process_id, "job": job.name, "staging_table": job.name,
+        "process_id": process_id, "job": job.name, "staging_table": table,
         "parameters": list(arguments.items()), "start_time": started, "policy": policy, "threshold": job.threshold,
         "duration_s": 0.0, "sp_s": 0.0, "write_s": 0.0, "total_rows": 0, "splits": 0, "violations": 0, "rejects": 0,
         "error_code": None, "error_detail": None,
@@ -82,7 +83,7 @@ def deliver(
         extract = run_job(spark, job, arguments, **sources)
         order = [*([job.split_key] if job.split_key else []), *(job.order_by or extract.columns)]
         staged = stage(
-            extract, list(dict.fromkeys(order)), f"{output}/staging/{job.name}",
+            extract, list(dict.fromkeys(order)), f"{output}/staging/{table}",
             measure_bytes=True, partitions=job.partitions,
         )
         facts["sp_s"] = time.monotonic() - clock
@@ -95,7 +96,7 @@ def deliver(
                 rows = capped_split(staged, job.threshold).drop("row_index")
                 counts = capped_counts(spark, staged.total_rows, job.threshold)
                 splits = split_total(staged.total_rows, job.threshold)
-            status = threshold_status(counts, job.threshold, job.name, splits)
+            status = threshold_status(counts, job.threshold, table, splits)
             facts["splits"], facts["violations"] = splits, threshold_summary(status).first()["violations"]
             kept = deliverable_splits(status, policy)
             if policy != "cancel" or not facts["violations"]:

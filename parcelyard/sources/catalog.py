@@ -48,7 +48,7 @@ def catalog_snapshot(routines: DataFrame, params: DataFrame, source: DataFrame)
 
 def only_named(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows whose name is in ``wanted`` (any case); a semi join, so the list may be long."""
-    keys = wanted.select(name_key(F.col("name")).alias("_wanted"))
+    keys = wanted.select(name_key(F.col("name")).alias("_wanted")).distinct()
     return rows.join(keys, name_key(F.col("name")) == F.col("_wanted"), "left_semi")
 
 

@@ -191,10 +191,33 @@ def test_audit_can_be_disabled_and_its_failure_is_a_warning(spark, tmp_path):
 
 
 def test_report_is_written_under_a_name_with_its_time(spark, tmp_path):
-    report = spark.createDataFrame([("b", "x"), ("a", "y")], "name string, details string")
+    columns = ["status", "name", "display_name", "exists", "json_params", "db_params", "params_match",
+               "json_threshold", "db_threshold", "threshold_ok", "details"]
+    report = spark.createDataFrame(
+        [("MISSING", "b", "B", "No", *[None] * 6, "gone"),
+         ("VALID", "a", "A", "Yes", "mon", "mon", "Yes", "5", "5", "Yes", "")],
+        ", ".join(f"`{c}` string" for c in columns),
+    )
     path = reports.write_report(report, str(tmp_path), STARTED)
     assert path.endswith("validation_report_20240305_093000")
     assert [r["name"] for r in spark.read.json(path).orderBy("name").collect()] == ["a", "b"]
+    text = reports.write_report(report, str(tmp_path / "text"), STARTED, "text")
+    lines = sorted(r[0] for r in spark.read.text(text).collect())
+    assert "[VALID]    a" in lines and "[MISSING]  b" in lines and "  ! gone" in lines
+    assert sum("Threshold OK" in line for line in lines) == 1
+
+
+def test_job_from_manifest(spark):
+    jobs = spark.createDataFrame(
+        [("J_EXP", "J", "Export", "STG", ["mon"], "Pre", None), ("K", "K", "Import", "T", ["a", "b"], "Q", 7)],
+        "name string, display_name string, data_type string, staging_table string, parameters array<string>, "
+        "file_prefix string, threshold long",
+    )
+    job = extract.job_from_manifest(jobs, "j_exp", "select 1", order_by=("x",))
+    assert (job.name, job.parameters, job.threshold, job.staging_table) == ("J_EXP", ("mon",), 0, "STG")
+    assert extract.job_from_manifest(jobs, "K", "select 1").threshold == 7
+    with pytest.raises(LookupError):
+        extract.job_from_manifest(jobs, "nope", "select 1")
 
 
 def test_master_list_file(spark, tmp_path):

@@ -581,6 +581,14 @@ SELECT status, name, display_name, CASE WHEN in_database THEN 'Yes' ELSE 'No' EN
       THEN format('Threshold found in SP source ({{:,}}) but not defined in JSON.', db_threshold) END) AS details
 FROM compared"""
 
+ORACLES["reconcile_report_text"] = f"""WITH report AS ({ORACLES["reconcile_report"]})
+SELECT name, concat_ws(chr(10),
+  rpad('[' || status || ']', 11, ' ') || name,
+  '  Display Name  : ' || display_name, '  SP Exists     : ' || "exists", '  JSON Params   : ' || json_params,
+  '  DB Params     : ' || db_params, '  Params Match  : ' || params_match, '  JSON Threshold: ' || json_threshold,
+  '  DB Threshold  : ' || db_threshold, '  Threshold OK  : ' || threshold_ok,
+  CASE WHEN details <> '' THEN '  ! ' || replace(details, chr(10), chr(10) || '  ! ') END) AS text FROM report"""
+
 SYNCED = f"""{REGISTRY}, {CATALOG}, {MASTER},
 matched AS (
   SELECT m.name AS listed_name, s.name AS db_name, s.params, s.db_threshold, r.name AS old_name, r.display_name,

@@ -181,8 +181,9 @@ def byte_capped_split_hard(spark, sf):
     return rows.groupBy("split_id").agg(F.count("*").alias("row_count"), F.sum("row_bytes").alias("split_bytes"))
 
 
-def _by_priority(spark, sf):
-    return split.split_by_key(staging.stage(_orders(spark, sf), ["o_orderpriority", "o_orderkey"]), "o_orderpriority")
+def _by_priority(spark, sf, staged=None):
+    staged = staged or staging.stage(_orders(spark, sf), ["o_orderpriority", "o_orderkey"])
+    return split.split_by_key(staged, "o_orderpriority")
 
 
 @query
@@ -307,9 +308,9 @@ def quarantine_rejects(spark, sf):
 
 
 def _priority_status(spark, sf):
-    parts = _by_priority(spark, sf)
-    threshold = _orders(spark, sf).count() // 5
-    return parts, validate.threshold_status(parts.splits, threshold, "ORDERS", parts.count)
+    staged = staging.stage(_orders(spark, sf), ["o_orderpriority", "o_orderkey"])
+    parts = _by_priority(spark, sf, staged)
+    return parts, validate.threshold_status(parts.splits, staged.total_rows // 5, "ORDERS", parts.count)
 
 
 @query
@@ -523,6 +524,11 @@ def _synced(spark, sf):
     return reconcile.sync(derived.registry(spark, sf), _snapshot(spark, sf), master)
 
 
+@query
+def reconcile_report_text(spark, sf):
+    return reports.report_text(reports.reconcile_report(_compared(spark, sf)))
+
+
 @query
 def registry_sync(spark, sf):
     return _synced(spark, sf).withColumn("parameters", F.array_join("parameters", ","))
