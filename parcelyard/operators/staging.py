@@ -1,15 +1,23 @@
-"""Staging tables in a total order, with an exact global row index.
+"""Staging tables with an exact global row index.
 
 A global ``row_number()`` would move all rows to one task, and a window per key value would move
-all rows of a hot value to one task. Here the rows are range-partitioned by the whole order key,
-sorted inside each partition and written once together with the partition number and the position
-in it. Counting rows per partition then gives every row its global position by one addition. The
-wide rows are shuffled once; whatever reads the staging table afterwards needs no shuffle for the
-index, and it survives lost executors because the table is on shared storage.
+all rows of a hot value to one task. Here every row knows the part of the table it is in and its
+position in that part; rows per part, counted once, turn that into a global position by one
+addition. There are two kinds of parts:
+
+* ``index_stored`` takes a parquet table as it is: parts are its files, and the scan itself tells
+  the row number in a file. Nothing is shuffled. This is for rows whose order is their own.
+* ``stage`` puts rows in the order of a key: they are range-partitioned by the whole key, sorted
+  inside each partition and written once with partition number and position. The wide rows are
+  shuffled once; a hot key value spreads over as many partitions as its rows need.
+
+Whatever reads the table afterwards needs no shuffle for the index, and it survives lost executors
+because the table is on shared storage.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -63,50 +71,63 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+@dataclass(frozen=True)
+class Part:
+    """A file of a stored table or a partition of an ordered one, in table order."""
+
+    key: int
+    rows: int
+    size: int
+    largest_row: int
+    file: str | None = None
+
+
 @dataclass(frozen=True)
 class StagedRows:
-    """A written staging table; ``parts`` has one (part, rows, bytes, largest row) per partition."""
+    """A written staging table and its parts."""
 
     spark: SparkSession
     path: str
     schema: T.StructType
-    parts: tuple[tuple[int, int, int, int], ...]
+    parts: tuple[Part, ...]
+    stored: bool = False
 
     @property
     def total_rows(self) -> int:
-        return sum(rows for _, rows, _, _ in self.parts)
+        return sum(part.rows for part in self.parts)
 
     @property
     def total_bytes(self) -> int:
-        return sum(size for _, _, size, _ in self.parts)
+        return sum(part.size for part in self.parts)
 
     @property
     def max_row_bytes(self) -> int:
-        return max((largest for _, _, _, largest in self.parts), default=0)
+        return max((part.largest_row for part in self.parts), default=0)
 
-    def read(self) -> DataFrame:
-        """The stored rows with partition number and position."""
-        return self.spark.read.schema(self.schema).parquet(self.path)
+    def read(self, parts: int | None = None) -> DataFrame:
+        """Rows with part key, position and bytes; of the first ``parts`` parts when given."""
+        if self.stored:
+            chosen = [part.file for part in self.parts[:parts]] if parts is not None else [self.path]
+            return _positioned(self.spark.read.schema(self.schema).parquet(*chosen))
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        return rows if parts is None else rows.filter(F.col(PART) <= self.parts[parts - 1].key)
 
     def part_offsets(self) -> DataFrame:
-        """Rows and bytes before each partition: one row per partition, never more."""
-        parts, rows, sizes = ([part[i] for part in self.parts] for i in range(3))
+        """Rows and bytes before each part: one row per file or range partition, never more."""
+        count = len(self.parts)
         return self.spark.createDataFrame(pa.table({
-            PART: pa.array(parts, pa.int32()),
-            "rows_before": pa.array(list(accumulate(rows, initial=0))[: len(parts)], pa.int64()),
-            "bytes_before": pa.array(list(accumulate(sizes, initial=0))[: len(parts)], pa.int64()),
+            PART: pa.array([part.key for part in self.parts], pa.int64()),
+            "rows_before": pa.array([0, *accumulate(part.rows for part in self.parts)][:count], pa.int64()),
+            "bytes_before": pa.array([0, *accumulate(part.size for part in self.parts)][:count], pa.int64()),
         }))
 
     def indexed(self, name: str = "row_index", first: int | None = None) -> DataFrame:
-        """Rows with their 1-based global position; ``first`` keeps that many from the start.
+        """Rows with their 1-based global position; ``first`` reads that many from the start.
 
-        The offsets are broadcast: their number is the number of range partitions, which
-        ``spark.sql.shuffle.partitions`` bounds.
+        The offsets are broadcast; there are as many as files or range partitions.
         """
-        rows = self.read()
-        if first is not None:
-            rows = rows.filter(F.col(PART) <= self._part_of(first))
         index = F.col("rows_before") + F.col(POSITION) + 1
+        rows = self.read() if first is None else self.read(self._parts_holding(first))
         rows = rows.join(F.broadcast(self.part_offsets().drop("bytes_before")), PART)
         if first is not None:
             rows = rows.filter(index <= first)
@@ -120,13 +141,48 @@ class StagedRows:
     def data_columns(self) -> list[Column]:
         return [F.col(f"`{f.name}`") for f in self.schema.fields if f.name not in (PART, POSITION, BYTES)]
 
-    def _part_of(self, row: int) -> int:
-        seen = 0
-        for part, rows, _, _ in self.parts:
-            seen += rows
-            if seen >= row:
-                return part
-        return self.parts[-1][0] if self.parts else 0
+    def _parts_holding(self, rows: int) -> int:
+        seen = list(accumulate(part.rows for part in self.parts))
+        return min(bisect_left(seen, rows) + 1, len(seen))
+
+
+def _positioned(df: DataFrame) -> DataFrame:
+    """A parquet scan with file and row number as part and position."""
+    return df.select(
+        "*",
+        F.xxhash64("_metadata.file_path").alias(PART),
+        F.col("_metadata.row_index").alias(POSITION),
+        row_bytes(df).alias(BYTES),
+    )
+
+
+def index_stored(spark: SparkSession, path: str, measure_bytes: bool = False) -> StagedRows:
+    """Index a parquet table in the order of its files and of the rows in them, without a shuffle.
+
+    Rows per file come from the file footers alone; ``measure_bytes`` reads the columns as well.
+    """
+    table = spark.read.parquet(path)
+    size = row_bytes(table) if measure_bytes else F.lit(0).cast("long")
+    files = (
+        table.select(F.col("_metadata.file_path").alias("file"), size.alias(BYTES))
+        .groupBy("file")
+        .agg(F.count("*").alias("rows"), F.sum(BYTES).alias("size"), F.max(BYTES).alias("largest"))
+        .withColumn("key", F.xxhash64("file"))
+    )
+    parts = tuple(
+        Part(r["key"], r["rows"], r["size"], r["largest"], r["file"])
+        for r in sorted(files.collect(), key=lambda r: r["file"])
+    )
+    if len({part.key for part in parts}) < len(parts):
+        raise RuntimeError("two file names share a hash; store the table again")
+    return StagedRows(spark, path, table.schema, parts, stored=True)
+
+
+def store(df: DataFrame, path: str | None = None, measure_bytes: bool = False) -> StagedRows:
+    """Write rows as they come, replacing what ``path`` held, and index them."""
+    path = path or scratch_path(df.sparkSession, "stored")
+    df.write.mode("overwrite").parquet(path)
+    return index_stored(df.sparkSession, path, measure_bytes)
 
 
 def stage(
@@ -153,7 +209,7 @@ def stage(
         .sortWithinPartitions(*keys)
         .select(
             "*",
-            F.spark_partition_id().alias(PART),
+            F.spark_partition_id().cast("long").alias(PART),
             F.monotonically_increasing_id().bitwiseAND((1 << _POSITION_BITS) - 1).alias(POSITION),
             size.alias(BYTES),
         )
@@ -164,8 +220,8 @@ def stage(
         .groupBy(PART)
         .agg(F.count("*").alias("rows"), F.sum(BYTES).alias("size"), F.max(BYTES).alias("largest"))
     )
-    parts = tuple(sorted((r[PART], r["rows"], r["size"], r["largest"]) for r in counted.collect()))
-    return StagedRows(spark, path, placed.schema, parts)
+    parts = sorted((r[PART], r["rows"], r["size"], r["largest"]) for r in counted.collect())
+    return StagedRows(spark, path, placed.schema, tuple(Part(*part) for part in parts))
 
 
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:

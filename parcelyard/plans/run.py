@@ -14,7 +14,9 @@ from parcelyard.functions.text import run_id
 from parcelyard.operators.extract import Job, run_job
 from parcelyard.operators.profile import apply_profile, good_rows, profile_rules, quarantine, reject_rows
 from parcelyard.operators.split import SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_total
-from parcelyard.operators.staging import broadcast_if_small, stage
+from parcelyard.operators.staging import (
+    BYTES, PART, POSITION, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store, with_source_position,
+)
 from parcelyard.operators.totals import run_totals
 from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
 from parcelyard.plans.audit import append_audit, audit_rows
@@ -81,17 +83,13 @@ def deliver(
     clock = time.monotonic()
     try:
         extract = run_job(spark, job, arguments, **sources)
-        order = [*([job.split_key] if job.split_key else []), *(job.order_by or extract.columns)]
-        staged = stage(
-            extract, list(dict.fromkeys(order)), f"{output}/staging/{table}",
-            measure_bytes=True, partitions=job.partitions,
-        )
+        staged = _stage(job, extract, f"{output}/staging/{table}")
         facts["sp_s"] = time.monotonic() - clock
         facts["total_rows"] = staged.total_rows
         if staged.total_rows:
             if job.split_key:
                 parts = split_by_key(staged, job.split_key)
-                rows, counts, splits = parts.rows, parts.splits, parts.count
+                rows, counts, splits = parts.rows.drop(SOURCE_FILE, SOURCE_ROW), parts.splits, parts.count
             else:
                 rows = capped_split(staged, job.threshold).drop("row_index")
                 counts = capped_counts(spark, staged.total_rows, job.threshold)
@@ -124,6 +122,19 @@ def deliver(
     return Delivery(process_id, outcome, files, rejects, warning)
 
 
+def _stage(job: Job, extract: DataFrame, path: str) -> StagedRows:
+    """Land the extract; put it in order only where the job asks for an order or splits by key."""
+    if job.order_by:
+        order = dict.fromkeys([*([job.split_key] if job.split_key else []), *job.order_by])
+        return stage(extract, list(order), path, measure_bytes=True, partitions=job.partitions)
+    if not job.split_key:
+        return store(extract, path, measure_bytes=True)
+    landed = with_source_position(store(extract).read().drop(PART, POSITION, BYTES))
+    return stage(
+        landed, [job.split_key, SOURCE_FILE, SOURCE_ROW], path, measure_bytes=True, partitions=job.partitions
+    )
+
+
 def _delivered(spark, plan, schema, target, fmt, staged, process_id) -> DataFrame:
     """The run's files with the rows found in them on re-reading, and both sizes."""
     written = read_splits(spark, target, fmt, schema).groupBy(OUTPUT).agg(F.count("*").alias("rows"))

@@ -175,6 +175,16 @@ def test_policies_of_a_run_split_by_key(spark, tmp_path, policy, outcome, indexe
     assert [r["file_index"] for r in done.files.orderBy("file_index").collect()] == indexes
 
 
+def test_job_without_an_order_is_delivered_as_it_comes(spark, tmp_path):
+    job = extract.Job("Plain", "select * from {t}", file_prefix="Plain", threshold=30)
+    done = run.deliver(spark, job, {}, str(tmp_path), t=spark.range(100).withColumn("m", F.create_map(F.lit(1), "id")))
+    assert [r["rows"] for r in done.files.orderBy("file_index").collect()] == [30, 30, 30, 10]
+    keyed = extract.Job("Keyed", "select id, id % 3 as k from {t}", file_prefix="Keyed", split_key="k")
+    done = run.deliver(spark, keyed, {}, str(tmp_path), t=spark.range(100))
+    assert [r["rows"] for r in done.files.orderBy("file_index").collect()] == [34, 33, 33]
+    assert spark.read.parquet(f"{tmp_path}/data/Keyed").columns == ["id", "k", "output"]
+
+
 def test_nothing_valid(spark, tmp_path):
     job = extract.Job("Keyed", "select *, 1 as k from {t}", (), "Keyed", 40, ("id",), split_key="k")
     done = run.deliver(spark, job, {}, str(tmp_path), "valid_only", t=spark.range(100))

@@ -38,7 +38,13 @@ def test_counts_read_no_wide_column(spark, sf):
 
 def test_capped_split_shuffles_nothing_after_staging(spark, sf):
     staged = staging.stage(queries._orders(spark, sf), ["o_orderdate", "o_orderkey"])
-    assert "Exchange hashpartitioning" not in plan_of(split.capped_split(staged, 100))
+    plan = plan_of(split.capped_split(staged, 100))
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+
+
+def test_stored_split_shuffles_nothing(spark, sf):
+    plan = plan_of(queries.capped_split_stored(spark, sf))
+    assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan and "Sort" not in plan
 
 
 def test_byte_split_does_not_shuffle_wide_rows(spark, sf):

@@ -46,6 +46,47 @@ def test_partitions_can_be_given(spark):
     assert len(staged.parts) == 20 and staged.total_rows == 1000
 
 
+def test_stored_table_is_indexed_in_file_order(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for start in (0, 100, 150):
+        spark.range(start, start + 100).coalesce(1).write.mode("append").parquet(path)
+    table = staging.index_stored(spark, path)
+    files = sorted({r[0] for r in spark.read.parquet(path).select("_metadata.file_path").collect()})
+    want = []
+    for name in files:
+        want += [r["id"] for r in spark.read.parquet(name).collect()]
+    got = sorted(table.indexed().collect(), key=lambda r: r["row_index"])
+    assert [r["id"] for r in got] == want
+    assert [r["row_index"] for r in got] == list(range(1, 301))
+    for limit in (0, 1, 100, 101, 299, 1000):
+        first = sorted(split.capped_read(table, limit).collect(), key=lambda r: r["row_index"])
+        assert [r["id"] for r in first] == want[:limit]
+
+
+def test_stored_table_with_several_row_groups_and_read_in_pieces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).coalesce(1).write.option("parquet.block.size", 4096).parquet(path)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "8192")
+        rows = staging.index_stored(spark, path).indexed()
+        assert rows.rdd.getNumPartitions() > 1
+        assert rows.filter("row_index <> id + 1").count() == 0 and rows.count() == 20_000
+    finally:
+        spark.conf.set(setting, before)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 10, 11])
+def test_splits_of_a_stored_table(spark, rows):
+    table = staging.store(spark.range(rows), measure_bytes=True)
+    assert table.total_rows == rows and table.total_bytes == 8 * rows
+    counts = {r[0]: r[1] for r in split.split_counts(split.capped_split(table, 10)).collect()}
+    assert sum(counts.values()) == rows and max(counts, default=0) == split.split_total(rows, 10)
+    by_bytes = split.byte_capped_split(table, 24, block_rows=2).collect()
+    assert all(r["split_id"] == (r["row_index"] - 1) // 3 + 1 for r in by_bytes) and len(by_bytes) == rows
+
+
 def test_nulls_come_first(spark):
     staged = staging.stage(spark.createDataFrame([(3,), (None,), (1,)], "a int"), ["a"])
     assert [r["a"] for r in sorted(staged.indexed().collect(), key=lambda r: r["row_index"])] == [None, 1, 3]
@@ -71,7 +112,7 @@ def skewed(spark):
 def test_hot_first_key_spreads_over_partitions(spark, keep_small_partitions):
     staged = staging.stage(skewed(spark), ["day", "id"])
     assert staged.total_rows == 3 * THIRD
-    assert max(rows for _, rows, _, _ in staged.parts) < THIRD
+    assert max(part.rows for part in staged.parts) < THIRD
     days = staged.read().filter("day = 500").select(staging.PART).distinct().count()
     assert days > 1
 
@@ -84,7 +125,7 @@ def test_copies_of_one_row_spread_by_source_position(spark, tmp_path, keep_small
     ).write.parquet(path)
     rows = staging.with_source_position(spark.read.parquet(path))
     staged = staging.stage(rows, ["v", staging.SOURCE_FILE, staging.SOURCE_ROW])
-    assert max(n for _, n, _, _ in staged.parts) < THIRD
+    assert max(part.rows for part in staged.parts) < THIRD
     counts = [r["row_count"] for r in split.split_counts(split.capped_split(staged, 20_000)).collect()]
     assert sorted(counts) == [10_000, 20_000, 20_000, 20_000, 20_000]
 

@@ -275,6 +275,11 @@ ORACLES["capped_split"] = f"WITH {INDEXED} SELECT *, {SPLIT} AS split_id, {SPLIT
 ORACLES["capped_split_counts"] = f"""WITH {INDEXED}
 SELECT {SPLIT} AS split_id, count(*) AS row_count FROM indexed GROUP BY 1"""
 
+# The files hold orders by o_orderkey and documents by doc_id.
+ORACLES["capped_split_stored"] = f"""WITH indexed AS (
+  SELECT *, row_number() OVER (ORDER BY o_orderkey) AS row_index FROM orders)
+SELECT *, {SPLIT} AS split_id, {SPLIT_ROW} AS split_row FROM indexed"""
+
 ORACLES["capped_split_plan"] = ORACLES["capped_split_counts"]
 
 ORACLES["capped_split_copies"] = f"""WITH indexed AS (
@@ -292,6 +297,8 @@ running AS (
 ORACLES["byte_capped_split"] = f"""WITH {SIZED}
 SELECT doc_id, n_chars, row_bytes::BIGINT AS row_bytes, row_index, (before // {BYTE_CAP} + 1)::INT AS split_id FROM running"""
 
+ORACLES["byte_capped_split_stored"] = ORACLES["byte_capped_split"]
+
 ORACLES["byte_capped_split_hard"] = f"""WITH {SIZED}
 SELECT (before // {BYTE_CAP} + 1)::INT AS split_id, count(*) AS row_count, sum(row_bytes)::BIGINT AS split_bytes
 FROM running GROUP BY 1"""

@@ -157,6 +157,18 @@ def capped_split_plan(spark, sf):
     return split.capped_counts(spark, _orders(spark, sf).count(), ROW_CAP)
 
 
+@query
+def capped_split_stored(spark, sf):
+    """Rows in the order they are stored in: no shuffle at all."""
+    return split.capped_split(staging.index_stored(spark, f"{sf}/orders.parquet"), ROW_CAP)
+
+
+@query
+def byte_capped_split_stored(spark, sf):
+    table = staging.index_stored(spark, f"{sf}/documents.parquet", measure_bytes=True)
+    return split.byte_capped_split(table, BYTE_CAP).select("doc_id", "n_chars", "row_bytes", "row_index", "split_id")
+
+
 @query
 def capped_split_copies(spark, sf):
     """The order key (ship date) is far from unique; file and row number break its ties."""
