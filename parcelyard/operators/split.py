@@ -12,6 +12,8 @@ from parcelyard.operators.staging import BYTES, PART, POSITION, StagedRows, broa
 SPLIT, SPLIT_ROW = "split_id", "split_row"
 BLOCK_ROWS = 65_536  # rows whose bytes are summed together before split starts are located
 _LOOKUP_ROW_BYTES = 64  # generous size of a (part, position, split) row in memory
+_MAX_CHUNKS = 200_000
+_STARTS_PER_CHUNK = 8  # on average
 
 
 def table_name(base: str, split_id: Column, splits: int) -> Column:
@@ -50,13 +52,14 @@ def capped_counts(spark: SparkSession, rows: int, threshold: int | None) -> Data
     )
 
 
-def _split_starts(staged: StagedRows, cap: int, block_rows: int) -> DataFrame:
-    """First position of every byte-capped split in each partition that it touches.
+def _split_starts(staged: StagedRows, cap: int, block_rows: int, chunk_rows: int) -> DataFrame:
+    """First position of every byte-capped split in each chunk of each part that it touches.
 
     Bytes are summed per block of rows first, which the map side does almost alone. Only blocks
-    in which the running sum passes a multiple of ``cap`` are looked at row by row.
+    in which the running sum passes a multiple of ``cap`` are looked at row by row. A chunk is a
+    whole number of blocks, so every chunk has a start at its first row.
     """
-    rows = staged.read().select(PART, POSITION, BYTES, F.expr(f"{POSITION} div {block_rows}").alias("_block"))
+    rows = staged.sizes().withColumn("_block", F.expr(f"{POSITION} div {block_rows}"))
     by_block = Window.partitionBy(PART).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         rows.groupBy(PART, "_block").agg(F.sum(BYTES).alias("_size"))
@@ -75,30 +78,36 @@ def _split_starts(staged: StagedRows, cap: int, block_rows: int) -> DataFrame:
         .withColumn("_in_block", F.coalesce(F.sum(BYTES).over(by_row), F.lit(0)))
         .select(PART, F.col(POSITION).alias("_start"), F.expr(f"(_before + _in_block) div {cap} + 1").alias(SPLIT))
     )
-    return at_block_start.unionByName(inside).groupBy(PART, SPLIT).agg(F.min("_start").alias("_start"))
+    chunk = F.expr(f"_start div {chunk_rows}").alias("_chunk")
+    return at_block_start.unionByName(inside).groupBy(PART, chunk, SPLIT).agg(F.min("_start").alias("_start"))
 
 
 def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows with ``split_id`` so that a split ends with the row that reaches ``cap`` bytes.
 
     A split may pass ``cap`` by less than one row; ``hard`` lowers the cap by the largest row, so
-    that no split passes it. The wide rows are not shuffled: they learn their split from the few
-    split starts in their partition (about partition bytes / cap), joined by partition number.
+    that no split passes it. The wide rows are not shuffled: each learns its split from the few
+    split starts in its chunk of its part. Chunks are sized by count and by bytes, so the lookup
+    stays small and a chunk holds few starts, also when one file holds much of the table.
     """
     if hard:
         cap -= staged.max_row_bytes
     if cap < 1:
         raise ValueError("the byte cap must be larger than the largest row")
+    rows_per_cap = max(1, cap * staged.total_rows // max(staged.total_bytes, 1))
+    chunk_rows = min(max(block_rows, staged.total_rows // _MAX_CHUNKS), _STARTS_PER_CHUNK * rows_per_cap)
+    block_rows = min(block_rows, chunk_rows)
+    chunk_rows -= chunk_rows % block_rows
     starts = (
-        _split_starts(staged, cap, block_rows)
-        .groupBy(PART)
+        _split_starts(staged, cap, block_rows, chunk_rows)
+        .groupBy(PART, "_chunk")
         .agg(F.sort_array(F.collect_list(F.struct("_start", SPLIT))).alias("_starts"))
     )
-    known = len(staged.parts) + staged.total_bytes // cap + 1
+    lookup_rows = staged.total_rows // chunk_rows + len(staged.parts) + staged.total_bytes // cap + 1
     reached = F.filter("_starts", lambda s: s["_start"] <= F.col(POSITION))
     rows = (
-        staged.read()
-        .join(broadcast_if_small(starts, known * _LOOKUP_ROW_BYTES), PART)
+        staged.read().withColumn("_chunk", F.expr(f"{POSITION} div {chunk_rows}"))
+        .join(broadcast_if_small(starts, lookup_rows * _LOOKUP_ROW_BYTES), [PART, "_chunk"])
         .join(F.broadcast(staged.part_offsets()), PART)
     )
     return rows.select(

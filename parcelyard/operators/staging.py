@@ -30,6 +30,7 @@ from parcelyard.session import scratch_path
 
 PART, POSITION, BYTES = "_part", "_position", "_bytes"
 SOURCE_FILE, SOURCE_ROW = "_source_file", "_source_row"
+_SIZES = f"{PART} long, {POSITION} long, {BYTES} long"
 BROADCAST_BYTES = 64 * 1024**2  # lookup tables up to this size are broadcast
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low bits
 
@@ -91,6 +92,7 @@ class StagedRows:
     schema: T.StructType
     parts: tuple[Part, ...]
     stored: bool = False
+    sizes_path: str | None = None
 
     @property
     def total_rows(self) -> int:
@@ -112,6 +114,12 @@ class StagedRows:
         rows = self.spark.read.schema(self.schema).parquet(self.path)
         return rows if parts is None else rows.filter(F.col(PART) <= self.parts[parts - 1].key)
 
+    def sizes(self) -> DataFrame:
+        """Part, position and bytes of every row: narrow columns only."""
+        if self.sizes_path:
+            return self.spark.read.schema(_SIZES).parquet(self.sizes_path)
+        return self.read().select(PART, POSITION, BYTES)
+
     def part_offsets(self) -> DataFrame:
         """Rows and bytes before each part: one row per file or range partition, never more."""
         count = len(self.parts)
@@ -148,40 +156,41 @@ class StagedRows:
 
 def _positioned(df: DataFrame) -> DataFrame:
     """A parquet scan with file and row number as part and position."""
+    size = [] if BYTES in df.columns else [row_bytes(df).alias(BYTES)]
     return df.select(
-        "*",
-        F.xxhash64("_metadata.file_path").alias(PART),
-        F.col("_metadata.row_index").alias(POSITION),
-        row_bytes(df).alias(BYTES),
+        "*", F.xxhash64("_metadata.file_path").alias(PART), F.col("_metadata.row_index").alias(POSITION), *size
     )
 
 
 def index_stored(spark: SparkSession, path: str, measure_bytes: bool = False) -> StagedRows:
     """Index a parquet table in the order of its files and of the rows in them, without a shuffle.
 
-    Rows per file come from the file footers alone; ``measure_bytes`` reads the columns as well.
+    Rows per file come from the file footers alone. ``measure_bytes`` reads the columns once and
+    keeps the size of every row in a narrow table of its own, unless the table has it already.
     """
     table = spark.read.parquet(path)
-    size = row_bytes(table) if measure_bytes else F.lit(0).cast("long")
-    files = (
-        table.select(F.col("_metadata.file_path").alias("file"), size.alias(BYTES))
-        .groupBy("file")
-        .agg(F.count("*").alias("rows"), F.sum(BYTES).alias("size"), F.max(BYTES).alias("largest"))
-        .withColumn("key", F.xxhash64("file"))
-    )
-    parts = tuple(
-        Part(r["key"], r["rows"], r["size"], r["largest"], r["file"])
-        for r in sorted(files.collect(), key=lambda r: r["file"])
-    )
-    if len({part.key for part in parts}) < len(parts):
+    files = table.select(F.col("_metadata.file_path").alias("file")).groupBy("file").count()
+    found = sorted((r["file"], r["count"], r["key"]) for r in files.withColumn("key", F.xxhash64("file")).collect())
+    if len({key for _, _, key in found}) < len(found):
         raise RuntimeError("two file names share a hash; store the table again")
-    return StagedRows(spark, path, table.schema, parts, stored=True)
+    sizes_path, measured = None, {}
+    if measure_bytes:
+        sizes = _positioned(table).select(PART, POSITION, BYTES)
+        if BYTES not in table.columns:
+            sizes_path = scratch_path(spark, "sizes")
+            sizes.write.parquet(sizes_path)
+            sizes = spark.read.schema(_SIZES).parquet(sizes_path)
+        sums = sizes.groupBy(PART).agg(F.sum(BYTES).alias("size"), F.max(BYTES).alias("largest"))
+        measured = {r[PART]: (r["size"], r["largest"]) for r in sums.collect()}
+    parts = tuple(Part(key, rows, *measured.get(key, (0, 0)), file) for file, rows, key in found)
+    return StagedRows(spark, path, table.schema, parts, stored=True, sizes_path=sizes_path)
 
 
 def store(df: DataFrame, path: str | None = None, measure_bytes: bool = False) -> StagedRows:
-    """Write rows as they come, replacing what ``path`` held, and index them."""
+    """Write rows as they come, with their sizes when wanted, replacing what ``path`` held; index them."""
     path = path or scratch_path(df.sparkSession, "stored")
-    df.write.mode("overwrite").parquet(path)
+    rows = df.withColumn(BYTES, row_bytes(df)) if measure_bytes else df
+    rows.write.mode("overwrite").parquet(path)
     return index_stored(df.sparkSession, path, measure_bytes)
 
 

@@ -63,12 +63,14 @@ def deliver(
     """Run a job and deliver its rows, one folder per split, named like the planned outputs.
 
     Under ``output``: ``staging`` holds the extract in delivery order (replaced by each run),
-    ``data/<prefix>`` the delivered splits, ``rejects/<prefix>`` the rows outside the target
-    profile with split and position, ``audit`` one row per run. An error ends the run, not the
+    ``data/<prefix>_<ddMMyyyy>`` the delivered splits (replaced by a run on the same day),
+    ``rejects/...`` the rows outside the target profile with split and position, ``audit`` one row
+    per run. An error ends the run, not the
     caller: it becomes the run's outcome and is audited like any other.
     """
     started = started or dt.datetime.now()
     prefix = prefix.strip() or job.file_prefix
+    batch = f"{prefix}_{started:%d%m%Y}"
     table = job.staging_table or job.name
     process_id = spark.range(1).select(
         run_id(F.lit(f"{job.name} {started.isoformat()}"), F.lit(started).cast("timestamp_ntz"))
@@ -99,14 +101,14 @@ def deliver(
             kept = deliverable_splits(status, policy)
             if policy != "cancel" or not facts["violations"]:
                 plan = plan_delivery(kept, prefix, started, f".{fmt}").withColumnRenamed("file_name", OUTPUT)
-                target = f"{output}/data/{prefix}"
+                target = f"{output}/data/{batch}"
                 checked = quarantine(rows, profile_rules(extract))
                 bad = reject_rows(checked)
                 facts["rejects"] = bad.count()
                 if facts["rejects"]:
                     # A second pass over the wide rows, made only when there is something to set aside.
-                    bad.write.mode("overwrite").parquet(f"{output}/rejects/{prefix}")
-                    rejects = spark.read.parquet(f"{output}/rejects/{prefix}")
+                    bad.write.mode("overwrite").parquet(f"{output}/rejects/{batch}")
+                    rejects = spark.read.parquet(f"{output}/rejects/{batch}")
                 names = broadcast_if_small(plan.select(SPLIT, OUTPUT), splits * _PLAN_ROW_BYTES)
                 good = apply_profile(good_rows(checked), keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
                 write_splits(good, target, fmt, target=OUTPUT, one_file=one_file)

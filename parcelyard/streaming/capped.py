@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from parcelyard.operators.split import SPLIT
-from parcelyard.operators.staging import stage
+from parcelyard.operators.staging import stage, store
 
 _OFFSETS = "first_row long, end_row long, batch_id long"
 
@@ -22,15 +22,15 @@ def _rows_before(spark: SparkSession, offsets: str, batch_id: int) -> int:
     return last or 0
 
 
-def write_batch(batch: DataFrame, batch_id: int, output: str, order_by: list[str], threshold: int) -> None:
-    """Continue the split numbering with one batch.
+def write_batch(batch: DataFrame, batch_id: int, output: str, threshold: int, order_by: list[str] | None) -> None:
+    """Continue the split numbering with one batch, in key order or, without a key, as rows arrive.
 
     Rows go to ``data/batch_id=N/split_id=S`` in overwrite mode and the batch's end offset is
     written after them, so a batch that is tried again writes the same rows to the same place.
     """
     spark = batch.sparkSession
     before = _rows_before(spark, f"{output}/offsets", batch_id)
-    staged = stage(batch, order_by)
+    staged = stage(batch, order_by) if order_by else store(batch)
     split = F.expr(f"int((row_index + {before} - 1) div {threshold} + 1)")
     (
         staged.indexed().withColumn(SPLIT, split).drop("row_index")
@@ -42,12 +42,14 @@ def write_batch(batch: DataFrame, batch_id: int, output: str, order_by: list[str
     staged.drop()
 
 
-def start_capped_stream(stream: DataFrame, output: str, checkpoint: str, order_by: list[str], threshold: int):
+def start_capped_stream(
+    stream: DataFrame, output: str, checkpoint: str, threshold: int, order_by: list[str] | None = None
+):
     """Deliver what is available now and stop; a later start with the same checkpoint goes on."""
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, output, order_by, threshold))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, output, threshold, order_by))
         .start()
     )
 

@@ -141,7 +141,7 @@ def test_delivery_run(spark, tmp_path):
     assert [r["rows"] for r in files] == [36, 36, 18]
     assert [r["path"].rsplit("=", 1)[1] for r in files] == [f"Small_{i}_05032024.parquet" for i in (1, 2, 3)]
     assert all(r["file_size_bytes"] > 0 and r["table_size_bytes"] == r["rows"] // 9 * 10 * 16 for r in files)
-    delivered = spark.read.parquet(f"{out}/data/Small")
+    delivered = spark.read.parquet(f"{out}/data/Small_05032024")
     assert sorted(r["id"] for r in delivered.collect()) == [i for i in range(100) if i % 10]
     assert dict(delivered.dtypes)["big"] == "int"
     rejects = {r["id"]: (r["split_id"], r["split_row"]) for r in done.rejects.collect()}
@@ -152,6 +152,15 @@ def test_delivery_run(spark, tmp_path):
     assert "Files: 3" in trail["Comment"]
 
 
+def test_outputs_of_another_day_stay(spark, tmp_path):
+    out = str(tmp_path)
+    for day, rows in ((STARTED, 100), (STARTED, 50), (STARTED + dt.timedelta(days=1), 10)):
+        run.deliver(spark, JOB, {"mon": rows}, out, started=day, t=source(spark))
+    assert spark.read.parquet(f"{out}/data/Small_05032024").count() == 45
+    assert spark.read.parquet(f"{out}/data/Small_06032024").count() == 9
+    assert audit.read_audit(spark, f"{out}/audit").count() == 3
+
+
 def test_empty_run_succeeds_and_failed_run_is_audited(spark, tmp_path):
     out = str(tmp_path)
     empty = run.deliver(spark, JOB, {"mon": 0}, out, t=source(spark))
@@ -180,9 +189,9 @@ def test_job_without_an_order_is_delivered_as_it_comes(spark, tmp_path):
     done = run.deliver(spark, job, {}, str(tmp_path), t=spark.range(100).withColumn("m", F.create_map(F.lit(1), "id")))
     assert [r["rows"] for r in done.files.orderBy("file_index").collect()] == [30, 30, 30, 10]
     keyed = extract.Job("Keyed", "select id, id % 3 as k from {t}", file_prefix="Keyed", split_key="k")
-    done = run.deliver(spark, keyed, {}, str(tmp_path), t=spark.range(100))
+    done = run.deliver(spark, keyed, {}, str(tmp_path), started=STARTED, t=spark.range(100))
     assert [r["rows"] for r in done.files.orderBy("file_index").collect()] == [34, 33, 33]
-    assert spark.read.parquet(f"{tmp_path}/data/Keyed").columns == ["id", "k", "output"]
+    assert spark.read.parquet(f"{tmp_path}/data/Keyed_05032024").columns == ["id", "k", "output"]
 
 
 def test_nothing_valid(spark, tmp_path):
@@ -239,12 +248,13 @@ def arrivals(spark, path, start, stop):
     spark.range(start, stop).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+@pytest.mark.parametrize("order_by", [None, ["id"]])
+def test_stream_goes_on_where_it_stopped(spark, tmp_path, order_by):
     inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
 
     def pump():
         stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(inbox)
-        query = capped.start_capped_stream(stream, out, mark, ["id"], 40)
+        query = capped.start_capped_stream(stream, out, mark, 40, order_by)
         query.awaitTermination()
 
     arrivals(spark, inbox, 0, 30)
@@ -261,13 +271,13 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
 def test_stream_batch_tried_again_after_a_failure(spark, tmp_path):
     """The data of a batch is written, the job dies before the offset, the batch runs again."""
     out = str(tmp_path / "out")
-    capped.write_batch(spark.range(0, 50), 0, out, ["id"], 40)
-    capped.write_batch(spark.range(50, 100), 1, out, ["id"], 40)
+    capped.write_batch(spark.range(0, 50), 0, out, 40, ["id"])
+    capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])
     (tmp_path / "lost").mkdir()
     (tmp_path / "out/offsets/batch_id=1").rename(tmp_path / "lost/batch_id=1")
-    capped.write_batch(spark.range(50, 100), 1, out, ["id"], 40)
-    capped.write_batch(spark.range(50, 100), 1, out, ["id"], 40)  # and once more after its offset
-    capped.write_batch(spark.range(100, 130), 2, out, ["id"], 40)
+    capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])
+    capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])  # and once more after its offset
+    capped.write_batch(spark.range(100, 130), 2, out, 40, ["id"])
     rows = capped.read_stream_output(spark, out)
     assert sorted(r["id"] for r in rows.collect()) == list(range(130))
     assert {r[0]: r[1] for r in rows.groupBy("split_id").count().collect()} == {1: 40, 2: 40, 3: 40, 4: 10}

@@ -175,6 +175,17 @@ def test_byte_split_with_a_third_of_the_bytes_in_one_row(spark):
     assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 500)
 
 
+def test_one_file_with_very_many_splits(spark, tmp_path):
+    """One file is the whole table; its lookup is cut into chunks."""
+    path = str(tmp_path / "t")
+    spark.range(30_000).select("id", F.expr("repeat('x', cast(pmod(hash(id), 9) as int))").alias("t")).coalesce(
+        1
+    ).write.parquet(path)
+    table = staging.index_stored(spark, path, measure_bytes=True)
+    out = split.byte_capped_split(table, 50, block_rows=512).orderBy("row_index").collect()
+    assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 50)
+
+
 def test_rows_without_bytes_follow_the_running_sum(spark):
     rows = spark.createDataFrame([(i, "xxxxx" if i % 3 == 0 else None) for i in range(60)], "id long, t string")
     only_text = staging.stage(rows.select("t", F.col("id").cast("string").alias("s")).withColumn("s", F.lit("")), ["s"], measure_bytes=True)

@@ -572,6 +572,6 @@ def stream_capped_split(spark, sf):
     stream = (
         spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/arrivals")
     )
-    run = capped.start_capped_stream(stream, f"{base}/out", f"{base}/checkpoint", ["o_orderdate", "o_orderkey"], ROW_CAP)
+    run = capped.start_capped_stream(stream, f"{base}/out", f"{base}/checkpoint", ROW_CAP)
     run.awaitTermination()
     return capped.read_stream_output(spark, f"{base}/out").groupBy("split_id").agg(F.count("*").alias("row_count"))
