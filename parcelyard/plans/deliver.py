@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.operators.split import SPLIT, SPLIT_ROW
@@ -14,12 +14,6 @@ ROWS_PER_FILE = 2_000_000  # fixed value: the documented row cap of one output
 BYTES_PER_FILE = 2 * 1024**3  # fixed value: size limit of one output
 
 
-def _output_name(prefix: Column, index: Column, started: Column, many: Column, extension: str) -> Column:
-    day = F.date_format(started, "ddMMyyyy")
-    middle = F.when(many, F.concat(F.lit("_"), index.cast("string"))).otherwise("")
-    return F.concat(prefix, middle, F.lit("_"), day, F.lit(extension))
-
-
 def plan_delivery(splits: DataFrame, prefix: str, started: dt.datetime, extension: str) -> DataFrame:
     """Number the surviving splits 1..n in split order and name their outputs.
 
@@ -29,11 +23,11 @@ def plan_delivery(splits: DataFrame, prefix: str, started: dt.datetime, extensio
     numbered = stage(splits, [SPLIT])
     many = F.lit(numbered.total_rows > 1)
     index = F.col("file_index").cast("int")
-    when = F.lit(started).cast("timestamp_ntz")
+    inner_table = F.when(many, F.concat_ws("_", F.lit(prefix), index)).otherwise(prefix)
     return numbered.indexed("file_index").withColumns({
         "file_index": index,
-        "file_name": _output_name(F.lit(prefix), index, when, many, extension),
-        "inner_table": F.when(many, F.concat(F.lit(f"{prefix}_"), index.cast("string"))).otherwise(prefix),
+        "file_name": F.concat(inner_table, F.lit(f"_{started:%d%m%Y}{extension}")),
+        "inner_table": inner_table,
     })
 
 

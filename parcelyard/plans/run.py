@@ -20,7 +20,7 @@ from parcelyard.operators.staging import (
 from parcelyard.operators.totals import run_totals
 from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
 from parcelyard.plans.audit import append_audit, audit_rows
-from parcelyard.plans.deliver import delivered_sizes, plan_delivery, read_splits, write_splits
+from parcelyard.plans.deliver import ROWS_PER_FILE, delivered_sizes, plan_delivery, read_splits, write_splits
 from parcelyard.plans.outcome import run_outcome
 
 OUTPUT = "output"
@@ -65,15 +65,15 @@ def deliver(
     Under ``output``: ``staging`` holds the extract in delivery order (replaced by each run),
     ``data/<prefix>_<ddMMyyyy>`` the delivered splits (replaced by a run on the same day),
     ``rejects/...`` the rows outside the target profile with split and position, ``audit`` one row
-    per run. An error ends the run, not the
-    caller: it becomes the run's outcome and is audited like any other.
+    per run. An error ends the run, not the caller: it becomes the run's outcome and is audited
+    like any other.
     """
     started = started or dt.datetime.now()
     prefix = prefix.strip() or job.file_prefix
     batch = f"{prefix}_{started:%d%m%Y}"
     table = job.staging_table or job.name
     process_id = spark.range(1).select(
-        run_id(F.lit(f"{job.name} {started.isoformat()}"), F.lit(started).cast("timestamp_ntz"))
+        run_id(F.lit(f"{job.name} {started}"), F.lit(str(started)).cast("timestamp_ntz"))
     ).first()[0]
     facts = {
         "process_id": process_id, "job": job.name, "staging_table": table,
@@ -111,7 +111,9 @@ def deliver(
                     rejects = spark.read.parquet(f"{output}/rejects/{batch}")
                 names = broadcast_if_small(plan.select(SPLIT, OUTPUT), splits * _PLAN_ROW_BYTES)
                 good = apply_profile(good_rows(checked), keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
-                write_splits(good, target, fmt, target=OUTPUT, one_file=one_file)
+                write_splits(
+                    good, target, fmt, target=OUTPUT, one_file=one_file, rows_per_file=job.threshold or ROWS_PER_FILE
+                )
                 files = _delivered(spark, plan, good.drop(SPLIT, SPLIT_ROW).schema, target, fmt, staged, process_id)
     except NothingToDeliver:
         pass  # the facts say so: every split violates
@@ -120,7 +122,8 @@ def deliver(
     facts["duration_s"] = time.monotonic() - clock
     facts["write_s"] = max(facts["duration_s"] - facts["sp_s"], 0.0)
     outcome = run_outcome(spark.createDataFrame([facts], _FACTS))
-    warning = append_audit(audit_rows(outcome, run_totals(files), output), f"{output}/audit", audit)
+    audit_row = audit_rows(outcome, run_totals(files), output).coalesce(1)
+    warning = append_audit(audit_row, f"{output}/audit", audit)
     return Delivery(process_id, outcome, files, rejects, warning)
 
 

@@ -111,6 +111,20 @@ def test_single_output_has_no_number(spark):
     assert (row["file_index"], row["file_name"], row["inner_table"]) == (1, "Out_05032024.csv", "Out")
 
 
+@pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Pacific/Niue"])
+def test_names_and_times_do_not_depend_on_the_session_zone(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    late = dt.datetime(2024, 3, 5, 23, 59)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        done = run.deliver(spark, JOB, {"mon": 10}, str(tmp_path), started=late, t=source(spark))
+        assert done.files.first()["path"].endswith("Small_05032024.parquet")
+        assert done.process_id[3:7] == "2359"
+        assert audit.read_audit(spark, f"{tmp_path}/audit").first()["Date"] == late
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_outputs_are_renumbered_after_filtering(spark):
     status = spark.createDataFrame([(2, "T_2", 5), (9, "T_9", 5)], "split_id int, table_name string, row_count long")
     rows = deliver.plan_delivery(status, "Out", STARTED, ".csv").orderBy("split_id").collect()
