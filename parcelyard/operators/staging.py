@@ -108,8 +108,10 @@ class StagedRows:
 
     def read(self, parts: int | None = None) -> DataFrame:
         """Rows with part key, position and bytes; of the first ``parts`` parts when given."""
+        if not self.parts:
+            parts = None
         if self.stored:
-            chosen = [part.file for part in self.parts[:parts]] if parts is not None else [self.path]
+            chosen = [self.path] if parts is None else [part.file for part in self.parts[:parts]]
             return _positioned(self.spark.read.schema(self.schema).parquet(*chosen))
         rows = self.spark.read.schema(self.schema).parquet(self.path)
         return rows if parts is None else rows.filter(F.col(PART) <= self.parts[parts - 1].key)

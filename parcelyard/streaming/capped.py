@@ -13,13 +13,17 @@ _OFFSETS = "first_row long, end_row long, batch_id long"
 
 
 def _rows_before(spark: SparkSession, offsets: str, batch_id: int) -> int:
-    """Rows delivered by the batches before this one; what a failed try of it left is not counted."""
-    try:
-        done = spark.read.schema(_OFFSETS).parquet(offsets)
-    except AnalysisException:
-        return 0
-    last = done.filter(F.col("batch_id") < batch_id).agg(F.max("end_row")).first()[0]
-    return last or 0
+    """Rows delivered by the batches before this one; what a failed try of it left is not counted.
+
+    The previous batch normally tells; all batches are looked at only where it left no offset.
+    """
+    for path in (f"{offsets}/batch_id={batch_id - 1}", offsets):
+        try:
+            done = spark.read.schema(_OFFSETS).option("basePath", offsets).parquet(path)
+        except AnalysisException:
+            continue
+        return done.filter(F.col("batch_id") < batch_id).agg(F.max("end_row")).first()[0] or 0
+    return 0
 
 
 def write_batch(batch: DataFrame, batch_id: int, output: str, threshold: int, order_by: list[str] | None) -> None:

@@ -42,7 +42,7 @@ def test_manifest_with_byte_order_mark(spark, tmp_path):
          "Parameters": ["mon"], "FilePrefix": "P"},
         {"Name": " ", "DataType": "Other", "Parameters": [], "Threshold": -1},
     ]
-    path = tmp_path / "procedures.json"
+    path = tmp_path / "jobs.json"
     path.write_text(json.dumps({"StoredProcedures": jobs}, indent=2), encoding="utf-8-sig")
     got = manifest.read_manifest(spark, str(path))
     assert [r["threshold"] for r in got.collect()] == [5, None, -1]
@@ -291,7 +291,7 @@ def test_stream_batch_tried_again_after_a_failure(spark, tmp_path):
     (tmp_path / "out/offsets/batch_id=1").rename(tmp_path / "lost/batch_id=1")
     capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])
     capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])  # and once more after its offset
-    capped.write_batch(spark.range(100, 130), 2, out, 40, ["id"])
+    capped.write_batch(spark.range(100, 130), 5, out, 40, ["id"])  # ids need not be consecutive
     rows = capped.read_stream_output(spark, out)
     assert sorted(r["id"] for r in rows.collect()) == list(range(130))
     assert {r[0]: r[1] for r in rows.groupBy("split_id").count().collect()} == {1: 40, 2: 40, 3: 40, 4: 10}

@@ -85,6 +85,8 @@ def test_splits_of_a_stored_table(spark, rows):
     assert sum(counts.values()) == rows and max(counts, default=0) == split.split_total(rows, 10)
     by_bytes = split.byte_capped_split(table, 24, block_rows=2).collect()
     assert all(r["split_id"] == (r["row_index"] - 1) // 3 + 1 for r in by_bytes) and len(by_bytes) == rows
+    assert split.capped_read(table, 5).count() == min(rows, 5)
+    assert split.capped_read(staging.stage(spark.range(rows), ["id"]), 5).count() == min(rows, 5)
 
 
 def test_nulls_come_first(spark):
