@@ -188,10 +188,17 @@ def index_stored(spark: SparkSession, path: str, measure_bytes: bool = False) ->
     return StagedRows(spark, path, table.schema, parts, stored=True, sizes_path=sizes_path)
 
 
-def store(df: DataFrame, path: str | None = None, measure_bytes: bool = False) -> StagedRows:
-    """Write rows as they come, with their sizes when wanted, replacing what ``path`` held; index them."""
+def store(
+    df: DataFrame, path: str | None = None, measure_bytes: bool = False, partitions: int | None = None
+) -> StagedRows:
+    """Write rows as they come, with their sizes when wanted, replacing what ``path`` held; index them.
+
+    ``partitions`` spreads rows that come in too few pieces, such as one file or one connection.
+    """
     path = path or scratch_path(df.sparkSession, "stored")
     rows = df.withColumn(BYTES, row_bytes(df)) if measure_bytes else df
+    if partitions:
+        rows = rows.repartition(partitions)
     rows.write.mode("overwrite").parquet(path)
     return index_stored(df.sparkSession, path, measure_bytes)
 

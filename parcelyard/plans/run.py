@@ -133,7 +133,7 @@ def _stage(job: Job, extract: DataFrame, path: str) -> StagedRows:
         order = dict.fromkeys([*([job.split_key] if job.split_key else []), *job.order_by])
         return stage(extract, list(order), path, measure_bytes=True, partitions=job.partitions)
     if not job.split_key:
-        return store(extract, path, measure_bytes=True)
+        return store(extract, path, measure_bytes=True, partitions=job.partitions)
     landed = with_source_position(store(extract).read().drop(PART, POSITION, BYTES))
     return stage(
         landed, [job.split_key, SOURCE_FILE, SOURCE_ROW], path, measure_bytes=True, partitions=job.partitions
