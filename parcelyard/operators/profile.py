@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,22 +151,18 @@ def profile_rules(df: DataFrame, limits: dict[str, str] | None = None) -> dict[s
     return rules
 
 
-def quarantine(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add ``reject_reasons``: codes of the rules a row breaks, empty for a good row.
+def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and bad rows with ``reject_reasons``, the codes of the rules they break.
 
-    Rules look at raw values, before any narrowing cast. Nothing is dropped here; ``good_rows``
-    and ``reject_rows`` are two disjoint filters over the result that together give all of it.
+    Rules look at raw values, before any narrowing cast; an unknown (NULL) verdict breaks nothing.
+    The two are disjoint and together hold every row. Range rules reach the scan as filters, so
+    looking for bad rows skips the row groups that can hold none.
     """
-    reasons = F.array_compact(F.array(*[F.when(broken, F.lit(code)) for code, broken in rules.items()]))
-    return df.withColumn("reject_reasons", reasons if rules else F.array().cast("array<string>"))
-
-
-def good_rows(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size("reject_reasons") == 0).drop("reject_reasons")
-
-
-def reject_rows(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size("reject_reasons") > 0)
+    broken = reduce(or_, rules.values(), F.lit(False))
+    reasons = F.array_compact(F.array(*[F.when(rule, F.lit(code)) for code, rule in rules.items()]))
+    good = df.filter(~F.coalesce(broken, F.lit(False)))
+    bad = df.filter(broken).withColumn("reject_reasons", reasons.cast("array<string>"))
+    return good, bad
 
 
 def pad_to(df: DataFrame, schema: T.StructType) -> DataFrame:

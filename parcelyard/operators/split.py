@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelyard.operators.staging import BYTES, PART, POSITION, StagedRows, broadcast_if_small, stage
+from parcelyard.operators.staging import (
+    BYTES, LOOKUP_ROW_BYTES, PART, POSITION, StagedRows, broadcast_if_small, stage,
+)
 
 SPLIT, SPLIT_ROW = "split_id", "split_row"
 BLOCK_ROWS = 65_536  # rows whose bytes are summed together before split starts are located
-_LOOKUP_ROW_BYTES = 64  # generous size of a (part, position, split) row in memory
 _MAX_CHUNKS = 200_000
 _STARTS_PER_CHUNK = 8  # on average
 
@@ -64,14 +65,14 @@ def _split_starts(staged: StagedRows, cap: int, block_rows: int, chunk_rows: int
     blocks = (
         rows.groupBy(PART, "_block").agg(F.sum(BYTES).alias("_size"))
         .withColumn("_in_part", F.coalesce(F.sum("_size").over(by_block), F.lit(0)))
-        .join(F.broadcast(staged.part_offsets()), PART)
+        .join(staged.part_offsets(), PART)
         .select(PART, "_block", "_size", (F.col("bytes_before") + F.col("_in_part")).alias("_before"))
     )
     at_block_start = blocks.select(
         PART, F.expr(f"_block * {block_rows}").alias("_start"), F.expr(f"_before div {cap} + 1").alias(SPLIT)
     )
     crossed = blocks.filter(F.expr(f"_before div {cap} <> (_before + _size) div {cap}")).drop("_size")
-    crossed = broadcast_if_small(crossed, (staged.total_bytes // cap + 1) * _LOOKUP_ROW_BYTES)
+    crossed = broadcast_if_small(crossed, (staged.total_bytes // cap + 1) * LOOKUP_ROW_BYTES)
     by_row = Window.partitionBy(PART, "_block").orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     inside = (
         rows.join(crossed, [PART, "_block"])
@@ -107,8 +108,8 @@ def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False, block_ro
     reached = F.filter("_starts", lambda s: s["_start"] <= F.col(POSITION))
     rows = (
         staged.read().withColumn("_chunk", F.expr(f"{POSITION} div {chunk_rows}"))
-        .join(broadcast_if_small(starts, lookup_rows * _LOOKUP_ROW_BYTES), [PART, "_chunk"])
-        .join(F.broadcast(staged.part_offsets()), PART)
+        .join(broadcast_if_small(starts, lookup_rows * LOOKUP_ROW_BYTES), [PART, "_chunk"])
+        .join(staged.part_offsets(), PART)
     )
     return rows.select(
         *staged.data_columns(),

@@ -31,6 +31,7 @@ from parcelyard.session import scratch_path
 PART, POSITION, BYTES = "_part", "_position", "_bytes"
 SOURCE_FILE, SOURCE_ROW = "_source_file", "_source_row"
 _SIZES = f"{PART} long, {POSITION} long, {BYTES} long"
+LOOKUP_ROW_BYTES = 64  # generous size in memory of a row of a few numbers
 BROADCAST_BYTES = 64 * 1024**2  # lookup tables up to this size are broadcast
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low bits
 
@@ -125,20 +126,18 @@ class StagedRows:
     def part_offsets(self) -> DataFrame:
         """Rows and bytes before each part: one row per file or range partition, never more."""
         count = len(self.parts)
-        return self.spark.createDataFrame(pa.table({
+        offsets = self.spark.createDataFrame(pa.table({
             PART: pa.array([part.key for part in self.parts], pa.int64()),
             "rows_before": pa.array([0, *accumulate(part.rows for part in self.parts)][:count], pa.int64()),
             "bytes_before": pa.array([0, *accumulate(part.size for part in self.parts)][:count], pa.int64()),
         }))
+        return broadcast_if_small(offsets, count * LOOKUP_ROW_BYTES)
 
     def indexed(self, name: str = "row_index", first: int | None = None) -> DataFrame:
-        """Rows with their 1-based global position; ``first`` reads that many from the start.
-
-        The offsets are broadcast; there are as many as files or range partitions.
-        """
+        """Rows with their 1-based global position; ``first`` reads that many from the start."""
         index = F.col("rows_before") + F.col(POSITION) + 1
         rows = self.read() if first is None else self.read(self._parts_holding(first))
-        rows = rows.join(F.broadcast(self.part_offsets().drop("bytes_before")), PART)
+        rows = rows.join(self.part_offsets(), PART)
         if first is not None:
             rows = rows.filter(index <= first)
         return rows.select(*self.data_columns(), index.alias(name))
@@ -242,6 +241,6 @@ def stage(
     return StagedRows(spark, path, placed.schema, tuple(Part(*part) for part in parts))
 
 
-def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, size: int) -> DataFrame:
     """Broadcast a join side whose bytes are known to be few; otherwise leave the join to Spark."""
-    return F.broadcast(df) if size <= limit else df
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

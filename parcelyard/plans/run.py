@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelyard.functions.errors import NOT_A_DATABASE_ERROR
 from parcelyard.functions.text import run_id
 from parcelyard.operators.extract import Job, run_job
-from parcelyard.operators.profile import apply_profile, good_rows, profile_rules, quarantine, reject_rows
+from parcelyard.operators.profile import apply_profile, profile_rules, quarantine
 from parcelyard.operators.split import SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_total
 from parcelyard.operators.staging import (
     BYTES, PART, POSITION, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store, with_source_position,
@@ -102,15 +102,14 @@ def deliver(
             if policy != "cancel" or not facts["violations"]:
                 plan = plan_delivery(kept, prefix, started, f".{fmt}").withColumnRenamed("file_name", OUTPUT)
                 target = f"{output}/data/{batch}"
-                checked = quarantine(rows, profile_rules(extract))
-                bad = reject_rows(checked)
+                good, bad = quarantine(rows, profile_rules(extract))
                 facts["rejects"] = bad.count()
                 if facts["rejects"]:
                     # A second pass over the wide rows, made only when there is something to set aside.
                     bad.write.mode("overwrite").parquet(f"{output}/rejects/{batch}")
                     rejects = spark.read.parquet(f"{output}/rejects/{batch}")
                 names = broadcast_if_small(plan.select(SPLIT, OUTPUT), splits * _PLAN_ROW_BYTES)
-                good = apply_profile(good_rows(checked), keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
+                good = apply_profile(good, keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
                 write_splits(
                     good, target, fmt, target=OUTPUT, one_file=one_file, rows_per_file=job.threshold or ROWS_PER_FILE
                 )

@@ -31,7 +31,16 @@ def catalog_snapshot(routines: DataFrame, params: DataFrame, source: DataFrame)
         .agg(F.sort_array(F.collect_list(F.struct("position", "param"))).alias("listed"))
         .select("key", F.col("listed.param").alias("params"))
     )
-    text = source.groupBy(name_key(F.col("name")).alias("key")).agg(F.min("source").alias("source"))
+    # The threshold is read off the text before the shuffle, so a comparison moves no source text.
+    text = (
+        source.filter(F.col("source").isNotNull())
+        .groupBy(name_key(F.col("name")).alias("key"))
+        .agg(
+            F.count("*").alias("sources"),
+            F.min(threshold_from_source(F.col("source"))).alias("db_threshold"),
+            F.min("source").alias("source"),
+        )
+    )
     return (
         routine.join(listed, "key", "left")
         .join(text, "key", "left")
@@ -39,8 +48,8 @@ def catalog_snapshot(routines: DataFrame, params: DataFrame, source: DataFrame)
             "key",
             "name",
             F.coalesce("params", F.array().cast("array<string>")).alias("params"),
-            F.col("source").isNotNull().alias("has_source"),
-            threshold_from_source(F.col("source")).alias("db_threshold"),
+            F.col("sources").isNotNull().alias("has_source"),
+            "db_threshold",
             "source",
         )
     )

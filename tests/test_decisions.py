@@ -188,14 +188,18 @@ def test_quarantine_divides_all_rows(spark):
         [(1, "1", "x"), (2**40, "40000", "x"), (3, "nope", "x" * 300), (-(2**31), "-32768", None), (None, None, "")],
         "n long, s string, t string",
     )
-    checked = profile.quarantine(df, profile.profile_rules(df, {"s": "SHORT", "t": "TEXT(255)"}))
-    good, bad = profile.good_rows(checked), profile.reject_rows(checked)
+    good, bad = profile.quarantine(df, profile.profile_rules(df, {"s": "SHORT", "t": "TEXT(255)"}))
     assert good.count() + bad.count() == 5
     reasons = {r["s"]: list(r["reject_reasons"]) for r in bad.collect()}
     assert reasons == {"40000": ["int32_overflow:n", "int16_overflow:s"], "nope": ["text_overflow:t"]}
     assert {r["n"] for r in profile.apply_profile(good).collect()} == {1, -(2**31), None}
 
 
+def test_quarantine_without_rules(spark):
+    good, bad = profile.quarantine(spark.createDataFrame([("a",)], "t string"), {})
+    assert good.count() == 1 and bad.count() == 0 and bad.schema["reject_reasons"].dataType == T.ArrayType(T.StringType())
+
+
 def status_of(spark, counts, threshold, **options):
     frame = spark.createDataFrame(list(enumerate(counts, 1)), "split_id int, row_count long")
     return validate.threshold_status(frame, threshold, "T", len(counts), **options)

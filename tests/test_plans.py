@@ -63,6 +63,16 @@ def test_capped_read_skips_partitions_by_filter(spark, sf):
     assert "LessThanOrEqual(_part" in plan_of(split.capped_read(staged, 10))
 
 
+def test_looking_for_rejects_skips_row_groups(spark, sf):
+    plan = plan_of(queries.quarantine_rejects(spark, sf))
+    assert "Or(Or(LessThan(o_orderkey,-2147483648),GreaterThan(o_orderkey,2147483647))" in plan.replace(" ", "")
+
+
+def test_comparison_shuffles_no_source_text(spark, sf):
+    plan = plan_of(queries.reconcile_status(spark, sf))
+    assert "partial_count(1)" in plan and "min(source" not in plan
+
+
 def test_storage_size_opens_no_file(spark, sf):
     plan = plan_of(queries.storage_size(spark, sf))
     assert "content" not in re.search(r"ReadSchema: struct<([^>]*)>", plan)[1]

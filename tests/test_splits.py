@@ -195,6 +195,29 @@ def test_rows_without_bytes_follow_the_running_sum(spark):
     assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 10)
 
 
+@pytest.fixture
+def nothing_is_small(spark, monkeypatch):
+    """Every lookup is too large to broadcast: all joins are shuffle joins."""
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    yield
+    spark.conf.set(setting, before)
+
+
+def test_lookups_too_large_to_broadcast(spark, nothing_is_small):
+    rows = spark.range(900).select("id", F.expr("if(id < 300, 7, id % 50)").alias("k"), F.expr("repeat('x', int(id % 9))").alias("t"))
+    staged = staging.stage(rows, ["k", "id"], measure_bytes=True)
+    out = split.byte_capped_split(staged, 100, block_rows=16)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    out = out.orderBy("row_index").collect()
+    assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 100)
+    parts = split.split_by_key(staged, "k")
+    assert {r["k"]: r["row_count"] for r in parts.splits.collect()} == {r[0]: r[1] for r in rows.groupBy("k").count().collect()}
+    assert parts.rows.count() == 900
+
+
 def test_hard_byte_cap_is_never_passed(spark):
     rows = spark.range(500).select("id", F.expr("repeat('x', cast(pmod(hash(id), 91) as int))").alias("t"))
     staged = staging.stage(rows, ["id"], measure_bytes=True)

@@ -304,13 +304,13 @@ def _quarantined(spark, sf):
 
 @query
 def quarantine_good(spark, sf):
-    good = profile.good_rows(_quarantined(spark, sf))
+    good, _ = _quarantined(spark, sf)
     return profile.apply_profile(good, keep=("split_id", "split_row"))
 
 
 @query
 def quarantine_rejects(spark, sf):
-    rejects = profile.reject_rows(_quarantined(spark, sf))
+    _, rejects = _quarantined(spark, sf)
     return rejects.select(
         "split_id", "split_row", F.array_join("reject_reasons", ",").alias("reject_reasons"), "o_orderkey", "big_key"
     )
