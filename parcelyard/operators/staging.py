@@ -20,6 +20,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from dataclasses import dataclass
 from itertools import accumulate
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,13 +110,16 @@ class StagedRows:
 
     def read(self, parts: int | None = None) -> DataFrame:
         """Rows with part key, position and bytes; of the first ``parts`` parts when given."""
-        if not self.parts:
-            parts = None
-        if self.stored:
-            chosen = [self.path] if parts is None else [part.file for part in self.parts[:parts]]
-            return _positioned(self.spark.read.schema(self.schema).parquet(*chosen))
-        rows = self.spark.read.schema(self.schema).parquet(self.path)
-        return rows if parts is None else rows.filter(F.col(PART) <= self.parts[parts - 1].key)
+        reader = self.spark.read.schema(self.schema)
+        if parts is None or not self.parts:
+            rows = reader.parquet(self.path)
+        elif self.stored:
+            # The scan reports file names URL-encoded; the base path keeps partition columns.
+            files = [unquote(part.file) for part in self.parts[:parts]]
+            rows = reader.option("basePath", self.path).parquet(*files)
+        else:
+            rows = reader.parquet(self.path).filter(F.col(PART) <= self.parts[parts - 1].key)
+        return _positioned(rows) if self.stored else rows
 
     def sizes(self) -> DataFrame:
         """Part, position and bytes of every row: narrow columns only."""

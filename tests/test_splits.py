@@ -63,6 +63,20 @@ def test_stored_table_is_indexed_in_file_order(spark, tmp_path):
         assert [r["id"] for r in first] == want[:limit]
 
 
+@pytest.mark.parametrize("folder", ["a b", "p%20q", "ü+&=/x"])
+def test_stored_table_under_an_odd_path_with_partition_folders(spark, tmp_path, folder):
+    path = str(tmp_path / folder)
+    rows = spark.range(300).withColumn("k", F.concat(F.lit("v w/"), (F.col("id") % 3).cast("string")))
+    rows.repartition(4).write.partitionBy("k").parquet(path)
+    table = staging.index_stored(spark, path, measure_bytes=True)
+    assert table.total_rows == 300 and len(table.parts) > 3
+    first = split.capped_read(table, 50)
+    assert sorted(r["row_index"] for r in first.collect()) == list(range(1, 51))
+    assert all(r["k"] == f"v w/{r['id'] % 3}" for r in first.collect())
+    assert len(first.inputFiles()) < len(table.parts)
+    assert split.byte_capped_split(table, 100).count() == 300
+
+
 def test_stored_table_with_several_row_groups_and_read_in_pieces(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(20_000).coalesce(1).write.option("parquet.block.size", 4096).parquet(path)
