@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelyard.operators.split import SPLIT, SPLIT_ROW
 from parcelyard.operators.staging import stage
@@ -62,7 +63,9 @@ def write_splits(
     )
 
 
-def read_splits(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
+def read_splits(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None, **options
+) -> DataFrame:
     """Delivered rows with the split they are in."""
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
@@ -70,10 +73,17 @@ def read_splits(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
     return reader.load(path)
 
 
-def delivered_sizes(spark: SparkSession, path: str, target: str = SPLIT) -> DataFrame:
-    """Files and stored bytes per target folder, from a file listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    folder = F.regexp_extract("path", rf"/{target}=([^/]+)/", 1)
-    return files.groupBy(folder.alias(target)).agg(
-        F.count("*").alias("files"), F.sum("length").alias("file_size_bytes")
+def delivered(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None, target: str = SPLIT, **options
+) -> DataFrame:
+    """Rows, files and stored bytes per target folder, as found by reading it again.
+
+    Only file metadata is selected, so a parquet target is answered from its footers.
+    """
+    rows = read_splits(spark, path, fmt, schema, **options)
+    files = rows.groupBy(target, F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows"), F.max("_metadata.file_size").alias("size")
+    )
+    return files.groupBy(target).agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("files"), F.sum("size").alias("file_size_bytes")
     )

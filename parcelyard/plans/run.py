@@ -20,7 +20,7 @@ from parcelyard.operators.staging import (
 from parcelyard.operators.totals import run_totals
 from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
 from parcelyard.plans.audit import append_audit, audit_rows
-from parcelyard.plans.deliver import ROWS_PER_FILE, delivered_sizes, plan_delivery, read_splits, write_splits
+from parcelyard.plans.deliver import ROWS_PER_FILE, delivered, plan_delivery, write_splits
 from parcelyard.plans.outcome import run_outcome
 
 OUTPUT = "output"
@@ -141,10 +141,10 @@ def _stage(job: Job, extract: DataFrame, path: str) -> StagedRows:
 
 def _delivered(spark, plan, schema, target, fmt, staged, process_id) -> DataFrame:
     """The run's files with the rows found in them on re-reading, and both sizes."""
-    written = read_splits(spark, target, fmt, schema).groupBy(OUTPUT).agg(F.count("*").alias("rows"))
+    written = delivered(spark, target, fmt, schema, OUTPUT).drop("files")
     row_size = staged.total_bytes / staged.total_rows
     return (
-        plan.join(written, OUTPUT, "left").join(delivered_sizes(spark, target, OUTPUT), OUTPUT, "left")
+        plan.join(written, OUTPUT, "left")
         .select(
             F.lit(process_id).alias("process_id"),
             "file_index",

@@ -80,8 +80,8 @@ def test_sink_holds_every_row_in_its_split(spark, tmp_path, one_file):
     assert sorted(tuple(r) for r in back.select("id", "v", "split_id").collect()) == [
         (i, 3 * i, i // 300 + 1) for i in range(1000)
     ]
-    sizes = {r["split_id"]: r["files"] for r in deliver.delivered_sizes(spark, path).collect()}
-    assert set(sizes) == {"1", "2", "3", "4"}
+    sizes = {r["split_id"]: r["files"] for r in deliver.delivered(spark, path).collect()}
+    assert set(sizes) == {1, 2, 3, 4}
     if one_file:
         assert set(sizes.values()) == {1}
 
@@ -92,8 +92,8 @@ def test_hot_split_is_written_as_several_files(spark, tmp_path):
     parts = split.split_by_key(staging.stage(rows, ["k", "id"]), "k")
     path = str(tmp_path / "out")
     deliver.write_splits(parts.rows, path, rows_per_file=500, one_file=True)
-    sizes = {r["split_id"]: r["files"] for r in deliver.delivered_sizes(spark, path).collect()}
-    assert sizes["1"] == 6 and set(sizes.values()) == {1, 6}
+    sizes = {r["split_id"]: r["files"] for r in deliver.delivered(spark, path).collect()}
+    assert sizes[1] == 6 and set(sizes.values()) == {1, 6}
     assert deliver.read_splits(spark, path).count() == 9000
 
 
@@ -166,6 +166,16 @@ def test_delivery_run(spark, tmp_path):
     assert "Files: 3" in trail["Comment"]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])
+def test_run_in_other_formats_and_with_an_odd_prefix(spark, tmp_path, fmt):
+    done = run.deliver(
+        spark, JOB, {"mon": 100}, str(tmp_path), prefix=" My Out: ü ", started=STARTED, fmt=fmt, t=source(spark)
+    )
+    files = done.files.orderBy("file_index").collect()
+    assert [r["rows"] for r in files] == [36, 36, 18] and all(r["file_size_bytes"] > 0 for r in files)
+    assert files[0]["path"].endswith(f"output=My Out: ü_1_05032024.{fmt}")
+
+
 def test_outputs_of_another_day_stay(spark, tmp_path):
     out = str(tmp_path)
     for day, rows in ((STARTED, 100), (STARTED, 50), (STARTED + dt.timedelta(days=1), 10)):
