@@ -35,8 +35,8 @@ def check_requests(requests: DataFrame) -> DataFrame:
     digits = F.length(mon.cast("string"))
     digits1 = F.length(mon1.cast("string"))
     status = (
-        F.when(F.col("has_mon1") & (digits != 8), "mon_not_8_digits")
-        .when(~F.col("has_mon1") & (digits != 6), "mon_not_6_digits")
+        F.when(F.col("has_mon1") & (F.coalesce(digits, F.lit(0)) != 8), "mon_not_8_digits")
+        .when(~F.col("has_mon1") & (F.coalesce(digits, F.lit(0)) != 6), "mon_not_6_digits")
         .when(F.col("has_mon1") & (F.coalesce(digits1, F.lit(0)) != 8), "mon1_not_8_digits")
         .when(F.col("has_mon1") & (mon1 < mon), "mon1_before_mon")
         .otherwise("ok")
@@ -88,6 +88,17 @@ def job_from_manifest(manifest: DataFrame, name: str, sql: str, **options) -> Jo
     )
 
 
+def check_arguments(spark: SparkSession, job: Job, arguments: dict[str, int]) -> None:
+    """Refuse arguments of a date job that are not ``YYYYMMDD`` days in order, or a ``YYYYMM`` month."""
+    if "mon" not in job.parameters:
+        return
+    request = (0, "mon1" in job.parameters, arguments.get("mon"), arguments.get("mon1"), "", "")
+    columns = "request_id int, has_mon1 boolean, mon int, mon1 int, prefix string, default_prefix string"
+    status = check_requests(spark.createDataFrame([request], columns)).first()["status"]
+    if status != "ok":
+        raise ValueError(f"job {job.name} refuses {arguments}: {status}")
+
+
 def run_job(spark: SparkSession, job: Job, arguments: dict[str, int], **sources: DataFrame) -> DataFrame:
     """The job's result for the given arguments; missing or extra arguments are an error."""
     if set(arguments) != set(job.parameters):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelyard.operators.staging import (
-    BYTES, LOOKUP_ROW_BYTES, PART, POSITION, StagedRows, broadcast_if_small, stage,
+    BYTES, LOOKUP_ROW_BYTES, PART, POSITION, StagedRows, broadcast_if_small, refuse_columns, stage,
 )
 
 SPLIT, SPLIT_ROW = "split_id", "split_row"
@@ -29,6 +29,7 @@ def capped_split(staged: StagedRows, threshold: int | None) -> DataFrame:
 
     No threshold (None or 0) means one split. The index makes this plain arithmetic per row.
     """
+    refuse_columns(staged.schema.names, (SPLIT, SPLIT_ROW))
     cap = threshold or max(staged.total_rows, 1)
     return staged.indexed().withColumns({
         SPLIT: F.expr(f"int((row_index - 1) div {cap} + 1)"),
@@ -91,6 +92,7 @@ def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False, block_ro
     split starts in its chunk of its part. Chunks are sized by count and by bytes, so the lookup
     stays small and a chunk holds few starts, also when one file holds much of the table.
     """
+    refuse_columns(staged.schema.names, (SPLIT, "row_bytes", "row_index"))
     if hard:
         cap -= staged.max_row_bytes
     if cap < 1:
@@ -134,6 +136,7 @@ def split_by_key(staged: StagedRows, key: str) -> KeySplits:
     ``staged`` must be ordered by ``key`` first, so that a hot key spreads over as many range
     partitions as its rows need. Only the table of distinct keys is grouped and numbered.
     """
+    refuse_columns(staged.schema.names, (SPLIT, SPLIT_ROW))
     indexed = staged.indexed()
     first_rows = indexed.groupBy(key).agg(F.min("row_index").alias("_first"), F.count("*").alias("row_count"))
     keys = stage(first_rows, [key], measure_bytes=True)

@@ -139,6 +139,7 @@ class StagedRows:
 
     def indexed(self, name: str = "row_index", first: int | None = None) -> DataFrame:
         """Rows with their 1-based global position; ``first`` reads that many from the start."""
+        refuse_columns(self.schema.names, (name, "rows_before", "bytes_before"))
         index = F.col("rows_before") + F.col(POSITION) + 1
         rows = self.read() if first is None else self.read(self._parts_holding(first))
         rows = rows.join(self.part_offsets(), PART)
@@ -198,6 +199,7 @@ def store(
 
     ``partitions`` spreads rows that come in too few pieces, such as one file or one connection.
     """
+    refuse_columns(df.columns, (PART, POSITION, BYTES))
     path = path or scratch_path(df.sparkSession, "stored")
     rows = df.withColumn(BYTES, row_bytes(df)) if measure_bytes else df
     if partitions:
@@ -206,6 +208,13 @@ def store(
     return index_stored(df.sparkSession, path, measure_bytes)
 
 
+def refuse_columns(columns: list[str], reserved: tuple[str, ...]) -> None:
+    """Names that an operator adds must be free."""
+    taken = sorted(set(columns) & set(reserved))
+    if taken:
+        raise ValueError(f"rename the columns {taken}: these names are added here")
+
+
 def stage(
     df: DataFrame,
     order_by: list[str],
@@ -220,6 +229,7 @@ def stage(
     is for very large inputs: about input bytes / 256 MB, so that each sort stays in memory. By
     default the session's shuffle partitions are used and small ones are merged at run time.
     """
+    refuse_columns(df.columns, (PART, POSITION, BYTES))
     spark = df.sparkSession
     path = path or scratch_path(spark, "staging")
     size = row_bytes(df) if measure_bytes else F.lit(0).cast("long")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parcelyard.functions.errors import NOT_A_DATABASE_ERROR
 from parcelyard.functions.text import run_id
-from parcelyard.operators.extract import Job, run_job
+from parcelyard.operators.extract import Job, check_arguments, run_job
 from parcelyard.operators.profile import apply_profile, profile_rules, quarantine
 from parcelyard.operators.split import SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_total
 from parcelyard.operators.staging import (
@@ -66,8 +66,9 @@ def deliver(
     ``data/<prefix>_<ddMMyyyy>`` the delivered splits (replaced by a run on the same day),
     ``rejects/...`` the rows outside the target profile with split and position, ``audit`` one row
     per run. An error ends the run, not the caller: it becomes the run's outcome and is audited
-    like any other.
+    like any other. Arguments that are no dates are refused before the run begins.
     """
+    check_arguments(spark, job, arguments)
     started = started or dt.datetime.now()
     prefix = prefix.strip() or job.file_prefix
     batch = f"{prefix}_{started:%d%m%Y}"

@@ -40,12 +40,15 @@ def write_batch(batch: DataFrame, batch_id: int, output: str, threshold: int, or
         staged.indexed().withColumn(SPLIT, split).drop("row_index")
         .write.mode("overwrite").partitionBy(SPLIT).parquet(f"{output}/data/batch_id={batch_id}")
     )
-    spark.createDataFrame([(before, before + staged.total_rows)], "first_row long, end_row long").coalesce(
-        1
-    ).write.mode("overwrite").parquet(f"{output}/offsets/batch_id={batch_id}")
+    _write_offset(spark, f"{output}/offsets/batch_id={batch_id}", before, staged.total_rows)
     staged.drop()
 
 
+def _write_offset(spark: SparkSession, path: str, before: int, rows: int) -> None:
+    offset = spark.createDataFrame([(before, before + rows)], "first_row long, end_row long")
+    offset.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def start_capped_stream(
     stream: DataFrame, output: str, checkpoint: str, threshold: int, order_by: list[str] | None = None
 ):

@@ -117,7 +117,7 @@ def test_names_and_times_do_not_depend_on_the_session_zone(spark, tmp_path, zone
     late = dt.datetime(2024, 3, 5, 23, 59)
     try:
         spark.conf.set("spark.sql.session.timeZone", zone)
-        done = run.deliver(spark, JOB, {"mon": 10}, str(tmp_path), started=late, t=source(spark))
+        done = run.deliver(spark, JOB, {"top": 10}, str(tmp_path), started=late, t=source(spark))
         assert done.files.first()["path"].endswith("Small_05032024.parquet")
         assert done.process_id[3:7] == "2359"
         assert audit.read_audit(spark, f"{tmp_path}/audit").first()["Date"] == late
@@ -138,7 +138,7 @@ def test_file_names_of_a_run_with_very_many_files(spark):
 
 
 JOB = extract.Job(
-    "Small_EXP", "select * from {t} where id < :mon", ("mon",), file_prefix="Small", threshold=40, order_by=("id",)
+    "Small_EXP", "select * from {t} where id < :top", ("top",), file_prefix="Small", threshold=40, order_by=("id",)
 )
 
 
@@ -148,7 +148,7 @@ def source(spark):
 
 def test_delivery_run(spark, tmp_path):
     out = str(tmp_path)
-    done = run.deliver(spark, JOB, {"mon": 100}, out, started=STARTED, t=source(spark))
+    done = run.deliver(spark, JOB, {"top": 100}, out, started=STARTED, t=source(spark))
     facts = done.outcome.first()
     assert (facts["outcome"], facts["total_rows"], facts["splits"], facts["rejects"]) == ("delivered", 100, 3, 10)
     files = done.files.orderBy("file_index").collect()
@@ -161,7 +161,7 @@ def test_delivery_run(spark, tmp_path):
     rejects = {r["id"]: (r["split_id"], r["split_row"]) for r in done.rejects.collect()}
     assert rejects == {i: (i // 40 + 1, i % 40 + 1) for i in range(0, 100, 10)}
     trail = audit.read_audit(spark, f"{out}/audit").first()
-    assert (trail["Message"], trail["RowsCount"], trail["Parameter"]) == ("Success", 90, "@mon=100")
+    assert (trail["Message"], trail["RowsCount"], trail["Parameter"]) == ("Success", 90, "@top=100")
     assert trail["ProcessId"] == done.process_id and done.warning is None
     assert "Files: 3" in trail["Comment"]
 
@@ -169,7 +169,7 @@ def test_delivery_run(spark, tmp_path):
 @pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])
 def test_run_in_other_formats_and_with_an_odd_prefix(spark, tmp_path, fmt):
     done = run.deliver(
-        spark, JOB, {"mon": 100}, str(tmp_path), prefix=" My Out: ü ", started=STARTED, fmt=fmt, t=source(spark)
+        spark, JOB, {"top": 100}, str(tmp_path), prefix=" My Out: ü ", started=STARTED, fmt=fmt, t=source(spark)
     )
     files = done.files.orderBy("file_index").collect()
     assert [r["rows"] for r in files] == [36, 36, 18] and all(r["file_size_bytes"] > 0 for r in files)
@@ -179,7 +179,7 @@ def test_run_in_other_formats_and_with_an_odd_prefix(spark, tmp_path, fmt):
 def test_outputs_of_another_day_stay(spark, tmp_path):
     out = str(tmp_path)
     for day, rows in ((STARTED, 100), (STARTED, 50), (STARTED + dt.timedelta(days=1), 10)):
-        run.deliver(spark, JOB, {"mon": rows}, out, started=day, t=source(spark))
+        run.deliver(spark, JOB, {"top": rows}, out, started=day, t=source(spark))
     assert spark.read.parquet(f"{out}/data/Small_05032024").count() == 45
     assert spark.read.parquet(f"{out}/data/Small_06032024").count() == 9
     assert audit.read_audit(spark, f"{out}/audit").count() == 3
@@ -187,7 +187,7 @@ def test_outputs_of_another_day_stay(spark, tmp_path):
 
 def test_empty_run_succeeds_and_failed_run_is_audited(spark, tmp_path):
     out = str(tmp_path)
-    empty = run.deliver(spark, JOB, {"mon": 0}, out, t=source(spark))
+    empty = run.deliver(spark, JOB, {"top": 0}, out, t=source(spark))
     assert (empty.outcome.first()["outcome"], empty.files.count()) == ("empty", 0)
     broken = extract.Job("Broken", "select nothing from {t}", file_prefix="B", order_by=("id",))
     failed = run.deliver(spark, broken, {}, out, t=source(spark))
@@ -218,6 +218,17 @@ def test_job_without_an_order_is_delivered_as_it_comes(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/data/Keyed_05032024").columns == ["id", "k", "output"]
 
 
+def test_dates_are_checked_before_a_run(spark, tmp_path):
+    job = extract.Job("Dated", "select * from {t}", ("mon", "mon1"), "Dated")
+    with pytest.raises(ValueError, match="mon1_before_mon"):
+        run.deliver(spark, job, {"mon": 20240102, "mon1": 20240101}, str(tmp_path), t=spark.range(5))
+    with pytest.raises(ValueError, match="mon_not_8_digits"):
+        run.deliver(spark, job, {"mon1": 20240101}, str(tmp_path), t=spark.range(5))
+    assert not list(tmp_path.iterdir())
+    fine = run.deliver(spark, job, {"mon": 20240101, "mon1": 20240101}, str(tmp_path), t=spark.range(5))
+    assert fine.outcome.first()["success"]
+
+
 def test_nothing_valid(spark, tmp_path):
     job = extract.Job("Keyed", "select *, 1 as k from {t}", (), "Keyed", 40, ("id",), split_key="k")
     done = run.deliver(spark, job, {}, str(tmp_path), "valid_only", t=spark.range(100))
@@ -226,10 +237,10 @@ def test_nothing_valid(spark, tmp_path):
 
 def test_audit_can_be_disabled_and_its_failure_is_a_warning(spark, tmp_path):
     out = str(tmp_path)
-    run.deliver(spark, JOB, {"mon": 10}, out, audit=False, t=source(spark))
+    run.deliver(spark, JOB, {"top": 10}, out, audit=False, t=source(spark))
     assert not (tmp_path / "audit").exists()
     (tmp_path / "audit").write_text("in the way")
-    done = run.deliver(spark, JOB, {"mon": 10}, out, t=source(spark))
+    done = run.deliver(spark, JOB, {"top": 10}, out, t=source(spark))
     assert done.outcome.first()["success"] and done.warning.startswith("Audit record was not written")
 
 
@@ -292,15 +303,38 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path, order_by):
     assert {r[0]: r[1] for r in rows.groupBy("split_id").count().collect()} == {1: 40, 2: 40, 3: 40, 4: 30}
 
 
-def test_stream_batch_tried_again_after_a_failure(spark, tmp_path):
-    """The data of a batch is written, the job dies before the offset, the batch runs again."""
+def test_stream_restarts_after_a_failure_between_data_and_offset(spark, tmp_path, monkeypatch):
+    """The second batch writes its data and dies; the restart writes it again, no row twice."""
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for start in (0, 50, 100):
+        arrivals(spark, inbox, start, start + 50)
+    write_offset, calls = capped._write_offset, []
+
+    def dies_once(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("lost")
+        write_offset(*args)
+
+    def pump():
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(inbox)
+        capped.start_capped_stream(stream, out, mark, 40).awaitTermination()
+
+    monkeypatch.setattr(capped, "_write_offset", dies_once)
+    with pytest.raises(Exception, match="lost"):
+        pump()
+    pump()
+    assert len(calls) == 4
+    rows = capped.read_stream_output(spark, out)
+    assert sorted(r["id"] for r in rows.collect()) == list(range(150))
+    assert {r[0]: r[1] for r in rows.groupBy("split_id").count().collect()} == {1: 40, 2: 40, 3: 40, 4: 30}
+
+
+def test_stream_batch_may_run_again_after_its_offset(spark, tmp_path):
     out = str(tmp_path / "out")
     capped.write_batch(spark.range(0, 50), 0, out, 40, ["id"])
     capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])
-    (tmp_path / "lost").mkdir()
-    (tmp_path / "out/offsets/batch_id=1").rename(tmp_path / "lost/batch_id=1")
     capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])
-    capped.write_batch(spark.range(50, 100), 1, out, 40, ["id"])  # and once more after its offset
     capped.write_batch(spark.range(100, 130), 5, out, 40, ["id"])  # ids need not be consecutive
     rows = capped.read_stream_output(spark, out)
     assert sorted(r["id"] for r in rows.collect()) == list(range(130))

@@ -251,6 +251,14 @@ def test_capped_read(spark, limit):
     assert sorted(r["id"] for r in split.capped_read(staged, limit).collect()) == list(range(min(limit, 1000)))
 
 
+@pytest.mark.parametrize("name", ["split_id", "split_row", "row_index", "_part", "_bytes"])
+def test_columns_of_the_data_are_never_overwritten(spark, name):
+    rows = spark.range(5).withColumn(name, F.lit(1))
+    for make in (lambda: staging.stage(rows, ["id"]), lambda: staging.store(rows)):
+        with pytest.raises(ValueError, match=name):
+            split.capped_split(make(), 2)
+
+
 def test_drop_removes_the_staging_table(spark, tmp_path):
     staged = staging.stage(spark.range(5), ["id"], path=str(tmp_path / "t"))
     assert (tmp_path / "t").exists()
