@@ -16,7 +16,7 @@ IMPORT_MARK = "_IMP_"
 
 def format_bytes(size: Column) -> Column:
     """``1536`` -> ``1.5 KB``: base 1024, two decimals rounded half to even, no trailing zeros."""
-    magnitude = F.abs(size).cast("double")
+    magnitude = F.abs(size.cast("double"))
     power = F.floor(F.log(magnitude) / F.log(F.lit(1024.0)))
     scaled = F.rint(magnitude / F.pow(F.lit(1024.0), power) * 100) / 100
     digits = F.regexp_replace((F.signum(size.cast("double")) * scaled).cast("string"), r"\.0$", "")

@@ -43,7 +43,7 @@ def check_requests(requests: DataFrame) -> DataFrame:
     )
     return requests.withColumns({
         "status": status,
-        "is_calendar_date": F.when(F.col("has_mon1"), _is_day(mon) & _is_day(mon1)).otherwise(_is_day(mon * 100 + 1)),
+        "is_calendar_date": F.when(F.col("has_mon1"), _is_day(mon) & _is_day(mon1)).otherwise(_is_day(mon.cast("long") * 100 + 1)),
         "output_prefix": prefix_or_default(F.col("prefix"), F.col("default_prefix")),
     })
 
@@ -51,7 +51,7 @@ def check_requests(requests: DataFrame) -> DataFrame:
 def _is_day(number: Column) -> Column:
     text = number.cast("string")
     iso = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.coalesce((F.length(text) == 8) & iso.try_cast("date").isNotNull(), F.lit(False))
+    return F.coalesce(text.rlike(r"^\d{8}$") & iso.try_cast("date").isNotNull(), F.lit(False))
 
 
 @dataclass(frozen=True)

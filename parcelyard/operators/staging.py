@@ -33,7 +33,7 @@ PART, POSITION, BYTES = "_part", "_position", "_bytes"
 SOURCE_FILE, SOURCE_ROW = "_source_file", "_source_row"
 _SIZES = f"{PART} long, {POSITION} long, {BYTES} long"
 LOOKUP_ROW_BYTES = 64  # generous size in memory of a row of a few numbers
-BROADCAST_BYTES = 64 * 1024**2  # lookup tables up to this size are broadcast
+BROADCAST_BYTES = 128 * 1024**2  # lookup tables up to this size are broadcast
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low bits
 
 

@@ -75,7 +75,7 @@ def test_format_bytes(spark):
     table = {
         0: "0 B", 1: "1 B", 1023: "1023 B", 1024: "1 KB", 1536: "1.5 KB", -2048: "-2 KB", 1024**2: "1 MB",
         1024**3: "1 GB", 1024**4: "1 TB", 1024**5: "1 PB", 1024**6: "1 EB", 1000 * 1024: "1000 KB",
-        1152: "1.12 KB", 1408: "1.38 KB", None: None,
+        1152: "1.12 KB", -(2**63): "-8 EB", 2**63 - 1: "8 EB", 1408: "1.38 KB", None: None,
     }
     rows = spark.createDataFrame(list(enumerate(table)), "i int, n long")
     assert [r[0] for r in rows.orderBy("i").select(text.format_bytes(F.col("n"))).collect()] == list(table.values())
@@ -134,6 +134,8 @@ def test_requests(spark):
         (True, 20240101, 202401, "mon1_not_8_digits", False), (True, 20240102, 20240101, "mon1_before_mon", True),
         (False, 202401, None, "ok", True), (False, 20240101, None, "mon_not_6_digits", False),
         (True, 20241301, 20241340, "ok", False), (False, 202413, None, "ok", False),
+        (False, 99999999, None, "mon_not_6_digits", False), (False, 2**31 - 1, None, "mon_not_6_digits", False),
+        (True, -2024010, 20240101, "ok", False),
         (True, 20240101, 20240101, "ok", True), (True, 20240101, None, "mon1_not_8_digits", False),
     ]
     rows = spark.createDataFrame(
