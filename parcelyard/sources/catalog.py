@@ -71,6 +71,11 @@ def _numbered(names: DataFrame) -> DataFrame:
     )
 
 
+def _by_key(bases: DataFrame) -> DataFrame:
+    """One row per base whatever its case, so that no join below can multiply rows."""
+    return bases.groupBy(name_key(F.col("base")).alias("key")).agg(F.min("base").alias("base"))
+
+
 def discover_families(names: DataFrame, bases: DataFrame) -> DataFrame:
     """The tables to deliver for each base: ``base_1``, ``base_2`` ... up to the first gap and at
     most nine, or the base itself when there is no ``base_1``. ``ignored_tables`` counts numbered
@@ -92,7 +97,7 @@ def discover_families(names: DataFrame, bases: DataFrame) -> DataFrame:
         for n in range(1, MAX_SIBLINGS + 1)
     ])
     found = (
-        bases.select(F.col("base"), name_key(F.col("base")).alias("key"))
+        _by_key(bases)
         .join(siblings, "key", "left")
         .withColumn("run", F.coalesce(run, F.lit(0)))
     )
@@ -112,9 +117,8 @@ def discover_families(names: DataFrame, bases: DataFrame) -> DataFrame:
 def ignored_siblings(names: DataFrame, bases: DataFrame) -> DataFrame:
     """The numbered siblings that ``discover_families`` leaves out, one row each."""
     taken = discover_families(names, bases).select(name_key(F.col("table_name")).alias("taken"))
-    known = bases.select(name_key(F.col("base")).alias("key"), "base")
     return (
-        _numbered(names).join(known, "key")
+        _numbered(names).join(_by_key(bases), "key")
         .join(taken, name_key(F.col("name")) == F.col("taken"), "left_anti")
         .select("base", "name", "n")
     )

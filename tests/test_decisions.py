@@ -407,6 +407,23 @@ def test_snapshot_keeps_routines_without_parameters_and_merges_copies(spark):
     assert got == {"p": ("P", ["a", "b"], True, 3), "q": ("Q", [], False, None)}
 
 
+def test_hot_routine_and_hot_family(spark):
+    """Copies of one routine's rows, and the siblings of one base, are a third of everything."""
+    n = 30_000
+    hot = spark.range(n).selectExpr("if(id % 2 = 0, 'Hot', 'HOT') as name", "int(id % 3) as position", "concat('@p', id % 3) as param")
+    rest = spark.range(2 * n).selectExpr("concat('J', id) as name", "1 as position", "'@mon' as param")
+    params = hot.unionByName(rest)
+    got = catalog.catalog_snapshot(params.select("name"), params, spark.createDataFrame([], "name string, source string"))
+    assert got.count() == 2 * n + 1
+    assert got.filter("key = 'hot'").first()["params"] == ["p0", "p1", "p2"]
+    names = spark.range(1, n).selectExpr("concat('Hot_', id) as name").unionByName(rest.select("name"))
+    bases = spark.createDataFrame([("Hot",), ("HOT",), ("J5",)], "base string")
+    families = catalog.discover_families(names, bases).collect()
+    assert sorted(r["table_name"] for r in families) == [f"HOT_{i}" for i in range(1, 10)] + ["J5"]
+    assert families[0]["ignored_tables"] in (0, n - 10)
+    assert catalog.ignored_siblings(names, bases).count() == n - 10
+
+
 def test_master_list(spark):
     lines = spark.createDataFrame([(" b ",), ("B",), ("",), ("  \t",), ("a",)], "value string")
     assert [r["name"] for r in catalog.master_list(lines).collect()] == ["a", "B"]

@@ -7,9 +7,7 @@ deterministic expression over one of the given tables, row by row or by key, so
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelyard.functions.text import run_id
@@ -19,6 +17,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Tables whose column types the target profile and its oracle cover.
+FLAT_TABLES = (
+    "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations"
+).split()
+
+
 # ---- registry and catalog, from part ------------------------------------------------------------
 
 _JOB = "concat('Job_', if(p_partkey % 2 = 1, 'EXP', 'IMP'), '_', p_partkey)"
@@ -167,23 +171,27 @@ def attempts(spark: SparkSession, sf: str) -> DataFrame:
 _MONTH = "(12 * year(o_orderdate) + month(o_orderdate))"
 
 
-def run_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """One run per month of orders; its splits are the priorities."""
-    per_split = table(spark, sf, "orders").groupBy(F.expr(_MONTH).alias("m"), "o_orderpriority").agg(
+def _rows_per_month_and_priority(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").groupBy(F.expr(_MONTH).alias("m"), "o_orderpriority").agg(
         F.count("*").alias("rows"), F.min("o_orderdate").alias("first_day")
     )
-    months = per_split.groupBy("m").agg(
+
+
+def run_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """One run per month of orders; its splits are the priorities."""
+    month = Window.partitionBy("m")
+    per_split = _rows_per_month_and_priority(spark, sf).withColumns({
+        "month_rows": F.sum("rows").over(month),
+        "priorities": F.count("*").over(month),
+    }).withColumn("threshold", F.expr(
+        "case when m % 4 = 0 then 0L when m % 7 = 3 then 1L else month_rows div priorities end"
+    ))
+    months = per_split.groupBy("m", "threshold", "priorities").agg(
         F.sum("rows").alias("rows"),
-        F.count("*").alias("priorities"),
-        F.max("rows").alias("largest"),
         F.min(F.date_trunc("month", F.col("first_day"))).cast("timestamp_ntz").alias("month_start"),
+        F.sum(F.expr("int(threshold > 0 and rows > threshold)")).alias("over"),
     )
-    threshold = F.expr("case when m % 4 = 0 then 0L when m % 7 = 3 then 1L else cast(floor(rows / priorities) as bigint) end")
-    months = months.withColumn("threshold", threshold)
-    over = per_split.join(months.select("m", "threshold"), "m").groupBy("m").agg(
-        F.sum(F.when((F.col("threshold") > 0) & (F.col("rows") > F.col("threshold")), 1).otherwise(0)).alias("over")
-    )
-    facts = months.join(over, "m").selectExpr(
+    facts = months.selectExpr(
         "m",
         "concat('run', m) as seed",
         "concat('Job_', if(m % 2 = 0, 'EXP', 'IMP'), '_', m % 8) as job",
@@ -210,9 +218,7 @@ def run_facts(spark: SparkSession, sf: str) -> DataFrame:
 def delivery_files(spark: SparkSession, sf: str) -> DataFrame:
     """Files of the months that were neither empty nor failed: one per priority."""
     runs = run_facts(spark, sf).filter("total_rows > 0 and error_code is null")
-    per_split = table(spark, sf, "orders").groupBy(F.expr(_MONTH).alias("m"), "o_orderpriority").agg(
-        F.count("*").alias("rows")
-    )
+    per_split = _rows_per_month_and_priority(spark, sf)
     files = per_split.join(runs.select("m", "process_id", "start_time", "job"), "m")
     return files.selectExpr(
         "process_id",
@@ -224,8 +230,3 @@ def delivery_files(spark: SparkSession, sf: str) -> DataFrame:
         "rows * 64 as table_size_bytes",
         "rows * 24 as file_size_bytes",
     )
-
-
-@functools.cache
-def tables_with_strings() -> list[str]:
-    return "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()

@@ -228,7 +228,7 @@ def profile_map(spark, sf):
 
 @query
 def target_ddl(spark, sf):
-    frames = [profile.target_ddl(derived.table(spark, sf, t), f"out]{t}") for t in derived.tables_with_strings()]
+    frames = [profile.target_ddl(derived.table(spark, sf, t), f"out]{t}") for t in derived.FLAT_TABLES]
     ddl = frames[0]
     for frame in frames[1:]:
         ddl = ddl.unionByName(frame)
