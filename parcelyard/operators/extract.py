@@ -43,7 +43,9 @@ def check_requests(requests: DataFrame) -> DataFrame:
     )
     return requests.withColumns({
         "status": status,
-        "is_calendar_date": F.when(F.col("has_mon1"), _is_day(mon) & _is_day(mon1)).otherwise(_is_day(mon.cast("long") * 100 + 1)),
+        "is_calendar_date": F.when(F.col("has_mon1"), _is_day(mon) & _is_day(mon1)).otherwise(
+            _is_day(mon.cast("long") * 100 + 1)
+        ),
         "output_prefix": prefix_or_default(F.col("prefix"), F.col("default_prefix")),
     })
 

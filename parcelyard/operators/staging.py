@@ -168,13 +168,16 @@ def _positioned(df: DataFrame) -> DataFrame:
     )
 
 
-def index_stored(spark: SparkSession, path: str, measure_bytes: bool = False) -> StagedRows:
+def index_stored(
+    spark: SparkSession, path: str, measure_bytes: bool = False, schema: T.StructType | None = None
+) -> StagedRows:
     """Index a parquet table in the order of its files and of the rows in them, without a shuffle.
 
     Rows per file come from the file footers alone. ``measure_bytes`` reads the columns once and
     keeps the size of every row in a narrow table of its own, unless the table has it already.
+    Give ``schema`` when files lack some of the columns; those are NULL.
     """
-    table = spark.read.parquet(path)
+    table = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     files = table.select(F.col("_metadata.file_path").alias("file")).groupBy("file").count()
     found = sorted((r["file"], r["count"], r["key"]) for r in files.withColumn("key", F.xxhash64("file")).collect())
     if len({key for _, _, key in found}) < len(found):
@@ -210,7 +213,7 @@ def store(
 
 def refuse_columns(columns: list[str], reserved: tuple[str, ...]) -> None:
     """Names that an operator adds must be free."""
-    taken = sorted(set(columns) & set(reserved))
+    taken = sorted(c for c in columns if c.lower() in reserved)
     if taken:
         raise ValueError(f"rename the columns {taken}: these names are added here")
 

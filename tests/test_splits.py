@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelyard.operators import split, staging
 
@@ -77,6 +78,15 @@ def test_stored_table_under_an_odd_path_with_partition_folders(spark, tmp_path,
     assert split.byte_capped_split(table, 100).count() == 300
 
 
+def test_stored_files_that_lack_a_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    spark.range(10, 20).withColumn("v", F.lit("x")).write.mode("append").parquet(path)
+    table = staging.index_stored(spark, path, schema=T.StructType().add("id", "long").add("v", "string"))
+    rows = table.indexed().collect()
+    assert sorted((r["id"], r["v"]) for r in rows if r["v"]) == [(i, "x") for i in range(10, 20)] and len(rows) == 20
+
+
 def test_stored_table_with_several_row_groups_and_read_in_pieces(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(20_000).coalesce(1).write.option("parquet.block.size", 4096).parquet(path)
@@ -204,8 +214,8 @@ def test_one_file_with_very_many_splits(spark, tmp_path):
 
 def test_rows_without_bytes_follow_the_running_sum(spark):
     rows = spark.createDataFrame([(i, "xxxxx" if i % 3 == 0 else None) for i in range(60)], "id long, t string")
-    only_text = staging.stage(rows.select("t", F.col("id").cast("string").alias("s")).withColumn("s", F.lit("")), ["s"], measure_bytes=True)
-    out = split.byte_capped_split(only_text, 10, block_rows=4).orderBy("row_index").collect()
+    staged = staging.stage(rows.select("t", F.lit("").alias("s")), ["s"], measure_bytes=True)
+    out = split.byte_capped_split(staged, 10, block_rows=4).orderBy("row_index").collect()
     assert [r["split_id"] for r in out] == brute_force_byte_splits([r["row_bytes"] for r in out], 10)
 
 
@@ -221,7 +231,7 @@ def nothing_is_small(spark, monkeypatch):
 
 
 def test_lookups_too_large_to_broadcast(spark, nothing_is_small):
-    rows = spark.range(900).select("id", F.expr("if(id < 300, 7, id % 50)").alias("k"), F.expr("repeat('x', int(id % 9))").alias("t"))
+    rows = spark.range(900).selectExpr("id", "if(id < 300, 7, id % 50) as k", "repeat('x', int(id % 9)) as t")
     staged = staging.stage(rows, ["k", "id"], measure_bytes=True)
     out = split.byte_capped_split(staged, 100, block_rows=16)
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
@@ -251,7 +261,7 @@ def test_capped_read(spark, limit):
     assert sorted(r["id"] for r in split.capped_read(staged, limit).collect()) == list(range(min(limit, 1000)))
 
 
-@pytest.mark.parametrize("name", ["split_id", "split_row", "row_index", "_part", "_bytes"])
+@pytest.mark.parametrize("name", ["split_id", "Split_Row", "row_index", "_part", "_bytes"])
 def test_columns_of_the_data_are_never_overwritten(spark, name):
     rows = spark.range(5).withColumn(name, F.lit(1))
     for make in (lambda: staging.stage(rows, ["id"]), lambda: staging.store(rows)):
