@@ -108,6 +108,8 @@ def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False, block_ro
     )
     lookup_rows = staged.total_rows // chunk_rows + len(staged.parts) + staged.total_bytes // cap + 1
     reached = F.filter("_starts", lambda s: s["_start"] <= F.col(POSITION))
+    # Most chunks lie in one split; only rows of the others search the starts.
+    start = F.when(F.size("_starts") == 1, F.col("_starts")[0]).otherwise(F.element_at(reached, -1))
     rows = (
         staged.read().withColumn("_chunk", F.expr(f"{POSITION} div {chunk_rows}"))
         .join(broadcast_if_small(starts, lookup_rows * LOOKUP_ROW_BYTES), [PART, "_chunk"])
@@ -117,7 +119,7 @@ def byte_capped_split(staged: StagedRows, cap: int, hard: bool = False, block_ro
         *staged.data_columns(),
         F.col(BYTES).alias("row_bytes"),
         (F.col("rows_before") + F.col(POSITION) + 1).alias("row_index"),
-        F.element_at(reached, -1)[SPLIT].cast("int").alias(SPLIT),
+        start[SPLIT].cast("int").alias(SPLIT),
     )
 
 
