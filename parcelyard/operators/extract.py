@@ -62,16 +62,19 @@ class Job:
 
     Rows are delivered in ``order_by`` order, cut at ``threshold`` rows; with ``split_key`` the
     job has divided them itself, one split per key value, and the threshold only judges them.
+    With ``family`` the catalog tables ``family_1``, ``family_2`` ... that something else has left
+    behind are the splits, or ``family`` alone is the only one; no SQL is run.
     ``partitions`` sizes the staging shuffle of a very large job.
     """
 
     name: str
-    sql: str
+    sql: str = ""
     parameters: tuple[str, ...] = ()
     file_prefix: str = ""
     threshold: int = 0
     order_by: tuple[str, ...] = ()
     split_key: str | None = None
+    family: str | None = None
     staging_table: str = ""
     partitions: int | None = None
 
@@ -79,7 +82,7 @@ class Job:
 def job_from_manifest(manifest: DataFrame, name: str, sql: str, **options) -> Job:
     """The manifest's entry of that name (any case) as a job that runs ``sql``.
 
-    ``options`` are the fields a manifest does not have: order_by, split_key, partitions.
+    ``options`` are the fields a manifest does not have: order_by, split_key, family, partitions.
     """
     row = manifest.filter(F.lower("name") == name.lower()).orderBy("name", "staging_table").first()
     if row is None:

@@ -152,6 +152,24 @@ def split_by_key(staged: StagedRows, key: str) -> KeySplits:
     )
 
 
+def split_by_number(staged: StagedRows, column: str, splits: int) -> KeySplits:
+    """Rows that carry their split's number, 1 to ``splits``, in ``column`` and lie in its order.
+
+    Numbers without rows are splits of no rows. ``column`` itself is not kept.
+    """
+    refuse_columns(staged.schema.names, (SPLIT, SPLIT_ROW))
+    indexed = staged.indexed().withColumnRenamed(column, SPLIT)
+    first_rows = indexed.groupBy(SPLIT).agg(F.min("row_index").alias("_first"), F.count("*").alias("_rows"))
+    first_rows = broadcast_if_small(first_rows, splits * LOOKUP_ROW_BYTES)
+    rows = indexed.join(first_rows, SPLIT).withColumn(SPLIT_ROW, F.col("row_index") - F.col("_first") + 1)
+    counts = (
+        staged.spark.range(1, splits + 1).select(F.col("id").cast("int").alias(SPLIT))
+        .join(first_rows, SPLIT, "left")
+        .select(SPLIT, F.coalesce("_rows", F.lit(0)).alias("row_count"))
+    )
+    return KeySplits(rows.drop("_first", "_rows", "row_index"), counts, splits)
+
+
 def capped_read(staged: StagedRows, limit: int) -> DataFrame:
     """The first ``limit`` rows in staging order, read in parallel from the partitions they fill."""
     return staged.indexed(first=limit)

@@ -17,6 +17,7 @@ because the table is on shared storage.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from dataclasses import dataclass
 from itertools import accumulate
@@ -168,6 +169,11 @@ def _positioned(df: DataFrame) -> DataFrame:
     )
 
 
+def _numbers_in_order(name: str) -> list:
+    """Sort key that puts part-100000 after part-99999."""
+    return [int(piece) if piece.isdecimal() else piece for piece in re.split("([0-9]+)", name)]
+
+
 def index_stored(
     spark: SparkSession, path: str, measure_bytes: bool = False, schema: T.StructType | None = None
 ) -> StagedRows:
@@ -179,7 +185,8 @@ def index_stored(
     """
     table = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     files = table.select(F.col("_metadata.file_path").alias("file")).groupBy("file").count()
-    found = sorted((r["file"], r["count"], r["key"]) for r in files.withColumn("key", F.xxhash64("file")).collect())
+    rows = files.withColumn("key", F.xxhash64("file")).collect()
+    found = sorted(((r["file"], r["count"], r["key"]) for r in rows), key=lambda r: _numbers_in_order(r[0]))
     if len({key for _, _, key in found}) < len(found):
         raise RuntimeError("two file names share a hash; store the table again")
     sizes_path, measured = None, {}

@@ -13,7 +13,9 @@ from parcelyard.functions.errors import NOT_A_DATABASE_ERROR
 from parcelyard.functions.text import run_id
 from parcelyard.operators.extract import Job, check_arguments, run_job
 from parcelyard.operators.profile import apply_profile, profile_rules, quarantine
-from parcelyard.operators.split import SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_total
+from parcelyard.operators.split import (
+    SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_by_number, split_total,
+)
 from parcelyard.operators.staging import (
     BYTES, PART, POSITION, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store, with_source_position,
 )
@@ -22,8 +24,10 @@ from parcelyard.operators.validate import NothingToDeliver, deliverable_splits,
 from parcelyard.plans.audit import append_audit, audit_rows
 from parcelyard.plans.deliver import ROWS_PER_FILE, delivered, plan_delivery, write_splits
 from parcelyard.plans.outcome import run_outcome
+from parcelyard.sources.catalog import family_tables, read_family
 
 OUTPUT = "output"
+_TABLE_NUMBER = "_table"
 _PLAN_ROW_BYTES = 512  # generous size of a delivery plan row in memory
 _FACTS = (
     "process_id string, job string, staging_table string, parameters array<struct<name: string, value: int>>, "
@@ -72,7 +76,7 @@ def deliver(
     started = started or dt.datetime.now()
     prefix = prefix.strip() or job.file_prefix
     batch = f"{prefix}_{started:%d%m%Y}"
-    table = job.staging_table or job.name
+    table = job.family or job.staging_table or job.name
     process_id = spark.range(1).select(
         run_id(F.lit(f"{job.name} {started}"), F.lit(str(started)).cast("timestamp_ntz"))
     ).first()[0]
@@ -85,25 +89,17 @@ def deliver(
     files, rejects = spark.createDataFrame([], _FILES), None
     clock = time.monotonic()
     try:
-        extract = run_job(spark, job, arguments, **sources)
-        staged = _stage(job, extract, f"{output}/staging/{table}")
+        staged = _stage(spark, job, arguments, f"{output}/staging/{table}", sources)
         facts["sp_s"] = time.monotonic() - clock
         facts["total_rows"] = staged.total_rows
         if staged.total_rows:
-            if job.split_key:
-                parts = split_by_key(staged, job.split_key)
-                rows, counts, splits = parts.rows.drop(SOURCE_FILE, SOURCE_ROW), parts.splits, parts.count
-            else:
-                rows = capped_split(staged, job.threshold).drop("row_index")
-                counts = capped_counts(spark, staged.total_rows, job.threshold)
-                splits = split_total(staged.total_rows, job.threshold)
-            status = threshold_status(counts, job.threshold, table, splits)
+            rows, status, splits = _divide(spark, job, staged, table)
             facts["splits"], facts["violations"] = splits, threshold_summary(status).first()["violations"]
             kept = deliverable_splits(status, policy)
             if policy != "cancel" or not facts["violations"]:
                 plan = plan_delivery(kept, prefix, started, f".{fmt}").withColumnRenamed("file_name", OUTPUT)
                 target = f"{output}/data/{batch}"
-                good, bad = quarantine(rows, profile_rules(extract))
+                good, bad = quarantine(rows, profile_rules(rows.drop(SPLIT, SPLIT_ROW)))
                 facts["rejects"] = bad.count()
                 if facts["rejects"]:
                     # A second pass over the wide rows, made only when there is something to set aside.
@@ -127,8 +123,13 @@ def deliver(
     return Delivery(process_id, outcome, files, rejects, warning)
 
 
-def _stage(job: Job, extract: DataFrame, path: str) -> StagedRows:
+def _stage(
+    spark: SparkSession, job: Job, arguments: dict[str, int], path: str, sources: dict[str, DataFrame]
+) -> StagedRows:
     """Land the extract; put it in order only where the job asks for an order or splits by key."""
+    if job.family:
+        return store(read_family(spark, job.family, _TABLE_NUMBER), path, measure_bytes=True)
+    extract = run_job(spark, job, arguments, **sources)
     if job.order_by:
         order = dict.fromkeys([*([job.split_key] if job.split_key else []), *job.order_by])
         return stage(extract, list(order), path, measure_bytes=True, partitions=job.partitions)
@@ -140,6 +141,27 @@ def _stage(job: Job, extract: DataFrame, path: str) -> StagedRows:
     )
 
 
+def _divide(spark: SparkSession, job: Job, staged: StagedRows, table: str) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with split and place in it, the status of the splits, and their number."""
+    if job.family:
+        tables = family_tables(spark, job.family)
+        divided = tables != [job.family]
+        parts = split_by_number(staged, _TABLE_NUMBER, len(tables))
+        # A table that was never divided is delivered whatever its size; the outcome warns.
+        status = threshold_status(parts.splits, job.threshold, job.family, len(tables), strict_parity=not divided)
+        if divided:
+            status = status.withColumn("table_name", F.concat_ws("_", F.lit(job.family), SPLIT))
+        return parts.rows, status, parts.count
+    if job.split_key:
+        parts = split_by_key(staged, job.split_key)
+        rows = parts.rows.drop(SOURCE_FILE, SOURCE_ROW)
+        return rows, threshold_status(parts.splits, job.threshold, table, parts.count), parts.count
+    splits = split_total(staged.total_rows, job.threshold)
+    counts = capped_counts(spark, staged.total_rows, job.threshold)
+    rows = capped_split(staged, job.threshold).drop("row_index")
+    return rows, threshold_status(counts, job.threshold, table, splits), splits
+
+
 def _delivered(spark, plan, schema, target, fmt, staged, process_id) -> DataFrame:
     """The run's files with the rows found in them on re-reading, and both sizes."""
     written = delivered(spark, target, fmt, schema, OUTPUT).drop("files")

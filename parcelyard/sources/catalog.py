@@ -124,13 +124,18 @@ def ignored_siblings(names: DataFrame, bases: DataFrame) -> DataFrame:
     )
 
 
-def read_family(spark: SparkSession, base: str) -> DataFrame:
-    """The catalog tables of a base as one frame; ``split_id`` is the table's number in the family."""
+def family_tables(spark: SparkSession, base: str) -> list[str]:
+    """The catalog tables of a base: at most nine look-ups by name."""
     tables = []
     while len(tables) < MAX_SIBLINGS and spark.catalog.tableExists(f"{base}_{len(tables) + 1}"):
         tables.append(f"{base}_{len(tables) + 1}")
+    return tables or [base]
+
+
+def read_family(spark: SparkSession, base: str, number: str = "split_id") -> DataFrame:
+    """The tables of a base as one frame, one after the other; ``number`` is the table's place in the family."""
     frames = [
-        spark.table(t).withColumn("split_id", F.lit(i)) for i, t in enumerate(tables or [base], 1)
+        spark.table(table).withColumn(number, F.lit(i)) for i, table in enumerate(family_tables(spark, base), 1)
     ]
     family = frames[0]
     for frame in frames[1:]:

@@ -218,6 +218,44 @@ def test_job_without_an_order_is_delivered_as_it_comes(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/data/Keyed_05032024").columns == ["id", "k", "output"]
 
 
+def family(spark, base, sizes):
+    for i, size in enumerate(sizes, 1):
+        spark.range(size).withColumn("t", F.lit(i)).createOrReplaceTempView(f"{base}_{i}")
+
+
+@pytest.mark.parametrize(
+    ("policy", "outcome", "delivered"),
+    [
+        ("all", "delivered", {"f1_1": 30, "f1_2": 60, "f1_3": 0, "f1_4": 5}),
+        ("valid_only", "partly_delivered", {"f1_1": 30, "f1_3": 0, "f1_4": 5}),
+        ("cancel", "cancelled", {}),
+    ],
+)
+def test_family_of_tables(spark, tmp_path, policy, outcome, delivered):
+    family(spark, "f1", [30, 60, 0, 5])
+    job = extract.Job("Fam", family="f1", file_prefix="Fam", threshold=50)
+    done = run.deliver(spark, job, {}, str(tmp_path), policy, started=STARTED)
+    assert done.outcome.first()["outcome"] == outcome
+    files = done.files.orderBy("file_index").collect()
+    assert {r["table_name"]: r["rows"] for r in files} == delivered
+    assert [r["file_index"] for r in files] == list(range(1, len(delivered) + 1))
+    if delivered:
+        back = spark.read.parquet(f"{tmp_path}/data/Fam_05032024")
+        assert back.columns == ["id", "t", "output"] and back.count() == sum(delivered.values())
+
+
+def test_family_of_one_is_judged_and_a_lone_table_is_not(spark, tmp_path):
+    family(spark, "f2", [60])
+    job = extract.Job("One", family="f2", file_prefix="One", threshold=50)
+    assert run.deliver(spark, job, {}, str(tmp_path), "cancel").outcome.first()["outcome"] == "cancelled"
+    spark.range(60).createOrReplaceTempView("f3")
+    job = extract.Job("Lone", family="f3", file_prefix="Lone", threshold=50)
+    done = run.deliver(spark, job, {}, str(tmp_path), "cancel")
+    facts = done.outcome.first()
+    assert facts["outcome"] == "delivered" and [r["rows"] for r in done.files.collect()] == [60]
+    assert facts["warnings"] == ["Staging table [f3] has 60 rows (threshold: 50)."]
+
+
 def test_dates_are_checked_before_a_run(spark, tmp_path):
     job = extract.Job("Dated", "select * from {t}", ("mon", "mon1"), "Dated")
     with pytest.raises(ValueError, match="mon1_before_mon"):

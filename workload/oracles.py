@@ -313,6 +313,9 @@ status AS (
 
 ORACLES["presplit_by_key"] = f"WITH {BY_KEY} SELECT o_orderkey, o_orderpriority, split_id, split_row FROM by_key"
 
+# Each sibling holds its orders in the order of the file, which is that of o_orderkey.
+ORACLES["presplit_family"] = ORACLES["presplit_by_key"]
+
 ORACLES["split_counts"] = f"""WITH {BY_KEY}
 SELECT split_id, o_orderpriority, count(*) AS row_count FROM by_key GROUP BY ALL"""
 
