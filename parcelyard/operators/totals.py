@@ -10,30 +10,29 @@ from parcelyard.functions.text import base_name
 _BLOCK = 1000  # file names joined per group in the first step
 
 
-def file_names(files: DataFrame) -> DataFrame:
-    """All file names of a run in file order, ``"; "`` between them.
-
-    The names are joined in blocks of file numbers first and the blocks afterwards, so a run with
-    very many files is not gathered name by name into one task.
-    """
-    def joined(entries: Column) -> Column:
-        return F.array_join(F.transform(F.sort_array(entries), lambda e: e["text"]), "; ")
-
-    blocks = files.groupBy("process_id", F.floor(F.col("file_index") / _BLOCK).alias("block")).agg(
-        joined(F.collect_list(F.struct("file_index", base_name(F.col("path")).alias("text")))).alias("text")
-    )
-    return blocks.groupBy("process_id").agg(joined(F.collect_list(F.struct("block", "text"))).alias("file_names"))
+def _joined(entries: Column) -> Column:
+    """Texts of (order, text) structs in their order, ``"; "`` between them."""
+    return F.array_join(F.transform(F.sort_array(entries), lambda e: e["text"]), "; ")
 
 
 def run_totals(files: DataFrame) -> DataFrame:
-    """Files, rows, both sizes and the list of file names per run."""
-    sums = files.groupBy("process_id").agg(
+    """Files, rows, both sizes and all file names in file order per run, in one pass over the files.
+
+    Files are folded in blocks of file numbers first and the blocks afterwards, so a run with very
+    many files is not gathered name by name into one task.
+    """
+    name = base_name(F.col("path")).alias("text")
+    blocks = files.groupBy("process_id", F.floor(F.col("file_index") / _BLOCK).alias("block")).agg(
         F.count("*").alias("files"),
         F.sum("rows").alias("rows_written"),
         F.sum("table_size_bytes").alias("table_bytes"),
         F.sum("file_size_bytes").alias("file_bytes"),
+        _joined(F.collect_list(F.struct("file_index", name))).alias("text"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("files", "rows_written", "table_bytes", "file_bytes")]
+    return blocks.groupBy("process_id").agg(
+        *sums, _joined(F.collect_list(F.struct("block", "text"))).alias("file_names")
     )
-    return sums.join(file_names(files), "process_id")
 
 
 def rows_per_second(rows: Column, seconds: Column) -> Column:

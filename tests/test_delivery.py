@@ -133,8 +133,14 @@ def test_outputs_are_renumbered_after_filtering(spark):
 
 
 def test_file_names_of_a_run_with_very_many_files(spark):
-    files = spark.range(1, 2501).selectExpr("'p' as process_id", "int(id) as file_index", "concat('/x/f', id) as path")
-    assert totals.file_names(files).first()["file_names"] == "; ".join(f"f{i}" for i in range(1, 2501))
+    files = spark.range(1, 2501).selectExpr(
+        "'p' as process_id", "int(id) as file_index", "concat('/x/f', id) as path", "id as rows",
+        "2 * id as table_size_bytes", "3 * id as file_size_bytes",
+    )
+    row = totals.run_totals(files).first()
+    assert row["file_names"] == "; ".join(f"f{i}" for i in range(1, 2501))
+    total = 2500 * 2501 // 2
+    assert (row["files"], row["rows_written"], row["table_bytes"], row["file_bytes"]) == (2500, total, 2 * total, 3 * total)
 
 
 JOB = extract.Job(

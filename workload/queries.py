@@ -207,7 +207,7 @@ def presplit_by_key(spark, sf):
 def presplit_family(spark, sf):
     """Sibling tables left behind by something else, one per priority, are the splits as they stand."""
     for i in range(1, 6):
-        siblings = _orders(spark, sf).filter(F.substring("o_orderpriority", 1, 1) == str(i))
+        siblings = _orders(spark, sf).filter(F.col("o_orderpriority").startswith(str(i)))
         siblings.createOrReplaceTempView(f"family_orders_{i}")
     staged = staging.store(catalog.read_family(spark, "family_orders", "table_number"))
     parts = split.split_by_number(staged, "table_number", len(catalog.family_tables(spark, "family_orders")))
