@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +15,19 @@ from parcelyard.session import scratch_path
 NO_ID = -(2**63)
 
 
+@functools.cache
+def _ship(application: str) -> None:
+    """Give the workers this package, wherever the driver has it from. Spark serves the file to executors."""
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    SparkSession.active().sparkContext.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _ship(spark.sparkContext.applicationId)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

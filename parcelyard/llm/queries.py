@@ -5,21 +5,69 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelyard.llm import packing, token_planes
+from parcelyard.llm import langid, packing, token_planes, topk, toxicity, warc
 from parcelyard.llm.common import table
 
 
+def op1_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), 20, F.col("vec_id") % 20 == 0)
+
+
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.token_files(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.select("doc_id", toxicity.grade().alias("grade")))
+    return toxicity.predict(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_impact_topk": op1_impact_topk,
+    "op2_warc_index": op2_warc_index,
     "op4_token_planes": op4_token_planes,
+    "op5_language_id": op5_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
+}
+_VECTORS = """
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_impact_topk": f"""
+        WITH vectors AS ({_VECTORS}), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+    "op2_warc_index": """
+        WITH p AS (
+            SELECT page_id, sha1(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+        ), m AS (SELECT digest, max(page_id) AS original FROM p WHERE size >= 1000 GROUP BY digest)
+        SELECT page_id, size::BIGINT AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original <> page_id THEN original END AS refers_to
+        FROM p LEFT JOIN m ON p.digest = m.digest AND size >= 1000
+    """,
 }
-ORACLES: dict[str, str] = {}
