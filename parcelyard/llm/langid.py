@@ -75,7 +75,7 @@ def _frequent(counted: DataFrame, by: list[str], most: int) -> DataFrame:
     return counted.filter(F.col("n") >= least)
 
 
-def fit(docs: DataFrame, documents: int = 8_000, words: int = 60_000, grams: int = 30_000) -> LanguageModel:
+def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int = 20_000) -> LanguageModel:
     """Fit on labelled ``docs`` (text, lang)."""
     labelled = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row per language

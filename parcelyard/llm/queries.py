@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.llm import langid, packing, token_planes, topk, toxicity, warc
+from parcelyard.llm import decontaminate, langid, line_dedup, near_dups, packing, token_planes, topk, toxicity, warc
 from parcelyard.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_id", "row_hash")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -37,13 +42,24 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, model)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=2).drop("row_id", "row_hash")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_impact_topk": op1_impact_topk,
     "op2_warc_index": op2_warc_index,
     "op4_token_planes": op4_token_planes,
     "op5_language_id": op5_language_id,
+    "op6_decontamination": op6_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_line_dedup": op10_line_dedup,
 }
 _VECTORS = """
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
@@ -70,4 +86,30 @@ ORACLES: dict[str, str] = {
                CASE WHEN original <> page_id THEN original END AS refers_to
         FROM p LEFT JOIN m ON p.digest = m.digest AND size >= 1000
     """,
+    "op6_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+        ), b AS (
+            SELECT item_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark
+        ), windows AS (
+            SELECT item_id, n, w[i:i + n - 1] AS g
+            FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+                  FROM b WHERE len(w) > 0)
+        ), grams AS (
+            SELECT r, i, n, w[i:i + n - 1] AS g
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows))
+        ), found AS (SELECT r, i, n, item_id FROM grams JOIN windows USING (n, g)),
+        hits AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+        items AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM found) GROUP BY r
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+    """,
 }
