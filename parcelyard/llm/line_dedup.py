@@ -41,12 +41,12 @@ def _edge(n: Column, segments: Column, j: Column) -> Column:
     return F.least(F.ceil(n / segments) * j, n).cast("int")
 
 
-def frames(line: str, segments: Column | None = None) -> Column:
-    """Array of (m, j, frame, segment) of a line: s segments for its own length, s for one character less."""
+def frames(line: str) -> Column:
+    """Array of (m, j, frame, segment) of a line: about sqrt(m) segments for its own length and for one less."""
     text, n = F.col(line), F.char_length(line)
 
     def of(m: Column) -> Column:
-        s = segments if segments is not None else F.greatest(F.ceil(F.sqrt(m)), F.lit(2)).cast("int")
+        s = F.greatest(F.ceil(F.sqrt(m)), F.lit(2)).cast("int")
 
         def cut(j: Column) -> Column:
             start, after = _edge(m, s, j), m - _edge(m, s, j + 1)
@@ -62,6 +62,16 @@ def frames(line: str, segments: Column | None = None) -> Column:
     return F.concat(of(n), of(n - 1))
 
 
+def half_frames(line: str) -> list[Column]:
+    """The frames for two segments, as plain expressions: the text after the first half or before the second."""
+    n, out = F.col("n"), []
+    for m in (n, n - 1):
+        half = F.ceil(m / 2).cast("int")
+        out.append(F.xxhash64(m, F.lit("after"), F.substring(F.col(line), n - (m - half) + 1, m - half)))
+        out.append(F.xxhash64(m, F.lit("before"), F.substring(F.col(line), F.lit(1), half)))
+    return out
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """row_id, row_hash, pos (from 0), line; NULL text has none."""
     return docs.select(*row_key(), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
@@ -69,10 +79,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Each distinct long enough line: identity, first place, and its frames for two segments."""
-    rows = lines_of(docs).filter(F.char_length("line") >= min_chars)
-    halves = F.transform(frames("line", F.lit(2)), lambda f: f["frame"])
-    rows = rows.select("row_id", "pos", *_identity("line"), halves.alias("f"))
-    rows = rows.select("row_id", "pos", *LINE, *[F.col("f")[k].alias(f"f{k}") for k in range(4)])
+    rows = lines_of(docs).withColumn("n", F.char_length("line")).filter(F.col("n") >= min_chars)
+    rows = rows.select("row_id", "pos", *_identity("line"), *[f.alias(f"f{k}") for k, f in enumerate(half_frames("line"))])
     return rows.groupBy(*LINE).agg(F.min(F.struct("row_id", "pos")).alias("first"), *[F.min(f"f{k}").alias(f"f{k}") for k in range(4)])
 
 
@@ -94,7 +102,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     texts = texts.select("row_id", "pos", "line", *_identity("line")).join(wanted, ["row_id", "pos", *LINE])
     texts = keep(texts.select(*LINE, "first", "line"), "line-texts")
     cut = texts.select(*LINE, "first", F.char_length("line").alias("n"), F.explode(frames("line")).alias("f"))
-    cut = cut.select(*LINE, "first", "n", "f.*")
+    cut = keep(cut.select(*LINE, "first", "n", "f.*"), "frames")
     cut = keep(cut.join(shared_keys(cut.select(*LINE, "frame"), "frame"), "frame", "left_semi"), "segments")
     # Roles: 0 deletes the same place of two equally long lines, 1 is the shorter and 2 the longer of two.
     every = F.sequence(F.lit(1), F.greatest(F.char_length("segment"), F.lit(1)))

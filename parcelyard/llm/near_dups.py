@@ -33,8 +33,8 @@ BANDS, ROWS = 32, 6
 SPACE = 1 << 20
 SEED = 20_240_101
 REMEMBERED = 400_000
-FEW = 2  # pairs per node that may be left when the rounds end
-ROUNDS = 12
+FEW = BANDS  # pairs per node, counted in every bucket, that may be left when the rounds end
+ROUNDS = 6
 SIGNED = "row_id long, row_hash long, doc_id long, n long, set_a long, set_b long, bands array<long>"
 
 
@@ -147,7 +147,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("b"))
-        up = keep(least.select("a", F.least("a", "b").alias("up")), "up")
+        up = least.select("a", F.least("a", "b").alias("up"))
         again = up.select(F.col("a").alias("up"), F.col("up").alias("top"))
         up = keep(up.join(again, "up").select("a", F.col("top").alias("up")), "up")
         moved = labels.join(up.select(F.col("a").alias("label"), "up"), "label", "left")
