@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.llm import decontaminate, langid, line_dedup, near_dups, packing, token_planes, topk, toxicity, warc
+from parcelyard.llm import decontaminate, langid, line_dedup, near_dups, packing, suffix_dedup, token_planes, topk, toxicity, warc
 from parcelyard.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.token_files(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_impact_topk": op1_impact_topk,
     "op2_warc_index": op2_warc_index,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_planes": op4_token_planes,
     "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
