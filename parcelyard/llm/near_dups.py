@@ -6,8 +6,8 @@ k-th coordinate as the least value at the scattered places. Bands of ``ROWS`` co
 of 0.8, 32 bands of 6 rows miss a pair with probability 0.00006.
 
 Documents with equal sets are one node from the start, so exact copies, however many, cost one row each. Candidates
-are compared without making all pairs of a bucket: in a round, every node meets one other member of one of its buckets
-that is not known to be in its component; verified links join components, and buckets whose nodes are all in one
+are compared without making all pairs of a bucket: in a round, every node meets a few of the members drawn for its
+buckets, of those not known to be in its component; verified links join components, and buckets whose nodes are all in one
 component are done. When the pairs that are left in mixed buckets are few, all of them that no round has
 compared are compared, so no link between components is lost. Similarities are confirmed on the full sets.
 
@@ -33,8 +33,9 @@ BANDS, ROWS = 32, 6
 SPACE = 1 << 20
 SEED = 20_240_101
 REMEMBERED = 400_000
-FEW = BANDS  # pairs per node, counted in every bucket, that may be left when the rounds end
-ROUNDS = 6
+FEW = 8  # pairs per node, counted in every bucket, that may be left when the rounds end
+MEET = 4  # other nodes that a node meets in a round
+ROUNDS = 4
 SIGNED = "row_id long, row_hash long, doc_id long, n long, set_a long, set_b long, bands array<long>"
 
 
@@ -201,7 +202,9 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         meet = (
             labelled.join(mixed.select("bucket", "hub"), "bucket").filter(F.col("label") != F.col("hub.label"))
             .filter(100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
-            .groupBy("node").agg(F.min("hub.node").alias("hub"))
+            .select("node", F.col("hub.node").alias("hub")).distinct()
+            .groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("node", "hub"), "hub"))), 1, MEET).alias("hubs"))
+            .select("node", F.explode("hubs.hub").alias("hub"))
         )
         pairs = meet.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         pairs = keep(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
