@@ -99,9 +99,11 @@ def check_arguments(spark: SparkSession, job: Job, arguments: dict[str, int]) ->
         return
     request = (0, "mon1" in job.parameters, arguments.get("mon"), arguments.get("mon1"), "", "")
     columns = "request_id int, has_mon1 boolean, mon int, mon1 int, prefix string, default_prefix string"
-    status = check_requests(spark.createDataFrame([request], columns)).first()["status"]
-    if status != "ok":
-        raise ValueError(f"job {job.name} refuses {arguments}: {status}")
+    checked = check_requests(spark.createDataFrame([request], columns)).first()
+    if checked["status"] != "ok":
+        raise ValueError(f"job {job.name} refuses {arguments}: {checked['status']}")
+    if not checked["is_calendar_date"]:
+        raise ValueError(f"job {job.name} refuses {arguments}: not a date")
 
 
 def run_job(spark: SparkSession, job: Job, arguments: dict[str, int], **sources: DataFrame) -> DataFrame:

@@ -152,6 +152,16 @@ def split_by_key(staged: StagedRows, key: str) -> KeySplits:
     )
 
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """Number, key and rows of each split by ``key``, from a scan of that column alone; nothing is written.
+
+    The numbers are those of ``split_by_key``. There is one row per output.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("row_count"))
+    number = F.row_number().over(Window.orderBy(F.asc_nulls_first(key)))
+    return counts.select(number.alias(SPLIT), key, "row_count")
+
+
 def split_by_number(staged: StagedRows, column: str, splits: int) -> KeySplits:
     """Rows that carry their split's number, 1 to ``splits``, in ``column`` and lie in its order.
 

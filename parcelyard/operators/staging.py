@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelyard.session import scratch_path
+from parcelyard.session import drop_path, scratch_path
 
 PART, POSITION, BYTES = "_part", "_position", "_bytes"
 SOURCE_FILE, SOURCE_ROW = "_source_file", "_source_row"
@@ -149,9 +149,9 @@ class StagedRows:
         return rows.select(*self.data_columns(), index.alias(name))
 
     def drop(self) -> None:
-        """Delete the stored table."""
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        """Delete the stored table and the table of its sizes."""
+        for path in filter(None, (self.path, self.sizes_path)):
+            drop_path(self.spark, path)
 
     def data_columns(self) -> list[Column]:
         return [F.col(f"`{f.name}`") for f in self.schema.fields if f.name not in (PART, POSITION, BYTES)]
@@ -169,9 +169,11 @@ def _positioned(df: DataFrame) -> DataFrame:
     )
 
 
-def _numbers_in_order(name: str) -> list:
-    """Sort key that puts part-100000 after part-99999."""
-    return [int(piece) if piece.isdecimal() else piece for piece in re.split("([0-9]+)", name)]
+def _file_order(path: str) -> tuple[str, int, str]:
+    """Total order of files: folder, part number (part-100000 comes after part-99999), then the whole name."""
+    folder, _, name = path.rpartition("/")
+    number = re.match(r"part-([0-9]+)", name)
+    return folder, int(number[1]) if number else -1, name
 
 
 def index_stored(
@@ -186,7 +188,7 @@ def index_stored(
     table = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     files = table.select(F.col("_metadata.file_path").alias("file")).groupBy("file").count()
     rows = files.withColumn("key", F.xxhash64("file")).collect()
-    found = sorted(((r["file"], r["count"], r["key"]) for r in rows), key=lambda r: _numbers_in_order(r[0]))
+    found = sorted(((r["file"], r["count"], r["key"]) for r in rows), key=lambda r: _file_order(r[0]))
     if len({key for _, _, key in found}) < len(found):
         raise RuntimeError("two file names share a hash; store the table again")
     sizes_path, measured = None, {}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ from parcelyard.operators.validate import NothingToDeliver, deliverable_splits,
 from parcelyard.plans.audit import append_audit, audit_rows
 from parcelyard.plans.deliver import ROWS_PER_FILE, delivered, plan_delivery, write_splits
 from parcelyard.plans.outcome import run_outcome
+from parcelyard.session import drop_path
 from parcelyard.sources.catalog import family_tables, read_family
 
 OUTPUT = "output"
@@ -88,9 +91,10 @@ def deliver(
     }
     files, rejects = spark.createDataFrame([], _FILES), None
     clock = time.monotonic()
+    drop_path(spark, f"{output}/rejects/{batch}")  # those of an earlier run of the day
     try:
-        staged = _stage(spark, job, arguments, f"{output}/staging/{table}", sources)
-        facts["sp_s"] = time.monotonic() - clock
+        with _timed(facts, "sp_s"):
+            staged = _stage(spark, job, arguments, f"{output}/staging/{table}", sources)
         facts["total_rows"] = staged.total_rows
         if staged.total_rows:
             rows, status, splits = _divide(spark, job, staged, table)
@@ -107,22 +111,32 @@ def deliver(
                     rejects = spark.read.parquet(f"{output}/rejects/{batch}")
                 names = broadcast_if_small(plan.select(SPLIT, OUTPUT), splits * _PLAN_ROW_BYTES)
                 good = apply_profile(good, keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
-                write_splits(
-                    good, target, fmt, target=OUTPUT, one_file=one_file, rows_per_file=job.threshold or ROWS_PER_FILE
-                )
+                with _timed(facts, "write_s"):
+                    write_splits(
+                        good, target, fmt, target=OUTPUT, one_file=one_file, rows_per_file=job.threshold or ROWS_PER_FILE
+                    )
                 files = _delivered(spark, plan, good.drop(SPLIT, SPLIT_ROW).schema, target, fmt, staged, process_id)
     except NothingToDeliver:
         pass  # the facts say so: every split violates
     except Exception as error:  # any failure is the run's outcome
         facts["error_code"], facts["error_detail"] = NOT_A_DATABASE_ERROR, f"{type(error).__name__}: {error}"
     facts["duration_s"] = time.monotonic() - clock
-    facts["write_s"] = max(facts["duration_s"] - facts["sp_s"], 0.0)
     outcome = run_outcome(spark.createDataFrame([facts], _FACTS))
     audit_row = audit_rows(outcome, run_totals(files), output).coalesce(1)
     warning = append_audit(audit_row, f"{output}/audit", audit)
     return Delivery(process_id, outcome, files, rejects, warning)
 
 
+@contextlib.contextmanager
+def _timed(facts: dict, name: str) -> Iterator[None]:
+    """Seconds of a phase, also of one that fails."""
+    clock = time.monotonic()
+    try:
+        yield
+    finally:
+        facts[name] = time.monotonic() - clock
+
+
 def _stage(
     spark: SparkSession, job: Job, arguments: dict[str, int], path: str, sources: dict[str, DataFrame]
 ) -> StagedRows:

@@ -125,9 +125,9 @@ def ignored_siblings(names: DataFrame, bases: DataFrame) -> DataFrame:
 
 
 def family_tables(spark: SparkSession, base: str) -> list[str]:
-    """The catalog tables of a base: at most nine look-ups by name."""
+    """The catalog tables of a base: all contiguous siblings, one look-up by name each."""
     tables = []
-    while len(tables) < MAX_SIBLINGS and spark.catalog.tableExists(f"{base}_{len(tables) + 1}"):
+    while spark.catalog.tableExists(f"{base}_{len(tables) + 1}"):
         tables.append(f"{base}_{len(tables) + 1}")
     return tables or [base]
 

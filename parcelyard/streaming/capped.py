@@ -15,14 +15,21 @@ _OFFSETS = "first_row long, end_row long, batch_id long"
 def _rows_before(spark: SparkSession, offsets: str, batch_id: int) -> int:
     """Rows delivered by the batches before this one; what a failed try of it left is not counted.
 
-    The previous batch normally tells; all batches are looked at only where it left no offset.
+    The previous batch normally tells; all batches are looked at only where it left no offset. A later
+    batch without any earlier offset is an error: numbering from the start would mix with what is there.
     """
     for path in (f"{offsets}/batch_id={batch_id - 1}", offsets):
         try:
             done = spark.read.schema(_OFFSETS).option("basePath", offsets).parquet(path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
-        return done.filter(F.col("batch_id") < batch_id).agg(F.max("end_row")).first()[0] or 0
+        end = done.filter(F.col("batch_id") < batch_id).agg(F.max("end_row")).first()[0]
+        if end is not None:
+            return end
+    if batch_id > 0:
+        raise RuntimeError(f"batch {batch_id} finds no offsets of earlier batches in {offsets}")
     return 0
 
 

@@ -47,12 +47,20 @@ def test_partitions_can_be_given(spark):
     assert len(staged.parts) == 20 and staged.total_rows == 1000
 
 
+def test_file_order_is_total():
+    names = ["t/k=1/part-00007-b", "t/k=01/part-7-a", "t/part-7-a", "t/part-007-a", "t/part-99999-z", "t/part-100000-a", "t/x"]
+    ordered = sorted(names, key=staging._file_order)
+    assert len({staging._file_order(n) for n in names}) == len(names)
+    assert ordered[:5] == ["t/x", "t/part-007-a", "t/part-7-a", "t/part-99999-z", "t/part-100000-a"]
+
+
 def test_stored_table_is_indexed_in_file_order(spark, tmp_path):
     path = str(tmp_path / "t")
     for start in (0, 100, 150):
         spark.range(start, start + 100).coalesce(1).write.mode("append").parquet(path)
     table = staging.index_stored(spark, path)
-    files = sorted({r[0] for r in spark.read.parquet(path).select("_metadata.file_path").collect()})
+    found = {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").collect()}
+    files = sorted(found, key=staging._file_order)
     want = []
     for name in files:
         want += [r["id"] for r in spark.read.parquet(name).collect()]
