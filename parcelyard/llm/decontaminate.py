@@ -105,8 +105,12 @@ def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .groupBy(*KEY).agg(F.collect_list(F.struct("start", "terms", "window_id")).alias("possible")),
         "possible",
     )
-    texts = docs.select(*row_key(), "text").join(listed, KEY).select(*KEY, words().alias("w"), "possible")
-    same = F.filter("possible", lambda p: F.slice(F.col("w"), p["start"] + 1, F.size(p["terms"])) == p["terms"])
+    texts = docs.select(*row_key(), "text").join(listed, KEY)
+    # The words are bound once per document; as a plain column they would be cut again for every possible start.
+    same = F.transform(
+        F.array(words()),
+        lambda w: F.filter("possible", lambda p: F.slice(w, p["start"] + 1, F.size(p["terms"])) == p["terms"]),
+    )[0]
     found = F.transform(same, lambda p: F.struct(p["start"], F.size(p["terms"]).alias("size"), p["window_id"].alias("window_id")))
     return texts.select(*KEY, found.alias("found")).filter(F.size("found") > 0).dropDuplicates(KEY)
 
