@@ -23,8 +23,8 @@ from parcelyard.llm.common import keep, row_key
 from parcelyard.operators.staging import broadcast_if_small
 
 WINDOW = 10
-# Fixed value: what a word is, after A-Z became a-z.
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: what stands between words, after A-Z became a-z.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 TERM_BYTES = 200  # generous size in memory of a word with its numbers
 KEY = ["row_id", "row_hash"]
 
@@ -34,7 +34,8 @@ def words(text: str = "text") -> Column:
     col = F.coalesce(F.col(text), F.lit(""))
     plain = F.octet_length(col) == F.char_length(col)
     small = F.when(plain, F.lower(col)).otherwise(F.translate(col, string.ascii_uppercase, string.ascii_lowercase))
-    return F.regexp_extract_all(small, F.lit(WORDS), F.lit(0))
+    # Only the ends of the split can be empty.
+    return F.array_remove(F.split(small, BETWEEN), "")
 
 
 def item_windows(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
