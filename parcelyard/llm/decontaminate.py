@@ -1,7 +1,7 @@
 """Benchmark decontamination with a distributed positional inverted index (operator 6). Spark SQL functions only.
 
-A window is ``WINDOW`` consecutive words of a benchmark item (an item with fewer words is one window). The corpus is
-scanned once for the frequency of each benchmark word; every window is then known by its two rarest words. The index
+A window is ``WINDOW`` consecutive words of a benchmark item (an item with fewer words is one window). The words of the corpus are
+cut once and stored, and counted for each benchmark word; every window is then known by its two rarest words. The index
 stores the postings (document, position) of those words. The list of a window's rarest word, moved back by the
 word's offset, gives the possible starts; it is intersected with the moved list of the next rarest word, and what is
 left is compared word by word with the document. A frequent word thus meets only the few windows that have nothing
@@ -38,6 +38,11 @@ def words(text: str = "text") -> Column:
     return F.array_remove(F.split(small, BETWEEN), "")
 
 
+def tokenized(docs: DataFrame) -> DataFrame:
+    """Every row's keys, doc_id and words ``w``, cut once and stored; all passes read this table."""
+    return keep(docs.select(*row_key(), F.col("doc_id").cast("long"), words().alias("w")), "words")
+
+
 def item_windows(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """Distinct windows (window_id, terms) and which item has which (window_id, item_id)."""
     cut = items.select("item_id", words().alias("w")).filter(F.size("w") > 0)
@@ -53,15 +58,15 @@ def _small(df: DataFrame) -> DataFrame:
     return broadcast_if_small(df, df.count() * TERM_BYTES)
 
 
-def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def term_counts(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Occurrences in the corpus of each ``term`` of the vocabulary that occurs at all."""
-    seen = docs.select(F.explode(words()).alias("term")).join(_small(vocabulary), "term", "left_semi")
+    seen = tokens.select(F.explode("w").alias("term")).join(_small(vocabulary), "term", "left_semi")
     return seen.groupBy("term").agg(F.count("*").alias("n"))
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def postings(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """The positional index: row_id, row_hash, term, pos (from 0) of the words in the vocabulary."""
-    placed = docs.select(*row_key(), F.posexplode(words()).alias("pos", "term"))
+    placed = tokens.select(*KEY, F.posexplode("w").alias("pos", "term"))
     return placed.join(_small(vocabulary), "term", "left_semi").select(*KEY, "term", "pos")
 
 
@@ -75,10 +80,10 @@ def ranked_windows(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return windows.join(ranked, "window_id").filter(F.col("known") == F.size("terms")).drop("known")
 
 
-def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def phrase_matches(tokens: DataFrame, windows: DataFrame) -> DataFrame:
     """Every occurrence of a window: row_id, row_hash, and ``found``, an array of (start, size, window_id)."""
     vocabulary = keep(windows.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
-    counts = keep(term_counts(docs, vocabulary), "term-counts")
+    counts = keep(term_counts(tokens, vocabulary), "term-counts")
     # The rarest word, and the rarest other one; a window of one repeated word has only the first.
     ranked = ranked_windows(windows, counts)
     other = F.filter("rarest", lambda x: x["term"] != F.col("rarest")[0]["term"])
@@ -92,7 +97,7 @@ def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     needed = keep(
         chosen.select(F.explode(F.array("term", "next_term")).alias("term")).filter("term is not null").distinct(), "needed"
     )
-    index = keep(postings(docs, needed), "postings")
+    index = keep(postings(tokens, needed), "postings")
     narrow = _small(chosen.select("window_id", "term", "offset", "next_term", "next_offset"))
     starts = (
         index.join(narrow, "term").withColumn("start", F.col("pos") - F.col("offset")).filter("start >= 0")
@@ -106,25 +111,21 @@ def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .groupBy(*KEY).agg(F.collect_list(F.struct("start", "terms", "window_id")).alias("possible")),
         "possible",
     )
-    texts = docs.select(*row_key(), "text").join(listed, KEY)
-    # The words are bound once per document; as a plain column they would be cut again for every possible start.
-    same = F.transform(
-        F.array(words()),
-        lambda w: F.filter("possible", lambda p: F.slice(w, p["start"] + 1, F.size(p["terms"])) == p["terms"]),
-    )[0]
+    texts = tokens.select(*KEY, "w").join(listed, KEY)
+    same = F.filter("possible", lambda p: F.slice("w", p["start"] + 1, F.size(p["terms"])) == p["terms"])
     found = F.transform(same, lambda p: F.struct(p["start"], F.size(p["terms"]).alias("size"), p["window_id"].alias("window_id")))
     return texts.select(*KEY, found.alias("found")).filter(F.size("found") > 0).dropDuplicates(KEY)
 
 
-def proximity_matches(docs: DataFrame, windows: DataFrame, slop: int) -> DataFrame:
+def proximity_matches(tokens: DataFrame, windows: DataFrame, slop: int) -> DataFrame:
     """Places where all distinct words of a window lie within ``slop`` words of its rarest one, in any order.
 
     Returns row_id, row_hash, window_id, pos (of the rarest word). Postings meet within blocks of ``slop``
     positions, so a frequent word in a long document isn't paired with all of its occurrences.
     """
     vocabulary = keep(windows.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
-    ranked = keep(ranked_windows(windows, keep(term_counts(docs, vocabulary), "term-counts")), "ranked")
-    index = keep(postings(docs, vocabulary).distinct(), "postings")
+    ranked = keep(ranked_windows(windows, keep(term_counts(tokens, vocabulary), "term-counts")), "ranked")
+    index = keep(postings(tokens, vocabulary).distinct(), "postings")
     anchors = index.join(_small(ranked.select("window_id", F.col("rarest")[0]["term"].alias("term"))), "term")
     block = F.floor(F.col("pos") / (slop + 1))
     wanted = anchors.join(_small(ranked.select("window_id", F.array_distinct("terms").alias("all"))), "window_id").select(
@@ -140,7 +141,8 @@ def proximity_matches(docs: DataFrame, windows: DataFrame, slop: int) -> DataFra
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per document: row_id, row_hash, doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     windows, owners = item_windows(items, size)
-    matches = keep(phrase_matches(docs, windows), "matches")
+    tokens = tokenized(docs)
+    matches = keep(phrase_matches(tokens, windows), "matches")
     places = F.flatten(F.transform("found", lambda f: F.sequence(f["start"], f["start"] + f["size"] - 1)))
     hits = matches.select(*KEY, F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
     ids = (
@@ -148,7 +150,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
         .groupBy(*KEY).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
     )
     found = keep(hits.join(ids, KEY, "left"), "hits")
-    counted = docs.select(*row_key(), F.col("doc_id").cast("long"), F.size(words()).cast("long").alias("n_words"))
+    counted = tokens.select(*KEY, "doc_id", F.size("w").cast("long").alias("n_words"))
     listed = F.coalesce(F.col("ids"), F.array().cast("array<string>"))
     return counted.join(found, KEY, "left").select(
         *KEY, "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
@@ -160,7 +162,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Documents in which no window occurs. All columns stay as they are."""
     windows, _ = item_windows(items, size)
-    bad = keep(phrase_matches(docs, windows).select(*KEY), "contaminated")
+    bad = keep(phrase_matches(tokenized(docs), windows).select(*KEY), "contaminated")
     names = [f"_key_{k}" for k in KEY]
     keyed = docs.withColumns(dict(zip(names, row_key())))
     bad = bad.select(*[F.col(k).alias(f"_key_{k}") for k in KEY])

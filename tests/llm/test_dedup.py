@@ -62,7 +62,7 @@ def test_proximity(spark, documents):
     docs = documents([(1, "x b c x x a"), (2, "a x x x x x x b c"), (3, "c b a")])
     items = spark.createDataFrame([(1, "a b c", "x", 0)], ITEMS)
     windows, _ = decontaminate.item_windows(items)
-    found = decontaminate.proximity_matches(docs, windows, 4)
+    found = decontaminate.proximity_matches(decontaminate.tokenized(docs), windows, 4)
     assert sorted(r["row_id"] for r in found.select("row_id").distinct().collect()) == [1, 3]
 
 
