@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Database error codes by class, codes worth a retry, and the retry rule
-# (at most MAX_ATTEMPTS tries, attempt n waits BACKOFF_SECONDS * n).
+# Database error codes by class, and codes worth a retry.
 ERROR_CLASSES = {
     "missing_object": [208],
     "permission_denied": [229, 230],
@@ -17,8 +16,6 @@ ERROR_CLASSES = {
     "constraint_violation": [547],
 }
 TRANSIENT_CODES = [-2, 258, 1205, 4060, 40197, 40501, 40613]
-MAX_ATTEMPTS = 3
-BACKOFF_SECONDS = 2
 
 # Texts of wrapper errors that carry no information, and the text used when
 # nothing else is left.
@@ -57,15 +54,6 @@ def is_transient(code: Column) -> Column:
     return code.isin(TRANSIENT_CODES)
 
 
-def will_retry(code: Column, attempt: Column) -> Column:
-    return F.coalesce(is_transient(code) & (attempt < MAX_ATTEMPTS), F.lit(False))
-
-
-def backoff_seconds(code: Column, attempt: Column) -> Column:
-    """Wait before the next attempt, NULL when there is none."""
-    return F.when(will_retry(code, attempt), (attempt * BACKOFF_SECONDS).cast("int"))
-
-
 def collapse_messages(messages: Column) -> Column:
     """Outermost-first error messages as one line: trimmed, each once, wrappers left out."""
     trimmed = F.transform(messages, lambda m: F.regexp_replace(m, r"^\s+|\s+$", ""))

@@ -60,7 +60,8 @@ def _is_day(number: Column) -> Column:
 class Job:
     """A named extract: Spark SQL over ``{source}`` with integer parameters ``:mon``, ``:mon1``.
 
-    Rows are delivered in ``order_by`` order, cut at ``threshold`` rows; with ``split_key`` the
+    Rows are delivered in ``order_by`` order, cut at ``threshold`` rows. Ties keep the order in which the extract was
+    landed; ``unique_order`` tells that there are none and saves the landing. With ``split_key`` the
     job has divided them itself, one split per key value, and the threshold only judges them.
     With ``family`` the catalog tables ``family_1``, ``family_2`` ... that something else has left
     behind are the splits, or ``family`` alone is the only one; no SQL is run.
@@ -73,6 +74,7 @@ class Job:
     file_prefix: str = ""
     threshold: int = 0
     order_by: tuple[str, ...] = ()
+    unique_order: bool = False
     split_key: str | None = None
     family: str | None = None
     staging_table: str = ""
@@ -82,7 +84,7 @@ class Job:
 def job_from_manifest(manifest: DataFrame, name: str, sql: str, **options) -> Job:
     """The manifest's entry of that name (any case) as a job that runs ``sql``.
 
-    ``options`` are the fields a manifest does not have: order_by, split_key, family, partitions.
+    ``options`` are the fields a manifest does not have: order_by, unique_order, split_key, family, partitions.
     """
     row = manifest.filter(F.lower("name") == name.lower()).orderBy("name", "staging_table").first()
     if row is None:

@@ -134,10 +134,10 @@ def autofix(compared: DataFrame) -> DataFrame:
 def sync(registry: DataFrame, catalog: DataFrame, master: DataFrame) -> DataFrame:
     """Merge a master list of names into the registry, one row per resulting entry with ``status``.
 
-    A listed name unknown to the catalog is MISSING_IN_DB and carries no entry. A listed name new
+    A listed name unknown to the catalog is MISSING_IN_DB; a registered one keeps its entry. A listed name new
     to the registry is ADDED with inferred fields; a registered one is UPDATED when parameters
     (in order) or threshold differ from the catalog, else UNMODIFIED. Registry entries that are
-    not listed are RETAINED. Master names come from ``master_list``: one per name in any case.
+    not listed are RETAINED. ``registered`` tells whether the registry had the name. Master names come from ``master_list``: one per name in any case.
     """
     keyed = registry.withColumn("key", name_key(F.col("name")))
     # Of several entries of one name the first in column order counts; min() combines them map-side.
@@ -153,8 +153,8 @@ def sync(registry: DataFrame, catalog: DataFrame, master: DataFrame) -> DataFram
     )
     known, present = F.col("db_name").isNotNull(), F.col("old_name").isNotNull()
     old_params = F.coalesce("old_parameters", F.array().cast(_EMPTY))
-    params_differ = _lowered(F.col("old_parameters")) != _lowered(F.col("params"))
-    threshold_differs = F.coalesce("old_threshold", F.lit(0)) != F.coalesce("db_threshold", F.lit(0))
+    params_differ = known & (_lowered(F.col("old_parameters")) != _lowered(F.col("params")))
+    threshold_differs = known & (F.coalesce("old_threshold", F.lit(0)) != F.coalesce("db_threshold", F.lit(0)))
     status = (
         F.when(~known, "MISSING_IN_DB")
         .when(~present, "ADDED")
@@ -163,7 +163,7 @@ def sync(registry: DataFrame, catalog: DataFrame, master: DataFrame) -> DataFram
     )
 
     def entry(added: Column, updated: Column) -> Column:
-        return F.when(known & ~present, added).when(known, updated)
+        return F.when(present, updated).when(known, added)
 
     merged_threshold = (
         F.when(~threshold_differs, F.col("old_threshold"))
@@ -171,7 +171,7 @@ def sync(registry: DataFrame, catalog: DataFrame, master: DataFrame) -> DataFram
         .otherwise(F.lit(0).cast("long"))
     )
     processed = listed.select(
-        F.when(~known, F.col("listed_name")).when(present, F.col("old_name")).otherwise(F.col("db_name")).alias("name"),
+        F.when(present, F.col("old_name")).when(~known, F.col("listed_name")).otherwise(F.col("db_name")).alias("name"),
         status.alias("status"),
         entry(infer_display_name(F.col("db_name")), F.col("old_display_name")).alias("display_name"),
         entry(infer_data_type(F.col("db_name")), F.col("old_data_type")).alias("data_type"),
@@ -179,14 +179,15 @@ def sync(registry: DataFrame, catalog: DataFrame, master: DataFrame) -> DataFram
         entry(F.col("params"), F.when(params_differ, F.col("params")).otherwise(old_params)).alias("parameters"),
         entry(infer_file_prefix(F.col("db_name")), F.col("old_file_prefix")).alias("file_prefix"),
         entry(F.col("db_threshold"), merged_threshold).alias("threshold"),
+        present.alias("registered"),
     )
-    retained = keyed.join(master.select("key"), "key", "left_anti").withColumn("status", F.lit("RETAINED"))
+    retained = keyed.join(master.select("key"), "key", "left_anti").withColumns({"status": F.lit("RETAINED"), "registered": F.lit(True)})
     return processed.unionByName(retained.select(*processed.columns))
 
 
 def synced_registry(synced: DataFrame) -> DataFrame:
-    """The registry to write back: every entry that the merge keeps, updates or adds."""
-    return synced.filter(F.col("status") != "MISSING_IN_DB").drop("status")
+    """The registry to write back: every entry that the merge keeps, updates or adds; none that was registered goes."""
+    return synced.filter((F.col("status") != "MISSING_IN_DB") | F.col("registered")).drop("status", "registered")
 
 
 def sync_summary(synced: DataFrame) -> DataFrame:

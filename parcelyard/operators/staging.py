@@ -240,11 +240,12 @@ def stage(
     columns alone do not. Without ``path`` the table goes to the scratch folder. ``partitions``
     is for very large inputs: about input bytes / 256 MB, so that each sort stays in memory. By
     default the session's shuffle partitions are used and small ones are merged at run time.
+    Measured bytes leave the source position out.
     """
     refuse_columns(df.columns, (PART, POSITION, BYTES))
     spark = df.sparkSession
     path = path or scratch_path(spark, "staging")
-    size = row_bytes(df) if measure_bytes else F.lit(0).cast("long")
+    size = row_bytes(df.drop(SOURCE_FILE, SOURCE_ROW)) if measure_bytes else F.lit(0).cast("long")
     keys = [F.asc_nulls_first(c) for c in order_by]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed = (

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.functions.errors import NOT_A_DATABASE_ERROR
+from parcelyard.functions.errors import NOT_A_DATABASE_ERROR, collapse_messages
 from parcelyard.functions.text import run_id
 from parcelyard.operators.extract import Job, check_arguments, run_job
 from parcelyard.operators.profile import apply_profile, profile_rules, quarantine
@@ -19,7 +19,7 @@ from parcelyard.operators.split import (
     SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_by_number, split_total,
 )
 from parcelyard.operators.staging import (
-    BYTES, PART, POSITION, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store, with_source_position,
+    BYTES, PART, POSITION, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store,
 )
 from parcelyard.operators.totals import run_totals
 from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
@@ -119,7 +119,7 @@ def deliver(
     except NothingToDeliver:
         pass  # the facts say so: every split violates
     except Exception as error:  # any failure is the run's outcome
-        facts["error_code"], facts["error_detail"] = NOT_A_DATABASE_ERROR, f"{type(error).__name__}: {error}"
+        facts["error_code"], facts["error_detail"] = NOT_A_DATABASE_ERROR, _told(spark, error)
     facts["duration_s"] = time.monotonic() - clock
     outcome = run_outcome(spark.createDataFrame([facts], _FACTS))
     audit_row = audit_rows(outcome, run_totals(files), output).coalesce(1)
@@ -127,6 +127,16 @@ def deliver(
     return Delivery(process_id, outcome, files, rejects, warning)
 
 
+def _told(spark: SparkSession, error: BaseException | None) -> str:
+    """The messages of an error and of those that caused it as one line."""
+    messages = []
+    while error is not None:
+        messages.append(f"{type(error).__name__}: {error}")
+        error = error.__cause__ or error.__context__
+    line = spark.createDataFrame([(messages,)], "messages array<string>").select(collapse_messages(F.col("messages")))
+    return line.first()[0]
+
+
 @contextlib.contextmanager
 def _timed(facts: dict, name: str) -> Iterator[None]:
     """Seconds of a phase, also of one that fails."""
@@ -144,15 +154,22 @@ def _stage(
     if job.family:
         return store(read_family(spark, job.family, _TABLE_NUMBER), path, measure_bytes=True)
     extract = run_job(spark, job, arguments, **sources)
-    if job.order_by:
-        order = dict.fromkeys([*([job.split_key] if job.split_key else []), *job.order_by])
-        return stage(extract, list(order), path, measure_bytes=True, partitions=job.partitions)
-    if not job.split_key:
+    order = list(dict.fromkeys([*([job.split_key] if job.split_key else []), *job.order_by]))
+    if not order:
         return store(extract, path, measure_bytes=True, partitions=job.partitions)
-    landed = with_source_position(store(extract).read().drop(PART, POSITION, BYTES))
-    return stage(
-        landed, [job.split_key, SOURCE_FILE, SOURCE_ROW], path, measure_bytes=True, partitions=job.partitions
-    )
+    if job.order_by and job.unique_order:
+        return stage(extract, order, path, measure_bytes=True, partitions=job.partitions)
+    # Landed once, a row's task and place make the order total: a hot key is cut, and ties lie alike in every run
+    # that reads the same files. File names hold a random id, so the numbers in them are taken.
+    landing, name = store(extract), F.col("_metadata.file_name")
+    task = F.regexp_extract(name, r"^part-(\d+)", 1).cast("long") * 1_000_000
+    file = task + F.coalesce(F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
+    try:
+        rows = landing.read().drop(PART, POSITION, BYTES)
+        landed = rows.select("*", file.alias(SOURCE_FILE), F.col("_metadata.row_index").alias(SOURCE_ROW))
+        return stage(landed, [*order, SOURCE_FILE, SOURCE_ROW], path, measure_bytes=True, partitions=job.partitions)
+    finally:
+        landing.drop()
 
 
 def _divide(spark: SparkSession, job: Job, staged: StagedRows, table: str) -> tuple[DataFrame, DataFrame, int]:
@@ -172,7 +189,7 @@ def _divide(spark: SparkSession, job: Job, staged: StagedRows, table: str) -> tu
         return rows, threshold_status(parts.splits, job.threshold, table, parts.count), parts.count
     splits = split_total(staged.total_rows, job.threshold)
     counts = capped_counts(spark, staged.total_rows, job.threshold)
-    rows = capped_split(staged, job.threshold).drop("row_index")
+    rows = capped_split(staged, job.threshold).drop("row_index", SOURCE_FILE, SOURCE_ROW)
     return rows, threshold_status(counts, job.threshold, table, splits), splits
 
 

@@ -105,17 +105,12 @@ def test_threshold_from_source(spark):
     assert values(spark, text.threshold_from_source, table) == list(table.values())
 
 
-def test_error_classes_and_retry(spark):
-    rows = spark.createDataFrame(
-        [(208, 1), (230, 1), (-2, 1), (-2, 2), (-2, 3), (40613, 1), (7, 1), (None, 1)], "code int, attempt int"
-    )
-    out = rows.select(
-        errors.error_class(F.col("code")), errors.will_retry(F.col("code"), F.col("attempt")),
-        errors.backoff_seconds(F.col("code"), F.col("attempt")),
-    ).collect()
+def test_error_classes(spark):
+    rows = spark.createDataFrame([(208,), (230,), (-2,), (40613,), (7,), (None,)], "code int")
+    out = rows.select(errors.error_class(F.col("code")), errors.is_transient(F.col("code"))).collect()
     assert [tuple(r) for r in out] == [
-        ("missing_object", False, None), ("permission_denied", False, None), ("timeout", True, 2),
-        ("timeout", True, 4), ("timeout", False, None), ("other", True, 2), ("other", False, None), (None, False, None),
+        ("missing_object", False), ("permission_denied", False), ("timeout", True), ("other", True), ("other", False),
+        (None, None),
     ]
 
 
@@ -345,13 +340,13 @@ def test_sync_decisions(spark):
     assert got == {
         "Keep": ("RETAINED", ["a"], 1), "Same": ("UNMODIFIED", ["a", "b"], 5), "Order": ("UPDATED", ["b", "a"], 5),
         "Limit": ("UPDATED", ["a"], 6), "Zero": ("UNMODIFIED", ["a"], 0), "Drop": ("UPDATED", ["a"], 0),
-        "My_IMP_X": ("ADDED", ["a"], 9), "Gone": ("MISSING_IN_DB", None, None), "nowhere": ("MISSING_IN_DB", None, None),
+        "My_IMP_X": ("ADDED", ["a"], 9), "Gone": ("MISSING_IN_DB", ["a"], 1), "nowhere": ("MISSING_IN_DB", None, None),
     }
     added = synced.filter("status = 'ADDED'").first()
     assert (added["display_name"], added["data_type"], added["staging_table"], added["file_prefix"]) == (
         "My IMP X", "Import", "TODO_FILL_THIS_IN", "Import_X"
     )
-    assert reconcile.synced_registry(synced).count() == 7
+    assert reconcile.synced_registry(synced).count() == 8
     summary = reconcile.sync_summary(synced).first()
     assert tuple(summary) == (8, 1, 1, 3, 2, 2, True)
     again = reconcile.sync(reconcile.synced_registry(synced), snapshot, master)

@@ -383,3 +383,29 @@ def test_stream_batch_may_run_again_after_its_offset(spark, tmp_path):
     rows = capped.read_stream_output(spark, out)
     assert sorted(r["id"] for r in rows.collect()) == list(range(130))
     assert {r[0]: r[1] for r in rows.groupBy("split_id").count().collect()} == {1: 40, 2: 40, 3: 40, 4: 10}
+
+
+def test_hot_order_key_is_cut_and_repeats(spark, tmp_path):
+    """A third of the rows on one day: no partition holds them all, and two runs place every row alike."""
+    source = str(tmp_path / "source")
+    rows = spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 7, id % 500) as day")
+    rows.repartition(6).write.parquet(source)
+    job = extract.Job(name="Hot", sql="select * from {rows}", order_by=("day",), partitions=12)
+    places = []
+    for turn in range(2):
+        staged = run._stage(spark, job, {}, str(tmp_path / f"staged{turn}"), {"rows": spark.read.parquet(source)})
+        sizes = [part.rows for part in staged.parts]
+        assert max(sizes) < 2 * sum(sizes) / 12
+        placed = split.capped_split(staged, 1_000).select("id", "split_id", "split_row")
+        places.append({tuple(r) for r in placed.collect()})
+    assert places[0] == places[1]
+
+
+def test_nested_errors_are_told_in_one_line(spark):
+    try:
+        try:
+            raise ValueError("disk full")
+        except ValueError as inner:
+            raise RuntimeError("write failed") from inner
+    except RuntimeError as outer:
+        assert run._told(spark, outer) == "RuntimeError: write failed — ValueError: disk full"

@@ -521,9 +521,7 @@ SELECT event_id, code, attempt,
        WHEN code = 18456 THEN 'login_failed' WHEN code IN (-2, 258) THEN 'timeout' WHEN code = 1205 THEN 'deadlock'
        WHEN code = 515 THEN 'null_not_allowed' WHEN code = 547 THEN 'constraint_violation' ELSE 'other' END AS error_class,
   {error_message('code', 'detail')} AS message,
-  code IN (-2, 258, 1205, 4060, 40197, 40501, 40613) AS transient,
-  code IN (-2, 258, 1205, 4060, 40197, 40501, 40613) AND attempt < 3 AS will_retry,
-  CASE WHEN code IN (-2, 258, 1205, 4060, 40197, 40501, 40613) AND attempt < 3 THEN attempt * 2 END AS backoff_seconds
+  code IN (-2, 258, 1205, 4060, 40197, 40501, 40613) AS transient
 FROM attempts"""
 
 ORACLES["error_collapse"] = """SELECT event_id,
@@ -607,8 +605,8 @@ matched AS (
          coalesce(r.threshold, 0) <> coalesce(s.db_threshold, 0) AS threshold_differs
   FROM master m LEFT JOIN snapshot s ON s.key = m.key LEFT JOIN registry r ON lower(r.name) = m.key),
 processed AS (
-  SELECT listed_name AS name, 'MISSING_IN_DB' AS status, NULL AS display_name, NULL AS data_type, NULL AS staging_table,
-         NULL AS parameters, NULL AS file_prefix, NULL AS threshold FROM matched WHERE db_name IS NULL
+  SELECT coalesce(old_name, listed_name) AS name, 'MISSING_IN_DB' AS status, display_name, data_type, staging_table,
+         parameters, file_prefix, threshold FROM matched WHERE db_name IS NULL
   UNION ALL
   SELECT db_name, 'ADDED', replace(db_name, '_', ' '), 'Export', 'TODO_FILL_THIS_IN', params,
          regexp_replace(db_name, '(?i).*_EXP_', 'Export_'), db_threshold
@@ -632,7 +630,26 @@ SELECT count(*) FILTER (status <> 'RETAINED') AS listed, count(*) FILTER (status
   count(*) FILTER (status = 'UNMODIFIED') AS unmodified, count(*) FILTER (status = 'MISSING_IN_DB') AS missing_in_db,
   bool_or(status IN ('ADDED', 'UPDATED')) AS changed FROM processed"""
 
-ORACLES["manifest_write_back"] = f"WITH {SYNCED} SELECT {_SYNC_COLUMNS} FROM processed WHERE status <> 'MISSING_IN_DB'"
+ORACLES["manifest_write_back"] = f"""WITH {SYNCED} SELECT {_SYNC_COLUMNS} FROM processed
+WHERE status <> 'MISSING_IN_DB' OR lower(name) IN (SELECT lower(name) FROM registry)"""
+
+# ---- whole runs ---------------------------------------------------------------------------------
+
+DELIVERED = f"""ordered AS (
+  SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_index FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'),
+placed AS (SELECT *, {SPLIT} AS file_index FROM ordered)"""
+
+ORACLES["delivery_run_rows"] = f"""WITH {DELIVERED} -- the target profile has 32-bit integers
+SELECT o_orderkey::INTEGER AS o_orderkey, o_custkey::INTEGER AS o_custkey, file_index FROM placed"""
+
+ORACLES["delivery_run_files"] = f"WITH {DELIVERED} SELECT file_index, count(*) AS rows FROM placed GROUP BY file_index"
+
+ORACLES["delivery_run_audit"] = f"""WITH {DELIVERED}
+SELECT count(*) AS total_rows, max(file_index) AS splits, 0 AS violations, 0::BIGINT AS rejects, 1 AS audit_rows FROM placed"""
+
+ORACLES["delivery_family"] = """SELECT 'delivered_twelve_' || (o_orderkey % 12 + 1) AS table_name, count(*) AS rows
+FROM orders GROUP BY 1"""
 
 # ---- streaming ----------------------------------------------------------------------------------
 

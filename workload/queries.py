@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from parcelyard.functions import coerce, errors, text
 from parcelyard.operators import extract, profile, reconcile, split, staging, totals, validate
-from parcelyard.plans import audit, deliver, outcome, reports
+from parcelyard.plans import audit, deliver, outcome, reports, run
 from parcelyard.session import scratch_path
 from parcelyard.sources import catalog, manifest, tables
 from parcelyard.streaming import capped
@@ -498,14 +498,12 @@ def infer_metadata(spark, sf):
 
 @query
 def error_classify(spark, sf):
-    code, attempt = F.col("code"), F.col("attempt")
+    code = F.col("code")
     return derived.attempts(spark, sf).select(
         "event_id", "code", "attempt",
         errors.error_class(code).alias("error_class"),
         errors.error_message(code, F.col("detail")).alias("message"),
         errors.is_transient(code).alias("transient"),
-        errors.will_retry(code, attempt).alias("will_retry"),
-        errors.backoff_seconds(code, attempt).alias("backoff_seconds"),
     )
 
 
@@ -563,7 +561,7 @@ def reconcile_report_text(spark, sf):
 
 @query
 def registry_sync(spark, sf):
-    return _synced(spark, sf).withColumn("parameters", F.array_join("parameters", ","))
+    return _synced(spark, sf).drop("registered").withColumn("parameters", F.array_join("parameters", ","))
 
 
 @query
@@ -580,6 +578,48 @@ def manifest_write_back(spark, sf):
     )
 
 
+# ---- whole runs ---------------------------------------------------------------------------------
+
+
+def _year_run(spark, sf, output):
+    arguments = {"mon": 19960101, "mon1": 19971231}
+    return run.deliver(spark, RANGE_JOB, arguments, output, started=STARTED, orders=_orders(spark, sf))
+
+
+@query
+def delivery_run_rows(spark, sf):
+    """Request to delivered files: which output holds which order."""
+    output = scratch_path(spark, "run")
+    files = _year_run(spark, sf, output).files.select("file_index", F.substring_index("path", "=", -1).alias("output"))
+    folder = f"{output}/data/{RANGE_JOB.file_prefix}_{STARTED:%d%m%Y}"
+    return spark.read.parquet(folder).join(files, "output").select("o_orderkey", "o_custkey", "file_index")
+
+
+@query
+def delivery_run_files(spark, sf):
+    return _year_run(spark, sf, scratch_path(spark, "run")).files.select("file_index", "rows")
+
+
+@query
+def delivery_run_audit(spark, sf):
+    """The audit row that a run appends, without its times."""
+    output = scratch_path(spark, "run")
+    done = _year_run(spark, sf, output)
+    written = spark.read.parquet(f"{output}/audit").count()
+    return done.outcome.select("total_rows", "splits", "violations", "rejects", F.lit(written).alias("audit_rows"))
+
+
+@query
+def delivery_family(spark, sf):
+    """A family of twelve tables, delivered whole."""
+    base, siblings = "delivered_twelve", 12
+    for n in range(siblings):
+        _orders(spark, sf).filter(F.col("o_orderkey") % siblings == n).createOrReplaceTempView(f"{base}_{n + 1}")
+    job = extract.Job(name="Orders_EXP_Family", file_prefix="Export_Family", family=base)
+    done = run.deliver(spark, job, {}, scratch_path(spark, "run"), started=STARTED)
+    return done.files.select("table_name", "rows")
+
+
 # ---- streaming ----------------------------------------------------------------------------------
 
 
