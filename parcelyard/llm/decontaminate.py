@@ -111,7 +111,9 @@ def phrase_matches(tokens: DataFrame, windows: DataFrame) -> DataFrame:
         .groupBy(*KEY).agg(F.collect_list(F.struct("start", "terms", "window_id")).alias("possible")),
         "possible",
     )
-    texts = tokens.select(*KEY, "w").join(listed, KEY)
+    # Only documents with possible starts are moved to them.
+    holders = _small(listed.select(*KEY))
+    texts = tokens.select(*KEY, "w").join(holders, KEY, "left_semi").join(listed, KEY)
     same = F.filter("possible", lambda p: F.slice("w", p["start"] + 1, F.size(p["terms"])) == p["terms"])
     found = F.transform(same, lambda p: F.struct(p["start"], F.size(p["terms"]).alias("size"), p["window_id"].alias("window_id")))
     return texts.select(*KEY, found.alias("found")).filter(F.size("found") > 0).dropDuplicates(KEY)
