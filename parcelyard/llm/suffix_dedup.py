@@ -9,13 +9,13 @@ new group just above its own, by how many members it got. Phase two emits each g
 the sorted suffixes, the suffix before one, and along the previous-smaller pointers from there, takes the next free
 place of its group. No suffix is renamed or sorted again.
 
-So that equal strings meet without sorting the corpus in one place, a start belongs to the first anchor of its
-string: a position whose hash of ``ANCHOR`` bytes is divisible by ``SPARSE``. Starts of one anchor are a run; the run's
-context is all bytes its strings cover. Contexts are dealt by anchor hash. An anchor without a second occurrence has
-no repeats. A context that occurs again as a whole is repeated wholly, whatever its number, and is kept once. The
-different contexts of an anchor are joined to one text, whose suffix array puts equal strings side by side. Strings
-without an anchor are dealt by their own hash. Where different contexts of an anchor exceed ``GROUP_BYTES``, its
-strings are dealt by the hash of the whole string instead, and so spread: the exact way for hot anchors.
+So that equal strings meet without sorting the corpus in one place, a start belongs to the anchor of its string: of
+the pieces of ``ANCHOR`` bytes in it the one whose hash is least (the first of equal ones), which depends on the string
+alone. Consecutive starts of one anchor are a run; the run's context is all bytes its strings cover. Only runs whose
+anchor occurs again go further, dealt by anchor hash. A context that occurs again as a whole is repeated wholly,
+whatever its number, and is kept once. The different contexts of an anchor are joined to one text, whose suffix array
+puts equal strings side by side; strings of which no other context has the middle part are left out before. Where different contexts of an anchor exceed ``GROUP_BYTES``, its strings are dealt by
+the hash of the whole string instead, and so spread: the exact way for hot anchors.
 
 Hashes have 64 bits, strings dealt by their own hash are compared by 128. Defined cases: NULL text is empty; texts
 below ``length`` bytes lose nothing; repeated rows and ids are texts of their own, so copies remove each other.
@@ -32,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import keep
+from parcelyard.llm.common import discard, keep
 
 LENGTH = 400
-ANCHOR, SPARSE = 64, 64
+ANCHOR = 64
+CELLS = 16
 GROUP_BYTES = 1 << 16
 _MIX = np.uint64(0xFF51AFD7ED558CCD)  # fixed value: a mixing constant
-RUNS = "row long, first long, last long, anchor long, c1 long, c2 long, context binary"
+_HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 
 
 def suffix_array(text) -> list[int]:
@@ -135,6 +136,45 @@ def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
     return [again[s : s + max(0, len(c) - length + 1)] for s, c in zip(start_of, contexts)]
 
 
+def repeated_around(contexts: list[bytes], length: int) -> list[np.ndarray]:
+    """As ``repeated_starts``, for contexts of one anchor.
+
+    Strings that reach about as far before the anchor have a middle part in common, which two contexts must share if they
+    share one of the strings. What then is left of a context are pieces; equal ones are repeated and sorted once.
+    """
+    size = min(ANCHOR, length)
+    around, out = length - size, [np.zeros(max(0, len(c) - length + 1), bool) for c in contexts]
+    step = max(1, around // CELLS)
+    cells: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+    for k, c in enumerate(contexts):
+        hashes = gram_hashes(np.frombuffer(c[:length], np.uint8), size)
+        at, starts = int(np.argmin(hashes & _HIGH)), len(out[k])
+        for j in range((at - starts + 1) // step, at // step + 1):
+            low, high = j * step, min((j + 1) * step - 1, around)
+            middle = c[at - low : at + length - high]
+            cells.setdefault((j, middle), []).append((k, max(0, at - high), min(starts - 1, at - low)))
+    spans: dict[int, list[list[int]]] = {}
+    for k, first, last in sorted(x for found in cells.values() if len(found) > 1 for x in found):
+        mine = spans.setdefault(k, [])
+        if mine and mine[-1][1] >= first - 1:
+            mine[-1][1] = last
+        else:
+            mine.append([first, last])
+    pieces: dict[bytes, list[tuple[int, int, int]]] = {}
+    for k, mine in spans.items():
+        for first, last in mine:
+            pieces.setdefault(contexts[k][first : last + length], []).append((k, first, last))
+    if len(pieces) > 1:
+        for again, holders in zip(repeated_starts(list(pieces), length), pieces.values()):
+            for k, first, last in holders:
+                out[k][first : last + 1] = again
+    for holders in pieces.values():
+        if len(holders) > 1:
+            for k, first, last in holders:
+                out[k][first : last + 1] = True
+    return out
+
+
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """64-bit hash of every ``size`` consecutive bytes, by doubling."""
     level = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -156,22 +196,21 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
         width *= 2
 
 
-def runs(data: bytes, length: int) -> Iterator[tuple[int, int, int | None]]:
-    """Runs of starts: first, last, and the hash of their first anchor (None: the starts have no anchor)."""
-    hashes = gram_hashes(np.frombuffer(data, np.uint8), ANCHOR)
-    anchors = np.flatnonzero(hashes % np.uint64(SPARSE) == 0)
-    reach, last_start, at = length - ANCHOR, len(data) - length, 0
-    for p in anchors.tolist():
-        if at > last_start:
-            break
-        low, high = max(at, p - reach), min(p, last_start)
-        if at < min(low, last_start + 1):
-            yield at, min(low, last_start + 1) - 1, None
-        if low <= high:
-            yield low, high, int(hashes[p].view(np.int64))
-        at = p + 1
-    if at <= last_start:
-        yield at, last_start, None
+def runs(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of starts with one anchor: first start, last start, and the anchor's hash. ``data`` has ``length`` bytes or more."""
+    size = min(ANCHOR, length)
+    hashes = gram_hashes(np.frombuffer(data, np.uint8), size)
+    starts, width, have = len(data) - length + 1, length - size + 1, 1
+    # The upper half of the hash, then the place: of equal ones, the first is the least.
+    least = (hashes & _HIGH) | np.arange(len(hashes), dtype=np.uint64)
+    while 2 * have <= width:
+        least = np.minimum(least[:-have], least[have:])
+        have *= 2
+    least = np.minimum(least[:starts], least[width - have : width - have + starts])
+    places = (least & _LOW).astype(np.int64)
+    first = np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1])
+    last = np.concatenate([first[1:] - 1, [starts - 1]])
+    return first, last, hashes[places[first]].view(np.int64)
 
 
 def _halves(data: bytes) -> tuple[int, int]:
@@ -191,17 +230,18 @@ def find_runs(texts: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, digests = [], []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (text.as_py() or "").encode()
                 if len(data) < length:
                     continue
-                for first, last, anchor in runs(data, length):
-                    if anchor is None:  # every string is its own context
-                        rows += [(row, i, i, None, *_halves(data[i : i + length])) for i in range(first, last + 1)]
-                    else:
-                        rows.append((row, first, last, anchor, *_halves(data[first : last + length])))
-            yield _batch(rows, SHORT)
+                first, last, anchor = runs(data, length)
+                rows.append((np.full(len(first), row), first, last, anchor))
+                digests += [hashlib.blake2b(data[f : t + length], digest_size=16).digest() for f, t in zip(first.tolist(), last.tolist())]
+            if rows:
+                halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                columns = [np.concatenate(c) for c in zip(*rows)] + [halves[:, 0], halves[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [f.split()[0] for f in SHORT.split(", ")])
 
     return texts.select("row", "text").mapInArrow(cut, SHORT)
 
@@ -211,7 +251,10 @@ SHORT = "row long, first long, last long, anchor long, c1 long, c2 long"
 
 def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Repeated starts of ``texts`` (row, text), a stored table: row, first, last."""
-    found = keep(find_runs(texts, length), "runs")
+    every = keep(find_runs(texts, length), "runs")
+    again = every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    found = keep(every.join(again, "anchor", "left_semi"), "shared-runs")
+    discard(every)
     counted = keep(
         found.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("row", "first", "last")).alias("at")),
         "contexts",
@@ -219,10 +262,7 @@ def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = found.join(counted.filter("copies > 1").select("c1", "c2"), ["c1", "c2"], "left_semi").select("row", "first", "last")
     # Anchors with different contexts, one occurrence of each; only those need sorting.
     size = F.col("at.last") - F.col("at.first") + length
-    several = keep(
-        counted.filter("anchor is not null").groupBy("anchor").agg(F.count("*").alias("c"), F.sum(size).alias("bytes")).filter("c > 1"),
-        "anchors",
-    )
+    several = keep(counted.groupBy("anchor").agg(F.count("*").alias("c"), F.sum(size).alias("bytes")).filter("c > 1"), "anchors")
     chosen = keep(counted.join(several, "anchor").select("anchor", "copies", "bytes", "at.*"), "chosen")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,9 +279,10 @@ def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def sort(key, frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for row, first, copies, again in zip(frame["row"], frame["first"], frame["copies"], repeated_starts(list(frame["context"]), length)):
+        for row, first, copies, again in zip(frame["row"], frame["first"], frame["copies"], repeated_around(list(frame["context"]), length)):
             if copies == 1:
-                out += [(row, first + int(i), first + int(i)) for i in np.flatnonzero(again)]
+                edges = np.flatnonzero(np.diff(again.astype(np.int8), prepend=0, append=0)) + first
+                out += [(row, int(i), int(j) - 1) for i, j in edges.reshape(-1, 2)]
         return pd.DataFrame(out, columns=["row", "first", "last"], dtype="int64")
 
     small = taken.filter(F.col("bytes") <= GROUP_BYTES)
