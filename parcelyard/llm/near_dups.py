@@ -227,8 +227,11 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return found.unionByName(keep(linked(sets, keep(pairs, "pairs"), percent), "links"))
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
-    """Per document: row_id, row_hash, doc_id, n_shingles, component_id, kept."""
+def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
+    """Per document: row_id, row_hash, doc_id, n_shingles, label, component_id, kept.
+
+    ``label`` tells components apart, also those whose ids are equal or all NULL; it is NULL for empty sets.
+    """
     signed = keep(signatures(docs, size), "signatures")
     nodes = keep(
         signed.filter("n > 0").groupBy("set_a", "set_b")
@@ -246,28 +249,33 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     named = nodes.join(labels, "node", "left").select("set_a", "set_b", "least", F.coalesce("label", "node").alias("label"))
     named = keep(named, "named")
     first = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_set = named.join(first, "label").select("set_a", "set_b", "component_id")
+    of_set = named.join(first, "label").select("set_a", "set_b", "label", "component_id")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     return (
         signed.drop("bands").join(of_set, ["set_a", "set_b"], "left")
-        .select("row_id", "row_hash", "doc_id", F.col("n").alias("n_shingles"), own)
+        .select("row_id", "row_hash", "doc_id", F.col("n").alias("n_shingles"), "label", own)
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
+    """Per document: row_id, row_hash, doc_id, n_shingles, component_id, kept."""
+    return grouped(docs, size, percent).drop("label")
+
+
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """One document of each group stays, with all its columns; empty sets stay.
 
     ``docs`` must be a stored table. Of repeated rows with a group's smallest id, the first by place stays.
     """
-    found = near_duplicates(docs, size, percent).filter("kept").select("row_id", "row_hash", "component_id", "n_shingles").distinct()
+    found = grouped(docs, size, percent).filter("kept").select("row_id", "row_hash", "label", "n_shingles").distinct()
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     names = {"_row_id": row_key()[0], "_row_hash": row_key()[1], "_place": place}
     keyed = docs.withColumns(names)
     candidates = keyed.select("_row_id", "_row_hash", "_place").join(
         found.withColumnsRenamed({"row_id": "_row_id", "row_hash": "_row_hash"}), ["_row_id", "_row_hash"]
     )
-    one = candidates.filter("n_shingles > 0").groupBy("component_id").agg(F.min("_place").alias("_place")).select("_place")
+    one = candidates.filter("n_shingles > 0").groupBy("label").agg(F.min("_place").alias("_place")).select("_place")
     alone = candidates.filter("n_shingles = 0").select("_place")
     chosen = keep(one.unionByName(alone), "chosen")
     return keyed.join(chosen, "_place", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -148,6 +148,14 @@ def test_one_of_each_group_stays(spark, documents):
     assert len(rows) == len(groups) + empty and {r["doc_id"] for r in rows if (r["text"] or "").strip()} == groups
 
 
+def test_unrelated_groups_with_one_id_all_stay(spark, documents):
+    other = ["red owls fly over the old barn", "we sold nine boats last week", "cold soup is best in july", "his train left before dawn today"]
+    docs = [(None, other[0]), (None, other[1]), (None, other[1]), (7, other[2]), (7, other[3]), (7, other[3]), (9, other[3].upper())]
+    kept = near_dups.keep_one(keep(documents(docs), "docs")).collect()
+    assert sorted(r["text"] for r in kept) == sorted(other)
+    assert Counter(r["doc_id"] for r in kept) == {None: 2, 7: 2}
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, rng.randrange(1, 50)) for _ in range(80)] + [(200, 200), (300, 310), (310, 305)]
