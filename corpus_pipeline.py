@@ -23,7 +23,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand, equal or one edit away, earlier in the corpus go; documents left without a line go too."""
-    return line_dedup.keep_first_lines(docs)
+    return line_dedup.keep_first_lines(docs, stored=True)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

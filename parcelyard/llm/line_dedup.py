@@ -14,10 +14,12 @@ go no further. Those left are cut into about sqrt(m) segments, and only segments
 variants, as keys of frame and variant. Lines with an equal key are joined through the earliest line of the key, never
 pairwise, and the edit distance of each such pair is verified on the texts.
 
-Defined cases: NULL and empty texts have no lines to remove; equal rows (same id and text) are the same document and lose
-the same lines; lines of documents with equal ids are ordered by line number, and of two lines at the same place
-neither is earlier; a NULL id comes first; lines end at newline characters, and other characters, also carriage returns,
-belong to the line.
+Defined cases: NULL and empty texts have no lines to remove; a NULL id comes first; lines of documents with equal ids are
+ordered by line number. In a ``stored`` table the order is total: at the same id and line number the hash of the text
+decides, and of equal rows (same id and text) the first by file and row, so all lines of the others are later copies.
+Frames that are not stored have no row numbers: there equal rows are the same document and lose the same lines, and of
+two lines at the same id and line number neither is earlier. Lines end at newline characters, and other characters, also
+carriage returns, belong to the line.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from parcelyard.llm.common import keep, row_key
 MIN_CHARS = 16
 LINE = ["h1", "h2"]  # 128-bit identity of a line's text
 KEY = ["row_id", "row_hash"]
+PLACE = ["row_id", "pos"]
+TOTAL = [*PLACE, "row_hash"]  # the place in a stored table; equal rows are told apart by later_rows
 
 
 def _identity(line: str) -> list[Column]:
@@ -77,11 +81,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select(*row_key(), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
 
 
-def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS, place: list[str] = PLACE) -> DataFrame:
     """Each distinct long enough line: identity, first place, and its frames for two segments."""
     rows = lines_of(docs).withColumn("n", F.char_length("line")).filter(F.col("n") >= min_chars)
-    rows = rows.select("row_id", "pos", *_identity("line"), *[f.alias(f"f{k}") for k, f in enumerate(half_frames("line"))])
-    return rows.groupBy(*LINE).agg(F.min(F.struct("row_id", "pos")).alias("first"), *[F.min(f"f{k}").alias(f"f{k}") for k in range(4)])
+    rows = rows.select(*place, *_identity("line"), *[f.alias(f"f{k}") for k, f in enumerate(half_frames("line"))])
+    return rows.groupBy(*LINE).agg(F.min(F.struct(*place)).alias("first"), *[F.min(f"f{k}").alias(f"f{k}") for k in range(4)])
 
 
 def shared_keys(keyed: DataFrame, key: str) -> DataFrame:
@@ -96,7 +100,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     possible = halves.join(shared_keys(halves, "frame"), "frame", "left_semi").select(*LINE).distinct()
     places = keep(firsts.select(*LINE, "first").join(possible, LINE), "possible-lines")
     # Their texts, each from its first place.
-    wanted = places.select(*LINE, "first", "first.*")
+    wanted = places.select(*LINE, "first", "first.row_id", "first.pos")
     holders = keep(wanted.select("row_id").distinct(), "holders")
     texts = lines_of(docs.join(holders, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))) == F.col("row_id"), "left_semi"))
     texts = texts.select("row_id", "pos", "line", *_identity("line")).join(wanted, ["row_id", "pos", *LINE])
@@ -125,13 +129,13 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return keep(verified.select(*LINE).distinct(), "near-lines")
 
 
-def line_flags(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_flags(docs: DataFrame, min_chars: int = MIN_CHARS, place: list[str] = PLACE) -> DataFrame:
     """Rows that lose lines: row_id, row_hash, and ``mask`` with a byte per line, '1' where it goes."""
-    firsts = keep(distinct_lines(docs, min_chars), "first-lines")
+    firsts = keep(distinct_lines(docs, min_chars, place), "first-lines")
     near = near_lines(docs, firsts).withColumn("near", F.lit(True))
     of_line = firsts.select(*LINE, "first").join(near, LINE, "left")
     placed = lines_of(docs).select(*KEY, "pos", *_identity("line"))
-    goes = F.coalesce("near", F.lit(False)) | (F.col("first") < F.struct("row_id", "pos"))
+    goes = F.coalesce("near", F.lit(False)) | (F.col("first") < F.struct(*place))
     flags = placed.join(of_line, LINE, "left").select(*KEY, "pos", F.coalesce(goes, F.lit(False)).alias("goes"))
     # Equal rows send equal flags; one of each place is enough.
     listed = flags.distinct().groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("pos", "goes"))).alias("flags"), F.max("goes").alias("any"))
@@ -139,21 +143,46 @@ def line_flags(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return keep(listed.filter("any").select(*KEY, mask.alias("mask")), "line-masks")
 
 
-def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` (doc_id, text and more) with ``_kept``, the text of the lines that stay, and ``_removed``, how many went."""
-    masks = line_flags(docs, min_chars).select(F.col("row_id").alias("_row_id"), F.col("row_hash").alias("_row_hash"), F.col("mask").alias("_mask"))
+def _stored_place() -> Column:
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """The first place of each text row that a stored table holds more than once: row_id, row_hash, at."""
+    rows = docs.filter(F.col("text").isNotNull()).select(*row_key(), _stored_place().alias("at"))
+    counted = rows.groupBy(*KEY).agg(F.min("at").alias("at"), F.count("*").alias("c"))
+    return counted.filter("c > 1").select(*KEY, "at")
+
+
+def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text and more) with ``_kept``, the text of the lines that stay, and ``_removed``, how many went.
+
+    ``stored``: ``docs`` is a stored table, and exactly one of all copies of a line is the earliest.
+    """
+    masks = line_flags(docs, min_chars, TOTAL if stored else PLACE)
     keyed = docs.withColumns({"_row_id": row_key()[0], "_row_hash": row_key()[1]})
+    if stored:
+        masks = masks.join(first_rows(docs), KEY, "full")
+        keyed = keyed.withColumn("_place", _stored_place())
+    masks = masks.withColumnsRenamed({c: f"_{c}" for c in masks.columns})
     joined = keyed.join(masks, ["_row_id", "_row_hash"], "left")
-    stays = F.filter(F.split("text", "\n", -1), lambda _, i: F.substring(F.col("_mask"), i + 1, F.lit(1)) == F.lit(b"0"))
+    lines = F.split("text", "\n", -1)
+    stays = F.filter(lines, lambda _, i: F.substring(F.col("_mask"), i + 1, F.lit(1)) == F.lit(b"0"))
     kept = F.when(F.col("_mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
     removed = F.coalesce(F.octet_length(F.regexp_replace(F.col("_mask").cast("string"), "0", "")), F.lit(0))
+    if stored:
+        # Every line of a later equal row stands in the first one too.
+        later = F.col("_at").isNotNull() & (F.col("_place") != F.col("_at"))
+        short = F.filter(lines, lambda line: F.char_length(line) < min_chars)
+        kept = F.when(later, F.array_join(short, "\n")).otherwise(kept)
+        removed = F.when(later, F.size(lines) - F.size(short)).otherwise(removed)
     names = [F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*names, kept.alias("_kept"), removed.cast("long").alias("_removed"))
 
 
-def digests(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def digests(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool = False) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, kept_sha256 (of the remaining text in UTF-8)."""
-    found = deduplicated(docs.select("doc_id", "text"), min_chars)
+    found = deduplicated(docs.select("doc_id", "text"), min_chars, stored)
     lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
     return found.select(
         F.col("doc_id").cast("long"), F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
@@ -161,12 +190,12 @@ def digests(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def keep_first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def keep_first_lines(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool = False) -> DataFrame:
     """Documents with the lines that stay as their text; one that lost lines and has nothing else left goes.
 
     ``n_chars`` follows the text where that column exists. Other columns stay as they are.
     """
-    found = deduplicated(docs, min_chars).filter((F.col("_removed") == 0) | (F.trim("_kept") != ""))
+    found = deduplicated(docs, min_chars, stored).filter((F.col("_removed") == 0) | (F.trim("_kept") != ""))
     changed = F.col("_removed") > 0
     out = []
     for c in docs.columns:

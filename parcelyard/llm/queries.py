@@ -51,7 +51,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digests(table(spark, sf_dir, "documents"))
+    return line_dedup.digests(table(spark, sf_dir, "documents"), stored=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -224,3 +224,22 @@ def test_line_dedup_hard_rows(spark, documents, hard):
     kept = line_dedup.keep_first_lines(df)
     assert kept.columns == df.columns
     assert all(r["n_chars"] == len(r["text"] or "") for r in kept.collect())
+
+
+def test_one_copy_of_a_line_stays_under_a_hot_id(spark, documents):
+    line, near, long = "Accept all cookies now", "Accept all cookies mow", "Subscribe to our letter"
+    docs = [(i, f"{line}\ntext number {'abcdefgh'[k]} {'qrstuvwx'[k] * 20}") for i in (None, 7) for k in range(8)]
+    docs += [(7, near + "\nshort"), (7, long), (7, long), (7, long), (7, long + "\nshort"), (None, None), (None, None), (8, ""), (8, "")]
+    df = keep(documents(docs, "'x' as place").selectExpr("*", "'y' as at"), "docs")
+    kept = line_dedup.keep_first_lines(df, stored=True)
+    assert kept.columns == df.columns
+    left = Counter(part for r in kept.collect() for part in (r["text"] or "").split("\n"))
+    # All NULL ids come before 7, and each further line stays once.
+    assert left[line] == 1 and left[near] == 0 and left[long] == 1 and left["short"] == 2
+    assert sum(part.startswith("text number") for part in left.elements()) == 8
+    removed = Counter(r["n_removed"] for r in line_dedup.digests(df, stored=True).collect())
+    assert sum(n * c for n, c in removed.items()) == 15 + 8 + 1 + 3
+    distinct = [d for d in docs if d[0] == 7][:1] + [(20, line), (21, near), (22, long), (23, long), (24, "a\nb")]
+    unique = keep(documents(distinct), "docs")
+    got = Counter(tuple(r) for r in line_dedup.digests(unique, stored=True).collect())
+    assert got == brute_lines(distinct, line_dedup.MIN_CHARS)
