@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without text or letters go."""
+    """Documents with letters stay, in whatever language and also with no model; those without text or letters go."""
     return langid.keep_identified(docs)
 
 

@@ -192,7 +192,13 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Documents whose language can be told; the others (NULL, no letter) go. All columns stay as they are."""
+    """Documents with letters; the others (NULL, no letter) go. All columns stay as they are.
+
+    Where there is nothing to learn from, every document with a letter stays. A text without any known word or n-gram
+    is no evidence against it: it stays too, as the language that sorts first (score 1 / number of languages).
+    """
     model = fit(docs.filter(learnable()))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = docs.withColumn("_found", language(docs, model))
     return found.filter(F.col("_found.lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])

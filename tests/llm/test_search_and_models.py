@@ -159,6 +159,25 @@ def test_language_hard_rows(spark, documents, hard):
     assert sorted(r["text"] for r in kept.collect()) == sorted(["the cat and the dog", "le chat et le chien", "xx", "le chat", "chats", "chats"])
 
 
+def test_language_stage_keeps_letters_without_a_model(spark, documents):
+    rows = [(1, "the cat"), (2, "日本語の文"), (None, "le chat"), (3, "123 --"), (4, None), (5, ""), (1, "the cat")]
+    letters = ["the cat", "the cat", "日本語の文", "le chat"]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 == 1]
+    unlabelled = documents([(i, t, None) for i, t in rows])
+    held_only = documents([(held[k], t, "en") for k, (_, t) in enumerate(rows)])
+    for docs in (unlabelled, held_only):
+        kept = langid.keep_identified(docs)
+        assert kept.columns == docs.columns and sorted(r["text"] for r in kept.collect()) == sorted(letters)
+
+
+def test_text_without_known_pieces_stays(spark, documents):
+    one, two = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    docs = documents([(one, "the cat", "en"), (two, "le chat", "fr"), (None, "日本語の文", None)])
+    got = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    assert got[None]["lang_pred"] == "en" and got[None]["score"] == 0.5
+    assert langid.keep_identified(docs).count() == 3
+
+
 def test_bounds_of_the_model_hold(spark, sf):
     docs = table(spark, sf, "documents")
     model = langid.fit(docs, documents=10**9, words=100, grams=50)
