@@ -76,14 +76,22 @@ def _by_key(bases: DataFrame) -> DataFrame:
     return bases.groupBy(name_key(F.col("base")).alias("key")).agg(F.min("base").alias("base"))
 
 
-def discover_families(names: DataFrame, bases: DataFrame) -> DataFrame:
-    """The tables to deliver for each base: ``base_1``, ``base_2`` ... up to the first gap and at
-    most nine, or the base itself when there is no ``base_1``. ``ignored_tables`` counts numbered
-    siblings that are left out.
+def _whole_runs(names: DataFrame) -> DataFrame:
+    """Per key the length of the unbroken run from 1, however long, and how many siblings there are.
 
-    The siblings of a base are folded into one bit mask per base before the shuffle; the
-    unbroken run from 1 is read off the mask.
+    Every number without a successor ends a run; the least of them ends the first. No base meets in one task.
     """
+    siblings = _numbered(names)
+    held = siblings.select("key", "n").distinct()
+    before = held.select("key", (F.col("n") - 1).alias("n"))
+    ends = held.join(before, ["key", "n"], "left_anti").groupBy("key").agg(F.min("n").alias("end"))
+    counted = siblings.groupBy("key").agg(F.min("n").alias("least"), F.count("*").alias("numbered"))
+    run = F.when(F.col("least") == 1, F.col("end")).otherwise(0).alias("run")
+    return counted.join(ends, "key").select("key", run, "numbered")
+
+
+def _limited_runs(names: DataFrame) -> DataFrame:
+    """``_whole_runs`` cut at nine: the siblings of a base are one bit mask before the shuffle."""
     siblings = (
         _numbered(names)
         .groupBy("key")
@@ -96,11 +104,17 @@ def discover_families(names: DataFrame, bases: DataFrame) -> DataFrame:
         F.when(F.col("mask").bitwiseAND((1 << n) - 1) == (1 << n) - 1, n).otherwise(0)
         for n in range(1, MAX_SIBLINGS + 1)
     ])
-    found = (
-        _by_key(bases)
-        .join(siblings, "key", "left")
-        .withColumn("run", F.coalesce(run, F.lit(0)))
-    )
+    return siblings.select("key", run.alias("run"), "numbered")
+
+
+def discover_families(names: DataFrame, bases: DataFrame, limit: bool = True) -> DataFrame:
+    """The tables to deliver for each base: ``base_1``, ``base_2`` ... up to the first gap, or the base
+    itself when there is no ``base_1``. ``ignored_tables`` counts numbered siblings that are left out.
+
+    ``limit`` stops at nine siblings, as the reference does; without it all that ``family_tables`` reads are found.
+    """
+    runs = _limited_runs(names) if limit else _whole_runs(names)
+    found = _by_key(bases).join(runs, "key", "left").withColumn("run", F.coalesce("run", F.lit(0)))
     indexes = F.when(F.col("run") > 0, F.sequence(F.lit(1), F.col("run"))).otherwise(F.array(F.lit(0)))
     return found.select(
         "base",
@@ -114,9 +128,9 @@ def discover_families(names: DataFrame, bases: DataFrame) -> DataFrame:
     )
 
 
-def ignored_siblings(names: DataFrame, bases: DataFrame) -> DataFrame:
+def ignored_siblings(names: DataFrame, bases: DataFrame, limit: bool = True) -> DataFrame:
     """The numbered siblings that ``discover_families`` leaves out, one row each."""
-    taken = discover_families(names, bases).select(name_key(F.col("table_name")).alias("taken"))
+    taken = discover_families(names, bases, limit).select(name_key(F.col("table_name")).alias("taken"))
     return (
         _numbered(names).join(_by_key(bases), "key")
         .join(taken, name_key(F.col("name")) == F.col("taken"), "left_anti")

@@ -382,6 +382,20 @@ def test_families(spark):
     assert ignored == ["A_4", "C_2", "F_10", "F_11", "F_12"]
 
 
+def test_families_without_the_limit(spark):
+    names = ["A_1", "a_2", "A_4", "B", "C_2", "C_3"] + [f"F_{i}" for i in [*range(1, 13), 14]] + ["f_3"]
+    tables = spark.createDataFrame([(n,) for n in names], "name string")
+    bases = spark.createDataFrame([(b,) for b in "ABCFf"], "base string")
+    got = catalog.discover_families(tables, bases, limit=False).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: r["split_id"]):
+        found.setdefault(r["base"], []).append(r["table_name"])
+    assert found == {"A": ["A_1", "A_2"], "B": ["B"], "C": ["C"], "F": [f"F_{i}" for i in range(1, 13)]}
+    assert {r["base"]: r["ignored_tables"] for r in got} == {"A": 1, "B": 0, "C": 2, "F": 2}
+    ignored = sorted(r["name"] for r in catalog.ignored_siblings(tables, bases, limit=False).collect())
+    assert ignored == ["A_4", "C_2", "C_3", "F_14"]
+
+
 def test_read_family(spark):
     for i in (1, 2, 4):
         spark.range(i).createOrReplaceTempView(f"fam_{i}")

@@ -77,12 +77,12 @@ def catalog_snapshot(spark, sf):
 
 @query
 def family_discovery(spark, sf):
-    return catalog.discover_families(*derived.family_names(spark, sf))
+    return catalog.discover_families(*derived.family_names(spark, sf), limit=True)
 
 
 @query
 def family_ignored(spark, sf):
-    return catalog.ignored_siblings(*derived.family_names(spark, sf))
+    return catalog.ignored_siblings(*derived.family_names(spark, sf), limit=True)
 
 
 @query
