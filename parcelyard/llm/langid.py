@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +30,7 @@ UNKNOWN = "und"
 LONGEST_GRAM = 5
 SMOOTHING = 0.1
 REMEMBERED = 400_000
+SLOTS = 4096  # of the hash that divides items of one count
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -53,26 +54,52 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _frequent(counted: DataFrame, by: list[str], most: int) -> DataFrame:
-    """Rows whose count is high enough that at most ``most`` rows per ``by`` are left.
+    """The ``most`` rows per ``by`` with the highest counts, all if there are fewer; ties by hash of the item, then item.
 
-    The cut-off comes from the number of rows per count, which is small; no group meets in one task.
+    The cut-off comes from the number of rows per count, which is small, and of the count that crosses the bound from
+    the number of rows per slot of the hash and the items of one slot; no group meets in one task.
     """
-    sizes = counted.groupBy(*by, "n").count().collect()
-    cut: dict[tuple, int] = {}
-    for key in {tuple(r[c] for c in by) for r in sizes}:
+    sizes: dict[tuple, list] = defaultdict(list)
+    for r in counted.groupBy(*by, "n").count().collect():
+        sizes[tuple(r[c] for c in by)].append((r["n"], r["count"]))
+    crossing, spare = {}, {}
+    for key, found in sizes.items():
         left = most
-        for r in sorted((r for r in sizes if tuple(r[c] for c in by) == key), key=lambda r: -r["n"]):
-            left -= r["count"]
-            if left < 0:
+        for n, rows in sorted(found, reverse=True):
+            if rows > left:
+                crossing[key], spare[key] = n, left
                 break
-            cut[key] = r["n"]
-    least = F.lit(None).cast("long")
-    for key, n in cut.items():
-        same = F.lit(True)
-        for c, value in zip(by, key):
-            same = same & (F.col(c) == F.lit(value))
-        least = F.when(same, F.lit(n)).otherwise(least)
-    return counted.filter(F.col("n") >= least)
+            left -= rows
+
+    def of_key(values: dict[tuple, object], kind: str) -> Column:
+        out = F.lit(None).cast(kind)
+        for key, value in values.items():
+            same = F.lit(True)
+            for c, part in zip(by, key):
+                same = same & (F.col(c) == F.lit(part))
+            out = F.when(same, F.lit(value)).otherwise(out)
+        return out
+
+    slot, bound = F.pmod(F.xxhash64("item"), F.lit(SLOTS)), of_key(crossing, "long")
+    tied = counted.filter(F.col("n") == bound)
+    slots: dict[tuple, list] = defaultdict(list)
+    for r in tied.groupBy(*by, slot.alias("slot")).count().collect() if crossing else []:
+        slots[tuple(r[c] for c in by)].append((r["slot"], r["count"]))
+    last = {}
+    for key, found in slots.items():
+        for k, rows in sorted(found):
+            if rows > spare[key]:
+                last[key] = k
+                break
+            spare[key] -= rows
+    edge = of_key(last, "long")
+    items: dict[tuple, list] = defaultdict(list)
+    for r in tied.filter(slot == edge).select(*by, "item").collect() if last else []:
+        items[tuple(r[c] for c in by)].append(r["item"])
+    # The first item that stays out: strings compare by their bytes, as in Spark.
+    out = {key: sorted(found, key=str.encode)[spare[key]] for key, found in items.items()}
+    stays = (slot < edge) | ((slot == edge) & (F.col("item") < of_key(out, "string")))
+    return counted.filter(bound.isNull() | (F.col("n") > bound) | ((F.col("n") == bound) & stays))
 
 
 def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int = 20_000) -> LanguageModel:
@@ -98,7 +125,7 @@ def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int
         cut = F.transform(places, lambda at, n=n: F.substring(padded, at, F.lit(n)))
         rows = seen.select("lang", F.lit(n).alias("size"), F.explode(cut).alias("item"), "n")
         pieces = rows if pieces is None else pieces.unionByName(rows)
-    pieces = pieces.filter(F.char_length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n"))
+    pieces = pieces.filter(F.char_length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).cache()
     tables.append((_frequent(pieces, ["lang", "size"], grams), None))
     column = {lang: k for k, lang in enumerate(languages)}
     found: dict[int, dict[str, dict[str, int]]] = {n: {} for n in range(LONGEST_GRAM + 1)}
@@ -106,6 +133,7 @@ def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int
         for r in table.collect():  # bounded by the parameters
             found[r["size"] if size is None else size].setdefault(r["item"], {})[r["lang"]] = r["n"]
     seen.unpersist()
+    pieces.unpersist()
     index, rows = {}, []
     for size in (0, *range(LONGEST_GRAM, 0, -1)):
         index[size] = {}

@@ -185,6 +185,17 @@ def test_bounds_of_the_model_hold(spark, sf):
     assert all(len(known) <= 50 * len(model.languages) for known in model.grams)
 
 
+def test_bound_is_filled_within_a_count(spark, monkeypatch):
+    rows = [("a", f"w{k}", 1 + (k < 5)) for k in range(300)] + [("b", f"é{k}", 3) for k in range(50)] + [("c", "x", 1)]
+    df = spark.createDataFrame(rows, "lang string, item string, n long")
+    for slots in (4096, 1):
+        monkeypatch.setattr(langid, "SLOTS", slots)
+        got = langid._frequent(df, ["lang"], 40).collect()
+        assert Counter(r["lang"] for r in got) == {"a": 40, "b": 40, "c": 1}
+        assert {r["item"] for r in got if r["lang"] == "a"} >= {f"w{k}" for k in range(5)}
+    assert {r["item"] for r in got if r["lang"] == "b"} == set(sorted(f"é{k}" for k in range(50))[:40])
+
+
 def test_severity_learns_ordered_grades():
     rng = random.Random(3)
     texts, grades = [], []
