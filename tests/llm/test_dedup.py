@@ -66,6 +66,41 @@ def test_proximity(spark, documents):
     assert sorted(r["row_id"] for r in found.select("row_id").distinct().collect()) == [1, 3]
 
 
+def brute_proximity(docs, items, size, slop):
+    """Documents and windows: every word of the window within ``slop`` of one place of the word that is rarest in the corpus."""
+    cut = [(doc, brute_words(text)) for doc, text in docs]
+    counts = Counter(w for _, found in cut for w in found)
+    windows = set()
+    for _, text in items:
+        w = brute_words(text)
+        n = min(size, len(w))
+        windows |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1) if n}
+    out = set()
+    for window in windows:
+        if not all(counts[t] for t in window):
+            continue
+        rarest = min((counts[t], k, t) for k, t in enumerate(window))[2]
+        for doc, w in cut:
+            for at, t in enumerate(w):
+                if t == rarest and set(window) <= set(w[max(0, at - slop) : at + slop + 1]):
+                    out.add((-(2**63) if doc is None else doc, " ".join(window), at))
+    return out
+
+
+def test_proximity_hard_rows(spark, documents):
+    rng = random.Random(6)
+    docs = [(i, " ".join(f"w{rng.randrange(12)}" for _ in range(60))) for i in range(30)]
+    docs += [(None, "A, b c"), (40, None), (41, ""), (42, "c " * 300 + "b a"), (43, "the the é"), (44, "C b A c")]
+    items = [(1, "a b c"), (2, "the the"), (3, "É é"), (4, None), (5, "..."), (6, "w1 w2 w3 w4"), (None, "w5 w5 w6"), (7, "never w1"), (8, "b")]
+    asked = spark.createDataFrame([(*r, "x", 0) for r in items], ITEMS)
+    windows, _ = decontaminate.item_windows(asked, 3)
+    windows = keep(windows, "asked")
+    for slop in (0, 4):
+        found = decontaminate.proximity_matches(decontaminate.tokenized(documents(docs)), windows, slop).join(windows, "window_id")
+        got = Counter((r["row_id"], " ".join(r["terms"]), r["pos"]) for r in found.collect())
+        assert got == Counter(brute_proximity(docs, items, 3, slop))
+
+
 def test_no_python_in_native_plans(spark, sf):
     for name in ("op6_decontamination", "op10_line_dedup"):
         plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().toString()
