@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.llm import decontaminate, langid, line_dedup, near_dups, packing, suffix_dedup, token_planes, topk, toxicity, warc
+from parcelyard.llm import (
+    decontaminate, langid, line_dedup, near_dups, packing, secrets, suffix_dedup, token_planes, topk, toxicity, warc,
+)
 from parcelyard.llm.common import table
 
 
@@ -54,6 +56,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"), stored=True)
 
 
+def op11_structural_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_impact_topk": op1_impact_topk,
     "op2_warc_index": op2_warc_index,
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_line_dedup": op10_line_dedup,
+    "op11_structural_secrets": op11_structural_secrets,
 }
 _VECTORS = """
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
