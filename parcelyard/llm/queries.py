@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.llm import (
-    decontaminate, langid, line_dedup, near_dups, packing, secrets, suffix_dedup, token_planes, topk, toxicity, warc,
+    decontaminate, langid, line_dedup, near_dups, packing, secrets, suffix_dedup, token_planes, topk, toxicity, warc, whitening,
 )
 from parcelyard.llm.common import table
 
@@ -60,6 +60,10 @@ def op11_structural_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_impact_topk": op1_impact_topk,
     "op2_warc_index": op2_warc_index,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_line_dedup": op10_line_dedup,
     "op11_structural_secrets": op11_structural_secrets,
+    "op13_whitening": op13_whitening,
 }
 _VECTORS = """
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
