@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.llm import (
-    decontaminate, langid, line_dedup, near_dups, packing, secrets, suffix_dedup, token_planes, topk, toxicity, warc, whitening,
+    decontaminate, langid, line_dedup, near_dups, packing, secrets, suffix_dedup, token_planes, topk, toxicity, turns, warc,
+    whitening,
 )
 from parcelyard.llm.common import table
 
@@ -60,6 +61,11 @@ def op11_structural_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return turns.repair_report(rows, turns.damaged(rows))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_line_dedup": op10_line_dedup,
     "op11_structural_secrets": op11_structural_secrets,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_whitening": op13_whitening,
 }
 _VECTORS = """
