@@ -91,7 +91,75 @@ _VECTORS = """
       AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 """
 
+def _way(state: str, cost: str, edit: str, line: str | None = None, when: str = "true") -> str:
+    """SQL: a state's cheapest repair so far, lengthened by an edit and perhaps a line; NULL where it can't be."""
+    lines = f"concat_ws(chr(10), {state}.o, {line})" if line else f"{state}.o"
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'e': {state}.e || '{edit}', 'o': {lines}}} END"
+
+
+def _kept(state: str, initial: str) -> str:
+    return _way(state, "extra", "K", "role || ':' || text", f"stays AND left(role, 1) = '{initial}'")
+
+
+def _given(state: str, role: str) -> str:
+    return _way(state, "extra + 3", "R", f"'{role}:' || text", "stays")
+
+
+def _added(state: str, role: str) -> str:
+    return _way(state, "3", "I", f"'{role}:'")
+
+
+# A forward search, row by row, for the least (cost, edits) in each state of (s?(ua)+)?: nothing, after s, u, a.
+_REPAIR = f"""
+    WITH RECURSIVE marked AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+    ), kinds AS (
+        SELECT *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT),
+            lambda crc, b: list_reduce(range(8), lambda c, n: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, b)),
+            4294967295), 4294967295) % 20 AS kind FROM marked
+    ), damaged AS (
+        SELECT coalesce('=' || conv_id::VARCHAR, '') AS conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+               unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0
+    ), ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text), copy) AS n,
+               rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid FROM damaged
+    ), faults AS (
+        SELECT conv, turn, role, text, n, CASE WHEN solid = '' THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY n) > 1 THEN 'duplicate'
+                   WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY n) || left(role, 1) AS pair FROM ordered
+    ), rows AS (
+        SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM faults
+    ), search AS (
+        SELECT conv, 0::BIGINT AS n, {{'c': 0, 'e': '', 'o': NULL::VARCHAR}} AS q, NULL::STRUCT(c INTEGER, e VARCHAR, o VARCHAR) AS s,
+               {{'c': 3, 'e': 'I', 'o': 'user:'}} AS u, {{'c': 6, 'e': 'II', 'o': 'user:' || chr(10) || 'assistant:'}} AS a
+        FROM (SELECT DISTINCT conv FROM rows)
+        UNION ALL
+        SELECT conv, n, q, s, u, least(a, {_added("u", "assistant")}) AS a FROM (
+            SELECT conv, n, q, s, least(u, {_added("q", "user")}, {_added("s", "user")}, {_added("a", "user")}) AS u, a FROM (
+                SELECT conv, rows.n AS n, {_way("q", "4", "D")} AS q, least({_way("s", "4", "D")}, {_kept("q", "s")}) AS s,
+                       least({_way("u", "4", "D")}, {", ".join(_kept(x, "u") + ", " + _given(x, "user") for x in "qsa")}) AS u,
+                       least({_way("a", "4", "D")}, {_kept("u", "a")}, {_given("u", "assistant")}) AS a
+                FROM search JOIN rows USING (conv) WHERE rows.n = search.n + 1
+            )
+        )
+    ), counted AS (
+        SELECT conv, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows GROUP BY conv
+    ), best AS (SELECT conv, n, least(q, a) AS found FROM search)
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+           coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+           coalesce(found.c, 0)::BIGINT AS cost, coalesce(found.e, '') AS audit, sha256(coalesce(found.o, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id::VARCHAR, '') AS conv FROM conversations)
+    LEFT JOIN counted USING (conv) LEFT JOIN best USING (conv, n)
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_conversation_repair": _REPAIR,
     "op1_impact_topk": f"""
         WITH vectors AS ({_VECTORS}), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
