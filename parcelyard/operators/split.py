@@ -153,13 +153,14 @@ def split_by_key(staged: StagedRows, key: str) -> KeySplits:
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Number, key and rows of each split by ``key``, from a scan of that column alone; nothing is written.
+    """Number, key and rows of each split by ``key``, from a scan of that column alone.
 
-    The numbers are those of ``split_by_key``. There is one row per output.
+    The numbers are those of ``split_by_key``. Only the counts are put in order and written, one row per key: they are
+    range-partitioned, numbered in their partition, and the keys before each partition are added, so the keys of a table
+    with very many of them never meet in one task.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("row_count"))
-    number = F.row_number().over(Window.orderBy(F.asc_nulls_first(key)))
-    return counts.select(number.alias(SPLIT), key, "row_count")
+    return stage(counts, [key]).indexed(SPLIT).select(F.col(SPLIT).cast("int").alias(SPLIT), key, "row_count")
 
 
 def split_by_number(staged: StagedRows, column: str, splits: int) -> KeySplits:

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import accumulate
 from urllib.parse import unquote
 
@@ -32,6 +32,7 @@ from parcelyard.session import drop_path, scratch_path
 
 PART, POSITION, BYTES = "_part", "_position", "_bytes"
 SOURCE_FILE, SOURCE_ROW = "_source_file", "_source_row"
+SEGMENT = "_segment"  # piece of a staging file that one task reads: its rows are in order and without gaps
 _SIZES = f"{PART} long, {POSITION} long, {BYTES} long"
 LOOKUP_ROW_BYTES = 64  # generous size in memory of a row of a few numbers
 BROADCAST_BYTES = 128 * 1024**2  # lookup tables up to this size are broadcast
@@ -96,6 +97,11 @@ class StagedRows:
     parts: tuple[Part, ...]
     stored: bool = False
     sizes_path: str | None = None
+    segments: bool = False
+
+    def with_segments(self) -> StagedRows:
+        """The same rows; ``indexed`` also gives them ``SEGMENT``, text whose order is that of the pieces in the table."""
+        return replace(self, segments=True)
 
     @property
     def total_rows(self) -> int:
@@ -120,6 +126,8 @@ class StagedRows:
             rows = reader.option("basePath", self.path).parquet(*files)
         else:
             rows = reader.parquet(self.path).filter(F.col(PART) <= self.parts[parts - 1].key)
+        if self.segments:
+            rows = rows.select("*", F.col("_metadata.file_block_start").alias(SEGMENT), "_metadata")
         return _positioned(rows) if self.stored else rows
 
     def sizes(self) -> DataFrame:
@@ -140,13 +148,14 @@ class StagedRows:
 
     def indexed(self, name: str = "row_index", first: int | None = None) -> DataFrame:
         """Rows with their 1-based global position; ``first`` reads that many from the start."""
-        refuse_columns(self.schema.names, (name, "rows_before", "bytes_before"))
+        refuse_columns(self.schema.names, (name, "rows_before", "bytes_before", *([SEGMENT] if self.segments else [])))
         index = F.col("rows_before") + F.col(POSITION) + 1
         rows = self.read() if first is None else self.read(self._parts_holding(first))
         rows = rows.join(self.part_offsets(), PART)
         if first is not None:
             rows = rows.filter(index <= first)
-        return rows.select(*self.data_columns(), index.alias(name))
+        piece = [F.lpad(F.col(c).cast("string"), 19, "0") for c in ("rows_before", SEGMENT)] if self.segments else []
+        return rows.select(*self.data_columns(), index.alias(name), *([F.concat_ws("-", *piece).alias(SEGMENT)] if piece else []))
 
     def drop(self) -> None:
         """Delete the stored table and the table of its sizes."""

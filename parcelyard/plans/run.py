@@ -8,7 +8,7 @@ import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.functions.errors import NOT_A_DATABASE_ERROR, collapse_messages
@@ -19,13 +19,14 @@ from parcelyard.operators.split import (
     SPLIT, SPLIT_ROW, capped_counts, capped_split, split_by_key, split_by_number, split_total,
 )
 from parcelyard.operators.staging import (
-    BYTES, PART, POSITION, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store,
+    BYTES, PART, POSITION, SEGMENT, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store,
 )
 from parcelyard.operators.totals import run_totals
 from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
 from parcelyard.plans.audit import append_audit, audit_rows
-from parcelyard.plans.deliver import ROWS_PER_FILE, delivered, plan_delivery, write_splits
+from parcelyard.plans.deliver import ROWS_PER_FILE, plan_delivery
 from parcelyard.plans.outcome import run_outcome
+from parcelyard.plans.publish import Published, publish_splits
 from parcelyard.session import drop_path
 from parcelyard.sources.catalog import family_tables, read_family
 
@@ -39,7 +40,7 @@ _FACTS = (
 )
 _FILES = (
     "process_id string, file_index int, path string, table_name string, rows long, "
-    "table_size_bytes long, file_size_bytes long"
+    "table_size_bytes long, file_size_bytes long, rejects long"
 )
 
 
@@ -70,9 +71,9 @@ def deliver(
     """Run a job and deliver its rows, one folder per split, named like the planned outputs.
 
     Under ``output``: ``staging`` holds the extract in delivery order (replaced by each run),
-    ``data/<prefix>_<ddMMyyyy>`` the delivered splits (replaced by a run on the same day),
-    ``rejects/...`` the rows outside the target profile with split and position, ``audit`` one row
-    per run. An error ends the run, not the caller: it becomes the run's outcome and is audited
+    ``data/<prefix>_<ddMMyyyy>`` the delivered splits (replaced by a run on the same day, all at once, with the
+    run's commit: see ``publish``), ``rejects/...`` the delivered splits' rows outside the target profile with
+    split and position, ``audit`` one row per run, also when it is run again. An error ends the run, not the caller: it becomes the run's outcome and is audited
     like any other. Arguments that are no dates are refused before the run begins.
     """
     check_arguments(spark, job, arguments)
@@ -81,7 +82,7 @@ def deliver(
     batch = f"{prefix}_{started:%d%m%Y}"
     table = job.family or job.staging_table or job.name
     process_id = spark.range(1).select(
-        run_id(F.lit(f"{job.name} {started}"), F.lit(str(started)).cast("timestamp_ntz"))
+        run_id(F.lit(f"{job.name} {started} {sorted(arguments.items())}"), F.lit(str(started)).cast("timestamp_ntz"))
     ).first()[0]
     facts = {
         "process_id": process_id, "job": job.name, "staging_table": table,
@@ -97,25 +98,26 @@ def deliver(
             staged = _stage(spark, job, arguments, f"{output}/staging/{table}", sources)
         facts["total_rows"] = staged.total_rows
         if staged.total_rows:
-            rows, status, splits = _divide(spark, job, staged, table)
+            rows, status, splits = _divide(spark, job, staged.with_segments(), table)
             facts["splits"], facts["violations"] = splits, threshold_summary(status).first()["violations"]
             kept = deliverable_splits(status, policy)
             if policy != "cancel" or not facts["violations"]:
                 plan = plan_delivery(kept, prefix, started, f".{fmt}").withColumnRenamed("file_name", OUTPUT)
                 target = f"{output}/data/{batch}"
-                good, bad = quarantine(rows, profile_rules(rows.drop(SPLIT, SPLIT_ROW)))
-                facts["rejects"] = bad.count()
-                if facts["rejects"]:
-                    # A second pass over the wide rows, made only when there is something to set aside.
-                    bad.write.mode("overwrite").parquet(f"{output}/rejects/{batch}")
-                    rejects = spark.read.parquet(f"{output}/rejects/{batch}")
+                good, bad = quarantine(rows, profile_rules(rows.drop(SPLIT, SPLIT_ROW, SEGMENT)))
                 names = broadcast_if_small(plan.select(SPLIT, OUTPUT), splits * _PLAN_ROW_BYTES)
-                good = apply_profile(good, keep=(SPLIT, SPLIT_ROW)).join(names, SPLIT)
+                good = apply_profile(good, keep=(SPLIT, SPLIT_ROW, SEGMENT)).join(names, SPLIT)
                 with _timed(facts, "write_s"):
-                    write_splits(
-                        good, target, fmt, target=OUTPUT, one_file=one_file, rows_per_file=job.threshold or ROWS_PER_FILE
+                    done = publish_splits(
+                        good, target, process_id, fmt, OUTPUT, one_file=one_file, rows_per_file=job.threshold or ROWS_PER_FILE
                     )
-                files = _delivered(spark, plan, good.drop(SPLIT, SPLIT_ROW).schema, target, fmt, staged, process_id)
+                # What was planned and not written did not fit: nothing is counted again.
+                facts["rejects"] = (plan.agg(F.sum("row_count")).first()[0] or 0) - done.rows
+                if facts["rejects"]:
+                    # A second pass over the wide rows, made only when there is something to set aside.
+                    bad = bad.join(names.select(SPLIT), SPLIT, "left_semi").drop(SEGMENT)
+                    rejects = _set_aside(spark, bad, f"{output}/rejects/{batch}", facts["rejects"])
+                files = _delivered(spark, plan, done, rejects, target, staged, process_id)
     except NothingToDeliver:
         pass  # the facts say so: every split violates
     except Exception as error:  # any failure is the run's outcome
@@ -123,7 +125,7 @@ def deliver(
     facts["duration_s"] = time.monotonic() - clock
     outcome = run_outcome(spark.createDataFrame([facts], _FACTS))
     audit_row = audit_rows(outcome, run_totals(files), output).coalesce(1)
-    warning = append_audit(audit_row, f"{output}/audit", audit)
+    warning = append_audit(audit_row, f"{output}/audit", audit, process_id)
     return Delivery(process_id, outcome, files, rejects, warning)
 
 
@@ -193,19 +195,35 @@ def _divide(spark: SparkSession, job: Job, staged: StagedRows, table: str) -> tu
     return rows, threshold_status(counts, job.threshold, table, splits), splits
 
 
-def _delivered(spark, plan, schema, target, fmt, staged, process_id) -> DataFrame:
-    """The run's files with the rows found in them on re-reading, and both sizes."""
-    written = delivered(spark, target, fmt, schema, OUTPUT).drop("files")
+def _set_aside(spark: SparkSession, bad: DataFrame, path: str, expected: int) -> DataFrame:
+    """Write the rows that do not fit; they and the rows written must be all rows."""
+    found = Observation()
+    bad.observe(found, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    if found.get["rows"] != expected:
+        raise RuntimeError(f"{found.get['rows']} rows were set aside, but {expected} were not written")
+    return spark.read.schema(bad.schema).parquet(path)
+
+
+def _delivered(
+    spark: SparkSession, plan: DataFrame, done: Published, rejects: DataFrame | None, target: str, staged: StagedRows, process_id: str
+) -> DataFrame:
+    """The run's files, one row per output: rows by plan and rejects, stored bytes by the commit."""
+    stored = done.manifest.groupBy(F.col("output").alias(OUTPUT)).agg(F.sum("bytes").alias("stored"))
+    found = plan.join(stored, OUTPUT, "left")
+    if rejects is None:
+        found = found.withColumn("rejects", F.lit(0).cast("long"))
+    else:
+        found = found.join(rejects.groupBy(SPLIT).agg(F.count("*").alias("rejects")), SPLIT, "left")
     row_size = staged.total_bytes / staged.total_rows
-    return (
-        plan.join(written, OUTPUT, "left")
-        .select(
-            F.lit(process_id).alias("process_id"),
-            "file_index",
-            F.concat(F.lit(f"{target}/{OUTPUT}="), OUTPUT).alias("path"),
-            "table_name",
-            F.coalesce("rows", F.lit(0)).alias("rows"),
-            F.round(F.col("row_count") * row_size).cast("long").alias("table_size_bytes"),
-            F.coalesce("file_size_bytes", F.lit(0)).alias("file_size_bytes"),
-        )
+    set_aside = F.coalesce("rejects", F.lit(0))
+    rows = found.select(
+        F.lit(process_id).alias("process_id"),
+        "file_index",
+        F.concat(F.lit(f"{target}/{OUTPUT}="), OUTPUT).alias("path"),
+        "table_name",
+        (F.col("row_count") - set_aside).alias("rows"),
+        F.round(F.col("row_count") * row_size).cast("long").alias("table_size_bytes"),
+        F.coalesce("stored", F.lit(0)).alias("file_size_bytes"),
+        set_aside.alias("rejects"),
     )
+    return spark.createDataFrame(rows.collect(), _FILES)

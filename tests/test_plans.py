@@ -2,7 +2,6 @@
 
 import re
 
-import __spark_entry__ as entry
 from parcelyard.operators import split, staging
 from workload import queries
 
@@ -12,7 +11,7 @@ def plan_of(df) -> str:
 
 
 def test_no_query_crosses_or_gathers_all_rows(spark, sf):
-    for name, query in entry.queries().items():
+    for name, query in queries.QUERIES.items():
         if name == "stream_capped_split":
             continue
         plan = plan_of(query(spark, sf))
@@ -23,6 +22,16 @@ def test_no_query_crosses_or_gathers_all_rows(spark, sf):
         assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan, name
 
 
+def test_key_numbers_need_no_wide_row_and_no_single_task(spark, sf):
+    orders = queries._orders(spark, sf)
+    numbered = split.key_counts(orders, "o_custkey")
+    plan = plan_of(numbered)
+    assert "Window" not in plan and "o_orderdate" not in plan
+    rows = numbered.orderBy("split_id").collect()
+    want = sorted(orders.groupBy("o_custkey").count().collect())
+    assert [(r["split_id"], r["o_custkey"], r["row_count"]) for r in rows] == [(n, k, c) for n, (k, c) in enumerate(want, 1)]
+
+
 def test_range_filter_reaches_the_scan(spark, sf):
     plan = plan_of(queries.extract_range(spark, sf))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
