@@ -63,8 +63,9 @@ class Job:
     Rows are delivered in ``order_by`` order, cut at ``threshold`` rows. Ties keep the order in which the extract was
     landed; ``unique_order`` tells that there are none and saves the landing. With ``split_key`` the
     job has divided them itself, one split per key value, and the threshold only judges them.
-    With ``family`` the catalog tables ``family_1``, ``family_2`` ... that something else has left
-    behind are the splits, or ``family`` alone is the only one; no SQL is run.
+    With ``family`` the tables ``family_1``, ``family_2`` ... that something else has left
+    behind are the splits, or ``family`` alone is the only one; no SQL is run. They are tables of the catalog or, with
+    ``family_root``, parquet folders under it, which are read in one scan.
     ``partitions`` sizes the staging shuffle of a very large job.
     """
 
@@ -77,6 +78,7 @@ class Job:
     unique_order: bool = False
     split_key: str | None = None
     family: str | None = None
+    family_root: str | None = None
     staging_table: str = ""
     partitions: int | None = None
 
@@ -84,7 +86,7 @@ class Job:
 def job_from_manifest(manifest: DataFrame, name: str, sql: str, **options) -> Job:
     """The manifest's entry of that name (any case) as a job that runs ``sql``.
 
-    ``options`` are the fields a manifest does not have: order_by, unique_order, split_key, family, partitions.
+    ``options`` are the fields a manifest does not have: order_by, unique_order, split_key, family, family_root, partitions.
     """
     row = manifest.filter(F.lower("name") == name.lower()).orderBy("name", "staging_table").first()
     if row is None:

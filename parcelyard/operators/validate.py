@@ -15,12 +15,12 @@ class NothingToDeliver(ValueError):
 
 
 def threshold_status(
-    counts: DataFrame, threshold: int | None, base: str, splits: int, strict_parity: bool = False
+    counts: DataFrame, threshold: int | None, base: str, splits: int, strict_parity: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Counts per split judged against the threshold (strictly more rows exceed it).
 
     No threshold (None or 0) means no check. An undivided table is judged as well unless
-    ``strict_parity``, which leaves single splits unchecked.
+    ``strict_parity``, which leaves single splits unchecked. ``keep`` names further columns of ``counts`` to keep.
     """
     active = bool(threshold) and (splits > 1 or not strict_parity)
     return counts.select(
@@ -29,6 +29,7 @@ def threshold_status(
         "row_count",
         F.lit(threshold or 0).cast("long").alias("threshold"),
         (F.col("row_count") > threshold if active else F.lit(False)).alias("exceeds"),
+        *keep,
     )
 
 
@@ -63,6 +64,27 @@ def deliverable_rows(rows: DataFrame, status: DataFrame, policy: str) -> DataFra
     return rows.join(deliverable_splits(status, policy).select(SPLIT), SPLIT, "left_semi")
 
 
+def deliverable_keys(status: DataFrame, policy: str, key: str) -> DataFrame:
+    """Number and key of the splits that a policy lets through, from a status that has the key: one row per split."""
+    return deliverable_splits(status, policy).select(F.col(SPLIT), F.col(key).alias("_key"))
+
+
+def rows_of_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among ``keys`` (``_key``; NULL is a key), before anything is sorted or written.
+
+    A policy that skips splits so skips their rows in the scan of the source.
+    """
+    return rows.join(keys, rows[key].eqNullSafe(keys["_key"]), "left_semi")
+
+
+def skipped_tables(status: DataFrame, policy: str) -> list[str]:
+    """Names of the split tables that a policy leaves out, in split order; one row per skipped split reaches the driver."""
+    if policy != "valid_only":
+        return []
+    skipped = status.filter("exceeds").select(SPLIT, "table_name").collect()
+    return [r["table_name"] for r in sorted(skipped)]
+
+
 def oversize_warning(total_rows: Column, threshold: Column, table: Column) -> Column:
     """Text for an undivided table above its threshold, else NULL."""
     return F.when(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelyard.functions.text import format_bytes, format_duration, parameter_summary
-from parcelyard.plans import versions
+from parcelyard import versions
 from parcelyard.session import drop_path
 
 # Columns of the audit table.

@@ -14,7 +14,7 @@ from parcelyard.operators.validate import oversize_warning
 CANCELLED = "Operation cancelled by user due to threshold violations."
 ALL_EXCEED = "All split tables exceed the threshold — no tables to process."
 EMPTY_STAGING = "Staging table returned 0 rows."
-DELIVERED_ANYWAY = "User chose to process all tables despite threshold violations."
+DELIVERED_ANYWAY = "All tables were delivered, also those above the threshold, as the policy asks."
 NOT_MEASURED = "—"
 
 
@@ -22,7 +22,8 @@ def run_outcome(runs: DataFrame) -> DataFrame:
     """Success, error text, warnings and planned files per run, from its facts.
 
     Reads process_id, job, staging_table, total_rows, splits, violations, policy, threshold,
-    error_code, error_detail and rejects. Rules apply in order: a database error fails the run; no
+    error_code, error_detail and rejects, and ``skipped`` (names of skipped tables) where runs have it, which names them
+    in the warning. Rules apply in order: a database error fails the run; no
     rows succeed with a warning; a violation fails under ``cancel`` and, when every split
     violates, under ``valid_only``.
     """
@@ -40,10 +41,14 @@ def run_outcome(runs: DataFrame) -> DataFrame:
         .when(cancelled, CANCELLED)
         .when(nothing_left, ALL_EXCEED)
     )
+    skipped = F.format_string("Skipped %d table(s) exceeding threshold", violations.cast("int"))
+    if "skipped" in runs.columns:
+        named = F.concat(skipped, F.lit(": "), F.array_join("skipped", ", "))
+        skipped = F.when(F.size("skipped") > 0, named).otherwise(skipped)
     warnings = F.array_compact(F.array(
         F.when(empty, EMPTY_STAGING),
         F.when(ran & (splits == 1), oversize_warning(rows, threshold, F.col("staging_table"))),
-        F.when(partly, F.format_string("Skipped %d table(s) exceeding threshold", violations.cast("int"))),
+        F.when(partly, skipped),
         F.when(violated & (F.col("policy") == "all"), DELIVERED_ANYWAY),
         F.when(ran & (F.col("rejects") > 0), F.format_string("%d row(s) rejected", F.col("rejects"))),
     ))

@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 
 from parcelyard.operators.split import SPLIT, SPLIT_ROW
 from parcelyard.operators.staging import LOOKUP_ROW_BYTES, SEGMENT, broadcast_if_small
-from parcelyard.plans import versions
+from parcelyard import versions
 from parcelyard.plans.deliver import ROWS_PER_FILE
 from parcelyard.session import drop_path
 

@@ -22,7 +22,9 @@ from parcelyard.operators.staging import (
     BYTES, PART, POSITION, SEGMENT, SOURCE_FILE, SOURCE_ROW, StagedRows, broadcast_if_small, stage, store,
 )
 from parcelyard.operators.totals import run_totals
-from parcelyard.operators.validate import NothingToDeliver, deliverable_splits, threshold_status, threshold_summary
+from parcelyard.operators.validate import (
+    NothingToDeliver, deliverable_splits, skipped_tables, threshold_status, threshold_summary,
+)
 from parcelyard.plans.audit import append_audit, audit_rows
 from parcelyard.plans.deliver import ROWS_PER_FILE, plan_delivery
 from parcelyard.plans.outcome import run_outcome
@@ -36,7 +38,7 @@ _PLAN_ROW_BYTES = 512  # generous size of a delivery plan row in memory
 _FACTS = (
     "process_id string, job string, staging_table string, parameters array<struct<name: string, value: int>>, "
     "start_time timestamp_ntz, duration_s double, sp_s double, write_s double, total_rows long, splits int, "
-    "violations int, policy string, threshold long, error_code int, error_detail string, rejects long"
+    "violations int, policy string, threshold long, error_code int, error_detail string, rejects long, skipped array<string>"
 )
 _FILES = (
     "process_id string, file_index int, path string, table_name string, rows long, "
@@ -88,7 +90,7 @@ def deliver(
         "process_id": process_id, "job": job.name, "staging_table": table,
         "parameters": list(arguments.items()), "start_time": started, "policy": policy, "threshold": job.threshold,
         "duration_s": 0.0, "sp_s": 0.0, "write_s": 0.0, "total_rows": 0, "splits": 0, "violations": 0, "rejects": 0,
-        "error_code": None, "error_detail": None,
+        "error_code": None, "error_detail": None, "skipped": [],
     }
     files, rejects = spark.createDataFrame([], _FILES), None
     clock = time.monotonic()
@@ -100,7 +102,7 @@ def deliver(
         if staged.total_rows:
             rows, status, splits = _divide(spark, job, staged.with_segments(), table)
             facts["splits"], facts["violations"] = splits, threshold_summary(status).first()["violations"]
-            kept = deliverable_splits(status, policy)
+            kept, facts["skipped"] = deliverable_splits(status, policy), skipped_tables(status, policy)
             if policy != "cancel" or not facts["violations"]:
                 plan = plan_delivery(kept, prefix, started, f".{fmt}").withColumnRenamed("file_name", OUTPUT)
                 target = f"{output}/data/{batch}"
@@ -154,7 +156,7 @@ def _stage(
 ) -> StagedRows:
     """Land the extract; put it in order only where the job asks for an order or splits by key."""
     if job.family:
-        return store(read_family(spark, job.family, _TABLE_NUMBER), path, measure_bytes=True)
+        return store(read_family(spark, job.family, _TABLE_NUMBER, job.family_root), path, measure_bytes=True)
     extract = run_job(spark, job, arguments, **sources)
     order = list(dict.fromkeys([*([job.split_key] if job.split_key else []), *job.order_by]))
     if not order:
@@ -177,7 +179,7 @@ def _stage(
 def _divide(spark: SparkSession, job: Job, staged: StagedRows, table: str) -> tuple[DataFrame, DataFrame, int]:
     """Rows with split and place in it, the status of the splits, and their number."""
     if job.family:
-        tables = family_tables(spark, job.family)
+        tables = family_tables(spark, job.family, job.family_root)
         divided = tables != [job.family]
         parts = split_by_number(staged, _TABLE_NUMBER, len(tables))
         # A table that was never divided is delivered whatever its size; the outcome warns.

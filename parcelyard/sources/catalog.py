@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelyard import versions
 from parcelyard.functions.text import strip_at, threshold_from_source
+from parcelyard.session import drop_path
 
 MAX_SIBLINGS = 9  # fixed value: a split table has at most this many numbered siblings
 
@@ -138,25 +142,59 @@ def ignored_siblings(names: DataFrame, bases: DataFrame, limit: bool = True) ->
     )
 
 
-def family_tables(spark: SparkSession, base: str) -> list[str]:
-    """The catalog tables of a base: all contiguous siblings, one look-up by name each."""
-    tables = []
-    while spark.catalog.tableExists(f"{base}_{len(tables) + 1}"):
-        tables.append(f"{base}_{len(tables) + 1}")
-    return tables or [base]
+def _contiguous(names: list[str], base: str) -> list[str]:
+    """``base_1``, ``base_2`` ... among ``names`` up to the first gap, compared without regard to case."""
+    held = {name.lower(): name for name in names}
+    run = []
+    while (name := held.get(f"{base}_{len(run) + 1}".lower())) is not None:
+        run.append(name)
+    return run
+
+
+def family_tables(spark: SparkSession, base: str, root: str | None = None) -> list[str]:
+    """The tables of a base: all contiguous siblings, from one listing of the catalog or of the folder ``root``."""
+    if root is not None:
+        found = versions.names(spark, root)
+    else:
+        # The pattern's own signs can't be quoted in a listing, so names are compared again.
+        found = [r["tableName"] for r in spark.sql("show tables like '*_*'").select("tableName").collect()]
+    return _contiguous(found, base) or [base]
 
 
-def read_family(spark: SparkSession, base: str, number: str = "split_id") -> DataFrame:
-    """The tables of a base as one frame, one after the other; ``number`` is the table's place in the family."""
-    frames = [
-        spark.table(table).withColumn(number, F.lit(i)) for i, table in enumerate(family_tables(spark, base), 1)
-    ]
+def read_family(spark: SparkSession, base: str, number: str = "split_id", root: str | None = None) -> DataFrame:
+    """The tables of a base as one frame, one after the other; ``number`` is the table's place in the family.
+
+    Tables stored as parquet folders under ``root`` are one scan, however many they are: which table a row is from is
+    read off its file's folder. Tables of the catalog, which may be views of any kind, are put together one by one.
+    Columns that a table lacks are NULL.
+    """
+    tables = family_tables(spark, base, root)
+    if root is not None:
+        folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        rows = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*[f"{root}/{t}" for t in tables])
+        place = F.coalesce(F.regexp_extract(folder, "_([0-9]+)$", 1).try_cast("int"), F.lit(1)) if tables != [base] else F.lit(1)
+        return rows.select("*", place.alias(number))
+    frames = [spark.table(table).withColumn(number, F.lit(i)) for i, table in enumerate(tables, 1)]
     family = frames[0]
     for frame in frames[1:]:
         family = family.unionByName(frame, allowMissingColumns=True)
     return family
 
 
+def write_family(rows: DataFrame, root: str, base: str, number: str) -> None:
+    """Store rows as the tables ``base_1``, ``base_2`` ... under ``root``, a folder each, by the ``number`` they carry.
+
+    One pass over the rows. Rows without a number are refused.
+    """
+    spark = rows.sparkSession
+    prepared = f"{root}/.prepared-{uuid.uuid4().hex}"
+    rows.withColumn(number, F.coalesce(number, F.raise_error(F.lit(f"{number} is NULL"))).cast("int")).write.partitionBy(number).parquet(prepared)
+    for folder in versions.names(spark, prepared):
+        if "=" in folder:
+            versions.rename(spark, f"{prepared}/{folder}", f"{root}/{base}_{folder.split('=')[1]}")
+    drop_path(spark, prepared)
+
+
 def master_list(lines: DataFrame) -> DataFrame:
     """Names of a text list: trimmed, blank lines dropped, each once whatever its case, sorted."""
     trimmed = F.regexp_replace("value", r"^\s+|\s+$", "")

@@ -1,15 +1,24 @@
-"""Continuing capped split: outputs rotate at the threshold while data keeps arriving."""
+"""Continuing capped split: outputs rotate at the threshold while data keeps arriving.
+
+Rows are written once, where they stay, in the batch's order. What places them is a *range log*: per file of a batch the
+global number of its first row, taken from the file footers after the write. A row's number is that plus its place in
+its file, and its split follows by arithmetic, so no row is moved or written again when an output is full. The
+log of a batch is written last. Readers take files through the log only: the data of a batch that died before its log is
+not seen, and a batch that is tried again replaces its own files and log.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from parcelyard.operators.split import SPLIT
-from parcelyard.operators.staging import stage, store
+from parcelyard.operators.staging import LOOKUP_ROW_BYTES, broadcast_if_small, index_stored
 
-_OFFSETS = "first_row long, end_row long, batch_id long"
+_RANGES = "file string, file_first long, first_row long, end_row long, threshold long"
+_OFFSETS = f"{_RANGES}, batch_id long"
 
 
 def _rows_before(spark: SparkSession, offsets: str, batch_id: int) -> int:
@@ -34,26 +43,28 @@ def _rows_before(spark: SparkSession, offsets: str, batch_id: int) -> int:
 
 
 def write_batch(batch: DataFrame, batch_id: int, output: str, threshold: int, order_by: list[str] | None) -> None:
-    """Continue the split numbering with one batch, in key order or, without a key, as rows arrive.
+    """Continue the numbering with one batch, in key order or, without a key, as rows arrive.
 
-    Rows go to ``data/batch_id=N/split_id=S`` in overwrite mode and the batch's end offset is
-    written after them, so a batch that is tried again writes the same rows to the same place.
+    Rows go to ``data/batch_id=N`` in overwrite mode, once; the batch's range log is written after them, so a batch that
+    is tried again writes the same rows to the same place. One row per file reaches the driver.
     """
     spark = batch.sparkSession
     before = _rows_before(spark, f"{output}/offsets", batch_id)
-    staged = stage(batch, order_by) if order_by else store(batch)
-    split = F.expr(f"int((row_index + {before} - 1) div {threshold} + 1)")
-    (
-        staged.indexed().withColumn(SPLIT, split).drop("row_index")
-        .write.mode("overwrite").partitionBy(SPLIT).parquet(f"{output}/data/batch_id={batch_id}")
-    )
-    _write_offset(spark, f"{output}/offsets/batch_id={batch_id}", before, staged.total_rows)
-    staged.drop()
+    data = f"{output}/data/batch_id={batch_id}"
+    rows = batch
+    if order_by:
+        keys = [F.asc_nulls_first(c) for c in order_by]
+        rows = batch.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows.write.mode("overwrite").parquet(data)
+    ranges, first = [], before
+    for part in index_stored(spark, data, schema=batch.schema).parts:
+        ranges.append((part.file.rsplit("/", 1)[1], first))
+        first += part.rows
+    _write_offset(spark, f"{output}/offsets/batch_id={batch_id}", [(f, n, before, first, threshold) for f, n in ranges])
 
 
-def _write_offset(spark: SparkSession, path: str, before: int, rows: int) -> None:
-    offset = spark.createDataFrame([(before, before + rows)], "first_row long, end_row long")
-    offset.coalesce(1).write.mode("overwrite").parquet(path)
+def _write_offset(spark: SparkSession, path: str, ranges: list[tuple]) -> None:
+    spark.createDataFrame(ranges, _RANGES).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def start_capped_stream(
@@ -68,5 +79,17 @@ def start_capped_stream(
     )
 
 
-def read_stream_output(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.parquet(f"{output}/data")
+def read_stream_output(spark: SparkSession, output: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of finished batches with ``batch_id`` and ``split_id``; files that no log names give no row."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    log = spark.read.schema(_OFFSETS).parquet(f"{output}/offsets").select(
+        F.col("file").alias("_file"), F.col("file_first").alias("_first"), F.col("threshold").alias("_threshold")
+    )
+    log = broadcast_if_small(log, log.count() * 4 * LOOKUP_ROW_BYTES)
+    rows = reader.parquet(f"{output}/data").select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    return (
+        rows.join(log, "_file").withColumn(SPLIT, F.expr("int((_first + _row) div _threshold + 1)"))
+        .drop("_file", "_first", "_row", "_threshold")
+    )

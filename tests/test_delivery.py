@@ -6,9 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from parcelyard import session
+from parcelyard import session, versions
 from parcelyard.operators import extract, split, staging, totals
-from parcelyard.plans import audit, deliver, reports, run
+from parcelyard.plans import audit, deliver, publish, reports, run
 from parcelyard.sources import catalog, manifest, tables
 from parcelyard.streaming import capped
 
@@ -409,3 +409,154 @@ def test_nested_errors_are_told_in_one_line(spark):
             raise RuntimeError("write failed") from inner
     except RuntimeError as outer:
         assert run._told(spark, outer) == "RuntimeError: write failed — ValueError: disk full"
+
+
+def published(spark, staged, path, cap=30, **options):
+    rows = split.capped_split(staged.with_segments(), cap).drop("row_index")
+    return publish.publish_splits(rows, path, "run", **options)
+
+
+@pytest.mark.parametrize("one_file", [False, True])
+@pytest.mark.parametrize("ordered", [False, True])
+def test_commit_lists_files_in_row_order(spark, tmp_path, ordered, one_file):
+    path, rows = str(tmp_path / "out"), spark.range(1000).repartition(7)
+    staged = staging.stage(rows, ["id"]) if ordered else staging.store(rows)
+    done = published(spark, staged, path, 300, rows_per_file=70, one_file=one_file)
+    assert (done.version, done.rows) == (1, 1000)
+    listed = done.manifest.orderBy("output", "ordinal").collect()
+    assert sum(r["rows"] for r in listed) == 1000 and max(r["rows"] for r in listed) <= 70
+    assert all((tmp_path / "out" / r["file"]).stat().st_size == r["bytes"] for r in listed)
+    assert sorted(str(f.relative_to(path)) for f in (tmp_path / "out").glob("split_id=*/*.parquet")) == sorted(r["file"] for r in listed)
+    want = {r["id"]: (r["split_id"], r["split_row"]) for r in split.capped_split(staged, 300).collect()}
+    got = {r["id"]: (r["split_id"], r["row_number"]) for r in publish.read_ordered(spark, path).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("dies_in", ["_place", "versions.publish", "versions.rename"])
+def test_a_run_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch, dies_in):
+    path = str(tmp_path / "out")
+    published(spark, staging.store(spark.range(100)), path)
+    owner, name = (publish, dies_in) if "." not in dies_in else (publish.versions, dies_in.split(".")[1])
+    real, calls = getattr(owner, name), []
+
+    def dies(*args, **options):
+        calls.append(args)
+        if name != "rename" or len(calls) > 2:  # some files have their names by then
+            raise OSError("lost")
+        return real(*args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, name, dies)
+        with pytest.raises(OSError):
+            published(spark, staging.store(spark.range(500, 600)), path)
+    ids = lambda: sorted(r["id"] for r in publish.read_committed(spark, path).collect())
+    assert ids() == list(range(100)) and publish.manifest(spark, path).count() >= 4
+    published(spark, staging.store(spark.range(700, 750)), path)
+    assert ids() == list(range(700, 750))
+    publish.vacuum(spark, path)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(700, 750))
+
+
+def test_one_of_two_writers_wins(spark, tmp_path, monkeypatch):
+    path, place = str(tmp_path / "out"), publish._place
+    published(spark, staging.store(spark.range(10)), path)
+
+    def overtaken(*args):
+        with monkeypatch.context() as patch:
+            patch.setattr(publish, "_place", place)
+            published(spark, staging.store(spark.range(20)), path)
+        return place(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "_place", overtaken)
+        with pytest.raises(versions.LostRace):
+            published(spark, staging.store(spark.range(30)), path)
+    assert publish.read_committed(spark, path).count() == 20
+    assert publish.vacuum(spark, path) > 0 and spark.read.parquet(path).count() == 20
+
+
+def test_versions_are_published_once(spark, tmp_path):
+    folder = str(tmp_path / "v")
+    assert versions.latest(spark, folder) == 0
+    assert [versions.publish(spark.range(n), folder, n) for n in range(3)] == [1, 2, 3]
+    with pytest.raises(versions.LostRace):
+        versions.publish(spark.range(9), folder, 2)
+    assert versions.latest(spark, folder) == 3 and len(versions.names(spark, folder)) == 3
+    assert spark.read.parquet(versions.version_path(folder, 3)).count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_a_run_counts_nothing_again(spark, tmp_path, monkeypatch, fmt):
+    """Staging is read once for the outputs and once for the rejects; what was written is not opened to count it."""
+    reads, read = [], staging.StagedRows.read
+    monkeypatch.setattr(staging.StagedRows, "read", lambda self, *a: reads.append(self.path) or read(self, *a))
+    monkeypatch.setattr(deliver, "delivered", None)
+    for top, expected in ((100, 1), (8, 1)):
+        reads.clear()
+        done = run.deliver(spark, JOB, {"top": top}, str(tmp_path), started=STARTED, fmt=fmt, t=source(spark).filter("id % 10 > 0 or id > 8"))
+        staged = [p for p in reads if p.endswith("/staging/Small_EXP")]
+        assert len(staged) == expected, reads
+        files = done.files.orderBy("file_index").collect()
+        whole = [i for i in range(top) if i % 10 or i > 8]
+        assert sum(r["rows"] for r in files) == len([i for i in whole if i % 10])
+        assert sum(r["rejects"] for r in files) == len([i for i in whole if i % 10 == 0]) == done.outcome.first()["rejects"]
+
+
+def test_skipped_tables_are_named(spark, tmp_path):
+    family(spark, "f9", [30, 60, 70, 5])
+    job = extract.Job("Fam", family="f9", file_prefix="Fam", threshold=50)
+    done = run.deliver(spark, job, {}, str(tmp_path), "valid_only", started=STARTED)
+    assert done.outcome.first()["warnings"] == ["Skipped 2 table(s) exceeding threshold: f9_2, f9_3"]
+
+
+def test_the_same_run_is_audited_once(spark, tmp_path):
+    out = str(tmp_path)
+    for top in (100, 100, 50):
+        run.deliver(spark, JOB, {"top": top}, out, started=STARTED, t=source(spark))
+    assert sorted(r["RowsCount"] for r in audit.read_audit(spark, f"{out}/audit").collect()) == [45, 90]
+    rows = audit.read_audit(spark, f"{out}/audit")
+    path = str(tmp_path / "other")
+    for frame in (rows, rows.limit(1), rows.union(rows)):
+        assert audit.append_audit(frame, path) is None
+    assert audit.read_audit(spark, path).count() == 2
+
+
+def test_family_of_many_folders_is_one_scan(spark, tmp_path):
+    root = str(tmp_path / "family")
+    catalog.write_family(spark.range(900).withColumn("n", F.col("id") % 300 + 1), root, "Many_x", "n")
+    versions.rename(spark, f"{root}/Many_x_200", f"{root}/Many_x_left")
+    assert catalog.family_tables(spark, "many_X", root) == [f"Many_x_{n}" for n in range(1, 200)]
+    rows = catalog.read_family(spark, "Many_x", "part", root)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert {(r["part"] - 1, r["id"] % 300) for r in rows.collect()} == {(n, n) for n in range(199)}
+    lone = spark.range(5).withColumn("extra", F.lit(1))
+    lone.write.parquet(f"{root}/lone")
+    assert catalog.read_family(spark, "lone", "part", root).filter("part = 1").count() == 5
+    lone.write.mode("overwrite").parquet(f"{root}/Many_x_1")  # another set of columns
+    padded = catalog.read_family(spark, "Many_x", "part", root)
+    assert padded.columns == ["id", "extra", "part"] and padded.filter("extra is not null").count() == 5
+    with pytest.raises(Exception, match="n is NULL"):
+        catalog.write_family(spark.range(3).withColumn("n", F.lit(None).cast("int")), root, "Nulls", "n")
+
+
+def test_family_job_over_folders(spark, tmp_path):
+    root = str(tmp_path / "family")
+    catalog.write_family(spark.range(100).withColumn("n", F.when(F.col("id") < 70, 1).otherwise(2)), root, "f", "n")
+    job = extract.Job("Fam", family="f", family_root=root, file_prefix="Fam", threshold=50)
+    done = run.deliver(spark, job, {}, str(tmp_path), "valid_only", started=STARTED)
+    assert [(r["table_name"], r["rows"]) for r in done.files.collect()] == [("f_2", 30)]
+
+
+def test_stream_readers_see_finished_batches_only(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    capped.write_batch(spark.range(0, 50).repartition(3), 0, out, 40, None)
+    with monkeypatch.context() as patch:
+        patch.setattr(capped, "_write_offset", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            capped.write_batch(spark.range(50, 90), 1, out, 40, None)
+    assert sorted(r["id"] for r in capped.read_stream_output(spark, out).collect()) == list(range(50))
+    capped.write_batch(spark.range(50, 90), 1, out, 40, None)
+    rows = capped.read_stream_output(spark, out)
+    assert {r[0]: r[1] for r in rows.groupBy("split_id").count().collect()} == {1: 40, 2: 40, 3: 10}
+    assert not list((tmp_path / "out").rglob("split_id=*"))  # rows stay in the one file they were written to

@@ -172,7 +172,7 @@ outcomes AS (
         THEN format('Staging table [{{}}] has {{:,}} rows (threshold: {{:,}}).', staging_table, total_rows, threshold) END,
       CASE WHEN violated AND policy = 'valid_only' AND violations < splits
         THEN format('Skipped {{}} table(s) exceeding threshold', violations) END,
-      CASE WHEN violated AND policy = 'all' THEN 'User chose to process all tables despite threshold violations.' END,
+      CASE WHEN violated AND policy = 'all' THEN 'All tables were delivered, also those above the threshold, as the policy asks.' END,
       CASE WHEN ran AND rejects > 0 THEN format('{{}} row(s) rejected', rejects) END) AS warnings
   FROM judged),
 final AS (
@@ -648,6 +648,18 @@ ORACLES["delivery_run_files"] = f"WITH {DELIVERED} SELECT file_index, count(*) A
 ORACLES["delivery_run_audit"] = f"""WITH {DELIVERED}
 SELECT count(*) AS total_rows, max(file_index) AS splits, 0 AS violations, 0::BIGINT AS rejects, 1 AS audit_rows FROM placed"""
 
+ORACLES["delivery_ordered_read"] = f"""WITH {DELIVERED}
+SELECT file_index, {SPLIT_ROW} AS row_number, o_orderkey::INTEGER AS o_orderkey, o_custkey::INTEGER AS o_custkey FROM placed"""
+
+ORACLES["delivery_run_rejects"] = f"""WITH {QUARANTINE},
+judged AS (SELECT split_id AS file_index, big_key BETWEEN -2147483648 AND 2147483647
+    AND o_orderkey BETWEEN -2147483648 AND 2147483647 AS fits FROM placed)
+SELECT file_index, count(*) FILTER (fits) AS rows, count(*) FILTER (NOT fits) AS rejects FROM judged GROUP BY 1"""
+
+ORACLES["audit_rerun"] = f"""WITH {DELIVERED}
+SELECT 'Orders_By_Day' AS "StoreProcedureName", '@mon=19960101, @mon1=19971231' AS "Parameter",
+       TIMESTAMP '2024-03-05 09:30:00' AS "Date", count(*) AS "RowsCount", 'Success' AS "Message" FROM placed"""
+
 ORACLES["delivery_family"] = """SELECT 'delivered_twelve_' || (o_orderkey % 12 + 1) AS table_name, count(*) AS rows
 FROM orders GROUP BY 1"""
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from parcelyard.functions import coerce, errors, text
 from parcelyard.operators import extract, profile, reconcile, split, staging, totals, validate
-from parcelyard.plans import audit, deliver, outcome, reports, run
+from parcelyard.plans import audit, deliver, outcome, publish, reports, run
 from parcelyard.session import scratch_path
 from parcelyard.sources import catalog, manifest, tables
 from parcelyard.streaming import capped
@@ -110,12 +110,12 @@ def logical_size(spark, sf):
 # ---- extract ------------------------------------------------------------------------------------
 
 RANGE_JOB = extract.Job(
-    name="Orders_EXP_BTD",
+    name="Orders_By_Day",
     sql="""select * from {orders}
            where o_orderdate >= to_timestamp_ntz(string(:mon), 'yyyyMMdd')
              and o_orderdate < to_timestamp_ntz(string(:mon1), 'yyyyMMdd') + interval 1 day""",
     parameters=("mon", "mon1"),
-    file_prefix="Export_BTD",
+    file_prefix="Day_Orders",
     threshold=ROW_CAP,
     order_by=("o_orderdate", "o_orderkey"),
 )
@@ -206,12 +206,13 @@ def presplit_by_key(spark, sf):
 @query
 def presplit_family(spark, sf):
     """Sibling tables left behind by something else, one per priority, are the splits as they stand."""
-    keys = split.key_counts(_orders(spark, sf), "o_orderpriority").collect()  # a row per sibling
-    for row in keys:
-        siblings = _orders(spark, sf).filter(F.col("o_orderpriority").eqNullSafe(F.lit(row["o_orderpriority"])))
-        siblings.createOrReplaceTempView(f"family_orders_{row['split_id']}")
-    staged = staging.store(catalog.read_family(spark, "family_orders", "table_number"))
-    parts = split.split_by_number(staged, "table_number", len(catalog.family_tables(spark, "family_orders")))
+    numbers = split.key_counts(_orders(spark, sf), "o_orderpriority").select(F.col("o_orderpriority").alias("of"), F.col("split_id").alias("n"))
+    root, orders = scratch_path(spark, "family"), _orders(spark, sf)
+    numbers = staging.broadcast_if_small(numbers, numbers.count() * staging.LOOKUP_ROW_BYTES * 4)  # rows stay in their order
+    numbered = orders.join(numbers, orders["o_orderpriority"].eqNullSafe(numbers["of"])).drop("of")
+    catalog.write_family(numbered, root, "family_orders", "n")
+    staged = staging.store(catalog.read_family(spark, "family_orders", "table_number", root))
+    parts = split.split_by_number(staged, "table_number", len(catalog.family_tables(spark, "family_orders", root)))
     return parts.rows.select("o_orderkey", "o_orderpriority", "split_id", "split_row")
 
 
@@ -222,8 +223,8 @@ def split_counts(spark, sf):
 
 @query
 def capped_read(spark, sf):
-    staged = staging.stage(derived.table(spark, sf, "events"), ["ts", "event_id"])
-    return split.capped_read(staged, staged.total_rows * 2 // 5)
+    events = derived.table(spark, sf, "events")
+    return split.first_rows(events, ["ts", "event_id"], events.count() * 2 // 5)
 
 
 # ---- profile, coercion, quarantine --------------------------------------------------------------
@@ -331,18 +332,13 @@ def quarantine_rejects(spark, sf):
 # ---- validation and delivery --------------------------------------------------------------------
 
 
-def _priority_status(spark, sf):
-    staged = staging.stage(_orders(spark, sf), ["o_orderpriority", "o_orderkey"])
-    parts = _by_priority(spark, sf, staged)
-    return parts, validate.threshold_status(parts.splits, staged.total_rows // 5, "ORDERS", parts.count)
-
-
-def _counted_status(spark, sf):
-    """The same status from counts alone."""
+def _counted_status(spark, sf, keep_key=False):
+    """The status of the splits from counts alone: a scan of the key column."""
     orders = _orders(spark, sf)
     counts = split.key_counts(orders, "o_orderpriority")
     sums = counts.agg(F.sum("row_count"), F.count("*")).first()
-    return validate.threshold_status(counts, (sums[0] or 0) // 5, "ORDERS", sums[1])
+    keys = ("o_orderpriority",) if keep_key else ()
+    return validate.threshold_status(counts, (sums[0] or 0) // 5, "ORDERS", sums[1], keep=keys)
 
 
 @query
@@ -361,8 +357,12 @@ def threshold_report(spark, sf):
 
 
 def _delivered(spark, sf, policy):
-    parts, status = _priority_status(spark, sf)
-    return validate.deliverable_rows(parts.rows, status, policy).select("o_orderkey", "split_id", "split_row")
+    """The policy decides on counts; only rows that it lets through are put in order."""
+    orders, status = _orders(spark, sf), _counted_status(spark, sf, keep_key=True)
+    kept = validate.deliverable_keys(status, policy, "o_orderpriority")
+    staged = staging.stage(validate.rows_of_keys(orders, kept, "o_orderpriority"), ["o_orderpriority", "o_orderkey"])
+    rows = _by_priority(spark, sf, staged).rows.drop("split_id")
+    return rows.join(kept, rows["o_orderpriority"].eqNullSafe(kept["_key"])).select("o_orderkey", "split_id", "split_row")
 
 
 @query
@@ -382,8 +382,7 @@ def deliver_cancel(spark, sf):
 
 @query
 def delivery_plan(spark, sf):
-    _, status = _priority_status(spark, sf)
-    kept = validate.deliverable_splits(status, "valid_only")
+    kept = validate.deliverable_splits(_counted_status(spark, sf), "valid_only")
     return deliver.plan_delivery(kept, "Orders", STARTED, ".parquet").select(
         "split_id", "table_name", "row_count", "file_index", "file_name", "inner_table"
     )
@@ -609,13 +608,40 @@ def delivery_run_audit(spark, sf):
     return done.outcome.select("total_rows", "splits", "violations", "rejects", F.lit(written).alias("audit_rows"))
 
 
+@query
+def delivery_ordered_read(spark, sf):
+    """The rows of each output in the order in which the run delivers them, as its commit lists them."""
+    output = scratch_path(spark, "run")
+    files = _year_run(spark, sf, output).files.select("file_index", F.substring_index("path", "=", -1).alias("output"))
+    folder = f"{output}/data/{RANGE_JOB.file_prefix}_{STARTED:%d%m%Y}"
+    return publish.read_ordered(spark, folder, "output").join(files, "output").select(
+        "file_index", "row_number", "o_orderkey", "o_custkey"
+    )
+
+
+@query
+def delivery_run_rejects(spark, sf):
+    """Written and rejected rows of each output of a run whose rows mostly do not fit."""
+    job = extract.Job("Orders_Wide", "select * from {orders}", file_prefix="Wide", threshold=ROW_CAP, order_by=("o_orderdate", "o_orderkey"))
+    done = run.deliver(spark, job, {}, scratch_path(spark, "run"), started=STARTED, orders=derived.quarantine_input(spark, sf))
+    return done.files.select("file_index", "rows", "rejects")
+
+
+@query
+def audit_rerun(spark, sf):
+    """The audit trail after the same run was made twice."""
+    output = scratch_path(spark, "run")
+    for _ in range(2):
+        _year_run(spark, sf, output)
+    return audit.read_audit(spark, f"{output}/audit").select("StoreProcedureName", "Parameter", "Date", "RowsCount", "Message")
+
+
 @query
 def delivery_family(spark, sf):
     """A family of twelve tables, delivered whole."""
-    base, siblings = "delivered_twelve", 12
-    for n in range(siblings):
-        _orders(spark, sf).filter(F.col("o_orderkey") % siblings == n).createOrReplaceTempView(f"{base}_{n + 1}")
-    job = extract.Job(name="Orders_EXP_Family", file_prefix="Export_Family", family=base)
+    base, root = "delivered_twelve", scratch_path(spark, "family")
+    catalog.write_family(_orders(spark, sf).withColumn("n", F.col("o_orderkey") % 12 + 1), root, base, "n")
+    job = extract.Job(name="Orders_Family", file_prefix="Day_Family", family=base, family_root=root)
     done = run.deliver(spark, job, {}, scratch_path(spark, "run"), started=STARTED)
     return done.files.select("table_name", "rows")
 
