@@ -2,7 +2,7 @@
 
 import re
 
-from parcelyard.operators import split, staging
+from parcelyard.operators import split, staging, validate
 from workload import queries
 
 
@@ -85,3 +85,21 @@ def test_comparison_shuffles_no_source_text(spark, sf):
 def test_storage_size_opens_no_file(spark, sf):
     plan = plan_of(queries.storage_size(spark, sf))
     assert "content" not in re.search(r"ReadSchema: struct<([^>]*)>", plan)[1]
+
+
+def test_capped_read_neither_sorts_nor_writes_the_table(spark, sf, monkeypatch):
+    events, staged = spark.read.parquet(f"{sf}/events.parquet"), []
+    real = split.stage
+    monkeypatch.setattr(split, "stage", lambda df, *args: staged.append(df) or real(df, *args))
+    limit = events.count() // 10
+    split.first_rows(events, ["ts", "event_id"], limit)
+    plan = plan_of(staged[0])
+    assert "LessThanOrEqual(ts," in plan and "Sort" not in plan and "Exchange" not in plan
+    assert staged[0].count() == limit
+
+
+def test_counts_decide_before_rows_are_moved(spark, sf):
+    keys = validate.rows_of_keys(spark.range(10).withColumnRenamed("id", "k"), spark.createDataFrame([(1, 3)], "split_id int, _key long"), "k")
+    assert [r["k"] for r in keys.collect()] == [3]
+    plan = plan_of(queries.delivery_plan(spark, sf))
+    assert "o_orderdate" not in plan and "o_totalprice" not in plan

@@ -2,11 +2,14 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 
-from parcelyard.plans.registry import Catalog, reconcile_manifest, sync_manifest
+from parcelyard.operators.reconcile import compare
+from parcelyard.plans.registry import Catalog, Registry, reconcile_delta, reconcile_manifest, reconcile_run, sync_manifest, sync_run
 from parcelyard.sources.manifest import read_manifest
+from parcelyard.versions import LostRace
 
 
 def job(name, params, threshold):
@@ -70,3 +73,75 @@ def test_sync_writes_only_changes(spark, tmp_path, manifest, catalog):
     names.write_text("  \n")
     with pytest.raises(ValueError):
         sync_manifest(spark, manifest, str(names), catalog, str(tmp_path / "x"))
+
+
+@pytest.fixture
+def registry(spark, tmp_path, manifest):
+    store = Registry(spark, str(tmp_path / "registry"))
+    assert store.publish(read_manifest(spark, manifest), 0) == 1
+    return store
+
+
+def test_a_repair_is_the_next_version(spark, tmp_path, registry, catalog):
+    reports = str(tmp_path / "reports")
+    looked = reconcile_run(registry, catalog, reports, when=dt.datetime(2024, 1, 1))
+    assert (looked.read, looked.version, looked.exit_code, registry.version()) == (1, 1, 1, 1)
+    fixed = reconcile_run(registry, catalog, reports, fix=True, when=dt.datetime(2024, 1, 2))
+    assert (fixed.read, fixed.version, fixed.exit_code, fixed.summary["mismatch"]) == (1, 2, 1, 1)
+    assert {r["name"]: r["threshold"] for r in registry.read().collect()} == {"A_EXP_1": 2100000, "B_EXP_2": 6, "Gone": None}
+    assert {r["name"]: r["threshold"] for r in registry.read(1).collect()}["B_EXP_2"] == 5
+    again = reconcile_run(registry, catalog, reports, fix=True, when=dt.datetime(2024, 1, 3))
+    assert (again.version, again.summary["mismatch"], again.exit_code) == (2, 0, 1)  # one is still missing
+    lines = [r[0] for r in spark.read.text(fixed.report).collect()]
+    assert "[VALID]    A_EXP_1" in lines and "[MISMATCH] B_EXP_2" in lines and "[MISSING]  Gone" in lines
+    assert "  ! Threshold MISMATCH: JSON=5  DB=6" in lines
+    with pytest.raises(FileNotFoundError):
+        Registry(spark, str(tmp_path / "none")).read()
+
+
+def test_a_lost_race_changes_nothing(spark, tmp_path, registry, catalog, monkeypatch):
+    names = spark.createDataFrame([("new_imp_x",)], "value string")
+    real = Registry.publish
+
+    def overtaken(self, jobs, read):
+        real(self, self.read(read).limit(1), read)
+        return real(self, jobs, read)
+
+    monkeypatch.setattr(Registry, "publish", overtaken)
+    with pytest.raises(LostRace):
+        sync_run(registry, names, catalog)
+    assert registry.version() == 2 and registry.read().count() == 1
+    monkeypatch.setattr(Registry, "publish", real)
+    done = sync_run(registry, names, catalog)
+    assert (done.read, done.version, done.exit_code, done.summary["added"], registry.read().count()) == (2, 3, 0, 1, 2)
+    assert sync_run(registry, names, catalog).version == 3
+    with pytest.raises(ValueError):
+        sync_run(registry, names.limit(0), catalog)
+
+
+def test_delta_equals_the_whole_comparison(spark, tmp_path):
+    state, rng = str(tmp_path / "state"), random.Random(4)
+    columns = "name string, display_name string, data_type string, staging_table string, parameters array<string>, file_prefix string, threshold long"
+    jobs = {f"J{n}": (f"J{n}", "d", "Export", "s", ["mon"], "p", n) for n in range(40)}
+    known = {f"j{n}": (["@mon"] * (n % 5 > 0), f"if @cnt > {n}") for n in range(3, 45)}
+    for turn in range(4):
+        extra = [jobs["J5"]] if "J5" in jobs and turn == 2 else []  # a name twice
+        job_rows = spark.createDataFrame([*jobs.values(), *extra], columns)
+        catalog = Catalog(
+            spark.createDataFrame([(k,) for k in known], "name string"),
+            spark.createDataFrame([(k, i, p) for k, (ps, _) in known.items() for i, p in enumerate(ps)], "name string, position int, param string"),
+            spark.createDataFrame([(k, s) for k, (_, s) in known.items()], "name string, source string"),
+        )
+        got, again = reconcile_delta(job_rows, catalog, state)
+        want = compare(job_rows, catalog.snapshot(job_rows))
+        assert sorted(got.drop("compared_again").collect(), key=repr) == sorted(want.select(got.drop("compared_again").columns).collect(), key=repr)
+        if turn:
+            assert again == len(touched) and got.filter("compared_again").count() <= again + 1
+        touched = set(rng.sample(range(45), 6)) if turn < 2 else {5}
+        for n in touched:
+            if n % 3 == 0:
+                jobs.pop(f"J{n}", None) or jobs.update({f"J{n}": (f"J{n}", "d", "Import", "s", None, "p", None)})
+            elif n % 3 == 1:
+                known.pop(f"j{n}", None) or known.update({f"j{n}": (["@a"], "nothing")})
+            else:
+                known[f"j{n}"] = (["@mon", "@more"], f"if @cnt > {1000 + turn}")

@@ -1,5 +1,8 @@
 """Invariants of splits, at the edges and under skew."""
 
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -282,3 +285,42 @@ def test_drop_removes_the_staging_table(spark, tmp_path):
     assert (tmp_path / "t").exists()
     staged.drop()
     assert not (tmp_path / "t").exists()
+
+
+def key_order(key):
+    return tuple((v is not None, v) if v is not None else (False,) for v in key)
+
+
+def test_first_rows_select_the_last_key_and_sort_only_what_they_keep(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2, 3, 7]), rng.choice([None, "a", "b"]), i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(50)))
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b string, i long, t timestamp_ntz")
+    for columns, places in ((["a", "b"], (0, 1)), (["t", "i"], (3, 2))):
+        keys = sorted((tuple(r[p] for p in places) for r in rows), key=key_order)
+        for limit in (1, 600, 1999, 2000, 2001):
+            last, before = split.cut_off_key(df, columns, limit, most=60)
+            if limit > len(rows):
+                assert last is None and before == len(rows)
+            else:
+                assert tuple(last[c] for c in columns) == keys[limit - 1] and before == keys.index(keys[limit - 1])
+    got = split.first_rows(df, ["t", "i"], 777)
+    assert {(r["row_index"], r["i"]) for r in got.collect()} == {(n, i) for n, (_, i) in enumerate(keys[:777], 1)}
+    assert split.first_rows(df, ["a"], 500).count() == 500  # ties are cut
+    assert split.first_rows(df, ["a"], 0).count() == 0 and split.first_rows(df, ["i"], 9999).count() == 2000
+    assert split.first_rows(df.limit(0), ["i"], 5).collect() == []
+
+
+def test_much_of_the_bytes_in_few_rows(spark):
+    """90 % of the bytes in 1 % of the rows: no look-up list gets long, wherever the splits begin."""
+    text = F.when(F.col("id").between(5000, 5199), F.repeat(F.lit("x"), 9000)).otherwise(F.repeat(F.lit("y"), 10))
+    staged = staging.stage(spark.range(20_000).select("id", text.alias("t")), ["id"], measure_bytes=True)
+    levels = split._start_index(split._split_starts(staged, 3000, 4096, 16_384), 16_384)
+    assert len(levels) == 3 and [size for size, _, _ in levels] == [16_384, 256, 64]
+    assert all(lists.agg(F.max(F.size("_starts"))).first()[0] <= split.MAX_STARTS for _, lists, _ in levels)
+    before, want = 0, {}
+    for i in range(20_000):
+        want[i] = before // 3000 + 1
+        before += 8 + (9000 if 5000 <= i < 5200 else 10)
+    got = split.byte_capped_split(staged, 3000, block_rows=4096)
+    assert {r["id"]: r["split_id"] for r in got.collect()} == want

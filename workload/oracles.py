@@ -622,6 +622,22 @@ processed AS (
 
 _SYNC_COLUMNS = "name, display_name, data_type, staging_table, array_to_string(parameters, ',') AS parameters, file_prefix, threshold"
 
+ORACLES["reconcile_run"] = f"""WITH {COMPARED},
+counts AS (SELECT count(*) FILTER (status = 'VALID') AS valid, count(*) FILTER (status = 'MISSING') AS missing,
+                  count(*) FILTER (status = 'MISMATCH') AS mismatch FROM compared),
+unread AS (SELECT count(*) AS n FROM compared WHERE status = 'MISMATCH' AND NOT has_source AND params_match) -- none can be left
+SELECT 1 AS run, 1 AS read, CASE WHEN mismatch > 0 THEN 2 ELSE 1 END AS version, (missing + mismatch > 0)::INT AS exit_code,
+       valid, missing, mismatch FROM counts
+UNION ALL
+SELECT 2, CASE WHEN mismatch > 0 THEN 2 ELSE 1 END, CASE WHEN mismatch > 0 THEN 2 ELSE 1 END, (missing + n > 0)::INT,
+       valid + mismatch - n, missing, n FROM counts, unread"""
+
+ORACLES["reconcile_report_written"] = f"""WITH report AS ({ORACLES["reconcile_report"]}) SELECT status, name, details FROM report"""
+
+ORACLES["reconcile_delta"] = f"""WITH {COMPARED}, numbered AS (SELECT *, split_part(name, '_', -1)::INT AS k FROM compared)
+SELECT name, status, in_database, params_match, threshold_match, threshold, db_threshold,
+       k % 40 = 1 OR (k % 10 = 0 AND coalesce(threshold, 0) <> 1) OR (k % 25 = 2 AND k % 17 <> 0) AS compared_again FROM numbered"""
+
 ORACLES["registry_sync"] = f"WITH {SYNCED} SELECT status, {_SYNC_COLUMNS} FROM processed"
 
 ORACLES["registry_sync_summary"] = f"""WITH {SYNCED}
@@ -633,6 +649,8 @@ SELECT count(*) FILTER (status <> 'RETAINED') AS listed, count(*) FILTER (status
 ORACLES["manifest_write_back"] = f"""WITH {SYNCED} SELECT {_SYNC_COLUMNS} FROM processed
 WHERE status <> 'MISSING_IN_DB' OR lower(name) IN (SELECT lower(name) FROM registry)"""
 
+ORACLES["sync_run"] = f"""{ORACLES["manifest_write_back"].replace("SELECT name, display_name", "SELECT 2 AS version, 2 AS version_after, name, display_name")}"""
+
 # ---- whole runs ---------------------------------------------------------------------------------
 
 DELIVERED = f"""ordered AS (

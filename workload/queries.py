@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from parcelyard.functions import coerce, errors, text
 from parcelyard.operators import extract, profile, reconcile, split, staging, totals, validate
-from parcelyard.plans import audit, deliver, outcome, publish, reports, run
+from parcelyard.plans import audit, deliver, outcome, publish, registry, reports, run
 from parcelyard.session import scratch_path
 from parcelyard.sources import catalog, manifest, tables
 from parcelyard.streaming import capped
@@ -577,6 +577,56 @@ def manifest_write_back(spark, sf):
     )
 
 
+def _catalog(spark, sf):
+    return registry.Catalog(*derived.catalog_tables(spark, sf))
+
+
+def _registry(spark, sf):
+    store = registry.Registry(spark, scratch_path(spark, "registry"))
+    store.publish(derived.registry(spark, sf), 0)
+    return store
+
+
+@query
+def reconcile_run(spark, sf):
+    """A comparison that repairs the registry, and the comparison after it: counts, versions, verdict."""
+    store, reports_dir = _registry(spark, sf), scratch_path(spark, "reports")
+    runs = [registry.reconcile_run(store, _catalog(spark, sf), reports_dir, fix=True, when=STARTED + dt.timedelta(days=n)) for n in range(2)]
+    rows = [(n, r.read, r.version, r.exit_code, r.summary["valid"], r.summary["missing"], r.summary["mismatch"]) for n, r in enumerate(runs, 1)]
+    return spark.createDataFrame(rows, "run int, read int, version int, exit_code int, valid long, missing long, mismatch long")
+
+
+@query
+def reconcile_report_written(spark, sf):
+    """The report file of a run, read again."""
+    done = registry.reconcile_run(_registry(spark, sf), _catalog(spark, sf), scratch_path(spark, "reports"), when=STARTED, report_format="json")
+    return spark.read.json(done.report).select("status", "name", "details")
+
+
+@query
+def sync_run(spark, sf):
+    """The registry after a merge run, which a second run leaves as it is."""
+    store = _registry(spark, sf)
+    runs = [registry.sync_run(store, derived.master_lines(spark, sf), _catalog(spark, sf)) for _ in range(2)]
+    return store.read().select(
+        "name", "display_name", "data_type", "staging_table", F.array_join("parameters", ",").alias("parameters"), "file_prefix",
+        "threshold", F.lit(runs[0].version).alias("version"), F.lit(runs[1].version).alias("version_after"),
+    )
+
+
+@query
+def reconcile_delta(spark, sf):
+    """A comparison after a tenth of the registry has changed and some routines have come, from the state of the last one."""
+    state, jobs, now = scratch_path(spark, "state"), derived.registry(spark, sf), _catalog(spark, sf)
+    number = F.substring_index("name", "_", -1).cast("int")
+    before = jobs.filter(number % 40 != 1).withColumn("threshold", F.when(number % 10 == 0, 1).otherwise(F.col("threshold")))
+    then = registry.Catalog(now.routines.filter(number % 25 != 2), now.params, now.source)
+    registry.reconcile_delta(before, then, state)
+    return registry.reconcile_delta(jobs, now, state)[0].select(
+        "name", "status", "in_database", "params_match", "threshold_match", "threshold", "db_threshold", "compared_again"
+    )
+
+
 # ---- whole runs ---------------------------------------------------------------------------------
 
 
