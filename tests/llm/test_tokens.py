@@ -1,5 +1,7 @@
 """Plane files and packing against plain computations over all documents."""
 
+import json
+import random
 import struct
 import zlib
 from collections import Counter, defaultdict
@@ -152,3 +154,29 @@ def test_rounds_place_every_piece_once(counts):
         places.sort()
         assert [o for o, _ in places] == [0, *np.cumsum([n for _, n in places])[:-1]]
     assert len(room) <= 1.05 * best_fit_decreasing(counts, capacity) + 1
+
+
+def test_words_and_white_space_are_cut_as_the_library_does():
+    rng, letters = random.Random(3), " \n\t\rab'sté1,.<|>-é“ABst日 \u0085x"
+    made = encoding.Encoder(VOCABULARY)
+    for _ in range(8000):
+        text = "".join(rng.choices(letters, weights=[6, 2, 1, 1] + [1] * (len(letters) - 4), k=rng.randrange(14)))
+        assert made.packed(text) == struct.pack(f"<{len(ids_of(text))}I", *ids_of(text)), text
+    few = encoding.Encoder(VOCABULARY)
+    few._words.most = few._pieces.most = 5  # generations pass
+    for _ in range(300):
+        text = " ".join("".join(rng.choices("abcdé,", k=rng.randrange(4))) for _ in range(12))
+        assert few.packed(text) == made.packed(text)
+    assert len(few._words) <= 6 >= len(few._words.older)
+
+
+def test_a_vocabulary_that_cuts_otherwise_is_left_to_the_library(tmp_path):
+    said = json.loads(open(VOCABULARY).read())
+    assert encoding.Encoder(VOCABULARY)._by_pieces
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"pre_tokenizer": {**said["pre_tokenizer"], "add_prefix_space": True}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({**said, **change}))
+        other = encoding.Encoder(str(path))
+        ids = other._tokenizer.encode("Two Words, here", add_special_tokens=False).ids
+        assert not other._by_pieces and other.packed("Two Words, here", None) == struct.pack(f"<{len(ids)}I", *ids)
