@@ -58,3 +58,15 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that further columns of the input can't clash."""
     return df.select(*[F.col(f"`{name}`") for name in names])
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for further columns that ``df`` does not have, whatever it has."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        names.append(name)
+    return names

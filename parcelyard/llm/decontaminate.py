@@ -19,7 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import keep, row_key
+from parcelyard.llm.common import free_names, keep, row_key
 from parcelyard.operators.staging import broadcast_if_small
 
 WINDOW = 10
@@ -165,7 +165,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFra
     """Documents in which no window occurs. All columns stay as they are."""
     windows, _ = item_windows(items, size)
     bad = keep(phrase_matches(tokenized(docs), windows).select(*KEY), "contaminated")
-    names = [f"_key_{k}" for k in KEY]
+    names = free_names(docs, *KEY)
     keyed = docs.withColumns(dict(zip(names, row_key())))
-    bad = bad.select(*[F.col(k).alias(f"_key_{k}") for k in KEY])
+    bad = bad.select(*[F.col(k).alias(name) for k, name in zip(KEY, names)])
     return keyed.join(bad, names, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,8 +4,8 @@ A byte-level BPE vocabulary first cuts a text into pieces by a fixed pattern and
 a text are those of its pieces one after the other. A single space between two words belongs to the piece after it,
 so a text may as well be cut at its spaces: the ids of ``" word"`` do not depend on what stands around it. The only
 exception is a space that has white space before it and white space or nothing after it, as runs of white space are
-pieces of their own. Words repeat a lot; each worker keeps the ids of the last ``WORDS`` to twice as many words, and the same
-for half as many pieces, which is about 100 MB. Texts with such spaces are cut by the pattern. Pieces go straight to the
+pieces of their own. Words repeat a lot; each worker keeps the ids of the last ``WORDS`` to twice as many words and of
+some pieces, which is about 100 MB. Texts with such spaces are cut by the pattern. Pieces go straight to the
 vocabulary's merges, spelled in its alphabet of bytes. Texts with characters on which regular expression libraries could disagree, or with the text of a special token, and all texts if
 the vocabulary cuts in another way, go to the library as a whole.
 """
@@ -15,9 +15,11 @@ from __future__ import annotations
 import functools
 import json
 import re
+import string
 import struct
 
-WORDS = 200_000
+WORDS = 300_000
+PIECES_KEPT = 20_000
 LONGEST_REMEMBERED = 32
 END_ID = 2
 # The cutting pattern of a byte-level vocabulary.
@@ -29,6 +31,7 @@ RUN = re.compile(r"\s (?:\s|\Z)")  # a space that is not simply the first charac
 
 # A byte is spelled by the Latin-1 character of its number if that is visible, else by the next letter from U+0100 on.
 _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+SPACE = "\u0120"
 BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in _VISIBLE)}
 
 
@@ -52,6 +55,9 @@ class _Remembered(dict):
         packed = self.older.get(text)
         if packed is None:
             packed = self.make(text)
+        return self.keep(text, packed)
+
+    def keep(self, text: str, packed: bytes) -> bytes:
         if len(text) <= LONGEST_REMEMBERED:
             if len(self) >= self.most:
                 self.older = dict(self)
@@ -60,6 +66,29 @@ class _Remembered(dict):
         return packed
 
 
+class _Words(_Remembered):
+    """Words by what follows the space before them.
+
+    Marks at the end of a word are a piece of their own, so such a word is put together from two parts. It is kept only if
+    the bare word has been met before, and a word with white space in it is not kept at all: most of them never return.
+    """
+
+    def __init__(self, make, pieces: _Remembered, most: int):
+        super().__init__(make, most)
+        self.pieces = pieces
+
+    def __missing__(self, text: str) -> bytes:
+        if text.isalpha():
+            return super().__missing__(text)
+        head = text.rstrip(string.punctuation)
+        if head != text and head.isalpha():
+            known, marks = self.get(head), self.pieces[text[len(head):]]
+            return self[head] + marks if known is None else self.keep(text, known + marks)
+        if "\n" in text:
+            return self.make(text)
+        return super().__missing__(text)
+
+
 def cuts_by_pattern(tokenizer) -> bool:
     """Does the vocabulary cut by the byte-level pattern, with nothing before or after that looks past a piece?"""
     said = json.loads(tokenizer.to_str())
@@ -87,8 +116,8 @@ class Encoder:
         self._plain = re.compile(PLAIN).fullmatch
         self._specials = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._merge = self._tokenizer.model.tokenize
-        self._pieces = _Remembered(self._piece, WORDS // 2)
-        self._words = _Remembered(self._word, WORDS)
+        self._pieces = _Remembered(self._piece, PIECES_KEPT)
+        self._words = _Words(self._word, self._pieces, WORDS)
 
     def _whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -99,9 +128,12 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            return self._pieces[" " + word]
-        return self._in_pieces(" " + word)
+        if not word.isalpha():
+            return self._in_pieces(" " + word)
+        if not word.isascii():
+            return self._piece(" " + word)
+        ids = [t.id for t in self._merge(SPACE + word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _in_pieces(self, text: str) -> bytes:
         cut = self._cut_ascii if text.isascii() else self._cut

@@ -9,7 +9,7 @@ The model is fitted on at most about ``documents`` labelled documents per langua
 at most ``words`` words and ``grams`` n-grams of each length per language, the most frequent ones; these bounds are
 parameters and limit what is broadcast. Prediction covers every document and its whole text.
 
-Defined cases: NULL text, or text without a letter, is ``und`` with score 0, and so is everything when there is
+Defined cases: NULL text, or text without a letter (a digit or a number sign such as ² or Ⅳ is none), is ``und`` with score 0, and so is everything when there is
 nothing to learn from; ties go to the language that sorts first; repeated rows count as often as they occur; rows
 with a NULL language or id teach nothing.
 """
@@ -23,15 +23,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelyard.llm.common import discard, free_names, keep
+
 UNKNOWN = "und"
 LONGEST_GRAM = 5
 SMOOTHING = 0.1
-REMEMBERED = 400_000
+REMEMBERED = 60_000  # unseen words and what they say, about 20 MB a worker
 SLOTS = 4096  # of the hash that divides items of one count
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+")  # letters, and number signs such as ² or Ⅳ, which words_of cuts out
+LETTERS = regex.compile(r"\p{L}+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters (Unicode category L) of a text in lower case, the same that ``fit`` counts."""
+    words = WORD.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [run for word in words for run in ((word,) if word.isalpha() else LETTERS.findall(word))]
 
 
 @dataclass(frozen=True)
@@ -113,10 +125,12 @@ def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, documents / n))).otherwise(share)
     chosen = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
-    seen = (
+    # Written tables instead of cached ones: what is used several times takes no memory of executors and survives them.
+    seen = keep(
         chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item"))
-        .groupBy("lang", "item").agg(F.count("*").alias("n"))
-    ).cache()
+        .groupBy("lang", "item").agg(F.count("*").alias("n")),
+        "words",
+    )
     padded = F.concat(F.lit("<"), F.col("item"), F.lit(">"))
     tables = [(_frequent(seen, ["lang"], words), 0)]
     pieces = None
@@ -125,15 +139,16 @@ def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int
         cut = F.transform(places, lambda at, n=n: F.substring(padded, at, F.lit(n)))
         rows = seen.select("lang", F.lit(n).alias("size"), F.explode(cut).alias("item"), "n")
         pieces = rows if pieces is None else pieces.unionByName(rows)
-    pieces = pieces.filter(F.char_length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).cache()
+    pieces = pieces.filter(F.char_length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n"))
+    pieces = keep(pieces, "n-grams")
     tables.append((_frequent(pieces, ["lang", "size"], grams), None))
     column = {lang: k for k, lang in enumerate(languages)}
     found: dict[int, dict[str, dict[str, int]]] = {n: {} for n in range(LONGEST_GRAM + 1)}
     for table, size in tables:
         for r in table.collect():  # bounded by the parameters
             found[r["size"] if size is None else size].setdefault(r["item"], {})[r["lang"]] = r["n"]
-    seen.unpersist()
-    pieces.unpersist()
+    discard(seen)
+    discard(pieces)
     index, rows = {}, []
     for size in (0, *range(LONGEST_GRAM, 0, -1)):
         index[size] = {}
@@ -151,9 +166,9 @@ def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int
 class Scorer:
     def __init__(self, model: LanguageModel):
         self.model = model
-        self._unseen: dict[str, tuple[list[int], float]] = {}
+        self._unseen: dict[str, tuple[tuple[int, ...], float]] = {}
 
-    def _back_off(self, word: str) -> tuple[list[int], float]:
+    def _back_off(self, word: str) -> tuple[tuple[int, ...], float]:
         found = self._unseen.get(word)
         if found is None:
             padded, rows = f"<{word}>", []
@@ -162,14 +177,14 @@ class Scorer:
                 rows = [table[g] for g in grams if g in table and (size > 1 or g not in "<>")]
                 if rows:
                     break
-            found = rows, 1 / max(1, len(rows))
+            found = tuple(rows), 1 / max(1, len(rows))
             if len(self._unseen) >= REMEMBERED:
                 self._unseen.clear()
             self._unseen[word] = found
         return found
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = Counter(WORD.findall(text.lower())) if text else None
+        words = Counter(words_of(text)) if text else None
         if not words or not self.model.languages:
             return UNKNOWN, 0.0
         known, rows, shares, said = self.model.words, [], [], 0
@@ -228,5 +243,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     model = fit(docs.filter(learnable()))
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = docs.withColumn("_found", language(docs, model))
-    return found.filter(F.col("_found.lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    (found,) = free_names(docs, "found")
+    rows = docs.withColumn(found, language(docs, model))
+    return rows.filter(F.col(found)["lang_pred"] != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -155,38 +155,40 @@ def first_rows(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool = False) -> DataFrame:
-    """``docs`` (doc_id, text and more) with ``_kept``, the text of the lines that stay, and ``_removed``, how many went.
+    """Each row of ``docs`` (doc_id, text and more) as ``doc``, a struct of its columns, with ``kept``, the text of the lines
+    that stay, and ``removed``, how many went.
 
     ``stored``: ``docs`` is a stored table, and exactly one of all copies of a line is the earliest.
     """
-    masks = line_flags(docs, min_chars, TOTAL if stored else PLACE)
-    keyed = docs.withColumns({"_row_id": row_key()[0], "_row_hash": row_key()[1]})
+    narrow = docs.select("doc_id", "text", *(["_metadata"] if stored else []))  # whatever other columns are called
+    masks = line_flags(narrow, min_chars, TOTAL if stored else PLACE)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     if stored:
-        masks = masks.join(first_rows(docs), KEY, "full")
-        keyed = keyed.withColumn("_place", _stored_place())
-    masks = masks.withColumnsRenamed({c: f"_{c}" for c in masks.columns})
-    joined = keyed.join(masks, ["_row_id", "_row_hash"], "left")
+        masks = masks.join(first_rows(narrow), KEY, "full")
+        keyed = docs.select(row, "text", *row_key(), _stored_place().alias("place"))
+    else:
+        keyed = docs.select(row, "text", *row_key())
+    joined = keyed.join(masks, KEY, "left")
     lines = F.split("text", "\n", -1)
-    stays = F.filter(lines, lambda _, i: F.substring(F.col("_mask"), i + 1, F.lit(1)) == F.lit(b"0"))
-    kept = F.when(F.col("_mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    removed = F.coalesce(F.octet_length(F.regexp_replace(F.col("_mask").cast("string"), "0", "")), F.lit(0))
+    stays = F.filter(lines, lambda _, i: F.substring(F.col("mask"), i + 1, F.lit(1)) == F.lit(b"0"))
+    kept = F.when(F.col("mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    removed = F.coalesce(F.octet_length(F.regexp_replace(F.col("mask").cast("string"), "0", "")), F.lit(0))
     if stored:
         # Every line of a later equal row stands in the first one too.
-        later = F.col("_at").isNotNull() & (F.col("_place") != F.col("_at"))
+        later = F.col("at").isNotNull() & (F.col("place") != F.col("at"))
         short = F.filter(lines, lambda line: F.char_length(line) < min_chars)
         kept = F.when(later, F.array_join(short, "\n")).otherwise(kept)
         removed = F.when(later, F.size(lines) - F.size(short)).otherwise(removed)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*names, kept.alias("_kept"), removed.cast("long").alias("_removed"))
+    return joined.select("doc", kept.alias("kept"), removed.cast("long").alias("removed"))
 
 
 def digests(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool = False) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, kept_sha256 (of the remaining text in UTF-8)."""
     found = deduplicated(docs.select("doc_id", "text"), min_chars, stored)
-    lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
+    lines = F.coalesce(F.size(F.split("doc.text", "\n", -1)), F.lit(0))
     return found.select(
-        F.col("doc_id").cast("long"), F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
-        F.col("_removed").alias("n_removed"), F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"),
+        F.col("doc.doc_id").cast("long"), F.when(F.col("doc.text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
+        F.col("removed").alias("n_removed"), F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
     )
 
 
@@ -195,15 +197,16 @@ def keep_first_lines(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool =
 
     ``n_chars`` follows the text where that column exists. Other columns stay as they are.
     """
-    found = deduplicated(docs, min_chars, stored).filter((F.col("_removed") == 0) | (F.trim("_kept") != ""))
-    changed = F.col("_removed") > 0
+    found = deduplicated(docs, min_chars, stored).filter((F.col("removed") == 0) | (F.trim("kept") != ""))
+    changed = F.col("removed") > 0
     out = []
     for c in docs.columns:
+        own = F.col("doc").getField(c)
         if c == "text":
-            out.append(F.col("_kept").alias("text"))
+            out.append(F.col("kept").alias("text"))
         elif c == "n_chars":
             kind = docs.schema["n_chars"].dataType
-            out.append(F.when(changed, F.char_length("_kept").cast(kind)).otherwise(F.col("n_chars")).alias("n_chars"))
+            out.append(F.when(changed, F.char_length("kept").cast(kind)).otherwise(own).alias("n_chars"))
         else:
-            out.append(F.col(f"`{c}`"))
+            out.append(own.alias(c))
     return found.select(*out)

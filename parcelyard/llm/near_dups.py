@@ -26,13 +26,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import discard, keep, row_key
+from parcelyard.llm.common import discard, free_names, keep, row_key
 
 SHINGLE, SIMILARITY = 5, 80  # words, percent
 BANDS, ROWS = 32, 6
 SPACE = 1 << 20
 SEED = 20_240_101
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 FEW = 8  # pairs per node, counted in every bucket, that may be left when the rounds end
 MEET = 4  # other nodes that a node meets in a round
 ROUNDS = 4
@@ -270,12 +270,12 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) ->
     """
     found = grouped(docs, size, percent).filter("kept").select("row_id", "row_hash", "label", "n_shingles").distinct()
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    names = {"_row_id": row_key()[0], "_row_hash": row_key()[1], "_place": place}
-    keyed = docs.withColumns(names)
-    candidates = keyed.select("_row_id", "_row_hash", "_place").join(
-        found.withColumnsRenamed({"row_id": "_row_id", "row_hash": "_row_hash"}), ["_row_id", "_row_hash"]
+    row_id, row_hash, at = free_names(docs, "row_id", "row_hash", "place")
+    keyed = docs.withColumns({row_id: row_key()[0], row_hash: row_key()[1], at: place})
+    candidates = keyed.select(F.col(row_id).alias("row_id"), F.col(row_hash).alias("row_hash"), F.col(at).alias("place")).join(
+        found, ["row_id", "row_hash"]
     )
-    one = candidates.filter("n_shingles > 0").groupBy("label").agg(F.min("_place").alias("_place")).select("_place")
-    alone = candidates.filter("n_shingles = 0").select("_place")
+    one = candidates.filter("n_shingles > 0").groupBy("label").agg(F.min("place").alias(at)).select(at)
+    alone = candidates.filter("n_shingles = 0").select(F.col("place").alias(at))
     chosen = keep(one.unionByName(alone), "chosen")
-    return keyed.join(chosen, "_place", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(chosen, at, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

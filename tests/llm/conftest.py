@@ -21,7 +21,9 @@ def hard(documents):
     long = "the quick brown fox jumps over it. " * 3000
     rows = [(None, "no id here"), (1, None), (2, ""), (3, long), (4, "tie"), (4, "tie"), (4, "other"), (5, "  \n\n ")]
     df = documents(rows)
-    clash = "word length start piece row_id row_hash slot file first last line pos component_id _tie label".split()
+    clash = "word length start piece row_id row_hash slot file first last line pos component_id _tie label "
+    clash += "_found _kept _removed _mask _place _at _row_id _row_hash _key_row_id _key_row_hash kept removed doc at place found"
+    clash = clash.split()
     return df.selectExpr("*", *[f"'x' as `{c}`" for c in clash])
 
 

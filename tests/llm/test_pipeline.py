@@ -41,3 +41,27 @@ def test_each_stage_on_what_its_predecessor_kept(spark, sf):
     assert Counter(i for i, _ in texts(clean)) == Counter(k[0] for k, n in found.items() if not k[-1] for _ in range(n))
 
     assert check_packing(steps["packing"](spark, clean, sf).collect(), texts(clean), 1024)
+
+
+def test_stages_leave_columns_with_their_own_names_alone(spark, sf, hard):
+    docs = keep(hard, "hard")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = keep(stage(spark, docs, sf), "out")
+        assert out.columns == docs.columns, name
+        fixed = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+        assert all(set(r) == {"x"} for r in out.select(*[f"`{c}`" for c in fixed]).collect()), name
+        assert 0 < out.count() <= docs.count()
+        docs = out
+
+
+def test_stages_of_an_empty_table_of_repeats_and_of_long_texts(spark, sf, documents):
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, long), (2, long), (2, long), (None, "one and two"), (None, "three or four")]
+    for docs, least in ((documents(rows[:1]).limit(0), 0), (documents(rows), 1)):
+        docs = keep(docs, "docs")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = keep(stage(spark, docs, sf), "stage")
+            assert docs.count() >= least, name
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+        left = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        assert bool(check_packing(pieces, left, 1024)) == bool(left) == bool(least)

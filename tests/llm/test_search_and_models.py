@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from oracle_check import connect, difference
 
 from parcelyard.llm import langid, queries, topk, toxicity, warc
@@ -112,7 +113,7 @@ def test_url_keys():
 
 def brute_language(model, text):
     """The definition: words, then the longest n with a known n-gram."""
-    words = langid.WORD.findall((text or "").lower())
+    words = regex.findall(r"\p{L}+", (text or "").lower())
     if not words or not model.languages:
         return langid.UNKNOWN
     total, said = np.zeros(len(model.languages)), 0
@@ -178,6 +179,16 @@ def test_text_without_known_pieces_stays(spark, documents):
     assert langid.keep_identified(docs).count() == 3
 
 
+def test_number_signs_are_no_letters(spark, documents):
+    one, two = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    signs = ["²", "½ ① Ⅳ", "m²", "Ⅳcat²dog", "٣", "cat²"]
+    docs = documents([(one, "the cat and the dog", "en"), (two, "le chat", "fr"), *[(100 + k, t, None) for k, t in enumerate(signs)]])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    assert [got[100 + k] for k in range(6)] == ["und", "und", got[102], "en", "und", "en"] and got[102] != "und"
+    assert langid.words_of("Ⅳcat²dog m² É_x9y") == ["cat", "dog", "m", "é", "x", "y"]
+    assert sorted(r["text"] for r in langid.keep_identified(docs).collect() if r["doc_id"] >= 100) == sorted(["m²", "Ⅳcat²dog", "cat²"])
+
+
 def test_bounds_of_the_model_hold(spark, sf):
     docs = table(spark, sf, "documents")
     model = langid.fit(docs, documents=10**9, words=100, grams=50)
