@@ -8,8 +8,9 @@ of 0.8, 32 bands of 6 rows miss a pair with probability 0.00006.
 Documents with equal sets are one node from the start, so exact copies, however many, cost one row each. Candidates
 are compared without making all pairs of a bucket: in a round, every node meets a few of the members drawn for its
 buckets, of those not known to be in its component; verified links join components, and buckets whose nodes are all in one
-component are done. When the pairs that are left in mixed buckets are few, all of them that no round has
-compared are compared, so no link between components is lost. Similarities are confirmed on the full sets.
+component are done. After the rounds, all pairs of small mixed buckets that no round has compared are compared. A crowded
+bucket, of documents that share a passage without being copies, is split further: its nodes meet at their rarest shingles, of which
+any two linked sets share one, so no link between components is lost. Similarities are confirmed on the full sets.
 
 Shingles are compared as 64-bit hashes. Defined cases: NULL and wordless texts have empty sets, link with nothing and are
 kept; texts with fewer words than a shingle are one shingle; repeated rows link like any equal texts; with
@@ -36,6 +37,9 @@ REMEMBERED = 100_000
 FEW = 8  # pairs per node, counted in every bucket, that may be left when the rounds end
 MEET = 4  # other nodes that a node meets in a round
 ROUNDS = 4
+CROWD = 16  # nodes of a bucket that may all be compared with each other when the rounds end
+PIECES = 16  # in which a shingle is counted
+PAIR = ("a", "b", "label_a", "label_b")
 SIGNED = "row_id long, row_hash long, doc_id long, n long, set_a long, set_b long, bands array<long>"
 
 
@@ -163,32 +167,95 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b, and the labels of both) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("found").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("found").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     enough = 100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)
-    return pairs.select("a", "b").join(left, "a").join(right, "b").filter(enough).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(enough).select(*PAIR)
 
 
 def _similar_sizes(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all nodes reachable over shared buckets. ``members``: bucket, node, n."""
+def relabelled(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after the links ``new`` have joined components. Only labels are contracted again."""
+    tops = components(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    tops = tops.select(F.col("node").alias("label"), F.col("label").alias("top"))
+    joined = labels.join(tops, "label", "left")
+    return keep(joined.select("node", F.coalesce("top", "label").alias("label")), "labels")
+
+
+def rarest(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """token, node, n, label, place: the shingles of each node of which two linked nodes share one.
+
+    With all shingles in one order, here by the number of nodes that have them, the first one that two linked sets share
+    is among the first n - ceil(n * percent / 100) + 1 of either. Shingles of one node take places but are not returned.
+    A shingle is counted and looked up in pieces, so one that all nodes have is no hot key.
+    """
+    tokens = sets.join(nodes, "node").select(
+        "node", "n", "label", F.pmod(F.xxhash64("node"), F.lit(PIECES)).alias("piece"), F.explode("found").alias("token")
+    )
+    pieces = keep(tokens.groupBy("token", "piece").agg(F.count("*").alias("c")), "counts")
+    often = pieces.groupBy("token").agg(F.sum("c").alias("often")).filter("often > 1")
+    looked_up = pieces.join(often, "token").select("token", "piece", "often")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    ordered = (
+        tokens.join(looked_up, ["token", "piece"])
+        .groupBy("node", "n", "label").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("shared"))
+        .withColumn("alone", F.col("n") - F.size("shared")).filter(first > F.col("alone"))
+        .withColumn("shared", F.slice("shared", F.lit(1), (first - F.col("alone")).cast("int")))
+    )
+    rows = ordered.select("node", "n", "label", "alone", F.posexplode("shared").alias("at", "entry"))
+    return rows.select("entry.token", "node", "n", "label", (F.col("alone") + F.col("at")).alias("place"))
+
+
+def rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a shingle of ``rarest`` and have room for a link after its place.
+
+    The largest component at a shingle is met by the others but not by itself, however many nodes it has.
+    """
+    sizes = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
+    mixed = sizes.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("largest"), F.count("*").alias("labels"))
+    rows = keep(rows.join(mixed.filter("labels > 1").drop("labels"), "token"), "rare")
+    left = rows.filter("label <> largest").select(
+        "token", "largest", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "label", "place")]
+    )
+    right = rows.select("token", *[F.col(c).alias(f"{c}_y") for c in ("node", "n", "label", "place")])
+    room = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    met = left.join(right, "token").filter(
+        (F.col("label_x") != F.col("label_y")) & ((F.col("label_y") == F.col("largest")) | (F.col("node_x") < F.col("node_y")))
+        & _similar_sizes("n_x", "n_y", percent) & ((100 + percent) * room >= percent * (F.col("n_x") + F.col("n_y")))
+    )
+    return _ordered(met)
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) with labels, from node_x, label_x, node_y, label_y."""
+    swap = F.col("node_x") > F.col("node_y")
+    pick = lambda c, x, y: F.when(swap, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}"))
+    return met.select(
+        pick("node", "y", "x").alias("a"), pick("node", "x", "y").alias("b"),
+        pick("label", "y", "x").alias("label_a"), pick("label", "x", "y").alias("label_b"),
+    ).distinct()
+
+
+def joined_labels(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """node, label: the components of all nodes linked over shared buckets. ``members``: bucket, node, n."""
     spark = members.sparkSession
-    nodes = members.select("node").distinct().count()
-    none = spark.createDataFrame([], "a long, b long")
-    found = done = none
-    labelled = members.withColumn("label", F.col("node"))
-    for turn in range(ROUNDS):
+    labels = keep(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
+    nodes = labels.count()
+    done = spark.createDataFrame([], "a long, b long")
+    turn = 0
+    while True:
+        labelled = keep(members.join(labels, "node"), "labelled")
         # The member that the others of a bucket meet: another one every round.
         order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "label", "n")
         parts = labelled.groupBy("bucket", "label").agg(F.min(order).alias("hub"), F.count("*").alias("c"))
         mixed = keep(
             parts.groupBy("bucket").agg(
-                F.min("hub").alias("hub"), F.count("*").alias("labels"),
+                F.min("hub").alias("hub"), F.count("*").alias("labels"), F.sum("c").alias("c"),
                 ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"),
             ).filter("labels > 1"),
             "mixed",
@@ -196,35 +263,35 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         # Pairs of different components in one bucket; those of several buckets count several times.
         left = mixed.agg(F.sum("pairs")).first()[0] or 0
         if left == 0:
-            return found
-        if turn and left <= FEW * nodes:
+            return labels
+        if turn == ROUNDS or (turn and left <= FEW * nodes):
             break
-        meet = (
+        met = (
             labelled.join(mixed.select("bucket", "hub"), "bucket").filter(F.col("label") != F.col("hub.label"))
             .filter(100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
-            .select("node", F.col("hub.node").alias("hub")).distinct()
-            .groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("node", "hub"), "hub"))), 1, MEET).alias("hubs"))
-            .select("node", F.explode("hubs.hub").alias("hub"))
+            .select("node", "label", F.col("hub.node").alias("hub"), F.col("hub.label").alias("top")).distinct()
+            .groupBy("node", "label")
+            .agg(F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("node", "hub"), "hub", "top"))), 1, MEET).alias("hubs"))
+            .select(F.col("node").alias("node_x"), F.col("label").alias("label_x"), F.explode("hubs").alias("hub"))
+            .select("node_x", "label_x", F.col("hub.hub").alias("node_y"), F.col("hub.top").alias("label_y"))
         )
-        pairs = meet.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        pairs = keep(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        pairs = keep(_ordered(met).join(done, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             break
-        done = done.unionByName(pairs)
-        new = keep(linked(sets, pairs, percent), "links")
-        found = found.unionByName(new)
-        labels = components(found).withColumnRenamed("label", "top")
-        joined = members.join(labels, "node", "left")
-        labelled = keep(joined.select("bucket", "node", "n", F.coalesce("top", "node").alias("label")), "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    rest = keep(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "rest")
-    other = rest.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    pairs = (
-        rest.withColumnRenamed("node", "a").join(other, "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & _similar_sizes("n", "n_b", percent))
-        .select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+        done = done.unionByName(pairs.select("a", "b"))
+        labels = relabelled(labels, keep(linked(sets, pairs, percent), "links"))
+        turn += 1
+    # What is left: all pairs of small buckets; of the nodes of crowded ones those that share one of their rarest shingles.
+    rest = keep(labelled.join(mixed.select("bucket", (F.col("c") > CROWD).alias("crowded")), "bucket"), "rest")
+    small = rest.filter(~F.col("crowded"))
+    left, right = (small.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]) for side in "xy")
+    met = left.join(right, "bucket").filter(
+        (F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & _similar_sizes("n_x", "n_y", percent)
     )
-    return found.unionByName(keep(linked(sets, keep(pairs, "pairs"), percent), "links"))
+    crowd = rest.filter("crowded").select("node", "n", "label").distinct()
+    crowded = rare_pairs(keep(rarest(sets, crowd, percent), "rarest"), percent)
+    pairs = keep(_ordered(met).unionByName(crowded).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+    return relabelled(labels, keep(linked(sets, pairs, percent), "links"))
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
@@ -245,7 +312,7 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) ->
     members = keep(dealt.join(shared, "bucket"), "members")
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "row.*")
     sets = keep(node_sets(docs, wanted, size).dropDuplicates(["node"]), "sets")
-    labels = keep(components(links(sets, members, percent)), "components")
+    labels = joined_labels(sets, members, percent)
     named = nodes.join(labels, "node", "left").select("set_a", "set_b", "least", F.coalesce("label", "node").alias("label"))
     named = keep(named, "named")
     first = named.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -1,6 +1,7 @@
 """Decontamination, near duplicates and line dedup against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -157,9 +158,11 @@ def test_op9_matches_brute_force(spark, sf):
     assert got == brute_near(docs, 2, 80)
 
 
-@pytest.mark.parametrize("size,percent,few", [(2, 80, 2), (5, 80, 0), (2, 60, 0)])
-def test_near_duplicates_hard_rows(spark, documents, hard, monkeypatch, size, percent, few):
+@pytest.mark.parametrize("size,percent,few,rounds,crowd", [(2, 80, 2, 4, 16), (5, 80, 0, 4, 16), (2, 60, 0, 1, 1), (2, 80, 0, 0, 3)])
+def test_near_duplicates_hard_rows(spark, documents, hard, monkeypatch, size, percent, few, rounds, crowd):
     monkeypatch.setattr(near_dups, "FEW", few)
+    monkeypatch.setattr(near_dups, "ROUNDS", rounds)
+    monkeypatch.setattr(near_dups, "CROWD", crowd)
     docs = near_rows() + [(None, "one two three"), (5, None), (6, ""), (7, " \n "), (8, "Same"), (9, "same"), (9, "same"), (10, "one TWO three")]
     df = documents(docs, "'x' as component_id")
     got = Counter(tuple(r[2:]) for r in near_dups.near_duplicates(df, size, percent).collect())
@@ -171,6 +174,27 @@ def test_near_duplicates_hard_rows(spark, documents, hard, monkeypatch, size, pe
     assert near_dups.near_duplicates(df.limit(0), size, percent).collect() == []
 
 
+@pytest.mark.parametrize("percent", [60, 80])
+def test_rarest_shingles_lose_no_link_and_spare_a_shared_passage(spark, percent):
+    rng = random.Random(11)
+    passage = list(range(100, 160))
+    found = [sorted(set(passage + rng.sample(range(1000, 10**6), 60))) for _ in range(120)]  # near 0.33
+    found += [sorted(rng.sample(range(30), rng.randrange(1, 30))) for _ in range(60)]  # few shingles, all shared
+    found += [sorted((set(f) - set(f[:k])) | {-k}) for f in found[:40] for k in (3, 9)]
+    sets = spark.createDataFrame(list(enumerate(found)), "node long, found array<long>")
+    labels = {i: i for i in range(len(found))} | {i: 0 for i in range(0, 120, 3)}
+    nodes = spark.createDataFrame([(i, len(f), labels[i]) for i, f in enumerate(found)], "node long, n long, label long")
+    got = near_dups.rare_pairs(near_dups.rarest(sets, nodes, percent), percent).collect()
+    pairs = {(r["a"], r["b"]) for r in got}
+    assert len(pairs) == len(got) and all(r["a"] < r["b"] for r in got)
+    assert all((labels[r["a"]], labels[r["b"]]) == (r["label_a"], r["label_b"]) for r in got)
+    for a, b in itertools.combinations(range(len(found)), 2):
+        x, y = set(found[a]), set(found[b])
+        if labels[a] != labels[b] and 100 * len(x & y) >= percent * len(x | y):
+            assert (a, b) in pairs
+    assert not any(a < 120 and b < 120 for a, b in pairs)
+
+
 def test_one_of_each_group_stays(spark, documents):
     docs = near_rows() + [(8, "same text"), (8, "same text"), (9, "Same text"), (5, None), (6, ""), (6, "")]
     df = keep(documents(docs), "docs")
