@@ -5,7 +5,7 @@ a text are those of its pieces one after the other. A single space between two w
 so a text may as well be cut at its spaces: the ids of ``" word"`` do not depend on what stands around it. The only
 exception is a space that has white space before it and white space or nothing after it, as runs of white space are
 pieces of their own. Words repeat a lot; each worker keeps the ids of the last ``WORDS`` to twice as many words and of
-some pieces, which is about 100 MB. Texts with such spaces are cut by the pattern. Pieces go straight to the
+some pieces, which is about 200 MB at most. Texts with such spaces are cut by the pattern. Pieces go straight to the
 vocabulary's merges, spelled in its alphabet of bytes. Texts with characters on which regular expression libraries could disagree, or with the text of a special token, and all texts if
 the vocabulary cuts in another way, go to the library as a whole.
 """
@@ -18,7 +18,7 @@ import re
 import string
 import struct
 
-WORDS = 300_000
+WORDS = 500_000
 PIECES_KEPT = 20_000
 LONGEST_REMEMBERED = 32
 END_ID = 2
@@ -41,6 +41,18 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
+def _pack(ids: list[int]) -> bytes:
+    return _PACKS[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _spelled(piece: str) -> str:
+    """The piece's bytes in the vocabulary's alphabet."""
+    return piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
 class _Remembered(dict):
     """Packed ids by text; what is not there is made, and kept unless it is long.
 
@@ -70,21 +82,34 @@ class _Words(_Remembered):
     """Words by what follows the space before them.
 
     Marks at the end of a word are a piece of their own, so such a word is put together from two parts. It is kept only if
-    the bare word has been met before, and a word with white space in it is not kept at all: most of them never return.
+    the bare word has been met before, and a word with white space in it is not kept at all: most of them never return. A line
+end between two words is a piece of its own.
     """
 
-    def __init__(self, make, pieces: _Remembered, most: int):
+    def __init__(self, make, merge, pieces: _Remembered, most: int):
         super().__init__(make, most)
-        self.pieces = pieces
+        self.merge, self.pieces = merge, pieces
 
     def __missing__(self, text: str) -> bytes:
         if text.isalpha():
-            return super().__missing__(text)
+            packed = self.older.get(text)
+            if packed is None:
+                ids = [t.id for t in self.merge(SPACE + text if text.isascii() else _spelled(" " + text))]
+                packed = _pack(ids)
+            if len(text) <= LONGEST_REMEMBERED:
+                if len(self) >= self.most:
+                    self.older = dict(self)
+                    self.clear()
+                self[text] = packed
+            return packed
         head = text.rstrip(string.punctuation)
         if head != text and head.isalpha():
             known, marks = self.get(head), self.pieces[text[len(head):]]
             return self[head] + marks if known is None else self.keep(text, known + marks)
         if "\n" in text:
+            before, _, after = text.partition("\n")
+            if before and after and not before[-1].isspace() and after.isalpha():
+                return self[before] + self.pieces["\n"] + self.pieces[after]
             return self.make(text)
         return super().__missing__(text)
 
@@ -117,23 +142,13 @@ class Encoder:
         self._specials = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._merge = self._tokenizer.model.tokenize
         self._pieces = _Remembered(self._piece, PIECES_KEPT)
-        self._words = _Words(self._word, self._pieces, WORDS)
+        self._words = _Words(lambda word: self._in_pieces(" " + word), self._merge, self._pieces, WORDS)
 
     def _whole(self, text: str) -> bytes:
-        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self._merge(piece.encode().decode("latin-1").translate(BYTE_LETTERS))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _word(self, word: str) -> bytes:
-        if not word.isalpha():
-            return self._in_pieces(" " + word)
-        if not word.isascii():
-            return self._piece(" " + word)
-        ids = [t.id for t in self._merge(SPACE + word)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _pack([t.id for t in self._merge(_spelled(piece))])
 
     def _in_pieces(self, text: str) -> bytes:
         cut = self._cut_ascii if text.isascii() else self._cut
