@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from parcelyard import versions
 from parcelyard.operators.reconcile import autofix, compare, status_summary, sync, sync_summary, synced_registry
 from parcelyard.plans.reports import reconcile_report, write_report
+from parcelyard.session import drop_path, scratch_path
 from parcelyard.sources.catalog import catalog_snapshot, master_list, name_key, only_named
 from parcelyard.sources.manifest import has_jobs, read_manifest, write_manifest
 
@@ -155,10 +156,16 @@ def reconcile_run(registry: Registry, catalog: Catalog, report_dir: str, fix: bo
     jobs = registry.read(read)
     if not has_jobs(jobs):
         raise ValueError(f"no jobs in the registry {registry.folder}")
-    compared = compare(jobs, catalog.snapshot(jobs))
-    summary = status_summary(compared).first()
-    report = write_report(reconcile_report(compared), report_dir, when or dt.datetime.now(), report_format)
-    version = registry.publish(autofix(compared), read) if fix and summary["mismatch"] else read
+    # Compared once and stored: the counts, the sorted report and the repair all read the stored rows.
+    path = scratch_path(registry.spark, "compared")
+    try:
+        compare(jobs, catalog.snapshot(jobs)).write.parquet(path)
+        compared = registry.spark.read.parquet(path)
+        summary = status_summary(compared).first()
+        report = write_report(reconcile_report(compared), report_dir, when or dt.datetime.now(), report_format)
+        version = registry.publish(autofix(compared), read) if fix and summary["mismatch"] else read
+    finally:
+        drop_path(registry.spark, path)
     return RegistryRun(summary, read, version, report)
 
 

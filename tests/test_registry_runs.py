@@ -99,6 +99,19 @@ def test_a_repair_is_the_next_version(spark, tmp_path, registry, catalog):
         Registry(spark, str(tmp_path / "none")).read()
 
 
+def test_a_run_compares_once(spark, tmp_path, registry, catalog):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    routines = catalog.routines.mapInArrow(count, catalog.routines.schema)
+    reconcile_run(registry, Catalog(routines, catalog.params, catalog.source), str(tmp_path / "reports"), fix=True)
+    assert seen.value == catalog.routines.count()
+
+
 def test_a_lost_race_changes_nothing(spark, tmp_path, registry, catalog, monkeypatch):
     names = spark.createDataFrame([("new_imp_x",)], "value string")
     real = Registry.publish
