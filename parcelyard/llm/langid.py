@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import discard, free_names, keep
+from parcelyard.llm.common import discard, free_names, give_back, keep
 
 UNKNOWN = "und"
 LONGEST_GRAM = 5
@@ -211,12 +212,15 @@ class Scorer:
 def language(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
     """Struct column (lang_pred, score) of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scorers: list[Scorer] = []
 
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        if not scorers:
-            scorers.append(Scorer(shared.value))
-        return pd.DataFrame([scorers[0](t) for t in texts], columns=["lang_pred", "score"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value)
+        try:
+            for texts in batches:
+                yield pd.DataFrame([scorer(t) for t in texts], columns=["lang_pred", "score"])
+        finally:
+            del scorer
+            give_back()
 
     return F.pandas_udf(predict, "lang_pred string, score double")(F.col(text))
 

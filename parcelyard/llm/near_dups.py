@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import discard, free_names, keep, row_key
+from parcelyard.llm.common import discard, free_names, give_back, keep, row_key
 
 SHINGLE, SIMILARITY = 5, 80  # words, percent
 BANDS, ROWS = 32, 6
@@ -54,6 +54,21 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+
+
+def _forgetting(work):
+    """``work`` on the batches of a task, after which the worker holds no hashes of words: it waits beside later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            _hashes.clear()
+            give_back()
+
+    return run
+
+
 _MIX = np.uint64(0xFF51AFD7ED558CCD)  # fixed value: a mixing constant
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # fixed value: odd multiplier
 
@@ -126,7 +141,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 [field.split()[0] for field in SIGNED.split(", ")],
             )
 
-    return docs.select(*row_key(), F.col("doc_id").cast("long"), "text").mapInArrow(sign, SIGNED)
+    return docs.select(*row_key(), F.col("doc_id").cast("long"), "text").mapInArrow(_forgetting(sign), SIGNED)
 
 
 def node_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -138,7 +153,7 @@ def node_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "found"])
 
     rows = docs.select(*row_key(), "text").join(wanted, ["row_id", "row_hash"]).select("node", "text")
-    return rows.mapInArrow(cut, "node long, found array<long>")
+    return rows.mapInArrow(_forgetting(cut), "node long, found array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -302,3 +302,12 @@ def test_one_copy_of_a_line_stays_under_a_hot_id(spark, documents):
     unique = keep(documents(distinct), "docs")
     got = Counter(tuple(r) for r in line_dedup.digests(unique, stored=True).collect())
     assert got == brute_lines(distinct, line_dedup.MIN_CHARS)
+
+
+def test_workers_hold_no_hashes_between_tasks():
+    def work(batches):
+        near_dups.shingles("some words of a text", 2)
+        assert near_dups._hashes
+        yield from batches
+
+    assert list(near_dups._forgetting(work)(iter([1]))) == [1] and not near_dups._hashes
