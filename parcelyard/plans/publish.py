@@ -24,6 +24,7 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -77,62 +78,63 @@ def publish_splits(
         .partitionBy(target, SEGMENT)
         .save(attempt)
     )
-    files = _place(spark, attempt, path, target)
-    found = spark.createDataFrame([(run_id, *f) for f in files], "run_id string, output string, ordinal int, file string, bytes long")
-    found = found.join(_footer_rows(spark, [f"{path}/{f[2]}" for f in files], fmt), "file", "left").select(
-        "run_id", "output", "ordinal", "file", "rows", "bytes"
-    )
+    files = _place(spark, attempt, path, target, fmt)
+    found = spark.createDataFrame([(run_id, *f) for f in files], MANIFEST)
     version = versions.publish(found, f"{path}/{COMMITS}", read, files=1)
     drop_path(spark, attempt)
-    _delete(spark, path, [r["file"] for r in before.select("file").collect()] if before is not None else [])
+    old = [r["file"] for r in before.select("file").collect()] if before is not None else []
+    _delete(spark, path, old, {f[2].split("/", 1)[0] for f in files})
     return Published(version, written.get["rows"], manifest(spark, path, version))
 
 
-def _place(spark: SparkSession, attempt: str, path: str, target: str) -> list[tuple[str, int, str, int]]:
-    """Give the files of an attempt their places: output, ordinal in it, file relative to ``path``, bytes."""
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(attempt).select("path", "length").collect()
-    )
+def _place(spark: SparkSession, attempt: str, path: str, target: str, fmt: str) -> list[tuple[str, int, str, int | None, int]]:
+    """Give the files of an attempt their places: output, ordinal in it, file relative to ``path``, rows, bytes."""
     parts = []
-    for row in listed:
-        folder, segment, name = row["path"].rsplit("/", 3)[1:]
+    for source, rows, size in _listed(spark, attempt, fmt):
+        folder, segment, name = source.rsplit("/", 3)[1:]
         number = re.search(r"-c(\d+)", name)  # of several files that one task has written for a piece
-        parts.append((folder, segment, int(number[1]) if number else 0, name, row["path"], row["length"]))
+        parts.append((folder, segment, int(number[1]) if number else 0, name, source, rows, size))
     mark, ordinals, moves, out = uuid.uuid4().hex[:12], {}, [], []
-    for at, (folder, _, _, name, source, size) in enumerate(sorted(parts), 1):
+    for at, (folder, _, _, name, source, rows, size) in enumerate(sorted(parts, key=lambda p: p[:5]), 1):
         ordinals[folder] = ordinals.get(folder, 0) + 1
         file = f"{folder}/part-{at:06d}-{mark}.{name.split('.', 1)[-1]}"
         moves.append((source, f"{path}/{file}"))
-        out.append((_unescaped(folder.split("=", 1)[1]), ordinals[folder], file, size))
-    for folder in ordinals:
-        versions.make_folder(spark, f"{path}/{folder}")
+        out.append((_unescaped(folder.split("=", 1)[1]), ordinals[folder], file, rows, size))
+    system = versions.file_system(spark, path)  # ``mark`` makes the names free
     with ThreadPoolExecutor(_AT_ONCE) as pool:
-        list(pool.map(lambda move: versions.rename(spark, *move), moves))
+        list(pool.map(lambda folder: versions.make_folder(spark, f"{path}/{folder}"), ordinals))
+        list(pool.map(lambda move: versions.rename(spark, *move, system), moves))
     return out
 
 
+def _listed(spark: SparkSession, attempt: str, fmt: str) -> list[tuple[str, int | None, int]]:
+    """Path, rows and bytes of the files of an attempt, in one pass. Rows come from the footers where these tell them (a
+    written file has some); no column is read."""
+    files = spark.read.option("recursiveFileLookup", "true")
+    if fmt not in COUNTED:
+        return [(r["path"], None, r["length"]) for r in files.format("binaryFile").load(attempt).select("path", "length").collect()]
+    counted = files.format(fmt).schema("_none int").load(attempt).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+    )
+    # The scan reports file names URL-encoded.
+    return [(unquote(r["file"]), r["count"], r["size"]) for r in counted.groupBy("file", "size").count().collect()]
+
+
 def _unescaped(name: str) -> str:
     """Spark writes characters that paths can't hold as %XX."""
     return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
 
 
-def _footer_rows(spark: SparkSession, files: list[str], fmt: str) -> DataFrame:
-    """Rows of each file where its footer tells; no column is read."""
-    if fmt not in COUNTED or not files:
-        return spark.createDataFrame([], "file string, rows long")
-    # File names are unique and plain, other than the folders above them.
-    name = F.col("_metadata.file_name")
-    counted = spark.read.format(fmt).schema("_none int").load(files).groupBy(name.alias("name")).agg(F.count("*").alias("rows"))
-    known = spark.createDataFrame([("/".join(f.rsplit("/", 2)[1:]), f.rsplit("/", 1)[1]) for f in files], "file string, name string")
-    return known.join(counted, "name").select("file", "rows")
-
-
-def _delete(spark: SparkSession, path: str, files: list[str]) -> None:
+def _delete(spark: SparkSession, path: str, files: list[str], used: set[str]) -> None:
+    """Delete files, and their folders where nothing is left; those in ``used`` hold committed files."""
     with ThreadPoolExecutor(_AT_ONCE) as pool:
         list(pool.map(lambda file: drop_path(spark, f"{path}/{file}"), files))
-    for folder in {f.split("/", 1)[0] for f in files}:
-        if not [n for n in versions.names(spark, f"{path}/{folder}") if not n.startswith((".", "_"))]:
-            drop_path(spark, f"{path}/{folder}")
+        list(pool.map(lambda folder: _drop_empty(spark, f"{path}/{folder}"), {f.split("/", 1)[0] for f in files} - used))
+
+
+def _drop_empty(spark: SparkSession, folder: str) -> None:
+    if not [n for n in versions.names(spark, folder) if not n.startswith((".", "_"))]:
+        drop_path(spark, folder)
 
 
 def manifest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
@@ -153,7 +155,7 @@ def vacuum(spark: SparkSession, path: str) -> int:
         for name in versions.names(spark, f"{path}/{folder}") if not name.startswith((".", "_"))
     ]
     lost = [f for f in there if f not in kept]
-    _delete(spark, path, lost)
+    _delete(spark, path, lost, {f.split("/", 1)[0] for f in kept})
     return len(lost)
 
 

@@ -12,30 +12,38 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelyard.session import drop_path
+from parcelyard.session import drop_path, hadoop_path
 
 
 class LostRace(RuntimeError):
     """Another writer has published the version that this one wanted to be."""
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
 def _context(spark: SparkSession, path: str):
-    target = _path(spark, path)
+    target = hadoop_path(spark, path)
     conf = spark._jsc.hadoopConfiguration()
     system = target.getFileSystem(conf)
     return spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.makeQualified(target).toUri(), conf)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a file or folder to a name that must be free."""
+def file_system(spark: SparkSession, path: str):
+    return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def rename(spark: SparkSession, source: str, target: str, system=None) -> None:
+    """Rename a file or folder to a name that must be free.
+
+    Who knows that it is, as with a name drawn at random, gives the ``file_system``: that is one call, where a rename that
+    fails on a taken name looks up a file context and both names for every file.
+    """
+    if system is not None:
+        if not system.rename(hadoop_path(spark, source), hadoop_path(spark, target)):
+            raise OSError(f"{source} was not renamed to {target}")
+        return
     gateway = spark.sparkContext._gateway
     options = gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
-        _context(spark, target).rename(_path(spark, source), _path(spark, target), options)
+        _context(spark, target).rename(hadoop_path(spark, source), hadoop_path(spark, target), options)
     except Exception as error:
         if "FileAlreadyExists" in str(error) or "not empty" in str(error).lower():
             raise FileExistsError(target) from error
@@ -43,13 +51,13 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
-    target = _path(spark, path)
+    target = hadoop_path(spark, path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
 
 
 def names(spark: SparkSession, folder: str) -> list[str]:
     """What is directly in a folder; nothing if there is no folder."""
-    target = _path(spark, folder)
+    target = hadoop_path(spark, folder)
     system = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(target):
         return []

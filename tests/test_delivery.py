@@ -457,6 +457,22 @@ def test_a_run_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monk
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(700, 750))
 
 
+def test_files_are_placed_without_look_ups_for_each(spark, tmp_path, monkeypatch):
+    """File systems, footers and folders are looked at once for a publication, not once for each of its files."""
+    path, contexts, listed, loads = str(tmp_path / "o u%t"), [], [], []
+    context, names, load = versions._context, versions.names, type(spark.read).load
+    monkeypatch.setattr(versions, "_context", lambda *args: contexts.append(args) or context(*args))
+    monkeypatch.setattr(versions, "names", lambda spark, folder: listed.append(folder) or names(spark, folder))
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.load", lambda self, at=None, *a, **b: loads.append(at) or load(self, at, *a, **b))
+    for start in (0, 1000):
+        done = published(spark, staging.store(spark.range(start, start + 1000)), path)
+    assert done.manifest.count() >= 34 and done.manifest.agg({"rows": "sum"}).first()[0] == 1000
+    assert len(contexts) == 2  # for the commits
+    assert not [folder for folder in listed if "split_id=" in folder]
+    assert not [at for at in loads if isinstance(at, list)]
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(1000, 2000))
+
+
 def test_one_of_two_writers_wins(spark, tmp_path, monkeypatch):
     path, place = str(tmp_path / "out"), publish._place
     published(spark, staging.store(spark.range(10)), path)
