@@ -4,8 +4,8 @@ A byte-level BPE vocabulary first cuts a text into pieces by a fixed pattern and
 a text are those of its pieces one after the other. A single space between two words belongs to the piece after it,
 so a text may as well be cut at its spaces: the ids of ``" word"`` do not depend on what stands around it. The only
 exception is a space that has white space before it and white space or nothing after it, as runs of white space are
-pieces of their own. Words repeat a lot; each worker keeps the ids of the last ``WORDS`` to twice as many words and of
-some pieces, which is about 200 MB at most. Texts with such spaces are cut by the pattern. Pieces go straight to the
+pieces of their own. Words repeat a lot; each worker keeps the ids of the last ``words`` to twice as many words and of
+some pieces, which is about 200 MB at most for ``WORDS``. Texts with such spaces are cut by the pattern. Pieces go straight to the
 vocabulary's merges, spelled in its alphabet of bytes. Texts with characters on which regular expression libraries could disagree, or with the text of a special token, and all texts if
 the vocabulary cuts in another way, go to the library as a whole.
 """
@@ -127,7 +127,7 @@ def cuts_by_pattern(tokenizer) -> bool:
 class Encoder:
     """Packed little-endian unsigned 32-bit ids of texts."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, words: int = WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -142,7 +142,7 @@ class Encoder:
         self._specials = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._merge = self._tokenizer.model.tokenize
         self._pieces = _Remembered(self._piece, PIECES_KEPT)
-        self._words = _Words(lambda word: self._in_pieces(" " + word), self._merge, self._pieces, WORDS)
+        self._words = _Words(lambda word: self._in_pieces(" " + word), self._merge, self._pieces, words)
 
     def _whole(self, text: str) -> bytes:
         return _pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
@@ -168,6 +168,6 @@ class Encoder:
 
 
 @functools.cache
-def encoder(vocabulary: str) -> Encoder:
-    """One encoder per worker process."""
-    return Encoder(vocabulary)
+def encoder(vocabulary: str, words: int = WORDS) -> Encoder:
+    """One encoder per worker process and number of words it remembers."""
+    return Encoder(vocabulary, words)

@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import keep, only
-from parcelyard.llm.encoding import END_ID, default_vocabulary, encoder
+from parcelyard.llm.common import batches_of, give_back, keep, only
+from parcelyard.llm.encoding import END_ID, WORDS, default_vocabulary, encoder
 from parcelyard.operators.staging import LOOKUP_ROW_BYTES, broadcast_if_small, stage, with_source_position
 
 CAPACITY = 1024
+BATCH = 1_000  # documents that a Python worker holds at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 MATCHES = "length long, first long, last long, first_sequence long, fit long, room_used long"
 
@@ -44,24 +45,30 @@ def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
 
 
 def token_pieces(
-    docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, end_id: int = END_ID
+    docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, end_id: int = END_ID, words: int = WORDS
 ) -> DataFrame:
-    """Pieces of every document with the CRC-32 of their packed ids. NULL text counts as empty."""
+    """Pieces of every document with the CRC-32 of their packed ids. NULL text counts as empty.
+
+    ``words`` is what the encoder of a worker remembers: fewer take less memory and more time.
+    """
     vocabulary = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = encoder(vocabulary).packed
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview(packed(text.as_py(), end_id))
-                for piece, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    rows.append((doc_id, piece, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"]
-            )
+        packed = encoder(vocabulary, words).packed
+        try:
+            for batch in batches:
+                rows = []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    ids = memoryview(packed(text.as_py(), end_id))
+                    for piece, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
+                        rows.append((doc_id, piece, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                columns = list(zip(*rows)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"]
+                )
+        finally:
+            give_back()
 
     source = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     return source.mapInArrow(encode, PIECES)
@@ -140,6 +147,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, words: int = WORDS) -> DataFrame:
     """Pack all documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(keep(token_pieces(docs, capacity, vocabulary), "pieces"), capacity)
+    with batches_of(docs.sparkSession, BATCH):
+        pieces = keep(token_pieces(docs, capacity, vocabulary, words=words), "pieces")
+    return pack(pieces, capacity)

@@ -8,6 +8,7 @@ from test_tokens import check_packing
 
 from parcelyard.llm import line_dedup
 from parcelyard.llm.common import keep, table
+from parcelyard.llm.encoding import WORDS
 
 
 def test_each_stage_on_what_its_predecessor_kept(spark, sf):
@@ -65,3 +66,10 @@ def test_stages_of_an_empty_table_of_repeats_and_of_long_texts(spark, sf, docume
         pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
         left = [(r["doc_id"], r["text"]) for r in docs.collect()]
         assert bool(check_packing(pieces, left, 1024)) == bool(left) == bool(least)
+
+
+def test_packing_remembers_fewer_words_than_a_query_alone(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(corpus_pipeline.packing, "pack_documents", lambda docs, words: given.append(words) or docs)
+    dict(corpus_pipeline.STAGES)["packing"](spark, None, "")
+    assert given[0] * 10 <= WORDS

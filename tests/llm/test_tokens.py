@@ -180,3 +180,28 @@ def test_a_vocabulary_that_cuts_otherwise_is_left_to_the_library(tmp_path):
         other = encoding.Encoder(str(path))
         ids = other._tokenizer.encode("Two Words, here", add_special_tokens=False).ids
         assert not other._by_pieces and other.packed("Two Words, here", None) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_words_remembered_are_bounded_and_change_no_ids():
+    few, many = (encoding.Encoder(encoding.default_vocabulary(), words) for words in (40, 10_000))
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(n, n + 50)) for n in range(0, 600, 30)]
+    assert [few.packed(t) for t in texts] == [many.packed(t) for t in texts]
+    assert len(few._words) <= 40 and len(few._words.older) <= 40 < len(many._words)
+
+
+def test_packing_hands_few_documents_at_once_to_python(spark, tmp_path, monkeypatch):
+    """A stage of the pipeline held 10,000 documents in the JVM and its worker, beside a million words."""
+    seen, real = [], packing.keep
+    monkeypatch.setattr(packing, "keep", lambda df, label: seen.append(
+        max(r[0] for r in spark.range(5_000).coalesce(1).mapInArrow(sizes, "n long").collect())) or real(df, label))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(5_000).coalesce(1).selectExpr("id as doc_id", "concat('text ', id) as text")
+    assert packing.pack_documents(docs, words=100).count() == 5_000
+    assert seen == [packing.BATCH] and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
