@@ -23,7 +23,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,23 +145,22 @@ def fit(docs: DataFrame, documents: int = 8_000, words: int = 40_000, grams: int
     pieces = keep(pieces, "n-grams")
     tables.append((_frequent(pieces, ["lang", "size"], grams), None))
     column = {lang: k for k, lang in enumerate(languages)}
-    found: dict[int, dict[str, dict[str, int]]] = {n: {} for n in range(LONGEST_GRAM + 1)}
+    found: dict[int, pa.Table] = {}
     for table, size in tables:
-        for r in table.collect():  # bounded by the parameters
-            found[r["size"] if size is None else size].setdefault(r["item"], {})[r["lang"]] = r["n"]
+        got = table.toArrow()  # bounded by the parameters; as columns, as an object for every row takes the driver many times more
+        for n in range(1, LONGEST_GRAM + 1) if size is None else (size,):
+            found[n] = got if size is not None else got.filter(pc.equal(got["size"], n))
     discard(seen)
     discard(pieces)
-    index, rows = {}, []
+    index, blocks, before = {}, [], 0
     for size in (0, *range(LONGEST_GRAM, 0, -1)):
-        index[size] = {}
-        items = found[size]
-        block = np.zeros((len(items), len(languages)))
-        for k, item in enumerate(sorted(items)):
-            index[size][item] = len(rows) + k
-            for lang, n in items[item].items():
-                block[k, column[lang]] = n
-        rows.extend(np.log((block + SMOOTHING) / (block.sum(axis=0) + SMOOTHING * (len(items) + 1))))
-    weights = np.array(rows, np.float32) if rows else np.zeros((0, len(languages)), np.float32)
+        items, langs = found[size]["item"].to_pylist(), found[size]["lang"].to_pylist()
+        index[size] = {item: before + k for k, item in enumerate(sorted(set(items)))}
+        block = np.zeros((len(index[size]), len(languages)))
+        block[[index[size][item] - before for item in items], [column[lang] for lang in langs]] = found[size]["n"].to_numpy()
+        blocks.append(np.log((block + SMOOTHING) / (block.sum(axis=0) + SMOOTHING * (len(block) + 1))).astype(np.float32))
+        before += len(block)
+    weights = np.concatenate(blocks)
     return LanguageModel(languages, index[0], tuple(index[n] for n in range(LONGEST_GRAM, 0, -1)), weights)
 
 
@@ -213,16 +213,20 @@ def language(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colum
     """Struct column (lang_pred, score) of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         try:
-            for texts in batches:
-                yield pd.DataFrame([scorer(t) for t in texts], columns=["lang_pred", "score"])
+            for texts in batches:  # one text at a time: a batch of them as Python strings is larger than the model
+                found = [scorer(text.as_py()) for text in texts]
+                yield pa.StructArray.from_arrays(
+                    [pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())],
+                    ["lang_pred", "score"],
+                )
         finally:
             del scorer
             give_back()
 
-    return F.pandas_udf(predict, "lang_pred string, score double")(F.col(text))
+    return F.arrow_udf(predict, "lang_pred string, score double")(F.col(text))
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -245,3 +245,20 @@ def test_severity_hard_rows(spark, hard):
         got = toxicity.predict(hard, toxicity.fit(hard, some)).collect()
         assert len(got) == hard.count() and all(r["severity"] is not None for r in got)
     assert toxicity.predict(hard.limit(0), toxicity.fit(hard, grades)).collect() == []
+
+
+def test_a_language_model_is_not_fetched_as_rows(spark, monkeypatch):
+    """Its words and n-grams reach the driver as columns; rows of them took most of the driver's Python memory."""
+    from parcelyard.llm import langid
+
+    docs = spark.range(2_000).selectExpr(
+        "concat('same ', translate(string(id), '0123456789', 'abcdefghij'), if(id % 2 = 0, ' le', ' the')) as text", "if(id % 2 = 0, 'fr', 'en') as lang"
+    )
+    frame, fetched = type(docs), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
+    model = langid.fit(docs)
+    assert len(model.words) == 2_003 and max(map(len, fetched)) < 100
+    assert model.weights.shape == (2_003 + sum(map(len, model.grams)), 2) and model.weights.dtype == "float32"
+    rows = spark.createDataFrame([("le le",), ("the the",), (None,), ("12",)], "text string")
+    assert [r[0]["lang_pred"] for r in rows.select(langid.language(rows, model)).collect()] == ["fr", "en", "und", "und"]
