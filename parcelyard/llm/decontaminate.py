@@ -19,7 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import free_names, keep, row_key
+from parcelyard.llm.common import free_names, keep, keep_alone, row_key
 from parcelyard.operators.staging import broadcast_if_small
 
 WINDOW = 10
@@ -144,7 +144,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     """Per document: row_id, row_hash, doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     windows, owners = item_windows(items, size)
     tokens = tokenized(docs)
-    matches = keep(phrase_matches(tokens, windows), "matches")
+    matches = keep_alone(lambda: phrase_matches(tokens, windows), "matches")
     places = F.flatten(F.transform("found", lambda f: F.sequence(f["start"], f["start"] + f["size"] - 1)))
     hits = matches.select(*KEY, F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
     ids = (
@@ -163,8 +163,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Documents in which no window occurs. All columns stay as they are."""
-    windows, _ = item_windows(items, size)
-    bad = keep(phrase_matches(tokenized(docs), windows).select(*KEY), "contaminated")
+    bad = keep_alone(lambda: phrase_matches(tokenized(docs), item_windows(items, size)[0]).select(*KEY), "contaminated")
     names = free_names(docs, *KEY)
     keyed = docs.withColumns(dict(zip(names, row_key())))
     bad = bad.select(*[F.col(k).alias(name) for k, name in zip(KEY, names)])

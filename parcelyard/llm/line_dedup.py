@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import keep, row_key
+from parcelyard.llm.common import discard, keep, keep_alone, row_key
 
 MIN_CHARS = 16
 LINE = ["h1", "h2"]  # 128-bit identity of a line's text
@@ -106,15 +106,16 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     texts = texts.select("row_id", "pos", "line", *_identity("line")).join(wanted, ["row_id", "pos", *LINE])
     texts = keep(texts.select(*LINE, "first", "line"), "line-texts")
     cut = texts.select(*LINE, "first", F.char_length("line").alias("n"), F.explode(frames("line")).alias("f"))
-    cut = keep(cut.select(*LINE, "first", "n", "f.*"), "frames")
-    cut = keep(cut.join(shared_keys(cut.select(*LINE, "frame"), "frame"), "frame", "left_semi"), "segments")
+    every = keep(cut.select(*LINE, "first", "n", "f.*"), "frames")
+    cut = keep(every.join(shared_keys(every.select(*LINE, "frame"), "frame"), "frame", "left_semi"), "segments")
+    discard(every)
     # Roles: 0 deletes the same place of two equally long lines, 1 is the shorter and 2 the longer of two.
-    every = F.sequence(F.lit(1), F.greatest(F.char_length("segment"), F.lit(1)))
+    places = F.sequence(F.lit(1), F.greatest(F.char_length("segment"), F.lit(1)))
     short = lambda i: F.concat(F.expr("substring(segment, 1, 0)"), F.substring("segment", F.lit(1), i - 1), F.substring(F.col("segment"), i + 1, F.char_length("segment")))
     variant = lambda role, at, text: F.struct(F.lit(role).alias("role"), F.xxhash64("frame", F.lit(role > 0), at, text).alias("variant"))
     none = F.lit(0)
-    same = F.concat(F.transform(every, lambda i: variant(0, i, short(i))), F.array(variant(1, none, F.col("segment"))))
-    less = F.transform(every, lambda i: variant(2, none, short(i)))
+    same = F.concat(F.transform(places, lambda i: variant(0, i, short(i))), F.array(variant(1, none, F.col("segment"))))
+    less = F.transform(places, lambda i: variant(2, none, short(i)))
     whole = F.when(F.char_length("segment") == 0, F.array(variant(1, none, F.col("segment")))).otherwise(same)
     emitted = cut.select(*LINE, "first", F.explode(F.when(F.col("n") == F.col("m"), whole).otherwise(less)).alias("v"))
     emitted = emitted.select(*LINE, "first", "v.*")
@@ -126,13 +127,17 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     mine = texts.select(*LINE, "line").dropDuplicates(LINE)
     theirs = mine.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("line").alias("other_line"))
     verified = pairs.join(mine, LINE).join(theirs, ["o1", "o2"]).filter(F.levenshtein("line", "other_line", 1).between(0, 1))
-    return keep(verified.select(*LINE).distinct(), "near-lines")
+    return verified.select(*LINE).distinct()
 
 
 def line_flags(docs: DataFrame, min_chars: int = MIN_CHARS, place: list[str] = PLACE) -> DataFrame:
     """Rows that lose lines: row_id, row_hash, and ``mask`` with a byte per line, '1' where it goes."""
+    return keep_alone(lambda: _line_flags(docs, min_chars, place), "line-masks")
+
+
+def _line_flags(docs: DataFrame, min_chars: int, place: list[str]) -> DataFrame:
     firsts = keep(distinct_lines(docs, min_chars, place), "first-lines")
-    near = near_lines(docs, firsts).withColumn("near", F.lit(True))
+    near = keep_alone(lambda: near_lines(docs, firsts), "near-lines").withColumn("near", F.lit(True))
     of_line = firsts.select(*LINE, "first").join(near, LINE, "left")
     placed = lines_of(docs).select(*KEY, "pos", *_identity("line"))
     goes = F.coalesce("near", F.lit(False)) | (F.col("first") < F.struct(*place))
@@ -140,7 +145,7 @@ def line_flags(docs: DataFrame, min_chars: int = MIN_CHARS, place: list[str] = P
     # Equal rows send equal flags; one of each place is enough.
     listed = flags.distinct().groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("pos", "goes"))).alias("flags"), F.max("goes").alias("any"))
     mask = F.array_join(F.transform("flags", lambda f: F.when(f["goes"], "1").otherwise("0")), "").cast("binary")
-    return keep(listed.filter("any").select(*KEY, mask.alias("mask")), "line-masks")
+    return listed.filter("any").select(*KEY, mask.alias("mask"))
 
 
 def _stored_place() -> Column:

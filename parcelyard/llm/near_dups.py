@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.llm.common import discard, free_names, give_back, keep, row_key
+from parcelyard.llm.common import discard, free_names, give_back, keep, keep_alone, row_key
 
 SHINGLE, SIMILARITY = 5, 80  # words, percent
 BANDS, ROWS = 32, 6
@@ -196,10 +196,14 @@ def _similar_sizes(a: str, b: str, percent: int) -> Column:
 
 def relabelled(labels: DataFrame, new: DataFrame) -> DataFrame:
     """``labels`` (node, label) after the links ``new`` have joined components. Only labels are contracted again."""
-    tops = components(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
-    tops = tops.select(F.col("node").alias("label"), F.col("label").alias("top"))
-    joined = labels.join(tops, "label", "left")
-    return keep(joined.select("node", F.coalesce("top", "label").alias("label")), "labels")
+
+    def moved() -> DataFrame:
+        links = keep(new, "links")
+        tops = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        tops = tops.select(F.col("node").alias("label"), F.col("label").alias("top"))
+        return labels.join(tops, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
+
+    return keep_alone(moved, "labels")
 
 
 def rarest(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -294,7 +298,9 @@ def joined_labels(sets: DataFrame, members: DataFrame, percent: int) -> DataFram
         if pairs.isEmpty():
             break
         done = done.unionByName(pairs.select("a", "b"))
-        labels = relabelled(labels, keep(linked(sets, pairs, percent), "links"))
+        before, labels = labels, relabelled(labels, linked(sets, pairs, percent))
+        for table in (before, labelled, mixed):
+            discard(table)
         turn += 1
     # What is left: all pairs of small buckets; of the nodes of crowded ones those that share one of their rarest shingles.
     rest = keep(labelled.join(mixed.select("bucket", (F.col("c") > CROWD).alias("crowded")), "bucket"), "rest")
@@ -306,7 +312,7 @@ def joined_labels(sets: DataFrame, members: DataFrame, percent: int) -> DataFram
     crowd = rest.filter("crowded").select("node", "n", "label").distinct()
     crowded = rare_pairs(keep(rarest(sets, crowd, percent), "rarest"), percent)
     pairs = keep(_ordered(met).unionByName(crowded).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-    return relabelled(labels, keep(linked(sets, pairs, percent), "links"))
+    return relabelled(labels, linked(sets, pairs, percent))
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
@@ -315,6 +321,19 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) ->
     ``label`` tells components apart, also those whose ids are equal or all NULL; it is NULL for empty sets.
     """
     signed = keep(signatures(docs, size), "signatures")
+    named = keep_alone(lambda: named_sets(docs, signed, size, percent), "named")
+    first = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_set = named.join(first, "label").select("set_a", "set_b", "label", "component_id")
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return (
+        signed.drop("bands").join(of_set, ["set_a", "set_b"], "left")
+        .select("row_id", "row_hash", "doc_id", F.col("n").alias("n_shingles"), "label", own)
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    )
+
+
+def named_sets(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFrame:
+    """set_a, set_b, least (its smallest id), label: every distinct set and its component."""
     nodes = keep(
         signed.filter("n > 0").groupBy("set_a", "set_b")
         .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"),
@@ -328,16 +347,7 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) ->
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "row.*")
     sets = keep(node_sets(docs, wanted, size).dropDuplicates(["node"]), "sets")
     labels = joined_labels(sets, members, percent)
-    named = nodes.join(labels, "node", "left").select("set_a", "set_b", "least", F.coalesce("label", "node").alias("label"))
-    named = keep(named, "named")
-    first = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_set = named.join(first, "label").select("set_a", "set_b", "label", "component_id")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    return (
-        signed.drop("bands").join(of_set, ["set_a", "set_b"], "left")
-        .select("row_id", "row_hash", "doc_id", F.col("n").alias("n_shingles"), "label", own)
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    return nodes.join(labels, "node", "left").select("set_a", "set_b", "least", F.coalesce("label", "node").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
@@ -350,14 +360,17 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY) ->
 
     ``docs`` must be a stored table. Of repeated rows with a group's smallest id, the first by place stays.
     """
-    found = grouped(docs, size, percent).filter("kept").select("row_id", "row_hash", "label", "n_shingles").distinct()
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     row_id, row_hash, at = free_names(docs, "row_id", "row_hash", "place")
     keyed = docs.withColumns({row_id: row_key()[0], row_hash: row_key()[1], at: place})
-    candidates = keyed.select(F.col(row_id).alias("row_id"), F.col(row_hash).alias("row_hash"), F.col(at).alias("place")).join(
-        found, ["row_id", "row_hash"]
-    )
-    one = candidates.filter("n_shingles > 0").groupBy("label").agg(F.min("place").alias(at)).select(at)
-    alone = candidates.filter("n_shingles = 0").select(F.col("place").alias(at))
-    chosen = keep(one.unionByName(alone), "chosen")
+
+    def places() -> DataFrame:
+        found = grouped(docs, size, percent).filter("kept").select("row_id", "row_hash", "label", "n_shingles").distinct()
+        candidates = keyed.select(
+            F.col(row_id).alias("row_id"), F.col(row_hash).alias("row_hash"), F.col(at).alias("place")
+        ).join(found, ["row_id", "row_hash"])
+        one = candidates.filter("n_shingles > 0").groupBy("label").agg(F.min("place").alias(at)).select(at)
+        return one.unionByName(candidates.filter("n_shingles = 0").select(F.col("place").alias(at)))
+
+    chosen = keep_alone(places, "chosen")
     return keyed.join(chosen, at, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,15 +1,20 @@
 """The corpus pipeline, each stage against brute force on its own input."""
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
+import pytest
 from test_dedup import brute_decontaminate, brute_lines, brute_near
 from test_tokens import check_packing
 
 from parcelyard.llm import line_dedup
-from parcelyard.llm.common import keep, table
+from parcelyard.llm.common import keep, keep_alone, table
 from parcelyard.llm.encoding import WORDS
 
+# Labels of the scratch tables that the frame of a stage reads.
+BEHIND = {"language": [], "lines": ["line-masks"], "near-duplicates": ["chosen"], "decontamination": ["contaminated"]}
+
 
 def test_each_stage_on_what_its_predecessor_kept(spark, sf):
     docs = table(spark, sf, "documents").limit(70)
@@ -73,3 +78,41 @@ def test_packing_remembers_fewer_words_than_a_query_alone(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline.packing, "pack_documents", lambda docs, words: given.append(words) or docs)
     dict(corpus_pipeline.STAGES)["packing"](spark, None, "")
     assert given[0] * 10 <= WORDS
+
+
+def test_stages_leave_only_the_tables_behind_what_they_return(spark, sf):
+    docs = keep(table(spark, sf, "documents").limit(60), "docs")
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = set(scratch.iterdir())
+        out = stage(spark, docs, sf)
+        labels = sorted(path.name.rsplit("-", 1)[0] for path in set(scratch.iterdir()) - before)
+        assert labels == BEHIND[name], name
+        docs = keep(out, "stage")
+
+
+def test_keep_alone_deletes_what_was_kept_on_the_way_and_no_more(spark):
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    labels = lambda: sorted(path.name.rsplit("-", 1)[0] for path in set(scratch.iterdir()) - before)
+    before = set(scratch.iterdir())
+    outside = keep(spark.range(3), "outside")
+
+    def inner():
+        return keep(keep(spark.range(5), "first"), "second")
+
+    def outer():
+        found = keep_alone(inner, "inner")
+        assert labels() == ["inner", "outside"]
+        return found.join(outside, "id")
+
+    assert sorted(r[0] for r in keep_alone(outer, "outer").collect()) == [0, 1, 2]
+    assert labels() == ["outer", "outside"]
+
+    def fails():
+        keep(spark.range(5), "lost")
+        raise LookupError
+
+    with pytest.raises(LookupError):
+        keep_alone(fails, "none")
+    keep(spark.range(1), "later")
+    assert labels() == ["later", "outer", "outside"] and outside.count() == 3
