@@ -89,14 +89,13 @@ def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS, place: list[str]
 
 
 def shared_keys(keyed: DataFrame, key: str) -> DataFrame:
-    """Keys held by at least two distinct lines."""
-    found = keyed.groupBy(key).agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in LINE])
-    return found.filter("min_h1 <> max_h1 or min_h2 <> max_h2").select(key)
+    """Keys held by at least two distinct lines, stored; ``keyed`` has each key of a line once."""
+    return keep(keyed.groupBy(key).agg(F.count("*").alias("c")).filter("c > 1").select(key), f"shared-{key}s")
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """Identity of every line in ``firsts`` that has a line within one edit whose first place is earlier."""
-    halves = firsts.select(*LINE, F.explode(F.array(*[f"f{k}" for k in range(4)])).alias("frame"))
+    halves = firsts.select(*LINE, F.explode(F.array_distinct(F.array(*[f"f{k}" for k in range(4)]))).alias("frame"))
     possible = halves.join(shared_keys(halves, "frame"), "frame", "left_semi").select(*LINE).distinct()
     places = keep(firsts.select(*LINE, "first").join(possible, LINE), "possible-lines")
     # Their texts, each from its first place.
@@ -104,7 +103,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     holders = keep(wanted.select("row_id").distinct(), "holders")
     texts = lines_of(docs.join(holders, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))) == F.col("row_id"), "left_semi"))
     texts = texts.select("row_id", "pos", "line", *_identity("line")).join(wanted, ["row_id", "pos", *LINE])
-    texts = keep(texts.select(*LINE, "first", "line"), "line-texts")
+    texts = keep(texts.select(*LINE, "first", "line").dropDuplicates(LINE), "line-texts")
     cut = texts.select(*LINE, "first", F.char_length("line").alias("n"), F.explode(frames("line")).alias("f"))
     every = keep(cut.select(*LINE, "first", "n", "f.*"), "frames")
     cut = keep(every.join(shared_keys(every.select(*LINE, "frame"), "frame"), "frame", "left_semi"), "segments")
@@ -124,7 +123,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     other = F.when(F.col("role") == 0, F.col("e0")).when(F.col("role") == 1, F.col("e2")).otherwise(F.col("e1"))
     met = emitted.join(earliest.filter("c > 1"), "variant").withColumn("other", other).filter(F.col("other.first") < F.col("first"))
     pairs = met.select(*LINE, F.col("other.h1").alias("o1"), F.col("other.h2").alias("o2")).distinct()
-    mine = texts.select(*LINE, "line").dropDuplicates(LINE)
+    mine = texts.select(*LINE, "line")
     theirs = mine.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("line").alias("other_line"))
     verified = pairs.join(mine, LINE).join(theirs, ["o1", "o2"]).filter(F.levenshtein("line", "other_line", 1).between(0, 1))
     return verified.select(*LINE).distinct()
@@ -170,13 +169,14 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, stored: bool = Fal
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     if stored:
         masks = masks.join(first_rows(narrow), KEY, "full")
-        keyed = docs.select(row, "text", *row_key(), _stored_place().alias("place"))
+        keyed = docs.select(row, *row_key(), _stored_place().alias("place"))
     else:
-        keyed = docs.select(row, "text", *row_key())
+        keyed = docs.select(row, *row_key())
     joined = keyed.join(masks, KEY, "left")
-    lines = F.split("text", "\n", -1)
+    text = F.col("doc").getField("text")  # once in what is shuffled
+    lines = F.split(text, "\n", -1)
     stays = F.filter(lines, lambda _, i: F.substring(F.col("mask"), i + 1, F.lit(1)) == F.lit(b"0"))
-    kept = F.when(F.col("mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    kept = F.when(F.col("mask").isNull(), text).otherwise(F.array_join(stays, "\n"))
     removed = F.coalesce(F.octet_length(F.regexp_replace(F.col("mask").cast("string"), "0", "")), F.lit(0))
     if stored:
         # Every line of a later equal row stands in the first one too.

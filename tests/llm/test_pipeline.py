@@ -1,5 +1,8 @@
 """The corpus pipeline, each stage against brute force on its own input."""
 
+import random
+import string
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -12,6 +15,7 @@ from parcelyard.llm import line_dedup
 from parcelyard.llm.common import keep, keep_alone, table
 from parcelyard.llm.encoding import WORDS
 
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Labels of the scratch tables that the frame of a stage reads.
 BEHIND = {"language": [], "lines": ["line-masks"], "near-duplicates": ["chosen"], "decontamination": ["contaminated"]}
 
@@ -116,3 +120,40 @@ def test_keep_alone_deletes_what_was_kept_on_the_way_and_no_more(spark):
         keep_alone(fails, "none")
     keep(spark.range(1), "later")
     assert labels() == ["later", "outer", "outside"] and outside.count() == 3
+
+
+def shuffled(spark):
+    """The shuffle files that lie on disk: their names and bytes."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_nothing_shuffled_on_disk(spark):
+    setting, before = spark.conf.get(CLEANED), set(shuffled(spark))
+    counts = keep(spark.range(20_000).selectExpr("id % 700 as k").groupBy("k").count().repartition(5, "count"), "counts")
+    for _ in range(50):  # Spark deletes in the background
+        if not (left := set(shuffled(spark)) - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(CLEANED) == setting
+    assert counts.count() == 700
+
+
+def test_lines_shuffles_each_text_once(spark, documents):
+    draw = random.Random(5)
+    letters = string.ascii_letters + string.digits  # hardly compressed
+    line = lambda: "".join(draw.choices(letters, k=1000))
+    # Texts longer than what the compression of a shuffle looks back over; all share a line.
+    docs = keep(documents([(k, "\n".join(["a line of all texts", *(line() for _ in range(80))])) for k in range(20)]), "docs")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dict(corpus_pipeline.STAGES)["lines"](spark, docs, "")
+        before = set(shuffled(spark))
+        assert sum(r["text"].startswith("a line of all texts\n") for r in out.collect()) == 1
+        moved = sum(size for name, size in shuffled(spark).items() if name not in before)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    texts = sum(len(r["text"]) for r in docs.collect())
+    assert 0.5 * texts < moved < 1.3 * texts
